@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from refillscope.functions.numeric import safe_ratio
 from refillscope.functions.temporal import whole_days
-from refillscope.operators.ordered_scan import DEFAULT_CHUNK_ROWS, Scan, expand_rows, ordered_scan
+from refillscope.operators.ordered_scan import (
+    DEFAULT_CHUNK_ROWS,
+    DEFAULT_ROWS_PER_RUN,
+    Scan,
+    expand_rows,
+    ordered_scan,
+)
 from refillscope.schema import CANONICAL_KEYS
 
 
@@ -19,11 +25,11 @@ def scan_deliveries(
     ts: str = "dispensed_at",
     qty: str = "qty",
     *,
-    num_ranges: int | None = None,
+    rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> Scan:
     """The chunked consecutive scan of deliveries, ordered by ``(ts, qty)`` per key."""
-    return ordered_scan(deliveries, keys, ts, qty, num_ranges=num_ranges, chunk_rows=chunk_rows)
+    return ordered_scan(deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows)
 
 
 def delivery_intervals(
@@ -33,7 +39,8 @@ def delivery_intervals(
     qty: str = "qty",
     *,
     scan: Scan | None = None,
-    num_ranges: int | None = None,
+    rows_per_run: int = DEFAULT_ROWS_PER_RUN,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """One record per delivery: ``keys, base_at, next_at, qty, gap_days, n``.
 
@@ -42,7 +49,7 @@ def delivery_intervals(
     ``qty = q[n-1]`` and ``gap_days`` = whole days between them.
     """
     keys = list(keys)
-    scan = scan or scan_deliveries(deliveries, keys, ts, qty, num_ranges=num_ranges)
+    scan = scan or scan_deliveries(deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows)
     rows = expand_rows(scan.chunks, keys, ts, qty)
     return rows.select(
         *keys,

@@ -2,27 +2,31 @@
 
 The reference sorts each product's rows by (patient, date) and walks them with a
 per-partition loop, pairing every delivery with the one before it. A plain
-``Window.partitionBy(key)`` would express that, but it places every row of a key in
-one task; a key holding a third of all rows would then hold a third of the job.
+``Window.partitionBy(key)`` expresses that, but it places every row of a key in one
+task; a key holding a third of all rows would then hold a third of the job.
 
 This module keeps the same semantics with bounded work per task:
 
-1. Identical ``(key, ts, qty)`` rows are collapsed with a count (partial
-   aggregation combines them map-side, before the shuffle).
-2. A collapsed row whose count exceeds ``chunk_rows`` is split into several chunk
-   rows, so no single row stands for an unbounded number of copies.
-3. Chunk rows are range-partitioned on the full sort key ``(key, ts, qty, chunk)``.
-   The sort key is unique, so the sampled range bounds split a hot key across as
-   many tasks as its size needs. Each task holds one or more *runs*: the slice of a
-   key that fell into that range.
+1. A pre-pass counts rows per key (partial aggregation, key columns only). Keys
+   with more than ``rows_per_run`` rows are *hot*. There are at most
+   ``total_rows / rows_per_run`` of them, so that table has a proven size bound
+   and is broadcast.
+2. Rows of ordinary keys go straight to one window partitioned by ``(key, run=0)``:
+   the same single shuffle a plain per-key window needs.
+3. Rows of hot keys are first collapsed: identical ``(key, ts, qty)`` rows become
+   one row with a count (combined map-side, before the shuffle), and a count above
+   ``chunk_rows`` is split into several chunk rows. Each hot key is then cut into
+   ``ceil(rows / rows_per_run)`` runs by time, ``run = floor(splits * (ts - min) /
+   (max - min))``: a deterministic function of the row, so any re-execution
+   assigns the same run and nothing has to be materialised.
 4. Within a run, ``lag`` / ``row_number`` over ``(key, run)`` give each chunk its
-   predecessor. The per-run result is checkpointed once (range bounds are sampled,
-   so the run ids must be fixed before anything else reads them). The first chunk
-   of a run takes its predecessor from the tail of the key's previous run, found
-   through a small table with one row per run.
+   predecessor. The first chunk of a later run takes its predecessor from the tail
+   of the key's previous run, through a table with one row per hot run (bounded by
+   the same argument, so broadcast).
 
-The result has one row per chunk. ``expand_rows`` turns it back into one row per
-input row; the summary operators aggregate it directly.
+The result has one row per chunk (an ordinary row is a chunk of one).
+``expand_rows`` turns it back into one row per input row; the summary operators
+aggregate it directly.
 """
 
 from __future__ import annotations
@@ -32,37 +36,61 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refillscope.session import ensure_checkpoint_dir, range_partitions
+# A key with more rows than this is split into several runs, each scanned by its
+# own task. The hot-key table holds at most total_rows / DEFAULT_ROWS_PER_RUN rows.
+DEFAULT_ROWS_PER_RUN = 2_000_000
 
-# Largest number of identical input rows one chunk row stands for. A copy group is
-# expanded back into rows chunk by chunk, so this bounds the rows one task emits
-# for a single chunk.
+# Largest number of identical input rows one chunk row stands for.
 DEFAULT_CHUNK_ROWS = 50_000
 
-# Columns of the scan result besides the key columns and the ordering columns.
-SCAN_COLUMNS = ("_run", "_chunk", "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before")
-
 
 class Scan(NamedTuple):
     """Result of ``ordered_scan``.
 
-    ``chunks``: one row per chunk (see ``ordered_scan``), hash-partitioned on
-    ``(keys, _run)``. ``runs``: one row per ``(keys, _run)``; a hot key has at most
-    one row per range, so joining per-key values to ``runs`` and then to ``chunks``
-    on ``(keys, _run)`` avoids ever gathering a key in one task.
+    ``chunks``: one row per chunk with the keys, ``ts``, ``qty``, ``_run``, ``_chunk``,
+    ``_len``, ``_has_prev``, ``_prev_ts``, ``_prev_qty``, ``_before``; hash-partitioned
+    on ``(keys, _run)``.
+    ``hot``: one row per hot key with ``_splits`` (its number of runs); bounded, so
+    callers broadcast it to expand per-key values to ``(keys, _run)``.
     """
 
     chunks: DataFrame
-    runs: DataFrame
+    hot: DataFrame
 
 
 def _order(ts: str, qty: str) -> list[Column]:
     return [F.col(ts).asc_nulls_first(), F.col(qty).asc_nulls_first(), F.col("_chunk").asc()]
 
 
+def _offset(df: DataFrame, ts: str, origin: str) -> Column:
+    """``ts - origin`` as a number, without any time zone (micros for timestamps)."""
+    dtype = df.schema[origin].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.timestamp_diff("MICROSECOND", F.col(origin), F.col(ts)).cast("double")
+    return (F.col(ts) - F.col(origin)).cast("double")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, rows_per_run: int) -> DataFrame:
+    """Keys with more than ``rows_per_run`` rows, with their run count and time span."""
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
+    )
+    return per_key.where(F.col("_rows") > F.lit(int(rows_per_run))).select(
+        *keys,
+        F.ceil(F.col("_rows") / F.lit(float(rows_per_run))).cast("int").alias("_splits"),
+        "_lo",
+        "_hi",
+    )
+
+
 def collapse_copies(df: DataFrame, keys: Sequence[str], ts: str, qty: str, chunk_rows: int) -> DataFrame:
-    """One row per chunk of identical ``(keys, ts, qty)`` rows, with ``_chunk`` and ``_len``."""
+    """One row per chunk of identical ``(keys, ts, qty)`` rows, with ``_chunk`` and ``_len``.
+
+    Extra columns that are functions of the grouping (such as ``_run``) may be
+    included in ``keys``.
+    """
     counted = df.groupBy(*keys, ts, qty).agg(F.count(F.lit(1)).alias("_cnt"))
     last_chunk = F.expr(f"(_cnt - 1) div {int(chunk_rows)}")
     return counted.select(
@@ -88,31 +116,46 @@ def ordered_scan(
     ts: str,
     qty: str,
     *,
-    num_ranges: int | None = None,
+    rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
 ) -> Scan:
     """Pair every row with its predecessor in ``(ts, qty)`` order within ``keys``.
 
-    Returns one row per chunk with the key columns, ``ts``, ``qty`` and:
+    Returns a ``Scan``; its ``chunks`` frame has, per chunk of identical rows:
 
-    - ``_run``: the range the chunk fell into (used to co-locate later joins),
-    - ``_len``: input rows the chunk stands for (all identical),
+    - ``_run``: the run of the key the chunk belongs to (0 unless the key is hot),
+    - ``_len``: input rows the chunk stands for,
     - ``_has_prev``: whether an input row precedes the chunk's first row in its key,
     - ``_prev_ts`` / ``_prev_qty``: that preceding row's values,
     - ``_before``: number of input rows of the key before the chunk.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    chunks = collapse_copies(df, keys, ts, qty, chunk_rows)
+    rows = df.select(*keys, ts, qty)
+    hot = hot_keys(rows, keys, ts, rows_per_run)
 
-    ranged = chunks.repartitionByRange(
-        range_partitions(spark, num_ranges),
-        *[F.col(k).asc_nulls_first() for k in keys],
-        *_order(ts, qty),
-    ).withColumn("_run", F.spark_partition_id())
+    # Ordinary keys: every row is a chunk of one, all in run 0 of its key.
+    ordinary = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="left_anti").select(
+        *keys,
+        ts,
+        qty,
+        F.lit(0).alias("_run"),
+        F.lit(0).cast("bigint").alias("_chunk"),
+        F.lit(1).cast("bigint").alias("_len"),
+    )
+    # Hot keys: time-cut into runs, identical copies collapsed and chunked. When no
+    # key is hot the broadcast side is empty and adaptive execution drops this branch.
+    hot_rows = rows.join(F.broadcast(hot), on=keys, how="inner")
+    run = F.least(
+        F.col("_splits") - 1,
+        F.floor(_offset(hot_rows, ts, "_lo") * F.col("_splits") / (_offset(hot_rows, "_hi", "_lo") + 1.0)),
+    ).cast("int")
+    hot_chunks = collapse_copies(hot_rows.withColumn("_run", run), [*keys, "_run"], ts, qty, chunk_rows).select(
+        *keys, ts, qty, "_run", "_chunk", "_len"
+    )
+    chunks = ordinary.unionByName(hot_chunks)
 
     in_run = Window.partitionBy(*keys, "_run").orderBy(*_order(ts, qty))
-    local = ranged.select(
+    local = chunks.select(
         *keys,
         "_run",
         ts,
@@ -125,48 +168,58 @@ def ordered_scan(
         F.coalesce(
             F.sum("_len").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
         ).alias("_before_local"),
-        F.lead(F.lit(1)).over(in_run).isNull().alias("_is_tail"),
     )
-    # The range bounds come from a sample, so two executions of the range exchange
-    # could disagree on ``_run``. Materialise the runs once, in the cluster's shared
-    # checkpoint folder; both the stitch table and the join below read this copy.
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
-
-    # One row per (key, run): its size and its last (ts, qty).
-    tails = local.where(F.col("_is_tail")).select(
-        *keys,
-        "_run",
-        F.col(ts).alias("_tail_ts"),
-        F.col(qty).alias("_tail_qty"),
-        (F.col("_before_local") + F.col("_len")).alias("_run_len"),
+
+    # Stitch table, hot keys only: for each run after the first, the last row and
+    # the row count of all earlier runs of its key. One row per hot run: bounded.
+    tails = hot_chunks.groupBy(*keys, "_run").agg(
+        F.sum("_len").alias("_run_len"),
+        F.max(F.struct(F.col(ts).alias("ts"), F.col(qty).alias("qty"), F.col("_chunk").alias("chunk"))).alias(
+            "_tail"
+        ),
     )
     across = Window.partitionBy(*keys).orderBy("_run")
     stitch = tails.select(
         *keys,
         "_run",
-        (F.row_number().over(across) > 1).alias("_has_prev_run"),
-        F.lag("_tail_ts").over(across).alias("_run_prev_ts"),
-        F.lag("_tail_qty").over(across).alias("_run_prev_qty"),
+        F.lag("_tail.ts").over(across).alias("_run_prev_ts"),
+        F.lag("_tail.qty").over(across).alias("_run_prev_qty"),
         F.coalesce(
             F.sum("_run_len").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
         ).alias("_before_runs"),
+        (F.row_number().over(across) > 1).alias("_has_prev_run"),
     )
 
     first_in_run = F.col("_rn") == 1
-    chunk_rows_df = local.join(stitch, on=[*keys, "_run"], how="inner").select(
+    joined = local.join(F.broadcast(stitch), on=[*keys, "_run"], how="left")
+    has_prev_run = F.coalesce(F.col("_has_prev_run"), F.lit(False))
+    out = joined.select(
         *keys,
         ts,
         qty,
         "_run",
         "_chunk",
         "_len",
-        F.when(first_in_run, F.col("_has_prev_run")).otherwise(F.lit(True)).alias("_has_prev"),
+        F.when(first_in_run, has_prev_run).otherwise(F.lit(True)).alias("_has_prev"),
         F.when(first_in_run, F.col("_run_prev_ts")).otherwise(F.col("_lag_ts")).alias("_prev_ts"),
         F.when(first_in_run, F.col("_run_prev_qty")).otherwise(F.col("_lag_qty")).alias("_prev_qty"),
-        (F.col("_before_runs") + F.col("_before_local")).alias("_before"),
+        (F.coalesce(F.col("_before_runs"), F.lit(0).cast("bigint")) + F.col("_before_local")).alias("_before"),
+    )
+    return Scan(out, hot.select(*keys, "_splits"))
+
+
+def expand_to_runs(per_key: DataFrame, scan: Scan, keys: Sequence[str]) -> DataFrame:
+    """Repeat each per-key row once per run of its key (adds ``_run``).
+
+    Joining the result to ``scan.chunks`` on ``(keys, _run)`` delivers per-key values
+    to every chunk without gathering a hot key in one task.
+    """
+    keys = list(keys)
+    splits = F.coalesce(F.col("_splits"), F.lit(1))
+    return per_key.join(F.broadcast(scan.hot), on=keys, how="left").select(
+        *[c for c in per_key.columns],
+        F.explode(F.sequence(F.lit(0), splits - 1)).alias("_run"),
     )
-    return Scan(chunk_rows_df, stitch.select(*keys, "_run"))
 
 
 def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from refillscope.functions.numeric import half_even_mean, safe_ratio, usable_quantity
 from refillscope.functions.temporal import whole_days
-from refillscope.operators.ordered_scan import Scan
+from refillscope.operators.ordered_scan import Scan, expand_to_runs
 from refillscope.schema import CANONICAL_KEYS, DEFAULT_GRACE_DAYS, DEMOGRAPHIC_COLUMNS
 
 
@@ -64,7 +64,7 @@ def late_pickups(
 ) -> DataFrame:
     """Per key: ``late`` = normalised gaps strictly above ``mean_days + grace_days``."""
     keys = list(keys)
-    run_means = scan.runs.join(stats.select(*keys, "mean_days"), on=keys, how="inner")
+    run_means = expand_to_runs(stats.select(*keys, "mean_days"), scan, keys)
     chunks = scan.chunks.withColumn("_cur_qty", F.col(qty)).join(run_means, on=[*keys, "_run"], how="inner")
     threshold = F.col("mean_days") + F.lit(grace_days)
     first_late = F.when(_first_copy_gap(ts) > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint")

@@ -25,6 +25,10 @@ from refillscope.sources.testtables import (
 
 KEYS = ["prod", "patient_id"]
 
+# Options of the ordered scan (``rows_per_run``, ``chunk_rows``). Empty means the
+# library defaults; tests shrink them to force the hot-key path on small tables.
+SCAN_OPTIONS: dict = {}
+
 
 def dispensing_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S3: the dispensing extract in typed canonical columns."""
@@ -38,7 +42,7 @@ def product_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delivery_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1 + W1 + E1: one interval record per delivery."""
-    return iv.delivery_intervals(product_filter(spark, sf_dir), KEYS)
+    return iv.delivery_intervals(product_filter(spark, sf_dir), KEYS, **SCAN_OPTIONS)
 
 
 def normalised_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ def normalised_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scan(spark: SparkSession, sf_dir: str):
     deliveries = product_filter(spark, sf_dir)
-    return deliveries, iv.scan_deliveries(deliveries, KEYS)
+    return deliveries, iv.scan_deliveries(deliveries, KEYS, **SCAN_OPTIONS)
 
 
 def average_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +143,7 @@ def adherence_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + E1 on sub-day timestamps: intervals of ``events`` per (event type, user)."""
-    return iv.delivery_intervals(events_as_deliveries(spark, sf_dir), KEYS)
+    return iv.delivery_intervals(events_as_deliveries(spark, sf_dir), KEYS, **SCAN_OPTIONS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
