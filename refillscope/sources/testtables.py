@@ -18,8 +18,23 @@ TEST_PRODUCT_TYPES = ("ECONOMY", "PROMO", "SMALL", "LARGE")
 THERAPY_SKIPPED_QUANTITY = 7.0
 
 
+# Read schemas of the columns used, as the tables store them. Declaring them skips
+# Spark's schema-inference job per read and prunes the scan to these columns.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_brand STRING, p_type STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def test_product_dimension(spark: SparkSession) -> DataFrame:
