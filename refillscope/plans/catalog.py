@@ -19,7 +19,7 @@ from refillscope.sources.testtables import (
     TEST_PRODUCT_TYPES,
     dispensing_from_tables,
     events_as_deliveries,
-    test_product_dimension,
+    tables_product_dimension,
     therapy_from_tables,
 )
 
@@ -118,7 +118,7 @@ def last_therapy_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adherence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + E2 + E4 + F4 + P7: adherence per key, with the product's slug and code."""
     summary = delivery_summary(spark, sf_dir)
-    return adh.adherence(summary, therapy_typed(spark, sf_dir), test_product_dimension(spark), KEYS)
+    return adh.adherence(summary, therapy_typed(spark, sf_dir), tables_product_dimension(spark), KEYS)
 
 
 def adherence_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +127,7 @@ def adherence_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary_with_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = test_product_dimension(spark).select("prod", "slug")
+    products = tables_product_dimension(spark).select("prod", "slug")
     return adh.attach_products(delivery_summary(spark, sf_dir), products)
 
 

@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def test_product_dimension(spark: SparkSession) -> DataFrame:
+def tables_product_dimension(spark: SparkSession) -> DataFrame:
     """``(prod, prod_desc, slug, aic)`` for the test tables: the part type in every role."""
     rows = [(t, t, t.lower(), t) for t in TEST_PRODUCT_TYPES]
     return spark.createDataFrame(rows, "prod string, prod_desc string, slug string, aic string")
