@@ -229,10 +229,15 @@ def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str) -> Data
     predecessor, every later copy follows an identical copy (gap 0, same quantity).
     Columns: keys, ``base_ts``, ``next_ts``, ``base_qty``, ``_row_has_prev`` and
     ``n`` (1-based position within the key).
+
+    The chunks of one large copy group all sit in one run, so the chunk rows are
+    first rebalanced on their unique sort key: every chunk (at most ``chunk_rows``
+    rows once expanded) is expanded by whichever task receives it.
     """
     keys = list(keys)
+    spread = scan.hint("rebalance", *keys, ts, qty, "_chunk")
     pos = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_len"))).alias("_pos")
-    rows = scan.select(*keys, ts, qty, "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before", pos)
+    rows = spread.select(*keys, ts, qty, "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before", pos)
     first_copy = F.col("_pos") == 1
     has_prev = (~first_copy) | F.col("_has_prev")
     return rows.select(

@@ -122,3 +122,21 @@ def test_presentation_and_partitioned_sinks(spark, tmp_path):
     sinks.write_consolidated(export, out3)
     consolidated = spark.read.option("header", "true").csv(out3)
     assert consolidated.count() == 2 and "slug" not in consolidated.columns
+
+
+def test_full_job_on_extracts(spark, tmp_path):
+    from refillscope.plans.jobs import run
+
+    disp_path = os.path.join(tmp_path, "d.csv")
+    ther_path = os.path.join(tmp_path, "t.csv")
+    _write_csv(disp_path, list(DISPENSING_HEADERS), DISP_ROWS)
+    _write_csv(ther_path, list(THERAPY_HEADERS), [["P1", "1480022", "01/02/2022", "28"], ["P2", "1487505", "05/05/2022", "0"]])
+    out = os.path.join(tmp_path, "out")
+    run(spark, disp_path, ther_path, out)
+    summary = spark.read.option("header", "true").csv(os.path.join(out, "summary"))
+    assert sorted(r["NUMERO CONSEGNE TOTALI"] for r in summary.collect()) == ["1", "3"]
+    adherence = spark.read.option("header", "true").csv(os.path.join(out, "adherence_all"))
+    rows = {r["CODICE PAZIENTE UNIVOCO"]: r for r in adherence.collect()}
+    assert rows["P2"]["ADERENZA"] == "0000"
+    assert rows["P1"]["DATA PRIMA CONSEGNA"] == "01/02/2022" and rows["P1"]["DATA ULTIMA CONSEGNA"] == "31/03/2022"
+    assert spark.read.parquet(os.path.join(out, "rejects", "dispensing")).count() == 4
