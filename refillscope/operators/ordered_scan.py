@@ -52,12 +52,16 @@ class Scan(NamedTuple):
     ``chunks``: one row per chunk with the keys, ``ts``, ``qty``, ``_run``, ``_chunk``,
     ``_len``, ``_has_prev``, ``_prev_ts``, ``_prev_qty``, ``_before``; hash-partitioned
     on ``(keys, _run)``.
-    ``hot``: one row per hot key with ``_splits`` (its number of runs); bounded, so
-    callers broadcast it to expand per-key values to ``(keys, _run)``.
+    ``hot``: one row per hot key with ``_splits`` (its number of runs); bounded by
+    ``total_rows / rows_per_run``.
+    ``hot_chunks``: the same chunk rows as ``chunks``, for hot keys only. Per-key
+    totals of a hot key are aggregated from it (one row per hot key); when no key is
+    hot it is empty and costs nothing.
     """
 
     chunks: DataFrame
     hot: DataFrame
+    hot_chunks: DataFrame
 
 
 def _order(ts: str, qty: str) -> list[Column]:
@@ -152,26 +156,20 @@ def ordered_scan(
     hot_chunks = collapse_copies(hot_rows.withColumn("_run", run), [*keys, "_run"], ts, qty, chunk_rows).select(
         *keys, ts, qty, "_run", "_chunk", "_len"
     )
-    chunks = ordinary.unionByName(hot_chunks)
-
-    in_run = Window.partitionBy(*keys, "_run").orderBy(*_order(ts, qty))
-    local = chunks.select(
-        *keys,
-        "_run",
-        ts,
-        qty,
-        "_chunk",
-        "_len",
-        F.row_number().over(in_run).alias("_rn"),
-        F.lag(ts).over(in_run).alias("_lag_ts"),
-        F.lag(qty).over(in_run).alias("_lag_qty"),
-        F.coalesce(
-            F.sum("_len").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
-        ).alias("_before_local"),
+    stitch = _stitch_table(hot_chunks, keys, ts, qty)
+    return Scan(
+        _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty),
+        hot.select(*keys, "_splits"),
+        _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty),
     )
 
-    # Stitch table, hot keys only: for each run after the first, the last row and
-    # the row count of all earlier runs of its key. One row per hot run: bounded.
+
+def _stitch_table(hot_chunks: DataFrame, keys: list[str], ts: str, qty: str) -> DataFrame:
+    """Hot keys only: per run, the last row and the row count of the key's earlier runs.
+
+    One row per hot run, so at most ``total_rows / rows_per_run`` rows times the
+    run count per key: bounded, and broadcast by the caller.
+    """
     tails = hot_chunks.groupBy(*keys, "_run").agg(
         F.sum("_len").alias("_run_len"),
         F.max(F.struct(F.col(ts).alias("ts"), F.col(qty).alias("qty"), F.col("_chunk").alias("chunk"))).alias(
@@ -179,7 +177,7 @@ def ordered_scan(
         ),
     )
     across = Window.partitionBy(*keys).orderBy("_run")
-    stitch = tails.select(
+    return tails.select(
         *keys,
         "_run",
         F.lag("_tail.ts").over(across).alias("_run_prev_ts"),
@@ -190,10 +188,28 @@ def ordered_scan(
         (F.row_number().over(across) > 1).alias("_has_prev_run"),
     )
 
+
+def _pair_with_predecessor(chunks: DataFrame, stitch: DataFrame, keys: list[str], ts: str, qty: str) -> DataFrame:
+    """The window over ``(keys, _run)`` plus the broadcast stitch for the first chunk of a run."""
+    in_run = Window.partitionBy(*keys, "_run").orderBy(*_order(ts, qty))
+    local = chunks.select(
+        *keys,
+        "_run",
+        ts,
+        qty,
+        "_chunk",
+        "_len",
+        F.row_number().over(in_run).alias("_rn"),
+        F.lag(ts).over(in_run).alias("_lag_ts"),
+        F.lag(qty).over(in_run).alias("_lag_qty"),
+        F.coalesce(
+            F.sum("_len").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
+        ).alias("_before_local"),
+    )
     first_in_run = F.col("_rn") == 1
     joined = local.join(F.broadcast(stitch), on=[*keys, "_run"], how="left")
     has_prev_run = F.coalesce(F.col("_has_prev_run"), F.lit(False))
-    out = joined.select(
+    return joined.select(
         *keys,
         ts,
         qty,
@@ -205,21 +221,6 @@ def ordered_scan(
         F.when(first_in_run, F.col("_run_prev_qty")).otherwise(F.col("_lag_qty")).alias("_prev_qty"),
         (F.coalesce(F.col("_before_runs"), F.lit(0).cast("bigint")) + F.col("_before_local")).alias("_before"),
     )
-    return Scan(out, hot.select(*keys, "_splits"))
-
-
-def expand_to_runs(per_key: DataFrame, scan: Scan, keys: Sequence[str]) -> DataFrame:
-    """Repeat each per-key row once per run of its key (adds ``_run``).
-
-    Joining the result to ``scan.chunks`` on ``(keys, _run)`` delivers per-key values
-    to every chunk without gathering a hot key in one task.
-    """
-    keys = list(keys)
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
-    return per_key.join(F.broadcast(scan.hot), on=keys, how="left").select(
-        *[c for c in per_key.columns],
-        F.explode(F.sequence(F.lit(0), splits - 1)).alias("_run"),
-    )
 
 
 def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str) -> DataFrame:

@@ -10,82 +10,111 @@ Definitions, per key with deliveries ordered by ``(date, qty)``:
 - deliveries, first and last delivery date;
 - demographics: the variant on the latest delivery (ties: greatest values).
 
-Everything is computed from the chunked scan with partial aggregation; per-key
-values reach the chunk rows through ``(key, run)`` joins, so a hot key is never
-gathered into one task.
+Everything is computed from the chunked scan in the same stage as the scan
+window, then one aggregate per key combines map-side; see ``delivery_measures``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refillscope.functions.numeric import half_even_mean, safe_ratio, usable_quantity
 from refillscope.functions.temporal import whole_days
-from refillscope.operators.ordered_scan import Scan, expand_to_runs
+from refillscope.operators.ordered_scan import Scan
 from refillscope.schema import CANONICAL_KEYS, DEFAULT_GRACE_DAYS, DEMOGRAPHIC_COLUMNS
 
 
-def _first_copy_gap(ts: str) -> Column:
+def _first_copy_gap(ts: str, qty: str) -> Column:
     """Normalised gap of a chunk's first row: to its predecessor, or 0 for the first row of a key."""
     gap = F.when(F.col("_has_prev"), whole_days("_prev_ts", ts)).otherwise(F.lit(0).cast("bigint"))
-    divisor = F.when(F.col("_has_prev"), F.col("_prev_qty")).otherwise(F.col("_cur_qty"))
+    divisor = F.when(F.col("_has_prev"), F.col("_prev_qty")).otherwise(F.col(qty))
     return safe_ratio(gap, divisor)
 
 
-def _copies_with_usable_qty(qty: str) -> Column:
-    """Later copies in a chunk each have gap 0 over their own quantity: 0.0 if usable, else NULL."""
-    return F.when(usable_quantity(qty), F.col("_len") - 1).otherwise(F.lit(0).cast("bigint"))
+def _with_gaps(chunks: DataFrame, ts: str, qty: str) -> DataFrame:
+    """Per chunk: ``_gap`` of its first row and ``_zeros``, the later copies with a usable quantity.
 
+    Later copies in a chunk each follow an identical copy: a gap of 0 over their own
+    quantity, so 0.0 when the quantity is usable and NULL otherwise.
+    """
+    zeros = F.when(usable_quantity(qty), F.col("_len") - 1).otherwise(F.lit(0).cast("bigint"))
+    return chunks.withColumn("_gap", _first_copy_gap(ts, qty)).withColumn("_zeros", zeros)
 
-def gap_statistics(scan: Scan, keys: Sequence[str] = CANONICAL_KEYS, ts: str = "dispensed_at", qty: str = "qty"):
-    """Per key: ``deliveries, first_at, last_at, gap_sum, gap_count, mean_days``."""
-    keys = list(keys)
-    chunks = scan.chunks.withColumn("_cur_qty", F.col(qty))
-    stats = chunks.groupBy(*keys).agg(
-        F.sum("_len").alias("deliveries"),
-        F.min(ts).alias("first_at"),
-        F.max(ts).alias("last_at"),
-        F.sum(_first_copy_gap(ts)).alias("gap_sum"),
-        (F.count(_first_copy_gap(ts)) + F.sum(_copies_with_usable_qty(qty))).alias("gap_count"),
+
+def _hot_key_totals(scan: Scan, keys: list[str], ts: str, qty: str) -> DataFrame:
+    """Gap sum and count of every hot key (one row per hot key, so bounded)."""
+    gaps = _with_gaps(scan.hot_chunks, ts, qty)
+    return gaps.groupBy(*keys).agg(
+        F.sum("_gap").alias("_key_sum"),
+        (F.count("_gap") + F.sum("_zeros")).alias("_key_count"),
+        F.lit(True).alias("_is_hot"),
     )
-    return stats.withColumn("mean_days", half_even_mean(F.coalesce("gap_sum", F.lit(0.0)), "gap_count"))
 
 
-def late_pickups(
+def delivery_measures(
     scan: Scan,
-    stats: DataFrame,
     keys: Sequence[str] = CANONICAL_KEYS,
     ts: str = "dispensed_at",
     qty: str = "qty",
     grace_days: int = DEFAULT_GRACE_DAYS,
 ) -> DataFrame:
-    """Per key: ``late`` = normalised gaps strictly above ``mean_days + grace_days``."""
+    """Per key: ``first_at, last_at, mean_days, deliveries, late``.
+
+    The mean is needed before the late count, so each chunk must see its key's
+    totals. An ordinary key is entirely inside its ``(key, run 0)`` window partition,
+    so a window sum over ``(key, run)`` gives them in the same stage as the scan. A
+    hot key spans several runs; its totals come from a bounded broadcast table. One
+    aggregate then produces every measure, combining map-side.
+    """
     keys = list(keys)
-    run_means = expand_to_runs(stats.select(*keys, "mean_days"), scan, keys)
-    chunks = scan.chunks.withColumn("_cur_qty", F.col(qty)).join(run_means, on=[*keys, "_run"], how="inner")
-    threshold = F.col("mean_days") + F.lit(grace_days)
-    first_late = F.when(_first_copy_gap(ts) > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    copies_late = F.when(F.lit(0.0) > threshold, _copies_with_usable_qty(qty)).otherwise(F.lit(0).cast("bigint"))
-    return chunks.groupBy(*keys).agg(F.sum(first_late + copies_late).alias("late"))
+    gaps = _with_gaps(scan.chunks, ts, qty)
+    run = Window.partitionBy(*keys, "_run")
+    with_run_totals = gaps.select(
+        "*",
+        F.sum("_gap").over(run).alias("_run_sum"),
+        (F.count("_gap").over(run) + F.sum("_zeros").over(run)).alias("_run_count"),
+    )
+    joined = with_run_totals.join(F.broadcast(_hot_key_totals(scan, keys, ts, qty)), on=keys, how="left")
+    hot = F.coalesce(F.col("_is_hot"), F.lit(False))
+    total = F.when(hot, F.col("_key_sum")).otherwise(F.col("_run_sum"))
+    count = F.when(hot, F.col("_key_count")).otherwise(F.col("_run_count"))
+    mean = half_even_mean(F.coalesce(total, F.lit(0.0)), count)
+    threshold = mean + F.lit(grace_days)
+    late = F.when(F.col("_gap") > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint") + F.when(
+        F.lit(0) > threshold, F.col("_zeros")
+    ).otherwise(F.lit(0).cast("bigint"))
+    return (
+        joined.select(*keys, ts, "_len", mean.alias("_mean"), late.alias("_late"))
+        .groupBy(*keys)
+        .agg(
+            F.min(ts).alias("first_at"),
+            F.max(ts).alias("last_at"),
+            F.max("_mean").alias("mean_days"),
+            F.sum("_len").alias("deliveries"),
+            F.sum("_late").alias("late"),
+        )
+    )
 
 
-def delivery_measures(
+def gap_statistics(scan: Scan, keys: Sequence[str] = CANONICAL_KEYS, ts: str = "dispensed_at", qty: str = "qty"):
+    """Per key: ``deliveries, first_at, last_at, mean_days``."""
+    keys = list(keys)
+    return delivery_measures(scan, keys, ts, qty).select(*keys, "deliveries", "first_at", "last_at", "mean_days")
+
+
+def late_pickups(
     scan: Scan,
     keys: Sequence[str] = CANONICAL_KEYS,
     ts: str = "dispensed_at",
     qty: str = "qty",
     grace_days: int = DEFAULT_GRACE_DAYS,
 ) -> DataFrame:
-    """Per key: ``first_at, last_at, mean_days, deliveries, late`` (J1-J4 folded into aggregates)."""
+    """Per key: ``late`` = normalised gaps strictly above ``mean_days + grace_days``."""
     keys = list(keys)
-    stats = gap_statistics(scan, keys, ts, qty)
-    late = late_pickups(scan, stats, keys, ts, qty, grace_days)
-    return stats.join(late, on=keys, how="inner").select(
-        *keys, "first_at", "last_at", "mean_days", "deliveries", "late"
-    )
+    return delivery_measures(scan, keys, ts, qty, grace_days).select(*keys, "late")
 
 
 def first_last_delivery(deliveries: DataFrame, keys: Sequence[str] = CANONICAL_KEYS, ts: str = "dispensed_at"):

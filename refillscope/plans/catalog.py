@@ -64,8 +64,7 @@ def average_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 + A4a: late pickups per key."""
     _, scan = _scan(spark, sf_dir)
-    stats = sm.gap_statistics(scan, KEYS)
-    return sm.late_pickups(scan, stats, KEYS)
+    return sm.late_pickups(scan, KEYS)
 
 
 def delivery_count(spark: SparkSession, sf_dir: str) -> DataFrame:
