@@ -1,9 +1,8 @@
-"""Session construction for tests and the bench, and cluster-setting lookups."""
+"""Session construction for tests and the bench."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,30 +35,4 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
-
-    The cluster's ``spark.checkpoint.dir`` wins. Only when it is unset (local tests)
-    is a scratch folder created and registered.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="refillscope-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
-
-
-def range_partitions(spark: SparkSession, requested: int | None = None) -> int:
-    """Number of ranges for the ordered scan: explicit, else the shuffle partition count."""
-    if requested:
-        return int(requested)
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
