@@ -2,6 +2,8 @@
 
 The skewed input is derived from the generated tables: a third of the deliveries
 are relabelled to a single patient, and one real delivery is repeated many times.
+A variant squeezes half of the hot key's rows into a burst of a few hours: results
+must stay exact even though its runs are then very uneven.
 Results must equal a plain whole-key computation in DuckDB, and no (key, run)
 group may exceed the run budget.
 """
@@ -24,14 +26,20 @@ CHUNK_ROWS = 700
 COPIES = 5_000
 
 
-@pytest.fixture(scope="module")
-def skewed(spark, tmp_path_factory):
+def _skewed(spark, tmp_path_factory, with_burst):
     base = catalog.product_filter(spark, SF_ORACLE).select("prod", "patient_id", "dispensed_at", "qty")
     hot = F.pmod(F.xxhash64("patient_id", "dispensed_at", "qty"), F.lit(3)) == 0
+    # Half of the hot key's rows form a burst: their times squeezed into ~11 hours.
+    burst = hot & (F.pmod(F.xxhash64("qty", "patient_id"), F.lit(2)) == 0) & F.lit(with_burst)
+    squeezed = F.timestamp_add(
+        "SECOND",
+        (F.unix_seconds(F.col("dispensed_at").cast("timestamp")) / 5000).cast("int"),
+        F.lit("2000-06-01 00:00:00").cast("timestamp_ntz"),
+    )
     relabelled = base.select(
         F.when(hot, F.lit("PROMO")).otherwise(F.col("prod")).alias("prod"),
         F.when(hot, F.lit(-1)).otherwise(F.col("patient_id")).cast("bigint").alias("patient_id"),
-        "dispensed_at",
+        F.when(burst, squeezed).otherwise(F.col("dispensed_at")).alias("dispensed_at"),
         "qty",
     )
     one = base.orderBy("prod", "patient_id", "dispensed_at", "qty").limit(1)
@@ -48,6 +56,16 @@ def skewed(spark, tmp_path_factory):
     return spark.read.parquet(path), path
 
 
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    return _skewed(spark, tmp_path_factory, with_burst=False)
+
+
+@pytest.fixture(scope="module")
+def skewed_burst(spark, tmp_path_factory):
+    return _skewed(spark, tmp_path_factory, with_burst=True)
+
+
 def _duck(path, select):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW src AS SELECT * FROM read_parquet('{path}/*.parquet')")
@@ -56,8 +74,9 @@ def _duck(path, select):
     return [d[0] for d in res.description], res.fetchall()
 
 
-def test_hot_key_results_match_whole_key_computation(spark, skewed):
-    data, path = skewed
+@pytest.mark.parametrize("fixture", ["skewed", "skewed_burst"])
+def test_hot_key_results_match_whole_key_computation(spark, fixture, request):
+    data, path = request.getfixturevalue(fixture)
     hot_rows = data.where("patient_id = -1").count()
     assert hot_rows > data.count() / 4  # the hot key really holds a large share
 
@@ -79,6 +98,7 @@ def test_hot_key_results_match_whole_key_computation(spark, skewed):
 
 
 def test_no_run_exceeds_its_budget(spark, skewed):
+    """Runs are equal time spans of the hot key: even for rows spread over the span."""
     data, _ = skewed
     scan = iv.scan_deliveries(data, catalog.KEYS, rows_per_run=ROWS_PER_RUN, chunk_rows=CHUNK_ROWS)
     per_run = scan.chunks.groupBy(*catalog.KEYS, "_run").agg(
