@@ -140,6 +140,23 @@ def adherence_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.adherence_presentation(adherence(spark, sf_dir))
 
 
+# Scan settings that send almost every key down the hot-key path on the test tables
+# (runs, stitching, chunked copies). The queries below run the whole tables through
+# that path; their results must equal the ordinary path's.
+HOT_PATH = {"rows_per_run": 4, "chunk_rows": 2}
+
+
+def delivery_intervals_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delivery_intervals`` with every key of more than 4 deliveries split into runs."""
+    return iv.delivery_intervals(product_filter(spark, sf_dir), KEYS, **HOT_PATH)
+
+
+def delivery_summary_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delivery_summary`` with every key of more than 4 deliveries split into runs."""
+    deliveries = product_filter(spark, sf_dir)
+    return sm.delivery_summary(deliveries, iv.scan_deliveries(deliveries, KEYS, **HOT_PATH), KEYS)
+
+
 def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + E1 on sub-day timestamps: intervals of ``events`` per (event type, user)."""
     return iv.delivery_intervals(events_as_deliveries(spark, sf_dir), KEYS, **SCAN_OPTIONS)
@@ -166,4 +183,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_summary_export": delivery_summary_export,
     "adherence_export": adherence_export,
     "event_intervals": event_intervals,
+    "delivery_intervals_hot_path": delivery_intervals_hot_path,
+    "delivery_summary_hot_path": delivery_summary_hot_path,
 }

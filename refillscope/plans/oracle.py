@@ -212,3 +212,7 @@ events_d AS (
     + _intervals("events_d")
     + "\nSELECT * FROM intervals",
 }
+
+# The hot-path variants compute the same results by another execution path.
+ORACLE_SQL["delivery_intervals_hot_path"] = ORACLE_SQL["delivery_intervals"]
+ORACLE_SQL["delivery_summary_hot_path"] = ORACLE_SQL["delivery_summary"]
