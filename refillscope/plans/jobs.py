@@ -4,14 +4,15 @@
 
 Layout under ``OUT``:
 
-- ``rejects/dispensing``, ``rejects/therapy``: rows that could not be typed, with a reason;
+- ``staged/dispensing``, ``staged/therapy``: every row typed once, as Parquet partitioned by
+  ``status=valid`` / ``status=rejected`` (rejects keep their text and a reason);
 - ``tables/summary``: the typed delivery summary (Parquet, partitioned by product slug);
 - ``summary/slug=<product>``: summary export per product (X2);
 - ``adherence/slug=<product>``: adherence export per product (X3);
 - ``adherence_all``: consolidated adherence export (X4).
 
-The typed summary is written once and read back for the adherence step, so its
-lineage (the ordered scan) is not recomputed by the later writes.
+Each extract is parsed once (the staged copy); the typed summary is written once and
+read back for the adherence step, so no lineage is recomputed by the later writes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
 from refillscope.schema import PRODUCTS, product_dimension
 from refillscope.sources import sinks
-from refillscope.sources.extracts import read_dispensing, read_therapy
+from refillscope.sources.extracts import read_dispensing, read_staged, read_therapy, stage
 
 
 def run(
@@ -40,12 +41,16 @@ def run(
     products = product_dimension(spark)
     product_keys = [p[0] for p in PRODUCTS]
 
-    dispensing = read_dispensing(spark, dispensing_path, input_format)
-    therapy = read_therapy(spark, therapy_path, input_format)
-    dispensing.rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects", "dispensing"))
-    therapy.rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects", "therapy"))
+    typed_dispensing = read_dispensing(spark, dispensing_path, input_format)
+    typed_therapy = read_therapy(spark, therapy_path, input_format)
+    staged_dispensing = os.path.join(out_dir, "staged", "dispensing")
+    staged_therapy = os.path.join(out_dir, "staged", "therapy")
+    stage(typed_dispensing, staged_dispensing)
+    stage(typed_therapy, staged_therapy)
+    dispensing = read_staged(spark, staged_dispensing, typed_dispensing)
+    therapy = read_staged(spark, staged_therapy, typed_therapy)
 
-    deliveries = adh.filter_products(dispensing.valid, product_keys)
+    deliveries = adh.filter_products(dispensing, product_keys)
     scan = iv.scan_deliveries(deliveries)
     summary = adh.attach_products(sm.delivery_summary(deliveries, scan), products.select("prod", "slug"))
     table = os.path.join(out_dir, "tables", "summary")
@@ -54,7 +59,7 @@ def run(
     written = spark.read.parquet(table)
     sinks.write_per_product(sinks.summary_presentation(written), os.path.join(out_dir, "summary"), output_format)
 
-    doses = adh.filter_products(therapy.valid, product_keys)
+    doses = adh.filter_products(therapy, product_keys)
     result = adh.adherence(written.drop("slug"), doses, products)
     export = sinks.adherence_presentation(result)
     sinks.write_per_product(export, os.path.join(out_dir, "adherence"), output_format)

@@ -19,8 +19,12 @@ from refillscope.schema import DISPENSING_HEADERS, DISPENSING_SCHEMA, THERAPY_HE
 
 
 class Typed(NamedTuple):
+    """``valid``: typed rows. ``rejects``: rows with a ``_reject_reason``. ``all``: both,
+    the reason NULL on valid rows (what ``stage`` writes in one pass)."""
+
     valid: DataFrame
     rejects: DataFrame
+    all: DataFrame
 
 
 def _text_schema(headers: dict) -> T.StructType:
@@ -101,7 +105,7 @@ def _split(typed: DataFrame, schema: T.StructType, reason: Column) -> Typed:
     with_reason = typed.withColumn("_reject_reason", reason)
     valid = with_reason.where(F.col("_reject_reason").isNull()).select(*[f.name for f in schema.fields])
     rejects = with_reason.where(F.col("_reject_reason").isNotNull())
-    return Typed(valid, rejects)
+    return Typed(valid, rejects, with_reason)
 
 
 def _reason(checks: list[tuple[Column, str]]) -> Column:
@@ -162,3 +166,22 @@ def read_dispensing(spark: SparkSession, path: str, fmt: str = "csv", options: d
 def read_therapy(spark: SparkSession, path: str, fmt: str = "csv", options: dict | None = None) -> Typed:
     """S2 + S3: the therapy extract, typed, with rejects."""
     return type_therapy(read_raw(spark, path, THERAPY_HEADERS, fmt, options))
+
+
+def stage(typed: Typed, path: str) -> None:
+    """Write every typed row once as Parquet, partitioned by ``status`` (valid / rejected).
+
+    One pass over the source text; later steps read the typed copy instead of
+    parsing the extract again.
+    """
+    status = F.when(F.col("_reject_reason").isNull(), F.lit("valid")).otherwise(F.lit("rejected"))
+    typed.all.withColumn("status", status).write.mode("overwrite").partitionBy("status").parquet(path)
+
+
+def read_staged(spark: SparkSession, path: str, typed: Typed, status: str = "valid") -> DataFrame:
+    """Rows of one status from a staged extract (the partition filter prunes the folders)."""
+    schema = T.StructType([*typed.all.schema.fields, T.StructField("status", T.StringType(), True)])
+    rows = spark.read.schema(schema).parquet(path).where(F.col("status") == F.lit(status))
+    if status == "valid":
+        return rows.select(*typed.valid.columns)
+    return rows.drop("status")

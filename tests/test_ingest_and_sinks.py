@@ -139,4 +139,6 @@ def test_full_job_on_extracts(spark, tmp_path):
     rows = {r["CODICE PAZIENTE UNIVOCO"]: r for r in adherence.collect()}
     assert rows["P2"]["ADERENZA"] == "0000"
     assert rows["P1"]["DATA PRIMA CONSEGNA"] == "01/02/2022" and rows["P1"]["DATA ULTIMA CONSEGNA"] == "31/03/2022"
-    assert spark.read.parquet(os.path.join(out, "rejects", "dispensing")).count() == 4
+    staged = spark.read.parquet(os.path.join(out, "staged", "dispensing"))
+    assert staged.where("status = 'rejected'").count() == 4
+    assert staged.where("status = 'valid'").count() == 4
