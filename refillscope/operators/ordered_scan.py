@@ -10,7 +10,8 @@ This module keeps the same semantics with bounded work per task:
 1. A pre-pass counts rows per key (partial aggregation, key columns only). Keys
    with more than ``rows_per_run`` rows are *hot*. There are at most
    ``total_rows / rows_per_run`` of them, so that table has a proven size bound
-   and is broadcast.
+   and is broadcast. It is materialised first (persisted; one small job): when no
+   key is hot, the rest of the plan is the plain scan below and nothing else.
 2. Rows of ordinary keys go straight to one window partitioned by ``(key, run=0)``:
    the same single shuffle a plain per-key window needs.
 3. Rows of hot keys are first collapsed: identical ``(key, ts, qty)`` rows become
@@ -34,6 +35,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,15 +55,15 @@ class Scan(NamedTuple):
     ``_len``, ``_has_prev``, ``_prev_ts``, ``_prev_qty``, ``_before``; hash-partitioned
     on ``(keys, _run)``.
     ``hot``: one row per hot key with ``_splits`` (its number of runs); bounded by
-    ``total_rows / rows_per_run``.
+    ``total_rows / rows_per_run``. None when no key is hot.
     ``hot_chunks``: the same chunk rows as ``chunks``, for hot keys only. Per-key
-    totals of a hot key are aggregated from it (one row per hot key); when no key is
-    hot it is empty and costs nothing.
+    totals of a hot key are aggregated from it (one row per hot key). None when no
+    key is hot.
     """
 
     chunks: DataFrame
-    hot: DataFrame
-    hot_chunks: DataFrame
+    hot: DataFrame | None
+    hot_chunks: DataFrame | None
 
 
 def _order(ts: str, qty: str) -> list[Column]:
@@ -135,24 +137,36 @@ def ordered_scan(
     """
     keys = list(keys)
     rows = df.select(*keys, ts, qty)
-    hot = hot_keys(rows, keys, ts, rows_per_run)
+    # The pre-pass is small (bounded, see ``hot_keys``) and decides the plan: it is
+    # materialised once, and when no key is hot the plan is the plain per-key scan.
+    hot = hot_keys(rows, keys, ts, rows_per_run).persist(StorageLevel.MEMORY_AND_DISK)
+    if hot.count() == 0:
+        hot.unpersist()
+        chunks = rows.select(
+            *keys,
+            ts,
+            qty,
+            F.lit(0).cast("bigint").alias("_run"),
+            F.lit(0).cast("bigint").alias("_chunk"),
+            F.lit(1).cast("bigint").alias("_len"),
+        )
+        return Scan(_pair_with_predecessor(chunks, None, keys, ts, qty), None, None)
 
     # Ordinary keys: every row is a chunk of one, all in run 0 of its key.
     ordinary = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="left_anti").select(
         *keys,
         ts,
         qty,
-        F.lit(0).alias("_run"),
+        F.lit(0).cast("bigint").alias("_run"),
         F.lit(0).cast("bigint").alias("_chunk"),
         F.lit(1).cast("bigint").alias("_len"),
     )
-    # Hot keys: time-cut into runs, identical copies collapsed and chunked. When no
-    # key is hot the broadcast side is empty and adaptive execution drops this branch.
+    # Hot keys: time-cut into runs, identical copies collapsed and chunked.
     hot_rows = rows.join(F.broadcast(hot), on=keys, how="inner")
     run = F.least(
         F.col("_splits") - 1,
         F.floor(_offset(hot_rows, ts, "_lo") * F.col("_splits") / (_offset(hot_rows, "_hi", "_lo") + 1.0)),
-    ).cast("int")
+    ).cast("bigint")
     hot_chunks = collapse_copies(hot_rows.withColumn("_run", run), [*keys, "_run"], ts, qty, chunk_rows).select(
         *keys, ts, qty, "_run", "_chunk", "_len"
     )
@@ -189,8 +203,13 @@ def _stitch_table(hot_chunks: DataFrame, keys: list[str], ts: str, qty: str) ->
     )
 
 
-def _pair_with_predecessor(chunks: DataFrame, stitch: DataFrame, keys: list[str], ts: str, qty: str) -> DataFrame:
-    """The window over ``(keys, _run)`` plus the broadcast stitch for the first chunk of a run."""
+def _pair_with_predecessor(
+    chunks: DataFrame, stitch: DataFrame | None, keys: list[str], ts: str, qty: str
+) -> DataFrame:
+    """The window over ``(keys, _run)`` plus the broadcast stitch for the first chunk of a run.
+
+    Without hot keys (``stitch`` is None) every key is one run and nothing is stitched.
+    """
     in_run = Window.partitionBy(*keys, "_run").orderBy(*_order(ts, qty))
     local = chunks.select(
         *keys,
@@ -207,7 +226,16 @@ def _pair_with_predecessor(chunks: DataFrame, stitch: DataFrame, keys: list[str]
         ).alias("_before_local"),
     )
     first_in_run = F.col("_rn") == 1
-    joined = local.join(F.broadcast(stitch), on=[*keys, "_run"], how="left")
+    if stitch is None:
+        joined = local.select(
+            "*",
+            F.lit(False).alias("_has_prev_run"),
+            F.lit(None).cast(local.schema[ts].dataType).alias("_run_prev_ts"),
+            F.lit(None).cast(local.schema[qty].dataType).alias("_run_prev_qty"),
+            F.lit(0).cast("bigint").alias("_before_runs"),
+        )
+    else:
+        joined = local.join(F.broadcast(stitch), on=[*keys, "_run"], how="left")
     has_prev_run = F.coalesce(F.col("_has_prev_run"), F.lit(False))
     return joined.select(
         *keys,

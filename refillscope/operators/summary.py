@@ -77,10 +77,14 @@ def delivery_measures(
         F.sum("_gap").over(run).alias("_run_sum"),
         (F.count("_gap").over(run) + F.sum("_zeros").over(run)).alias("_run_count"),
     )
-    joined = with_run_totals.join(F.broadcast(_hot_key_totals(scan, keys, ts, qty)), on=keys, how="left")
-    hot = F.coalesce(F.col("_is_hot"), F.lit(False))
-    total = F.when(hot, F.col("_key_sum")).otherwise(F.col("_run_sum"))
-    count = F.when(hot, F.col("_key_count")).otherwise(F.col("_run_count"))
+    if scan.hot_chunks is None:  # every key is one run: its run totals are its totals
+        joined = with_run_totals
+        total, count = F.col("_run_sum"), F.col("_run_count")
+    else:
+        joined = with_run_totals.join(F.broadcast(_hot_key_totals(scan, keys, ts, qty)), on=keys, how="left")
+        hot = F.coalesce(F.col("_is_hot"), F.lit(False))
+        total = F.when(hot, F.col("_key_sum")).otherwise(F.col("_run_sum"))
+        count = F.when(hot, F.col("_key_count")).otherwise(F.col("_run_count"))
     mean = half_even_mean(F.coalesce(total, F.lit(0.0)), count)
     threshold = mean + F.lit(grace_days)
     late = F.when(F.col("_gap") > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint") + F.when(

@@ -24,22 +24,34 @@ def test_product_filter_pushed_to_scan_and_columns_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
 
 
-def test_ordered_scan_never_windows_a_whole_key(spark):
-    """The consecutive-row window is partitioned by (key, run), never by the key alone."""
-    plan = _plan(catalog.delivery_intervals(spark, SF_SMALL))
-    specs = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?) ASC", plan)
-    row_windows = 0
-    for spec in specs:
+def _row_window_partitions(plan: str) -> list[list[str]]:
+    """Partition columns of every window ordered by the delivery time."""
+    out = []
+    for spec in re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?) ASC", plan):
         columns = [c.split("#")[0].strip() for c in spec.split(",")]
-        if columns[-1] == "dispensed_at":  # a window over delivery rows
-            row_windows += 1
-            assert columns[:-1] == ["prod", "patient_id", "_run"], spec
-        else:  # the stitch window runs over one row per hot run, ordered by run
-            assert columns == ["prod", "patient_id", "_run"], spec
-    assert row_windows >= 1, plan
+        if columns[-1] == "dispensed_at":
+            out.append(columns[:-1])
+    return out
+
+
+def test_hot_path_never_windows_a_whole_key(spark):
+    """With hot keys, the consecutive-row window is partitioned by (key, run), not the key alone."""
+    plan = _plan(catalog.delivery_intervals_hot_path(spark, SF_SMALL))
+    partitions = _row_window_partitions(plan)
+    assert partitions and all(p == ["prod", "patient_id", "_run"] for p in partitions), partitions
     assert "rangepartitioning" not in plan  # no sampled ranges: run ids are deterministic
 
 
+def test_plain_path_shuffles_delivery_rows_once(spark):
+    """Without hot keys (every key within rows_per_run) the scan is one per-key window."""
+    plan = _plan(catalog.delivery_measures(spark, SF_SMALL))
+    assert _row_window_partitions(plan) == [["prod", "patient_id"]]
+    assert "left_anti" not in plan.lower() and "LeftAnti" not in plan  # no hot-key branch at all
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    # One shuffle in total: the window's key partitioning also serves the per-key aggregate.
+    assert len(exchanges) == 1, exchanges
+
+
 def test_summary_aggregates_combine_map_side(spark):
     plan = _plan(catalog.delivery_summary(spark, SF_SMALL))
     # Every per-key aggregate is planned as partial + final around its exchange.
