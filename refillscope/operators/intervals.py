@@ -11,6 +11,7 @@ from refillscope.functions.numeric import safe_ratio
 from refillscope.functions.temporal import whole_days
 from refillscope.operators.ordered_scan import (
     DEFAULT_CHUNK_ROWS,
+    DEFAULT_MIN_RANGE_ROWS,
     DEFAULT_ROWS_PER_RUN,
     Scan,
     expand_rows,
@@ -27,9 +28,18 @@ def scan_deliveries(
     *,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
 ) -> Scan:
     """The chunked consecutive scan of deliveries, ordered by ``(ts, qty)`` per key."""
-    return ordered_scan(deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows)
+    return ordered_scan(
+        deliveries,
+        keys,
+        ts,
+        qty,
+        rows_per_run=rows_per_run,
+        chunk_rows=chunk_rows,
+        min_range_rows=min_range_rows,
+    )
 
 
 def delivery_intervals(
@@ -41,6 +51,7 @@ def delivery_intervals(
     scan: Scan | None = None,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
 ) -> DataFrame:
     """One record per delivery: ``keys, base_at, next_at, qty, gap_days, n``.
 
@@ -49,7 +60,9 @@ def delivery_intervals(
     ``qty = q[n-1]`` and ``gap_days`` = whole days between them.
     """
     keys = list(keys)
-    scan = scan or scan_deliveries(deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows)
+    scan = scan or scan_deliveries(
+        deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows, min_range_rows=min_range_rows
+    )
     rows = expand_rows(scan.chunks, keys, ts, qty)
     return rows.select(
         *keys,

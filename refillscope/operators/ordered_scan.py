@@ -16,10 +16,11 @@ This module keeps the same semantics with bounded work per task:
    the same single shuffle a plain per-key window needs.
 3. Rows of hot keys are first collapsed: identical ``(key, ts, qty)`` rows become
    one row with a count (combined map-side, before the shuffle), and a count above
-   ``chunk_rows`` is split into several chunk rows. Each hot key is then cut into
-   ``ceil(rows / rows_per_run)`` runs by time, ``run = floor(splits * (ts - min) /
-   (max - min))``: a deterministic function of the row, so any re-execution
-   assigns the same run and nothing has to be materialised.
+   ``chunk_rows`` is split into several chunk rows. The chunk rows are then
+   range-partitioned on their unique sort key into ``ceil(hot rows / rows_per_run)``
+   ranges; a key's slice of one range is a *run*. The sampled bounds follow the
+   data, so a burst is split like any other stretch of rows. This one execution
+   is persisted before anything reads the run ids (see ``_hot_runs``).
 4. Within a run, ``lag`` / ``row_number`` over ``(key, run)`` give each chunk its
    predecessor. The first chunk of a later run takes its predecessor from the tail
    of the key's previous run, through a table with one row per hot run (bounded by
@@ -38,7 +39,6 @@ from typing import NamedTuple
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A key with more rows than this is split into several runs, each scanned by its
 # own task. The hot-key table holds at most total_rows / DEFAULT_ROWS_PER_RUN rows.
@@ -47,6 +47,9 @@ DEFAULT_ROWS_PER_RUN = 2_000_000
 # Largest number of identical input rows one chunk row stands for.
 DEFAULT_CHUNK_ROWS = 50_000
 
+# Smallest range worth a task of its own when hot keys are range-partitioned.
+DEFAULT_MIN_RANGE_ROWS = 1_000
+
 
 class Scan(NamedTuple):
     """Result of ``ordered_scan``.
@@ -54,41 +57,28 @@ class Scan(NamedTuple):
     ``chunks``: one row per chunk with the keys, ``ts``, ``qty``, ``_run``, ``_chunk``,
     ``_len``, ``_has_prev``, ``_prev_ts``, ``_prev_qty``, ``_before``; hash-partitioned
     on ``(keys, _run)``.
-    ``hot``: one row per hot key with ``_splits`` (its number of runs); bounded by
-    ``total_rows / rows_per_run``. None when no key is hot.
+    ``hot``: one row per hot key with ``_rows``; bounded by ``total_rows /
+    rows_per_run``. None when no key is hot.
     ``hot_chunks``: the same chunk rows as ``chunks``, for hot keys only. Per-key
     totals of a hot key are aggregated from it (one row per hot key). None when no
     key is hot.
+    ``persisted``: frames this scan persisted (hot path only); see ``release``.
     """
 
     chunks: DataFrame
     hot: DataFrame | None
     hot_chunks: DataFrame | None
+    persisted: tuple = ()
 
 
 def _order(ts: str, qty: str) -> list[Column]:
     return [F.col(ts).asc_nulls_first(), F.col(qty).asc_nulls_first(), F.col("_chunk").asc()]
 
 
-def _offset(df: DataFrame, ts: str, origin: str) -> Column:
-    """``ts - origin`` as a number, without any time zone (micros for timestamps)."""
-    dtype = df.schema[origin].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.timestamp_diff("MICROSECOND", F.col(origin), F.col(ts)).cast("double")
-    return (F.col(ts) - F.col(origin)).cast("double")
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, rows_per_run: int) -> DataFrame:
-    """Keys with more than ``rows_per_run`` rows, with their run count and time span."""
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
-    )
-    return per_key.where(F.col("_rows") > F.lit(int(rows_per_run))).select(
-        *keys,
-        F.ceil(F.col("_rows") / F.lit(float(rows_per_run))).cast("int").alias("_splits"),
-        "_lo",
-        "_hi",
-    )
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_run: int) -> DataFrame:
+    """Keys with more than ``rows_per_run`` rows, with their row count (``_rows``)."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return per_key.where(F.col("_rows") > F.lit(int(rows_per_run)))
 
 
 def collapse_copies(df: DataFrame, keys: Sequence[str], ts: str, qty: str, chunk_rows: int) -> DataFrame:
@@ -124,6 +114,7 @@ def ordered_scan(
     *,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
 ) -> Scan:
     """Pair every row with its predecessor in ``(ts, qty)`` order within ``keys``.
 
@@ -139,7 +130,7 @@ def ordered_scan(
     rows = df.select(*keys, ts, qty)
     # The pre-pass is small (bounded, see ``hot_keys``) and decides the plan: it is
     # materialised once, and when no key is hot the plan is the plain per-key scan.
-    hot = hot_keys(rows, keys, ts, rows_per_run).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = hot_keys(rows, keys, rows_per_run).persist(StorageLevel.MEMORY_AND_DISK)
     if hot.count() == 0:
         hot.unpersist()
         chunks = rows.select(
@@ -161,23 +152,47 @@ def ordered_scan(
         F.lit(0).cast("bigint").alias("_chunk"),
         F.lit(1).cast("bigint").alias("_len"),
     )
-    # Hot keys: time-cut into runs, identical copies collapsed and chunked.
-    hot_rows = rows.join(F.broadcast(hot), on=keys, how="inner")
-    run = F.least(
-        F.col("_splits") - 1,
-        F.floor(_offset(hot_rows, ts, "_lo") * F.col("_splits") / (_offset(hot_rows, "_hi", "_lo") + 1.0)),
-    ).cast("bigint")
-    hot_chunks = collapse_copies(hot_rows.withColumn("_run", run), [*keys, "_run"], ts, qty, chunk_rows).select(
-        *keys, ts, qty, "_run", "_chunk", "_len"
-    )
+    range_rows = max(int(rows_per_run), int(min_range_rows))
+    hot_chunks = _hot_runs(rows, hot, keys, ts, qty, range_rows, chunk_rows)
     stitch = _stitch_table(hot_chunks, keys, ts, qty)
     return Scan(
         _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty),
-        hot.select(*keys, "_splits"),
+        hot,
         _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty),
+        (hot, hot_chunks),
     )
 
 
+def _hot_runs(
+    rows: DataFrame, hot: DataFrame, keys: list[str], ts: str, qty: str, range_rows: int, chunk_rows: int
+) -> DataFrame:
+    """Chunk rows of the hot keys, each with the run (range) it falls into.
+
+    Identical copies are collapsed first, so the sort key ``(keys, ts, qty, chunk)``
+    is unique and range partitioning on it splits any distribution over time into
+    ranges of about ``range_rows`` rows. The bounds come from a sample, so the
+    ranged rows are persisted and counted once: every later reader (window, stitch
+    table, hot-key totals) reads that one execution, and a lost block is recomputed
+    through the same shuffle, whose bounds are fixed, so run ids never change.
+    """
+    hot_rows = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="inner")
+    chunks = collapse_copies(hot_rows, keys, ts, qty, chunk_rows)
+    hot_total = hot.agg(F.sum("_rows")).first()[0]
+    ranges = max(1, -(-int(hot_total) // int(range_rows)))
+    ranged = chunks.repartitionByRange(
+        ranges, *[F.col(k).asc_nulls_first() for k in keys], *_order(ts, qty)
+    ).select(*keys, ts, qty, F.spark_partition_id().cast("bigint").alias("_run"), "_chunk", "_len")
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged.count()
+    return ranged
+
+
+def release(scan: Scan) -> None:
+    """Drop the persisted hot-key data of a scan once its results are written."""
+    for frame in scan.persisted:
+        frame.unpersist()
+
+
 def _stitch_table(hot_chunks: DataFrame, keys: list[str], ts: str, qty: str) -> DataFrame:
     """Hot keys only: per run, the last row and the row count of the key's earlier runs.
 

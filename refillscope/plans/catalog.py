@@ -143,7 +143,7 @@ def adherence_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scan settings that send almost every key down the hot-key path on the test tables
 # (runs, stitching, chunked copies). The queries below run the whole tables through
 # that path; their results must equal the ordinary path's.
-HOT_PATH = {"rows_per_run": 4, "chunk_rows": 2}
+HOT_PATH = {"rows_per_run": 4, "chunk_rows": 2, "min_range_rows": 200}
 
 
 def delivery_intervals_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:

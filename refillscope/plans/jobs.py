@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
+from refillscope.operators.ordered_scan import release
 from refillscope.schema import PRODUCTS, product_dimension
 from refillscope.sources import sinks
 from refillscope.sources.extracts import read_dispensing, read_staged, read_therapy, stage
@@ -55,6 +56,7 @@ def run(
     summary = adh.attach_products(sm.delivery_summary(deliveries, scan), products.select("prod", "slug"))
     table = os.path.join(out_dir, "tables", "summary")
     summary.write.mode("overwrite").partitionBy("slug").parquet(table)
+    release(scan)  # later steps read the written table
 
     written = spark.read.parquet(table)
     sinks.write_per_product(sinks.summary_presentation(written), os.path.join(out_dir, "summary"), output_format)

@@ -18,7 +18,7 @@ from refillscope.schema import DISPENSING_SCHEMA, THERAPY_SCHEMA, product_dimens
 PROD = 1480022
 OTHER = 1470395
 
-PATHS = {"ordinary": {}, "hot": {"rows_per_run": 1, "chunk_rows": 1}}
+PATHS = {"ordinary": {}, "hot": {"rows_per_run": 1, "chunk_rows": 1, "min_range_rows": 1}}
 
 
 def d(text):
