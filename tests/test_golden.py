@@ -179,3 +179,17 @@ def test_empty_product_keeps_schema(spark, frames):
     assert result.count() == 0
     assert list(result.columns[:16]) == list(adh.ADHERENCE_COLUMNS)
     assert iv.delivery_intervals(none).count() == 0
+
+
+def test_union_of_per_product_results_equals_joint_result(frames):
+    """Computing each product on its own and unioning gives the consolidated result."""
+    disp, ther, products = frames
+
+    def adherence_of(deliveries):
+        scan = iv.scan_deliveries(deliveries)
+        return adh.adherence(sm.delivery_summary(deliveries, scan), ther, products)
+
+    joint = sorted(tuple(r) for r in adherence_of(disp).collect())
+    parts = [adherence_of(disp.where(F.col("prod") == F.lit(p))) for p in (PROD, OTHER)]
+    unioned = sorted(tuple(r) for r in adh.union_products(parts).collect())
+    assert unioned == joint and len(joint) > 0
