@@ -29,8 +29,13 @@ def scan_deliveries(
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
+    carry: Sequence[str] = (),
 ) -> Scan:
-    """The chunked consecutive scan of deliveries, ordered by ``(ts, qty)`` per key."""
+    """The chunked consecutive scan of deliveries, ordered by ``(ts, qty)`` per key.
+
+    ``carry`` names extra columns to keep on the scan rows (the delivery summary
+    carries the demographics, so it needs no second pass over the deliveries).
+    """
     return ordered_scan(
         deliveries,
         keys,
@@ -39,6 +44,7 @@ def scan_deliveries(
         rows_per_run=rows_per_run,
         chunk_rows=chunk_rows,
         min_range_rows=min_range_rows,
+        carry=carry,
     )
 
 

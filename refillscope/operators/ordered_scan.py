@@ -63,12 +63,15 @@ class Scan(NamedTuple):
     totals of a hot key are aggregated from it (one row per hot key). None when no
     key is hot.
     ``persisted``: frames this scan persisted (hot path only); see ``release``.
+    ``carry``: extra columns carried on every chunk row (identical copies keep the
+    greatest combination of them, compared in order).
     """
 
     chunks: DataFrame
     hot: DataFrame | None
     hot_chunks: DataFrame | None
     persisted: tuple = ()
+    carry: tuple = ()
 
 
 def _order(ts: str, qty: str) -> list[Column]:
@@ -81,24 +84,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_run: int) -> DataFrame
     return per_key.where(F.col("_rows") > F.lit(int(rows_per_run)))
 
 
-def collapse_copies(df: DataFrame, keys: Sequence[str], ts: str, qty: str, chunk_rows: int) -> DataFrame:
+def collapse_copies(
+    df: DataFrame, keys: Sequence[str], ts: str, qty: str, chunk_rows: int, carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per chunk of identical ``(keys, ts, qty)`` rows, with ``_chunk`` and ``_len``.
 
     Extra columns that are functions of the grouping (such as ``_run``) may be
-    included in ``keys``.
+    included in ``keys``. ``carry`` columns keep, per group, their greatest
+    combination (a ``max(struct)``; the group shares one ``ts``).
     """
-    counted = df.groupBy(*keys, ts, qty).agg(F.count(F.lit(1)).alias("_cnt"))
+    carried = [F.max(F.struct(*[F.col(c) for c in carry])).alias("_carry")] if carry else []
+    counted = df.groupBy(*keys, ts, qty).agg(F.count(F.lit(1)).alias("_cnt"), *carried)
     last_chunk = F.expr(f"(_cnt - 1) div {int(chunk_rows)}")
     return counted.select(
         *keys,
         ts,
         qty,
         "_cnt",
+        *[F.col(f"_carry.{c}").alias(c) for c in carry],
         F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("_chunk"),
     ).select(
         *keys,
         ts,
         qty,
+        *carry,
         "_chunk",
         F.least(F.lit(int(chunk_rows)).cast("bigint"), F.col("_cnt") - F.col("_chunk") * int(chunk_rows)).alias(
             "_len"
@@ -115,6 +124,7 @@ def ordered_scan(
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
+    carry: Sequence[str] = (),
 ) -> Scan:
     """Pair every row with its predecessor in ``(ts, qty)`` order within ``keys``.
 
@@ -126,8 +136,8 @@ def ordered_scan(
     - ``_prev_ts`` / ``_prev_qty``: that preceding row's values,
     - ``_before``: number of input rows of the key before the chunk.
     """
-    keys = list(keys)
-    rows = df.select(*keys, ts, qty)
+    keys, carry = list(keys), tuple(carry)
+    rows = df.select(*keys, ts, qty, *carry)
     # The pre-pass is small (bounded, see ``hot_keys``) and decides the plan: it is
     # materialised once, and when no key is hot the plan is the plain per-key scan.
     hot = hot_keys(rows, keys, rows_per_run).persist(StorageLevel.MEMORY_AND_DISK)
@@ -137,34 +147,44 @@ def ordered_scan(
             *keys,
             ts,
             qty,
+            *carry,
             F.lit(0).cast("bigint").alias("_run"),
             F.lit(0).cast("bigint").alias("_chunk"),
             F.lit(1).cast("bigint").alias("_len"),
         )
-        return Scan(_pair_with_predecessor(chunks, None, keys, ts, qty), None, None)
+        return Scan(_pair_with_predecessor(chunks, None, keys, ts, qty, carry), None, None, (), carry)
 
     # Ordinary keys: every row is a chunk of one, all in run 0 of its key.
     ordinary = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="left_anti").select(
         *keys,
         ts,
         qty,
+        *carry,
         F.lit(0).cast("bigint").alias("_run"),
         F.lit(0).cast("bigint").alias("_chunk"),
         F.lit(1).cast("bigint").alias("_len"),
     )
     range_rows = max(int(rows_per_run), int(min_range_rows))
-    hot_chunks = _hot_runs(rows, hot, keys, ts, qty, range_rows, chunk_rows)
+    hot_chunks = _hot_runs(rows, hot, keys, ts, qty, range_rows, chunk_rows, carry)
     stitch = _stitch_table(hot_chunks, keys, ts, qty)
     return Scan(
-        _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty),
+        _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty, carry),
         hot,
-        _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty),
+        _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty, carry),
         (hot, hot_chunks),
+        carry,
     )
 
 
 def _hot_runs(
-    rows: DataFrame, hot: DataFrame, keys: list[str], ts: str, qty: str, range_rows: int, chunk_rows: int
+    rows: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    ts: str,
+    qty: str,
+    range_rows: int,
+    chunk_rows: int,
+    carry: tuple = (),
 ) -> DataFrame:
     """Chunk rows of the hot keys, each with the run (range) it falls into.
 
@@ -176,12 +196,12 @@ def _hot_runs(
     through the same shuffle, whose bounds are fixed, so run ids never change.
     """
     hot_rows = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="inner")
-    chunks = collapse_copies(hot_rows, keys, ts, qty, chunk_rows)
+    chunks = collapse_copies(hot_rows, keys, ts, qty, chunk_rows, carry)
     hot_total = hot.agg(F.sum("_rows")).first()[0]
     ranges = max(1, -(-int(hot_total) // int(range_rows)))
     ranged = chunks.repartitionByRange(
         ranges, *[F.col(k).asc_nulls_first() for k in keys], *_order(ts, qty)
-    ).select(*keys, ts, qty, F.spark_partition_id().cast("bigint").alias("_run"), "_chunk", "_len")
+    ).select(*keys, ts, qty, *carry, F.spark_partition_id().cast("bigint").alias("_run"), "_chunk", "_len")
     ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     ranged.count()
     return ranged
@@ -219,7 +239,7 @@ def _stitch_table(hot_chunks: DataFrame, keys: list[str], ts: str, qty: str) ->
 
 
 def _pair_with_predecessor(
-    chunks: DataFrame, stitch: DataFrame | None, keys: list[str], ts: str, qty: str
+    chunks: DataFrame, stitch: DataFrame | None, keys: list[str], ts: str, qty: str, carry: tuple = ()
 ) -> DataFrame:
     """The window over ``(keys, _run)`` plus the broadcast stitch for the first chunk of a run.
 
@@ -231,6 +251,7 @@ def _pair_with_predecessor(
         "_run",
         ts,
         qty,
+        *carry,
         "_chunk",
         "_len",
         F.row_number().over(in_run).alias("_rn"),
@@ -256,6 +277,7 @@ def _pair_with_predecessor(
         *keys,
         ts,
         qty,
+        *carry,
         "_run",
         "_chunk",
         "_len",

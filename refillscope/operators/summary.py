@@ -63,6 +63,9 @@ def delivery_measures(
 ) -> DataFrame:
     """Per key: ``first_at, last_at, mean_days, deliveries, late``.
 
+    Columns the scan carries (``scan.carry``) come out too, taken from the latest
+    delivery (ties: greatest values), as in ``demographics_one_row``.
+
     The mean is needed before the late count, so each chunk must see its key's
     totals. An ordinary key is entirely inside its ``(key, run 0)`` window partition,
     so a window sum over ``(key, run)`` gives them in the same stage as the scan. A
@@ -90,8 +93,12 @@ def delivery_measures(
     late = F.when(F.col("_gap") > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint") + F.when(
         F.lit(0) > threshold, F.col("_zeros")
     ).otherwise(F.lit(0).cast("bigint"))
-    return (
-        joined.select(*keys, ts, "_len", mean.alias("_mean"), late.alias("_late"))
+    carried = list(scan.carry)
+    latest = (
+        [F.max(F.struct(F.col(ts).alias("_ts"), *[F.col(c) for c in carried])).alias("_latest")] if carried else []
+    )
+    measures = (
+        joined.select(*keys, ts, *carried, "_len", mean.alias("_mean"), late.alias("_late"))
         .groupBy(*keys)
         .agg(
             F.min(ts).alias("first_at"),
@@ -99,8 +106,12 @@ def delivery_measures(
             F.max("_mean").alias("mean_days"),
             F.sum("_len").alias("deliveries"),
             F.sum("_late").alias("late"),
+            *latest,
         )
     )
+    if not carried:
+        return measures
+    return measures.select("*", *[F.col(f"_latest.{c}").alias(c) for c in carried]).drop("_latest")
 
 
 def gap_statistics(scan: Scan, keys: Sequence[str] = CANONICAL_KEYS, ts: str = "dispensed_at", qty: str = "qty"):
@@ -176,8 +187,16 @@ def delivery_summary(
     qty: str = "qty",
     grace_days: int = DEFAULT_GRACE_DAYS,
 ) -> DataFrame:
-    """The 11-column summary per key (P4, J5, J6): demographics, dates and measures."""
+    """The 11-column summary per key (P4, J5, J6): demographics, dates and measures.
+
+    When the scan carries the demographic columns (``scan_deliveries(...,
+    carry=DEMOGRAPHIC_COLUMNS)``) they come out of the measures aggregate itself (A5
+    folded in: no second pass over the deliveries); otherwise they are aggregated
+    separately and joined.
+    """
     keys = list(keys)
     measures = delivery_measures(scan, keys, ts, qty, grace_days)
+    if set(DEMOGRAPHIC_COLUMNS) <= set(scan.carry):
+        return measures.select(*keys, *SUMMARY_COLUMNS)
     people = demographics_one_row(deliveries, keys, ts)
     return people.join(measures, on=keys, how="inner").select(*keys, *SUMMARY_COLUMNS)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
+from refillscope.schema import DEMOGRAPHIC_COLUMNS
 from refillscope.sources import sinks
 from refillscope.sources.testtables import (
     TEST_PRODUCT_TYPES,
@@ -94,8 +95,9 @@ def demographics_one_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 + J5 + J6: the 11-column delivery summary per key."""
-    deliveries, scan = _scan(spark, sf_dir)
+    """P4 + J5 + J6 + A5: the 11-column delivery summary per key (demographics carried by the scan)."""
+    deliveries = product_filter(spark, sf_dir)
+    scan = iv.scan_deliveries(deliveries, KEYS, carry=DEMOGRAPHIC_COLUMNS, **SCAN_OPTIONS)
     return sm.delivery_summary(deliveries, scan, KEYS)
 
 
@@ -154,7 +156,8 @@ def delivery_intervals_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery_summary_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``delivery_summary`` with every key of more than 4 deliveries split into runs."""
     deliveries = product_filter(spark, sf_dir)
-    return sm.delivery_summary(deliveries, iv.scan_deliveries(deliveries, KEYS, **HOT_PATH), KEYS)
+    scan = iv.scan_deliveries(deliveries, KEYS, carry=DEMOGRAPHIC_COLUMNS, **HOT_PATH)
+    return sm.delivery_summary(deliveries, scan, KEYS)
 
 
 def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:

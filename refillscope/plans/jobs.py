@@ -26,7 +26,7 @@ from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
 from refillscope.operators.ordered_scan import release
-from refillscope.schema import PRODUCTS, product_dimension
+from refillscope.schema import DEMOGRAPHIC_COLUMNS, PRODUCTS, product_dimension
 from refillscope.sources import sinks
 from refillscope.sources.extracts import read_dispensing, read_staged, read_therapy, stage
 
@@ -52,7 +52,7 @@ def run(
     therapy = read_staged(spark, staged_therapy, typed_therapy)
 
     deliveries = adh.filter_products(dispensing, product_keys)
-    scan = iv.scan_deliveries(deliveries)
+    scan = iv.scan_deliveries(deliveries, carry=DEMOGRAPHIC_COLUMNS)
     summary = adh.attach_products(sm.delivery_summary(deliveries, scan), products.select("prod", "slug"))
     table = os.path.join(out_dir, "tables", "summary")
     summary.write.mode("overwrite").partitionBy("slug").parquet(table)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
-from refillscope.schema import DISPENSING_SCHEMA, THERAPY_SCHEMA, product_dimension
+from refillscope.schema import DEMOGRAPHIC_COLUMNS, DISPENSING_SCHEMA, THERAPY_SCHEMA, product_dimension
 
 PROD = 1480022
 OTHER = 1470395
@@ -133,10 +133,11 @@ def test_intervals_and_normalised_days(frames, path):
     assert first["next_at"] is None and first["gap_days"] == 0 and first["qty"] == 1.0
 
 
+@pytest.mark.parametrize("carry", [(), DEMOGRAPHIC_COLUMNS])
 @pytest.mark.parametrize("path", list(PATHS))
-def test_summary_measures(frames, path):
+def test_summary_measures(frames, path, carry):
     disp, _, _ = frames
-    scan = iv.scan_deliveries(disp, **PATHS[path])
+    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path])
     summary = _by_patient(sm.delivery_summary(disp, scan).collect())
     for patient, (_, mean, n, late, *_rest) in EXPECTED.items():
         row = summary[patient]
@@ -148,10 +149,11 @@ def test_summary_measures(frames, path):
     assert (other["A"]["mean_days"], other["A"]["deliveries"]) == (5, 2)
 
 
+@pytest.mark.parametrize("carry", [(), DEMOGRAPHIC_COLUMNS])
 @pytest.mark.parametrize("path", list(PATHS))
-def test_adherence(frames, path):
+def test_adherence(frames, path, carry):
     disp, ther, products = frames
-    scan = iv.scan_deliveries(disp, **PATHS[path])
+    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path])
     result = adh.adherence(sm.delivery_summary(disp, scan), ther, products)
     rows = _by_patient(result.collect())
     for patient, (*_, num, den, pct) in EXPECTED.items():

@@ -58,3 +58,12 @@ def test_summary_aggregates_combine_map_side(spark):
     # Every per-key aggregate is planned as partial + final around its exchange.
     assert plan.count("partial_") >= 3
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_adherence_uses_two_hash_exchanges(spark):
+    """SURVEY section 5: adherence shuffles once per extract; everything else is broadcast
+    or reuses the key partitioning (demographics ride along the scan's window)."""
+    plan = _plan(catalog.adherence_consolidated(spark, SF_SMALL))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(exchanges) <= 2, exchanges
+    assert not any(node in plan for node in PYTHON_NODES)
