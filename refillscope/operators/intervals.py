@@ -69,7 +69,7 @@ def delivery_intervals(
     scan = scan or scan_deliveries(
         deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows, min_range_rows=min_range_rows
     )
-    rows = expand_rows(scan.chunks, keys, ts, qty)
+    rows = expand_rows(scan.chunks, keys, ts, qty, spread=scan.hot is not None)
     return rows.select(
         *keys,
         F.col("base_ts").alias("base_at"),

@@ -288,7 +288,7 @@ def _pair_with_predecessor(
     )
 
 
-def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str) -> DataFrame:
+def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str, spread: bool = True) -> DataFrame:
     """One output row per input row from a chunked scan (the interval records of W1).
 
     Within a chunk all rows are identical copies: the first takes the chunk's
@@ -296,12 +296,13 @@ def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str) -> Data
     Columns: keys, ``base_ts``, ``next_ts``, ``base_qty``, ``_row_has_prev`` and
     ``n`` (1-based position within the key).
 
-    The chunks of one large copy group all sit in one run, so the chunk rows are
-    first rebalanced on their unique sort key: every chunk (at most ``chunk_rows``
-    rows once expanded) is expanded by whichever task receives it.
+    The chunks of one large copy group all sit in one run, so with ``spread`` the
+    chunk rows are first rebalanced on their unique sort key: every chunk (at most
+    ``chunk_rows`` rows once expanded) is expanded by whichever task receives it.
+    Without hot keys every chunk is a single row and no rebalance is needed.
     """
     keys = list(keys)
-    spread = scan.hint("rebalance", *keys, ts, qty, "_chunk")
+    spread = scan.hint("rebalance", *keys, ts, qty, "_chunk") if spread else scan
     pos = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_len"))).alias("_pos")
     rows = spread.select(*keys, ts, qty, "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before", pos)
     first_copy = F.col("_pos") == 1
