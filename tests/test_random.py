@@ -1,8 +1,9 @@
 """Randomised deliveries against a plain-Python restatement of the definitions.
 
 Hypothesis draws small delivery sets with same-day ties, sub-day times, exact
-copies, zero and missing quantities; Spark must match the brute-force results on
-both execution paths (ordinary keys, and every key hot with tiny runs and chunks).
+copies, zero and missing quantities, and conflicting demographic variants; Spark
+must match the brute-force results on both execution paths (ordinary keys, and
+every key hot with tiny runs and chunks).
 """
 
 import math
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
-from refillscope.schema import DISPENSING_SCHEMA
+from refillscope.schema import DEMOGRAPHIC_COLUMNS, DISPENSING_SCHEMA
 
 START = datetime(2022, 1, 1)
 HOT = {"rows_per_run": 1, "chunk_rows": 1, "min_range_rows": 1}
@@ -24,6 +25,8 @@ delivery = st.tuples(
     st.sampled_from(["A", "B", "C"]),
     st.integers(min_value=0, max_value=60 * 24 * 90).map(lambda m: START + timedelta(minutes=m)),
     st.sampled_from([None, 0.0, 1.0, 2.0, 3.0, 0.5]),
+    st.sampled_from([None, "F", "M"]),
+    st.sampled_from([None, "BARI", "ROMA"]),
 )
 deliveries = st.lists(delivery, min_size=1, max_size=30).flatmap(
     # repeat some rows to create exact copies
@@ -31,9 +34,23 @@ deliveries = st.lists(delivery, min_size=1, max_size=30).flatmap(
 )
 
 
+def _nulls_first(value):
+    return (0,) if value is None else (1, value)
+
+
+def _latest_demographics(rows):
+    """Per key: (sex, residence_town) of the latest delivery; ties to the greatest, NULL smallest."""
+    best = {}
+    for prod, patient, ts, _, sex, town in rows:
+        rank = (ts, _nulls_first(sex), _nulls_first(town))
+        if (prod, patient) not in best or rank > best[(prod, patient)][0]:
+            best[(prod, patient)] = (rank, (sex, town))
+    return {k: v[1] for k, v in best.items()}
+
+
 def _brute(rows):
     by_key = defaultdict(list)
-    for prod, patient, ts, qty in rows:
+    for prod, patient, ts, qty, *_ in rows:
         by_key[(prod, patient)].append((ts, qty))
     intervals, measures = [], {}
     for key, items in by_key.items():
@@ -55,7 +72,7 @@ def _brute(rows):
 
 
 def _frame(spark, rows):
-    full = [(patient, prod, ts, qty, None, None, None, None, None) for prod, patient, ts, qty in rows]
+    full = [(patient, prod, ts, qty, sex, None, None, town, None) for prod, patient, ts, qty, sex, town in rows]
     return spark.createDataFrame(full, DISPENSING_SCHEMA)
 
 
@@ -73,3 +90,7 @@ def test_random_deliveries_match_brute_force(spark, rows):
             for r in sm.delivery_measures(scan).collect()
         }
         assert measures == want_measures, options
+        carried = iv.scan_deliveries(df, carry=DEMOGRAPHIC_COLUMNS, **options)
+        summary = sm.delivery_summary(df, carried).collect()
+        people = {(r["prod"], r["patient_id"]): (r["sex"], r["residence_town"]) for r in summary}
+        assert people == _latest_demographics(rows), options
