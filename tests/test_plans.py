@@ -12,10 +12,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_python_in_any_query(spark):
+def test_no_python_and_no_cross_join_in_any_query(spark):
     for name, query in catalog.QUERIES.items():
         plan = _plan(query(spark, SF_SMALL))
         assert not any(node in plan for node in PYTHON_NODES), name
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_product_filter_pushed_to_scan_and_columns_pruned(spark):
