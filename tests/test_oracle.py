@@ -21,8 +21,9 @@ def _assert_all_match(report):
 def test_every_query_matches_oracle(spark):
     from __spark_entry__ import oracle_sql, queries
 
-    assert set(oracle_sql()) == set(queries())
-    _assert_all_match(compare(spark, SF_SMALL, verbose=False))
+    names = list(catalog.QUERIES)
+    assert set(names) <= set(oracle_sql()) & set(queries())
+    _assert_all_match(compare(spark, SF_SMALL, names, verbose=False))
 
 
 @pytest.mark.parametrize(
