@@ -217,31 +217,34 @@ def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(_LINKS, a[a != b], other=b[a != b])
 
 
-def _member_sets(bitmap, width: int):
+def _members(bitmap):
+    """Rows whose id is in the bitmap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             found = in_bitmap(bitmap.value, ids) & np.asarray(batch.column("doc_id").is_valid())
-            batch = batch.filter(pa.array(found))
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                values, bounds = _document_sets(part, width)
-                sets = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                pairs = np.array([digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
-                columns = [part.column("doc_id").cast(pa.int64()), *(pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1))]
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "hi", "lo", "elements"])
+            yield batch.filter(pa.array(found))
 
     return run
 
 
-def _verify(threshold: Fraction):
+def _verify(width: int, threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, low, high), pieces in sj.runs_of(batches, ("family", "low", "high")):
-            table = pa.Table.from_batches(pieces)
-            ids = table.column("node").to_numpy()
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
-            found = sj.similar_pairs(sets, table.column("block").to_numpy(), low, high, threshold.numerator, threshold.denominator)
+            ids, block, sets = [], [], []
+            for piece in pieces:
+                # Texts are smaller than their sets on the way; rows of one id are told apart by their set.
+                values, bounds = _document_sets(piece, width)
+                wanted = zip(piece.column("hi").to_pylist(), piece.column("lo").to_pylist(), strict=True)
+                for k, pair in enumerate(wanted):
+                    own = values[bounds[k] : bounds[k + 1]]
+                    if digest(own) == pair:
+                        ids.append(piece.column("node")[k].as_py())
+                        block.append(piece.column("block")[k].as_py())
+                        sets.append(own)
+            ids = np.array(ids, dtype=np.int64)
+            found = sj.similar_pairs(sets, np.array(block), low, high, threshold.numerator, threshold.denominator)
             # A spanning forest has the same components as all links of the block pair.
             root = list(range(len(ids)))
 
@@ -292,10 +295,9 @@ def jaccard_components(
     twins = members.join(reps.withColumnRenamed("node", "rep"), ["family", "n", "hi", "lo"]).where("node <> rep")
     dealt = sj.blocks(reps)
     bitmap = membership_bitmap(dealt, "node")
-    sets = texts.mapInArrow(_member_sets(bitmap, width), "doc_id long, hi long, lo long, elements binary")
-    sets = dealt.join(sets.withColumnRenamed("doc_id", "node"), ["node", "hi", "lo"])
-    pairs = sj.block_pairs(sets.select("family", "node", "block", "blocks", "elements"))
-    links = pairs.mapInArrow(_verify(threshold), "a long, b long")
+    likely = texts.mapInArrow(_members(bitmap), "doc_id long, text string").withColumnRenamed("doc_id", "node")
+    pairs = sj.block_pairs(dealt.join(likely, "node").select("family", "node", "block", "blocks", "hi", "lo", "text"))
+    links = pairs.mapInArrow(_verify(width, threshold), "a long, b long")
     links = links.unionByName(twins.select(F.col("node").alias("a"), F.col("rep").alias("b")))
     component = materialise(connected_components(links), "partenum-components")
 

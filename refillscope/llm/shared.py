@@ -82,6 +82,15 @@ def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether each ``u`` has a single edge ``(u, v)`` and no ``v`` has one of its own."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    ends = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return ends.where("out > 1 or (out = 1 and into = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every id in an undirected edge list ``(a, b)`` of BIGINTs.
 
@@ -96,17 +105,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return materialise(pairs.groupBy("u").agg(F.min("v").alias("low")), "components-low")
 
     stars = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    stars, before = materialise(stars, "components"), None
-    while True:
-        mark = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
-            break
-        before = mark
-        both = stars.select("u", "v").unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    stars = materialise(stars, "components")
+    while not _is_star_forest(stars):
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = smallest(both).select("u", F.least("u", "low").alias("low"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         large = materialise(large, "components-large")
-        small = large.join(smallest(large), "u")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("low")), "u")
         stars = small.select("u", F.col("low").alias("v")).unionByName(
             small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         )
