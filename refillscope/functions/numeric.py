@@ -22,8 +22,9 @@ def usable_quantity(c) -> Column:
 
 
 def safe_ratio(numerator, denominator) -> Column:
-    """``numerator / denominator`` as DOUBLE, NULL when the denominator is 0 or NULL."""
-    return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
+    """``numerator / denominator`` as DOUBLE, NULL when the denominator is 0 or either is NULL or NaN."""
+    top, bottom = (_col(c).cast("double") for c in (numerator, denominator))
+    return F.try_divide(F.nanvl(top, F.lit(None).cast("double")), F.nanvl(bottom, F.lit(None).cast("double")))
 
 
 def half_even_mean(total, count) -> Column:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from refillscope.schema import EXPORT_DATE_FORMAT
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -15,38 +13,51 @@ def _col(c) -> Column:
 def whole_days(start, end) -> Column:
     """Whole 24-hour spans from ``start`` to ``end`` (a timedelta's ``.days`` for end >= start).
 
-    ``timestampdiff(DAY)`` counts elapsed days, so 23:00 to 01:00 two calendar days
-    later is 1, where ``datediff`` would count 2 midnights.
+    Counts elapsed days of 24 hours on the wall clock, so 23:00 to 01:00 two calendar days
+    later is 1, where ``datediff`` would count 2 midnights. The two values are subtracted as
+    TIMESTAMP_NTZ: no time zone is involved, and days on which clocks change have 24 hours.
     """
-    return F.timestamp_diff("DAY", _col(start), _col(end)).cast("bigint")
+    elapsed = _col(end).cast("timestamp_ntz") - _col(start).cast("timestamp_ntz")
+    return F.extract(F.lit("DAY"), elapsed).cast("bigint")
+
 
+_TIME = r"(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,6})?))?)?"
+_DAY_FIRST = rf"^(\d{{1,2}})([/.-])(\d{{1,2}})\2(\d{{4}}|\d{{2}}){_TIME}$"
+_ISO = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}$"
 
-_DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d+)?))?)?$"
+# Two-digit years from here on are in the 1900s, those before in the 2000s.
+CENTURY_PIVOT = 69
 
 
 def parse_day_first(c) -> Column:
-    """Parse day-first text (``01/02/2022``, ``1/2/2022``, optional ``H:m[:s]``) to TIMESTAMP_NTZ.
+    """Parse day-first text (``01/02/2022``, ``1-2-2022``, ``01.02.22``, optional ``H:m[:s]``) to TIMESTAMP_NTZ.
 
-    ISO text (``2022-02-01[ 10:00:00]``) is accepted too. Unparseable text or an
-    impossible date gives NULL, so the ingest layer can route the row to the
-    rejects. No time zone is involved: the wall-clock value is kept as written.
+    ISO text (``2022-02-01[ 10:00:00]``) is accepted too. Unparseable text, a bare number or
+    an impossible date gives NULL, so the ingest layer can route the row to the rejects. No
+    time zone is involved: the wall-clock value is kept as written.
     """
     text = F.trim(_col(c).cast("string"))
 
-    def part(i: int) -> Column:
-        return F.nullif(F.regexp_extract(text, _DAY_FIRST, i), F.lit(""))
+    def moment(pattern: str, year: int, month: int, day: int, clock: int) -> Column:
+        def part(i: int) -> Column:
+            return F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
+
+        years = part(year).cast("int")
+        century = F.when(years < CENTURY_PIVOT, 2000).otherwise(1900)
+        return F.try_make_timestamp_ntz(
+            years=F.when(F.length(part(year)) == 2, years + century).otherwise(years),
+            months=part(month).cast("int"),
+            days=part(day).cast("int"),
+            hours=F.coalesce(part(clock).cast("int"), F.lit(0)),
+            mins=F.coalesce(part(clock + 1).cast("int"), F.lit(0)),
+            secs=F.coalesce(part(clock + 2).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
+        )
 
-    day_first = F.try_make_timestamp_ntz(
-        years=part(3).cast("int"),
-        months=part(2).cast("int"),
-        days=part(1).cast("int"),
-        hours=F.coalesce(part(4).cast("int"), F.lit(0)),
-        mins=F.coalesce(part(5).cast("int"), F.lit(0)),
-        secs=F.coalesce(part(6).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
-    )
-    return F.coalesce(day_first, text.try_cast("timestamp_ntz"))
+    return F.coalesce(moment(_DAY_FIRST, 4, 3, 1, 5), moment(_ISO, 1, 2, 3, 4))
 
 
 def format_day_first(c) -> Column:
-    """Render a date/timestamp as ``dd/MM/yyyy`` for the export files."""
-    return F.date_format(_col(c), EXPORT_DATE_FORMAT)
+    """Render a date/timestamp as ``dd/MM/yyyy`` for the export files (X1), without a time zone."""
+    day = _col(c).cast("date")
+    parts = (F.lpad(F.dayofmonth(day).cast("string"), 2, "0"), F.lpad(F.month(day).cast("string"), 2, "0"), F.lpad(F.year(day).cast("string"), 4, "0"))
+    return F.when(day.isNotNull(), F.concat_ws("/", *parts))

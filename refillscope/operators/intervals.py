@@ -11,8 +11,8 @@ from refillscope.functions.numeric import safe_ratio
 from refillscope.functions.temporal import whole_days
 from refillscope.operators.ordered_scan import (
     DEFAULT_CHUNK_ROWS,
-    DEFAULT_MIN_RANGE_ROWS,
     DEFAULT_ROWS_PER_RUN,
+    HotKeys,
     Scan,
     expand_rows,
     ordered_scan,
@@ -26,13 +26,14 @@ def scan_deliveries(
     ts: str = "dispensed_at",
     qty: str = "qty",
     *,
+    hot: HotKeys | None = None,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
     carry: Sequence[str] = (),
 ) -> Scan:
     """The chunked consecutive scan of deliveries, ordered by ``(ts, qty)`` per key.
 
+    ``hot`` holds the hot keys of the deliveries (``find_hot_keys``), None if none is hot.
     ``carry`` names extra columns to keep on the scan rows (the delivery summary
     carries the demographics, so it needs no second pass over the deliveries).
     """
@@ -41,9 +42,9 @@ def scan_deliveries(
         keys,
         ts,
         qty,
+        hot=hot,
         rows_per_run=rows_per_run,
         chunk_rows=chunk_rows,
-        min_range_rows=min_range_rows,
         carry=carry,
     )
 
@@ -55,9 +56,9 @@ def delivery_intervals(
     qty: str = "qty",
     *,
     scan: Scan | None = None,
+    hot: HotKeys | None = None,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
 ) -> DataFrame:
     """One record per delivery: ``keys, base_at, next_at, qty, gap_days, n``.
 
@@ -67,7 +68,7 @@ def delivery_intervals(
     """
     keys = list(keys)
     scan = scan or scan_deliveries(
-        deliveries, keys, ts, qty, rows_per_run=rows_per_run, chunk_rows=chunk_rows, min_range_rows=min_range_rows
+        deliveries, keys, ts, qty, hot=hot, rows_per_run=rows_per_run, chunk_rows=chunk_rows
     )
     rows = expand_rows(scan.chunks, keys, ts, qty, spread=scan.hot is not None)
     return rows.select(

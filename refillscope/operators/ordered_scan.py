@@ -7,24 +7,22 @@ task; a key holding a third of all rows would then hold a third of the job.
 
 This module keeps the same semantics with bounded work per task:
 
-1. A pre-pass counts rows per key (partial aggregation, key columns only). Keys
-   with more than ``rows_per_run`` rows are *hot*. There are at most
-   ``total_rows / rows_per_run`` of them, so that table has a proven size bound
-   and is broadcast. It is materialised first (persisted; one small job): when no
-   key is hot, the rest of the plan is the plain scan below and nothing else.
-2. Rows of ordinary keys go straight to one window partitioned by ``(key, run=0)``:
-   the same single shuffle a plain per-key window needs.
+1. ``find_hot_keys`` counts rows per key (partial aggregation, key columns only) and
+   writes the keys with more than ``rows_per_run`` rows, at most ``total_rows /
+   rows_per_run`` of them. It is one pass per input, made by the caller and handed to
+   every scan of that input; a caller that knows an upper bound of the input's rows within
+   ``rows_per_run`` needs no pass, as no key can be hot.
+2. Rows of ordinary keys go straight to one window partitioned by ``(key, run)``, the run
+   being the same for all: the single shuffle a plain per-key window needs. Without hot
+   keys this is the whole plan, and building it runs no job.
 3. Rows of hot keys are first collapsed: identical ``(key, ts, qty)`` rows become
    one row with a count (combined map-side, before the shuffle), and a count above
-   ``chunk_rows`` is split into several chunk rows. The chunk rows are then
-   range-partitioned on their unique sort key into ``ceil(hot rows / rows_per_run)``
-   ranges; a key's slice of one range is a *run*. The sampled bounds follow the
-   data, so a burst is split like any other stretch of rows. This one execution
-   is persisted before anything reads the run ids (see ``_hot_runs``).
+   ``chunk_rows`` is split into several chunk rows. Runs are cut by exact counts per day;
+   days above the budget are cut per second, then per timestamp, quantity and chunk (see
+   ``_hot_runs``). A run id is a function of the data alone, whatever is cached or lost.
 4. Within a run, ``lag`` / ``row_number`` over ``(key, run)`` give each chunk its
    predecessor. The first chunk of a later run takes its predecessor from the tail
-   of the key's previous run, through a table with one row per hot run (bounded by
-   the same argument, so broadcast).
+   of the key's previous run, through a table with one row per hot run.
 
 The result has one row per chunk (an ordinary row is a chunk of one).
 ``expand_rows`` turns it back into one row per input row; the summary operators
@@ -36,10 +34,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from refillscope.shared import materialise
+
 # A key with more rows than this is split into several runs, each scanned by its
 # own task. The hot-key table holds at most total_rows / DEFAULT_ROWS_PER_RUN rows.
 DEFAULT_ROWS_PER_RUN = 2_000_000
@@ -47,8 +46,12 @@ DEFAULT_ROWS_PER_RUN = 2_000_000
 # Largest number of identical input rows one chunk row stands for.
 DEFAULT_CHUNK_ROWS = 50_000
 
-# Smallest range worth a task of its own when hot keys are range-partitioned.
-DEFAULT_MIN_RANGE_ROWS = 1_000
+
+# A bounded table is broadcast up to so many rows, and joined by shuffle beyond.
+MAX_BROADCAST_ROWS = 1_000_000
+
+# Run id of every row of an ordinary key; hot runs have longer ones.
+_NO_RUN = "cast(array() as array<bigint>)"
 
 
 class Scan(NamedTuple):
@@ -57,12 +60,10 @@ class Scan(NamedTuple):
     ``chunks``: one row per chunk with the keys, ``ts``, ``qty``, ``_run``, ``_chunk``,
     ``_len``, ``_has_prev``, ``_prev_ts``, ``_prev_qty``, ``_before``; hash-partitioned
     on ``(keys, _run)``.
-    ``hot``: one row per hot key with ``_rows``; bounded by ``total_rows /
-    rows_per_run``. None when no key is hot.
+    ``hot``: one row per hot key with ``_rows``. None when no key is hot.
     ``hot_chunks``: the same chunk rows as ``chunks``, for hot keys only. Per-key
     totals of a hot key are aggregated from it (one row per hot key). None when no
     key is hot.
-    ``persisted``: frames this scan persisted (hot path only); see ``release``.
     ``carry``: extra columns carried on every chunk row (identical copies keep the
     greatest combination of them, compared in order).
     """
@@ -70,18 +71,47 @@ class Scan(NamedTuple):
     chunks: DataFrame
     hot: DataFrame | None
     hot_chunks: DataFrame | None
-    persisted: tuple = ()
     carry: tuple = ()
 
 
+class HotKeys(NamedTuple):
+    """Keys with more than ``rows_per_run`` rows (a written table with ``_rows``) and how many there are."""
+
+    table: DataFrame
+    count: int
+
+
 def _order(ts: str, qty: str) -> list[Column]:
     return [F.col(ts).asc_nulls_first(), F.col(qty).asc_nulls_first(), F.col("_chunk").asc()]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_run: int) -> DataFrame:
-    """Keys with more than ``rows_per_run`` rows, with their row count (``_rows``)."""
+def find_hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_run: int = DEFAULT_ROWS_PER_RUN, most_rows: int | None = None
+) -> HotKeys | None:
+    """The keys with more than ``rows_per_run`` rows; None when there are none.
+
+    ``most_rows``: an upper bound of the input's rows. Within ``rows_per_run`` nothing is
+    counted; otherwise this is one pass over the key columns.
+    """
+    if most_rows is not None and most_rows <= rows_per_run:
+        return None
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return per_key.where(F.col("_rows") > F.lit(int(rows_per_run)))
+    table = materialise(per_key.where(F.col("_rows") > F.lit(int(rows_per_run))), "hot-keys")
+    count = table.count()
+    return HotKeys(table, count) if count else None
+
+
+def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Null-safe equality of the columns of two frames."""
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(right[c])
+    return condition
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A table of a known number of rows, to be broadcast if that is small."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
 def collapse_copies(
@@ -121,16 +151,20 @@ def ordered_scan(
     ts: str,
     qty: str,
     *,
+    hot: HotKeys | None = None,
     rows_per_run: int = DEFAULT_ROWS_PER_RUN,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    min_range_rows: int = DEFAULT_MIN_RANGE_ROWS,
     carry: Sequence[str] = (),
 ) -> Scan:
     """Pair every row with its predecessor in ``(ts, qty)`` order within ``keys``.
 
+    ``hot`` comes from ``find_hot_keys`` on the same rows with the same ``rows_per_run``;
+    the rows of these keys are cut into runs of about that size.
+
     Returns a ``Scan``; its ``chunks`` frame has, per chunk of identical rows:
 
-    - ``_run``: the run of the key the chunk belongs to (0 unless the key is hot),
+    - ``_run``: the run of the key the chunk belongs to (empty unless the key is hot); runs
+      of a key sort in the order of their rows,
     - ``_len``: input rows the chunk stands for,
     - ``_has_prev``: whether an input row precedes the chunk's first row in its key,
     - ``_prev_ts`` / ``_prev_qty``: that preceding row's values,
@@ -138,86 +172,75 @@ def ordered_scan(
     """
     keys, carry = list(keys), tuple(carry)
     rows = df.select(*keys, ts, qty, *carry)
-    # The pre-pass is small (bounded, see ``hot_keys``) and decides the plan: it is
-    # materialised once, and when no key is hot the plan is the plain per-key scan.
-    hot = hot_keys(rows, keys, rows_per_run).persist(StorageLevel.MEMORY_AND_DISK)
-    if hot.count() == 0:
-        hot.unpersist()
-        chunks = rows.select(
-            *keys,
-            ts,
-            qty,
-            *carry,
-            F.lit(0).cast("bigint").alias("_run"),
-            F.lit(0).cast("bigint").alias("_chunk"),
-            F.lit(1).cast("bigint").alias("_len"),
-        )
-        return Scan(_pair_with_predecessor(chunks, None, keys, ts, qty, carry), None, None, (), carry)
 
-    # Ordinary keys: every row is a chunk of one, all in run 0 of its key.
-    ordinary = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="left_anti").select(
-        *keys,
-        ts,
-        qty,
-        *carry,
-        F.lit(0).cast("bigint").alias("_run"),
-        F.lit(0).cast("bigint").alias("_chunk"),
-        F.lit(1).cast("bigint").alias("_len"),
-    )
-    range_rows = max(int(rows_per_run), int(min_range_rows))
-    hot_chunks = _hot_runs(rows, hot, keys, ts, qty, range_rows, chunk_rows, carry)
+    def plain(own: DataFrame) -> DataFrame:
+        one = [F.lit(0).cast("bigint").alias("_chunk"), F.lit(1).cast("bigint").alias("_len")]
+        return own.select(*[own[c] for c in (*keys, ts, qty, *carry)], F.expr(_NO_RUN).alias("_run"), *one)
+
+    if hot is None:
+        return Scan(_pair_with_predecessor(plain(rows), None, keys, ts, qty, carry), None, None, carry)
+
+    table = small(hot.table.select(*keys), hot.count)
+    ordinary = plain(rows.join(table, same(rows, hot.table, keys), "left_anti"))
+    hot_rows = rows.join(table, same(rows, hot.table, keys), "left_semi")
+    hot_chunks = _hot_runs(hot_rows, keys, ts, qty, int(rows_per_run), chunk_rows, carry)
     stitch = _stitch_table(hot_chunks, keys, ts, qty)
     return Scan(
         _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty, carry),
-        hot,
+        hot.table,
         _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty, carry),
-        (hot, hot_chunks),
         carry,
     )
 
 
 def _hot_runs(
-    rows: DataFrame,
-    hot: DataFrame,
-    keys: list[str],
-    ts: str,
-    qty: str,
-    range_rows: int,
-    chunk_rows: int,
-    carry: tuple = (),
+    hot_rows: DataFrame, keys: list[str], ts: str, qty: str, budget: int, chunk_rows: int, carry: tuple = ()
 ) -> DataFrame:
-    """Chunk rows of the hot keys, each with the run (range) it falls into.
-
-    Identical copies are collapsed first, so the sort key ``(keys, ts, qty, chunk)``
-    is unique and range partitioning on it splits any distribution over time into
-    ranges of about ``range_rows`` rows. The bounds come from a sample, so the
-    ranged rows are persisted and counted once: every later reader (window, stitch
-    table, hot-key totals) reads that one execution, and a lost block is recomputed
-    through the same shuffle, whose bounds are fixed, so run ids never change.
-    """
-    hot_rows = rows.join(F.broadcast(hot.select(*keys)), on=keys, how="inner")
-    chunks = collapse_copies(hot_rows, keys, ts, qty, chunk_rows, carry)
-    hot_total = hot.agg(F.sum("_rows")).first()[0]
-    ranges = max(1, -(-int(hot_total) // int(range_rows)))
-    ranged = chunks.repartitionByRange(
-        ranges, *[F.col(k).asc_nulls_first() for k in keys], *_order(ts, qty)
-    ).select(*keys, ts, qty, *carry, F.spark_partition_id().cast("bigint").alias("_run"), "_chunk", "_len")
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged.count()
-    return ranged
+    """Chunk rows of the hot keys, each with the run it falls into: at most ``2 * budget`` chunk rows.
 
-
-def release(scan: Scan) -> None:
-    """Drop the persisted hot-key data of a scan once its results are written."""
-    for frame in scan.persisted:
-        frame.unpersist()
+    A key's chunks are counted per day. The exact number before a day, divided by the budget,
+    numbers its run, so a run is a stretch of whole days. A day above the budget is a part of
+    its own, cut likewise per second, then per timestamp, quantity and chunk. The run id is
+    the list of these numbers, twice the quotient, plus one for a part that is cut further:
+    the ids sort as the rows do.
+    """
+    chunks = materialise(collapse_copies(hot_rows, keys, ts, qty, chunk_rows, carry), "hot-chunks")
+    columns = chunks.columns
+    second = F.make_timestamp_ntz(
+        *[part(ts) for part in (F.year, F.month, F.dayofmonth, F.hour, F.minute)], F.floor(F.second(ts)).cast("decimal(16,6)")
+    )
+    levels = [F.to_date(ts), second, F.col(ts), F.col(qty), F.col("_chunk")]
+    pending = chunks.withColumn("_part", F.expr(_NO_RUN))
+    done = None
+    for level, bucket in enumerate(levels):
+        pending = pending.withColumn("_bucket", bucket)
+        place = [*keys, "_part", "_bucket"]
+        counts = pending.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+        before = (
+            Window.partitionBy(*keys, "_part")
+            .orderBy(F.col("_bucket").asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        full = (F.col("_n") > budget) if level + 1 < len(levels) else F.lit(False)
+        ahead = F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint"))
+        number = F.lit(2) * F.floor(ahead / budget) + full.cast("bigint")
+        marks = counts.select(*place, F.concat("_part", F.array(number)).alias("_run"), full.alias("_full"))
+        marks = materialise(marks, "hot-marks")
+        cut = pending.join(marks, same(pending, marks, place)).select(
+            *[pending[c] for c in columns], marks["_run"], marks["_full"]
+        )
+        settled = cut.where(~F.col("_full")).drop("_full")
+        done = settled if done is None else done.unionByName(settled)
+        if marks.where("_full").isEmpty():
+            break
+        pending = materialise(cut.where("_full").select(*columns, F.col("_run").alias("_part")), "hot-part")
+    return done.select(*keys, ts, qty, *carry, "_run", "_chunk", "_len")
 
 
 def _stitch_table(hot_chunks: DataFrame, keys: list[str], ts: str, qty: str) -> DataFrame:
     """Hot keys only: per run, the last row and the row count of the key's earlier runs.
 
-    One row per hot run, so at most ``total_rows / rows_per_run`` rows times the
-    run count per key: bounded, and broadcast by the caller.
+    One row per hot run. Its size is left to Spark, which broadcasts it only if it is small.
     """
     tails = hot_chunks.groupBy(*keys, "_run").agg(
         F.sum("_len").alias("_run_len"),
@@ -246,6 +269,11 @@ def _pair_with_predecessor(
     Without hot keys (``stitch`` is None) every key is one run and nothing is stitched.
     """
     in_run = Window.partitionBy(*keys, "_run").orderBy(*_order(ts, qty))
+    earlier = F.coalesce(
+        F.sum("_len").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
+    )
+    if stitch is None:  # every chunk is a single row
+        earlier = (F.row_number().over(in_run) - 1).cast("bigint")
     local = chunks.select(
         *keys,
         "_run",
@@ -257,9 +285,7 @@ def _pair_with_predecessor(
         F.row_number().over(in_run).alias("_rn"),
         F.lag(ts).over(in_run).alias("_lag_ts"),
         F.lag(qty).over(in_run).alias("_lag_qty"),
-        F.coalesce(
-            F.sum("_len").over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")
-        ).alias("_before_local"),
+        earlier.alias("_before_local"),
     )
     first_in_run = F.col("_rn") == 1
     if stitch is None:
@@ -271,7 +297,10 @@ def _pair_with_predecessor(
             F.lit(0).cast("bigint").alias("_before_runs"),
         )
     else:
-        joined = local.join(F.broadcast(stitch), on=[*keys, "_run"], how="left")
+        stitch = materialise(stitch, "hot-stitch")
+        matched = local.join(stitch, same(local, stitch, [*keys, "_run"]), "left")
+        extra = ("_has_prev_run", "_run_prev_ts", "_run_prev_qty", "_before_runs")
+        joined = matched.select(*[local[c] for c in local.columns], *[stitch[c] for c in extra])
     has_prev_run = F.coalesce(F.col("_has_prev_run"), F.lit(False))
     return joined.select(
         *keys,
@@ -299,12 +328,14 @@ def expand_rows(scan: DataFrame, keys: Sequence[str], ts: str, qty: str, spread:
     The chunks of one large copy group all sit in one run, so with ``spread`` the
     chunk rows are first rebalanced on their unique sort key: every chunk (at most
     ``chunk_rows`` rows once expanded) is expanded by whichever task receives it.
-    Without hot keys every chunk is a single row and no rebalance is needed.
+    Without hot keys (``spread=False``) every chunk is a single row.
     """
     keys = list(keys)
-    spread = scan.hint("rebalance", *keys, ts, qty, "_chunk") if spread else scan
-    pos = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_len"))).alias("_pos")
-    rows = spread.select(*keys, ts, qty, "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before", pos)
+    pos = F.lit(1).cast("bigint").alias("_pos")
+    if spread:
+        scan = scan.hint("rebalance", *keys, ts, qty, "_chunk")
+        pos = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_len"))).alias("_pos")
+    rows = scan.select(*keys, ts, qty, "_len", "_has_prev", "_prev_ts", "_prev_qty", "_before", pos)
     first_copy = F.col("_pos") == 1
     has_prev = (~first_copy) | F.col("_has_prev")
     return rows.select(

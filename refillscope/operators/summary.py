@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from refillscope.functions.numeric import half_even_mean, safe_ratio, usable_quantity
 from refillscope.functions.temporal import whole_days
-from refillscope.operators.ordered_scan import Scan
+from refillscope.operators.ordered_scan import Scan, same
 from refillscope.schema import CANONICAL_KEYS, DEFAULT_GRACE_DAYS, DEMOGRAPHIC_COLUMNS
+from refillscope.shared import materialise
 
 
 def _first_copy_gap(ts: str, qty: str) -> Column:
@@ -69,7 +70,7 @@ def delivery_measures(
     The mean is needed before the late count, so each chunk must see its key's
     totals. An ordinary key is entirely inside its ``(key, run 0)`` window partition,
     so a window sum over ``(key, run)`` gives them in the same stage as the scan. A
-    hot key spans several runs; its totals come from a bounded broadcast table. One
+    hot key spans several runs; its totals come from a table with a row for each hot key. One
     aggregate then produces every measure, combining map-side.
     """
     keys = list(keys)
@@ -84,7 +85,10 @@ def delivery_measures(
         joined = with_run_totals
         total, count = F.col("_run_sum"), F.col("_run_count")
     else:
-        joined = with_run_totals.join(F.broadcast(_hot_key_totals(scan, keys, ts, qty)), on=keys, how="left")
+        totals = materialise(_hot_key_totals(scan, keys, ts, qty), "hot-totals")
+        matched = with_run_totals.join(totals, same(with_run_totals, totals, keys), "left")
+        extra = ("_key_sum", "_key_count", "_is_hot")
+        joined = matched.select(*[with_run_totals[c] for c in with_run_totals.columns], *[totals[c] for c in extra])
         hot = F.coalesce(F.col("_is_hot"), F.lit(False))
         total = F.when(hot, F.col("_key_sum")).otherwise(F.col("_run_sum"))
         count = F.when(hot, F.col("_key_count")).otherwise(F.col("_run_count"))

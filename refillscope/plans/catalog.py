@@ -10,17 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
 from refillscope.schema import DEMOGRAPHIC_COLUMNS
+from refillscope.operators.ordered_scan import DEFAULT_ROWS_PER_RUN, find_hot_keys
 from refillscope.sources import sinks
+from refillscope.sources.extracts import type_dispensing, type_therapy
 from refillscope.sources.testtables import (
     TEST_PRODUCT_TYPES,
+    dispensing_as_text,
     dispensing_from_tables,
     events_as_deliveries,
+    table,
     tables_product_dimension,
+    therapy_as_text,
     therapy_from_tables,
 )
 
@@ -31,6 +37,17 @@ KEYS = ["prod", "patient_id"]
 SCAN_OPTIONS: dict = {}
 
 
+def scan_options(spark: SparkSession, sf_dir: str, deliveries: DataFrame, rows_of: str = "lineitem") -> dict:
+    """Options of a scan of ``deliveries``, with the hot keys of its input.
+
+    No key has more rows than the table that the deliveries are lines of. Its row count comes
+    from the Parquet footers; only beyond ``rows_per_run`` are the keys themselves counted.
+    """
+    most = table(spark, sf_dir, rows_of).count()
+    rows_per_run = SCAN_OPTIONS.get("rows_per_run", DEFAULT_ROWS_PER_RUN)
+    return {**SCAN_OPTIONS, "hot": find_hot_keys(deliveries, KEYS, rows_per_run, most)}
+
+
 def dispensing_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S3: the dispensing extract in typed canonical columns."""
     return dispensing_from_tables(spark, sf_dir)
@@ -43,7 +60,8 @@ def product_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delivery_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1 + W1 + E1: one interval record per delivery."""
-    return iv.delivery_intervals(product_filter(spark, sf_dir), KEYS, **SCAN_OPTIONS)
+    deliveries = product_filter(spark, sf_dir)
+    return iv.delivery_intervals(deliveries, KEYS, **scan_options(spark, sf_dir, deliveries))
 
 
 def normalised_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +71,7 @@ def normalised_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scan(spark: SparkSession, sf_dir: str):
     deliveries = product_filter(spark, sf_dir)
-    return deliveries, iv.scan_deliveries(deliveries, KEYS, **SCAN_OPTIONS)
+    return deliveries, iv.scan_deliveries(deliveries, KEYS, **scan_options(spark, sf_dir, deliveries))
 
 
 def average_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +115,7 @@ def demographics_one_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 + J5 + J6 + A5: the 11-column delivery summary per key (demographics carried by the scan)."""
     deliveries = product_filter(spark, sf_dir)
-    scan = iv.scan_deliveries(deliveries, KEYS, carry=DEMOGRAPHIC_COLUMNS, **SCAN_OPTIONS)
+    scan = iv.scan_deliveries(deliveries, KEYS, carry=DEMOGRAPHIC_COLUMNS, **scan_options(spark, sf_dir, deliveries))
     return sm.delivery_summary(deliveries, scan, KEYS)
 
 
@@ -128,7 +146,7 @@ def adherence_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary_with_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = tables_product_dimension(spark).select("prod", "slug")
+    products = tables_product_dimension(spark).select("prod", "slug", "aic")
     return adh.attach_products(delivery_summary(spark, sf_dir), products)
 
 
@@ -142,27 +160,31 @@ def adherence_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.adherence_presentation(adherence(spark, sf_dir))
 
 
-# Scan settings that send almost every key down the hot-key path on the test tables
-# (runs, stitching, chunked copies). The queries below run the whole tables through
-# that path; their results must equal the ordinary path's.
-HOT_PATH = {"rows_per_run": 4, "chunk_rows": 2, "min_range_rows": 200}
+def dispensing_text_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S3: the valid rows of a dispensing extract of text columns, typed by the ingest layer."""
+    return type_dispensing(dispensing_as_text(spark, sf_dir)).valid
 
 
-def delivery_intervals_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``delivery_intervals`` with every key of more than 4 deliveries split into runs."""
-    return iv.delivery_intervals(product_filter(spark, sf_dir), KEYS, **HOT_PATH)
+def therapy_text_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S3: the valid rows of a therapy extract of text columns with decimal commas."""
+    return type_therapy(therapy_as_text(spark, sf_dir), decimal_comma=True).valid
 
 
-def delivery_summary_hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``delivery_summary`` with every key of more than 4 deliveries split into runs."""
-    deliveries = product_filter(spark, sf_dir)
-    scan = iv.scan_deliveries(deliveries, KEYS, carry=DEMOGRAPHIC_COLUMNS, **HOT_PATH)
-    return sm.delivery_summary(deliveries, scan, KEYS)
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows of both text extracts, with reason and original text."""
+    columns = ["raw_patient_id", "raw_prod", "raw_dispensed_at"]
+    disp = type_dispensing(dispensing_as_text(spark, sf_dir)).rejects
+    ther = type_therapy(therapy_as_text(spark, sf_dir), decimal_comma=True).rejects
+    reason = F.col("_reject_reason").alias("reason")
+    return disp.select(F.lit("dispensing").alias("extract"), reason, *columns, F.col("raw_qty").alias("raw_number")).unionByName(
+        ther.select(F.lit("therapy").alias("extract"), reason, *columns, F.col("raw_therapy_days").alias("raw_number"))
+    )
 
 
 def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + E1 on sub-day timestamps: intervals of ``events`` per (event type, user)."""
-    return iv.delivery_intervals(events_as_deliveries(spark, sf_dir), KEYS, **SCAN_OPTIONS)
+    events = events_as_deliveries(spark, sf_dir)
+    return iv.delivery_intervals(events, KEYS, **scan_options(spark, sf_dir, events, "events"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -186,6 +208,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_summary_export": delivery_summary_export,
     "adherence_export": adherence_export,
     "event_intervals": event_intervals,
-    "delivery_intervals_hot_path": delivery_intervals_hot_path,
-    "delivery_summary_hot_path": delivery_summary_hot_path,
+    "dispensing_text_typed": dispensing_text_typed,
+    "therapy_text_typed": therapy_text_typed,
+    "ingest_rejects": ingest_rejects,
 }

@@ -17,7 +17,7 @@ base AS (
            CAST(o.o_orderdate AS TIMESTAMP) AS dispensed_at,
            CAST(l.l_quantity AS DOUBLE) AS qty,
            c.c_mktsegment AS sex,
-           CAST(NULL AS DATE) AS birth_date,
+           CAST(DATE '1930-01-01' + CAST((c.c_custkey * 37) % 25000 AS INTEGER) AS VARCHAR) AS birth_date,
            c.c_name AS birth_town,
            n.n_name AS residence_town,
            p.p_brand AS health_unit
@@ -108,7 +108,7 @@ therapy AS (
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE l.l_quantity <> 7 AND p.p_type IN {_PRODUCTS}
+    WHERE p.p_type IN {_PRODUCTS}
 ),
 therapy_total AS (
     SELECT prod, patient_id, SUM(therapy_days) AS therapy_days_total
@@ -157,7 +157,7 @@ _ADHERENCE_COLUMNS = (
 _EXPORT_SUMMARY = """
     CAST(patient_id AS VARCHAR) AS "CODICE PAZIENTE UNIVOCO",
     sex AS "SESSO",
-    strftime(birth_date, '%d/%m/%Y') AS "DT_NAS",
+    birth_date AS "DT_NAS",
     birth_town AS "COMUNE NASCITA",
     residence_town AS "COMUNE_RESIDENZA",
     health_unit AS "ASL_APPARTENENZA",
@@ -167,7 +167,37 @@ _EXPORT_SUMMARY = """
     deliveries AS "NUMERO CONSEGNE TOTALI",
     late AS "NUMERO RITARDI\""""
 
+_TEXT = """
+lines AS (
+    SELECT l.l_orderkey AS k, o.o_custkey, l.l_partkey, o.o_orderdate, l.l_quantity, p.p_brand,
+           CASE WHEN l.l_orderkey % 89 = 0 THEN 'missing patient_id' WHEN l.l_orderkey % 79 = 0 THEN 'unusable prod'
+                WHEN l.l_orderkey % 97 = 0 THEN 'unusable dispensed_at' WHEN l.l_orderkey % 83 = 0 THEN 'number' END AS reason
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+),
+raw AS (
+    SELECT *, CASE WHEN k % 89 = 0 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS raw_patient_id,
+           CASE WHEN k % 79 = 0 THEN 'n/a' ELSE CAST(l_partkey AS VARCHAR) || '.0' END AS raw_prod,
+           CASE WHEN k % 97 = 0 THEN '31/02/2022' WHEN k % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+                ELSE strftime(o_orderdate, '%-d-%-m-%Y') END AS raw_dispensed_at
+    FROM lines
+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "dispensing_text_typed": _with(_TEXT)
+    + "SELECT CAST(o_custkey AS VARCHAR) AS patient_id, l_partkey AS prod, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dispensed_at, "
+    "CAST(l_quantity AS DOUBLE) AS qty, CAST(NULL AS VARCHAR) AS sex, CAST(NULL AS VARCHAR) AS birth_date, "
+    "CAST(NULL AS VARCHAR) AS birth_town, CAST(NULL AS VARCHAR) AS residence_town, p_brand AS health_unit FROM raw WHERE reason IS NULL",
+    "therapy_text_typed": _with(_TEXT)
+    + "SELECT CAST(o_custkey AS VARCHAR) AS patient_id, l_partkey AS prod, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dispensed_at, "
+    "CAST(l_quantity AS DOUBLE) / 2 AS therapy_days FROM raw WHERE reason IS NULL",
+    "ingest_rejects": _with(_TEXT)
+    + """SELECT 'dispensing' AS extract, CASE reason WHEN 'number' THEN 'unusable qty' ELSE reason END AS reason, raw_patient_id, raw_prod,
+    raw_dispensed_at, CASE WHEN k % 83 = 0 THEN '1x' ELSE CAST(CAST(l_quantity AS DOUBLE) AS VARCHAR) END AS raw_number
+    FROM raw WHERE reason IS NOT NULL
+    UNION ALL
+    SELECT 'therapy', CASE reason WHEN 'number' THEN 'unusable therapy_days' ELSE reason END, raw_patient_id, raw_prod, raw_dispensed_at,
+    CASE WHEN k % 83 = 0 THEN '1,5,5' ELSE replace(CAST(CAST(l_quantity AS DOUBLE) / 2 AS VARCHAR), '.', ',') END
+    FROM raw WHERE reason IS NOT NULL""",
     "dispensing_typed": _with(_BASE) + "SELECT * FROM base",
     "product_filter": _with(_BASE, _DISP) + "SELECT * FROM disp",
     "delivery_intervals": _with(_BASE, _DISP, _intervals("disp")) + "SELECT * FROM intervals",
@@ -195,13 +225,13 @@ ORACLE_SQL: dict[str, str] = {
     "adherence_consolidated": _with(*_SUMMARY_CHAIN, _THERAPY, _ADHERENCE)
     + f"SELECT {_ADHERENCE_COLUMNS} FROM adherence",
     "delivery_summary_export": _with(*_SUMMARY_CHAIN)
-    + f"SELECT {_EXPORT_SUMMARY}, lower(prod) AS slug FROM summary",
+    + f"SELECT {_EXPORT_SUMMARY}, prod AS \"AIC\", lower(prod) AS slug FROM summary",
     "adherence_export": _with(*_SUMMARY_CHAIN, _THERAPY, _ADHERENCE)
     + f"""SELECT CAST(prod AS VARCHAR) AS "PROD", prod_desc AS "PROD_DESC", {_EXPORT_SUMMARY},
     CASE WHEN denominator_days = 0 THEN '0000' ELSE CAST(adherence_pct AS VARCHAR) END AS "ADERENZA",
     therapy_days_total AS "NUMERATORE ADERENZA(GIORNI DI TERAPIA)",
     denominator_days AS "DENOMINATORE ADERENZA(NUM GIORNI TRA PRIMA E ULTIMA CONSEGNA)",
-    slug
+    aic AS "AIC", slug
     FROM adherence""",
     "event_intervals": """WITH
 events_d AS (
@@ -212,7 +242,3 @@ events_d AS (
     + _intervals("events_d")
     + "\nSELECT * FROM intervals",
 }
-
-# The hot-path variants compute the same results by another execution path.
-ORACLE_SQL["delivery_intervals_hot_path"] = ORACLE_SQL["delivery_intervals"]
-ORACLE_SQL["delivery_summary_hot_path"] = ORACLE_SQL["delivery_summary"]

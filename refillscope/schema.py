@@ -16,7 +16,7 @@ DISPENSING_SCHEMA = T.StructType(
         T.StructField("dispensed_at", T.TimestampNTZType(), False),
         T.StructField("qty", T.DoubleType(), True),
         T.StructField("sex", T.StringType(), True),
-        T.StructField("birth_date", T.DateType(), True),
+        T.StructField("birth_date", T.StringType(), True),
         T.StructField("birth_town", T.StringType(), True),
         T.StructField("residence_town", T.StringType(), True),
         T.StructField("health_unit", T.StringType(), True),
@@ -55,6 +55,7 @@ THERAPY_HEADERS = {
 
 # Export headers of the delivery summary and adherence files, in
 # output order, keyed by our typed column names.
+# The birth date is text that the extract's owner formats; it goes through as given.
 SUMMARY_EXPORT_HEADERS = {
     "patient_id": "CODICE PAZIENTE UNIVOCO",
     "sex": "SESSO",
@@ -68,6 +69,8 @@ SUMMARY_EXPORT_HEADERS = {
     "deliveries": "NUMERO CONSEGNE TOTALI",
     "late": "NUMERO RITARDI",
 }
+# Header of the product's AIC code, a text column of every export file.
+AIC_HEADER = "AIC"
 ADHERENCE_EXPORT_HEADERS = {
     "prod": "PROD",
     "prod_desc": "PROD_DESC",
@@ -77,8 +80,7 @@ ADHERENCE_EXPORT_HEADERS = {
     "denominator_days": "DENOMINATORE ADERENZA(NUM GIORNI TRA PRIMA E ULTIMA CONSEGNA)",
 }
 
-# Export date format and the zero-denominator sentinel.
-EXPORT_DATE_FORMAT = "dd/MM/yyyy"
+# Fixed value: the zero-denominator sentinel.
 ZERO_DENOMINATOR_SENTINEL = "0000"
 
 # The four products, as (prod, prod_desc, slug, aic). The AIC code

@@ -1,13 +1,14 @@
 """Typed readers for the dispensing and therapy extracts (S1-S3), with a reject split.
 
-Extracts arrive as CSV (or Parquet) with the source headers. They are read as text
-with an explicit schema (no inference), renamed, typed, and split into valid rows
-and rejects. A reject keeps its original text and a reason; it never reaches the
+Extracts arrive as CSV (or Parquet) with the source headers. They are read as text by
+column name (no type inference; order and further columns do not matter), renamed, typed,
+and split into valid rows and rejects. A reject keeps its original text and a reason; it never reaches the
 measures (the reference would abort or mis-sort on such rows).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refillscope.functions.temporal import parse_day_first
-from refillscope.schema import DISPENSING_HEADERS, DISPENSING_SCHEMA, THERAPY_HEADERS, THERAPY_SCHEMA
+from refillscope.schema import (
+    DEMOGRAPHIC_COLUMNS,
+    DISPENSING_HEADERS,
+    DISPENSING_SCHEMA,
+    THERAPY_HEADERS,
+    THERAPY_SCHEMA,
+)
 
 
 class Typed(NamedTuple):
@@ -27,8 +34,27 @@ class Typed(NamedTuple):
     all: DataFrame
 
 
-def _text_schema(headers: dict) -> T.StructType:
-    return T.StructType([T.StructField(h, T.StringType(), True) for h in headers])
+def csv_columns(spark: SparkSession, path: str, options: dict | None = None) -> list[str]:
+    """The header of the first CSV file under ``path``."""
+    return spark.read.options(**{"header": "true", "inferSchema": "false"} | (options or {})).csv(path).columns
+
+
+def by_name(raw: DataFrame, headers: dict) -> DataFrame:
+    """The extract's columns under our names, whatever their order; columns of other names go.
+
+    Source headers and our own names are both accepted. A missing key, date or number column
+    is an error; demographic columns may be missing.
+    """
+    found = {headers.get(c.strip(), c.strip()): c for c in raw.columns if headers.get(c.strip(), c.strip()) in headers.values()}
+    missing = [h for h, c in headers.items() if c not in found and c not in DEMOGRAPHIC_COLUMNS]
+    if missing:
+        raise ValueError(f"the extract has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    return raw.select(*[F.col(f"`{c}`").alias(name) for name, c in found.items()])
+
+
+def csv_reader_options(options: dict | None = None) -> dict:
+    """Reader options of a CSV extract: files whose header differs from the first one's are an error, never shifted."""
+    return {"header": "true", "mode": "PERMISSIVE", "enforceSchema": "false"} | (options or {})
 
 
 def read_raw(
@@ -38,21 +64,15 @@ def read_raw(
     fmt: str = "csv",
     options: dict | None = None,
 ) -> DataFrame:
-    """Read an extract with its source headers and rename to our column names.
+    """Read an extract by column name and rename to our column names.
 
-    CSV is read with an all-text schema (typing happens in ``type_*``), Parquet with
-    its own types. Headers already in our names are accepted as they are.
+    CSV is read as text (typing happens in ``type_*``), Parquet with its own types. ``options``
+    are Spark's reader options, such as ``sep`` and ``encoding``.
     """
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        opts = {"header": "true", "mode": "PERMISSIVE", "enforceSchema": "false"}
-        opts.update(options or {})
-        reader = reader.options(**opts).schema(_text_schema(headers))
-    elif options:
-        reader = reader.options(**options)
-    raw = reader.load(path)
-    renamed = [F.col(f"`{c}`").alias(headers.get(c, c)) for c in raw.columns]
-    return raw.select(*renamed)
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in csv_columns(spark, path, options)])
+        return by_name(spark.read.options(**csv_reader_options(options)).schema(schema).csv(path), headers)
+    return by_name(spark.read.format(fmt).options(**(options or {})).load(path), headers)
 
 
 def _timestamp(df: DataFrame, name: str) -> Column:
@@ -64,23 +84,24 @@ def _timestamp(df: DataFrame, name: str) -> Column:
     return parse_day_first(F.col(name))
 
 
-def _date(df: DataFrame, name: str) -> Column:
-    if name not in df.columns:
-        return F.lit(None).cast("date")
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.DateType):
-        return F.col(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(F.col(name))
-    return F.to_date(parse_day_first(F.col(name)))
-
+def _number(df: DataFrame, name: str, decimal_comma: bool) -> tuple[Column, Column]:
+    """A number as DOUBLE, and whether there is text that is none.
 
-def _double(df: DataFrame, name: str) -> Column:
-    """Numeric text or number to DOUBLE; NaN (a blank cell read by pandas) becomes NULL."""
-    value = F.col(name).cast("string").try_cast("double")
+    Blank, NaN (a blank cell read by other tools) and NULL are NULL. With ``decimal_comma``
+    text has a comma before its decimals and may have points between thousands.
+    """
     if not isinstance(df.schema[name].dataType, T.StringType):
         value = F.col(name).cast("double")
-    return F.when(~F.isnan(value), value)
+        return F.when(~F.isnan(value), value), F.lit(False)
+    text = F.nullif(F.trim(F.col(name)), F.lit(""))
+    plain = text
+    if decimal_comma:
+        shape = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+)(,\d+)?$"
+        plain = F.when(text.rlike(shape), F.translate(F.translate(text, ".", ""), ",", ".")).otherwise(
+            F.when(F.lower(text) == "nan", text)
+        )
+    value = plain.try_cast("double")
+    return F.when(~F.isnan(value), value), text.isNotNull() & value.isNull()
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -102,7 +123,7 @@ def _prod(df: DataFrame, name: str = "prod") -> Column:
 
 
 def _split(typed: DataFrame, schema: T.StructType, reason: Column) -> Typed:
-    with_reason = typed.withColumn("_reject_reason", reason)
+    with_reason = typed.withColumn("_reject_reason", reason).drop("_bad_number")
     valid = with_reason.where(F.col("_reject_reason").isNull()).select(*[f.name for f in schema.fields])
     rejects = with_reason.where(F.col("_reject_reason").isNotNull())
     return Typed(valid, rejects, with_reason)
@@ -115,57 +136,54 @@ def _reason(checks: list[tuple[Column, str]]) -> Column:
     return expr
 
 
-def type_dispensing(raw: DataFrame) -> Typed:
-    """Cast a renamed dispensing extract to ``DISPENSING_SCHEMA`` and split off rejects."""
+def _typed(raw: DataFrame, schema: T.StructType, number: str, texts: Sequence[str], decimal_comma: bool) -> Typed:
+    value, bad_number = _number(raw, number, decimal_comma)
+    kept = ("patient_id", "prod", "dispensed_at", number)
     typed = raw.select(
         _text(raw, "patient_id").alias("patient_id"),
         _prod(raw).alias("prod"),
         _timestamp(raw, "dispensed_at").alias("dispensed_at"),
-        _double(raw, "qty").alias("qty"),
-        _text(raw, "sex").alias("sex"),
-        _date(raw, "birth_date").alias("birth_date"),
-        _text(raw, "birth_town").alias("birth_town"),
-        _text(raw, "residence_town").alias("residence_town"),
-        _text(raw, "health_unit").alias("health_unit"),
-        *[F.col(c).cast("string").alias(f"raw_{c}") for c in ("patient_id", "prod", "dispensed_at")],
+        value.alias(number),
+        *[_text(raw, c).alias(c) for c in texts],
+        *[F.col(c).cast("string").alias(f"raw_{c}") for c in kept],
+        bad_number.alias("_bad_number"),
     )
     reason = _reason(
         [
             (F.col("patient_id").isNull(), "missing patient_id"),
             (F.col("prod").isNull(), "unusable prod"),
             (F.col("dispensed_at").isNull(), "unusable dispensed_at"),
+            (F.col("_bad_number"), f"unusable {number}"),
         ]
     )
-    return _split(typed, DISPENSING_SCHEMA, reason)
+    return _split(typed, schema, reason)
 
 
-def type_therapy(raw: DataFrame) -> Typed:
+def type_dispensing(raw: DataFrame, decimal_comma: bool = False) -> Typed:
+    """Cast a renamed dispensing extract to ``DISPENSING_SCHEMA`` and split off rejects.
+
+    Demographic columns, the birth date included, are text as given.
+    """
+    return _typed(raw, DISPENSING_SCHEMA, "qty", DEMOGRAPHIC_COLUMNS, decimal_comma)
+
+
+def type_therapy(raw: DataFrame, decimal_comma: bool = False) -> Typed:
     """Cast a renamed therapy extract to ``THERAPY_SCHEMA`` and split off rejects."""
-    typed = raw.select(
-        _text(raw, "patient_id").alias("patient_id"),
-        _prod(raw).alias("prod"),
-        _timestamp(raw, "dispensed_at").alias("dispensed_at"),
-        _double(raw, "therapy_days").alias("therapy_days"),
-        *[F.col(c).cast("string").alias(f"raw_{c}") for c in ("patient_id", "prod", "dispensed_at")],
-    )
-    reason = _reason(
-        [
-            (F.col("patient_id").isNull(), "missing patient_id"),
-            (F.col("prod").isNull(), "unusable prod"),
-            (F.col("dispensed_at").isNull(), "unusable dispensed_at"),
-        ]
-    )
-    return _split(typed, THERAPY_SCHEMA, reason)
+    return _typed(raw, THERAPY_SCHEMA, "therapy_days", (), decimal_comma)
 
 
-def read_dispensing(spark: SparkSession, path: str, fmt: str = "csv", options: dict | None = None) -> Typed:
+def read_dispensing(
+    spark: SparkSession, path: str, fmt: str = "csv", options: dict | None = None, decimal_comma: bool = False
+) -> Typed:
     """S1 + S3: the dispensing extract, typed, with rejects."""
-    return type_dispensing(read_raw(spark, path, DISPENSING_HEADERS, fmt, options))
+    return type_dispensing(read_raw(spark, path, DISPENSING_HEADERS, fmt, options), decimal_comma)
 
 
-def read_therapy(spark: SparkSession, path: str, fmt: str = "csv", options: dict | None = None) -> Typed:
+def read_therapy(
+    spark: SparkSession, path: str, fmt: str = "csv", options: dict | None = None, decimal_comma: bool = False
+) -> Typed:
     """S2 + S3: the therapy extract, typed, with rejects."""
-    return type_therapy(read_raw(spark, path, THERAPY_HEADERS, fmt, options))
+    return type_therapy(read_raw(spark, path, THERAPY_HEADERS, fmt, options), decimal_comma)
 
 
 def stage(typed: Typed, path: str) -> None:

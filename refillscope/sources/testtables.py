@@ -2,8 +2,8 @@
 
 ``lineitem JOIN orders JOIN part JOIN customer JOIN nation`` plays the dispensing
 extract: a part type is the product, a customer the patient, the order date the
-delivery date and the line quantity the quantity handed out. Lines with a quantity
-other than 7 form the therapy extract, with ``quantity - 1`` therapy days.
+delivery date and the line quantity the quantity handed out. The same lines form the therapy
+extract, with ``quantity - 1`` therapy days. Birth dates follow from the customer key.
 """
 
 from __future__ import annotations
@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 
 # The part types kept as the four "products" on the test tables.
 TEST_PRODUCT_TYPES = ("ECONOMY", "PROMO", "SMALL", "LARGE")
-# Fixed value: line quantity left out of the therapy extract, so that the two
-# extracts differ and some denominators become zero.
-THERAPY_SKIPPED_QUANTITY = 7.0
-
+# Customers are born from this day on, in steps that spread over the days.
+FIRST_BIRTH, BIRTH_STEP, BIRTH_DAYS = "1930-01-01", 37, 25_000
 
 # Read schemas of the columns used, as the tables store them. Declaring them skips
 # Spark's schema-inference job per read and prunes the scan to these columns.
@@ -68,7 +66,9 @@ def dispensing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("dispensed_at"),
         F.col("l_quantity").cast("double").alias("qty"),
         F.col("c_mktsegment").alias("sex"),
-        F.lit(None).cast("date").alias("birth_date"),
+        F.date_add(
+            F.lit(FIRST_BIRTH).cast("date"), ((F.col("c_custkey") * BIRTH_STEP) % BIRTH_DAYS).cast("int")
+        ).cast("string").alias("birth_date"),
         F.col("c_name").alias("birth_town"),
         F.col("n_name").alias("residence_town"),
         F.col("p_brand").alias("health_unit"),
@@ -77,8 +77,7 @@ def dispensing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def therapy_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The therapy extract in canonical columns (all part types, no product filter)."""
-    lines = _lines(spark, sf_dir).where(F.col("l_quantity") != F.lit(THERAPY_SKIPPED_QUANTITY))
-    return lines.select(
+    return _lines(spark, sf_dir).select(
         F.col("p_type").alias("prod"),
         F.col("o_custkey").alias("patient_id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("dispensed_at"),
@@ -86,6 +85,39 @@ def therapy_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Orders whose key these divide have an unusable patient, product, date or number.
+BAD_PATIENT, BAD_PROD, BAD_DATE, BAD_NUMBER = 89, 79, 97, 83
+
+
+def _bad(divisor: int):
+    return F.col("l_orderkey") % divisor == 0
+
+
+def _text_keys():
+    """Patient, product (a part) and day-first date as text; odd orders have no leading zeros."""
+    day, month, year = (part("o_orderdate").cast("string") for part in (F.dayofmonth, F.month, F.year))
+    padded = F.concat_ws("/", F.lpad(day, 2, "0"), F.lpad(month, 2, "0"), year)
+    date = F.when(F.col("l_orderkey") % 2 == 0, padded).otherwise(F.concat_ws("-", day, month, year))
+    return [
+        F.when(_bad(BAD_PATIENT), F.lit(" ")).otherwise(F.col("o_custkey").cast("string")).alias("patient_id"),
+        F.when(_bad(BAD_PROD), F.lit("n/a")).otherwise(F.concat(F.col("l_partkey").cast("string"), F.lit(".0"))).alias("prod"),
+        F.when(_bad(BAD_DATE), F.lit("31/02/2022")).otherwise(date).alias("dispensed_at"),
+    ]
+
+
+def dispensing_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as a dispensing extract of text columns, before typing; some rows are unusable."""
+    number = F.when(_bad(BAD_NUMBER), F.lit("1x")).otherwise(F.col("l_quantity").cast("string"))
+    return _lines(spark, sf_dir).select(*_text_keys(), number.alias("qty"), F.col("p_brand").alias("health_unit"))
+
+
+def therapy_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as a therapy extract of text columns, numbers with a decimal comma."""
+    number = F.regexp_replace((F.col("l_quantity") / 2).cast("string"), "[.]", ",")
+    number = F.when(_bad(BAD_NUMBER), F.lit("1,5,5")).otherwise(number)
+    return _lines(spark, sf_dir).select(*_text_keys(), number.alias("therapy_days"))
+
+
 def events_as_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the canonical delivery columns: sub-day timestamps for E1."""
     events = table(spark, sf_dir, "events")

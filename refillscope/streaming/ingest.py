@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from refillscope.schema import DISPENSING_HEADERS, THERAPY_HEADERS
-from refillscope.sources.extracts import _text_schema, type_dispensing, type_therapy
+from refillscope.sources.extracts import by_name, csv_columns, csv_reader_options, stage, type_dispensing, type_therapy
 
 _KINDS = {
     "dispensing": (DISPENSING_HEADERS, type_dispensing),
@@ -25,12 +26,19 @@ _KINDS = {
 
 
 def read_extract_stream(spark: SparkSession, source_dir: str, kind: str = "dispensing", options=None) -> DataFrame:
-    """Streaming DataFrame of new CSV extract files, renamed to our column names."""
+    """Streaming DataFrame of new CSV extract files, by column name like the batch reader.
+
+    The header is that of the files present at the start (the documented one if there are
+    none yet); a later file with another header stops the query rather than load shifted.
+    """
     headers, _ = _KINDS[kind]
-    opts = {"header": "true", "mode": "PERMISSIVE", "maxFilesPerTrigger": "1000"}
-    opts.update(options or {})
-    raw = spark.readStream.format("csv").options(**opts).schema(_text_schema(headers)).load(source_dir)
-    return raw.select(*[F.col(f"`{c}`").alias(headers[c]) for c in raw.columns])
+    try:
+        columns = csv_columns(spark, source_dir, options)
+    except AnalysisException:  # no file yet
+        columns = []
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns or headers])
+    opts = {"maxFilesPerTrigger": "1000"} | csv_reader_options(options)
+    return by_name(spark.readStream.format("csv").options(**opts).schema(schema).load(source_dir), headers)
 
 
 def start_extract_ingest(
@@ -41,23 +49,23 @@ def start_extract_ingest(
     kind: str = "dispensing",
     available_now: bool = True,
     processing_time: str = "1 minute",
+    options: dict | None = None,
+    decimal_comma: bool = False,
 ) -> StreamingQuery:
-    """Start the ingest; typed rows go to ``<output>/valid``, rejects to ``<output>/rejects``.
+    """Start the ingest; rows go to ``<output>/batch=<id>/status=valid`` and ``status=rejected``.
+
+    A micro-batch is typed and written once (``stage``).
 
     ``available_now`` processes every file present and stops (scheduled runs);
     otherwise the query keeps polling every ``processing_time``.
     """
     _, typer = _KINDS[kind]
-    valid_dir = os.path.join(output_dir, "valid")
-    rejects_dir = os.path.join(output_dir, "rejects")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = typer(batch)
-        typed.valid.write.mode("overwrite").parquet(os.path.join(valid_dir, f"batch={batch_id}"))
-        typed.rejects.write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}"))
+        stage(typer(batch, decimal_comma), os.path.join(output_dir, f"batch={batch_id}"))
 
     writer = (
-        read_extract_stream(spark, source_dir, kind)
+        read_extract_stream(spark, source_dir, kind, options)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_dir)
     )

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
+from scan_helpers import hot_options
 from refillscope.schema import DEMOGRAPHIC_COLUMNS, DISPENSING_SCHEMA, THERAPY_SCHEMA, product_dimension
 
 PROD = 1480022
 OTHER = 1470395
 
-PATHS = {"ordinary": {}, "hot": {"rows_per_run": 1, "chunk_rows": 1, "min_range_rows": 1}}
+PATHS = {"ordinary": lambda _: {}, "hot": lambda deliveries: hot_options(deliveries, 1, 1)}
 
 
 def d(text):
@@ -28,7 +29,7 @@ def d(text):
 
 
 def delivery(patient, when, qty, prod=PROD, town="ROMA", sex="F"):
-    return (patient, prod, d(when), qty, sex, date(1970, 1, 1), "NAPOLI", town, "ASL1")
+    return (patient, prod, d(when), qty, sex, "1970-01-01", "NAPOLI", town, "ASL1")
 
 
 def therapy(patient, when, days, prod=PROD):
@@ -118,7 +119,7 @@ def _by_patient(rows, prod=PROD):
 @pytest.mark.parametrize("path", list(PATHS))
 def test_intervals_and_normalised_days(frames, path):
     disp, _, _ = frames
-    rows = iv.normalised_days(iv.delivery_intervals(disp, **PATHS[path])).collect()
+    rows = iv.normalised_days(iv.delivery_intervals(disp, **PATHS[path](disp))).collect()
     got = {}
     for r in sorted(rows, key=lambda r: (r["prod"], r["patient_id"], r["n"])):
         if r["prod"] == PROD:
@@ -137,7 +138,7 @@ def test_intervals_and_normalised_days(frames, path):
 @pytest.mark.parametrize("path", list(PATHS))
 def test_summary_measures(frames, path, carry):
     disp, _, _ = frames
-    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path])
+    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path](disp))
     summary = _by_patient(sm.delivery_summary(disp, scan).collect())
     for patient, (_, mean, n, late, *_rest) in EXPECTED.items():
         row = summary[patient]
@@ -153,7 +154,7 @@ def test_summary_measures(frames, path, carry):
 @pytest.mark.parametrize("path", list(PATHS))
 def test_adherence(frames, path, carry):
     disp, ther, products = frames
-    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path])
+    scan = iv.scan_deliveries(disp, carry=carry, **PATHS[path](disp))
     result = adh.adherence(sm.delivery_summary(disp, scan), ther, products)
     rows = _by_patient(result.collect())
     for patient, (*_, num, den, pct) in EXPECTED.items():

@@ -2,8 +2,12 @@
 
 import csv
 import os
-from datetime import date, datetime
+from datetime import datetime
 
+import pytest
+
+from refillscope.functions.numeric import safe_ratio
+from refillscope.functions.temporal import format_day_first, parse_day_first, whole_days
 from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
@@ -44,7 +48,7 @@ def test_dispensing_reader_types_and_rejects(spark, tmp_path):
         ("P2", datetime(2022, 5, 5)),
     }
     p1 = valid[("P1", datetime(2022, 2, 1))]
-    assert p1["prod"] == 1480022 and p1["qty"] == 1.0 and p1["birth_date"] == date(1970, 4, 3)
+    assert p1["prod"] == 1480022 and p1["qty"] == 1.0 and p1["birth_date"] == "03/04/1970"
     assert valid[("P1", datetime(2022, 3, 31, 10, 30))]["prod"] == 1480022
     assert valid[("P2", datetime(2022, 5, 5))]["qty"] is None
     reasons = sorted(r["_reject_reason"] for r in typed.rejects.collect())
@@ -108,15 +112,15 @@ def test_presentation_and_partitioned_sinks(spark, tmp_path):
     assert {r["slug"] for r in back.collect()} == {"aimovig70", "ajovy"}
     assert back.where("`ADERENZA` = '0000'").count() == 1
 
-    # Per-product summary files carry the AIC code as data; its leading zero survives.
-    with_product = adh.attach_products(summary, products)
-    present = sinks.summary_presentation(with_product).join(
-        with_product.select("slug", "aic").distinct(), on="slug"
-    )
+    # Per-product files carry the AIC code as text; its leading zero survives.
     out2 = os.path.join(tmp_path, "summary")
-    sinks.write_per_product(present, out2)
-    codes = {r["aic"] for r in spark.read.option("header", "true").csv(out2).collect()}
-    assert codes == {"046925018", "047791013"}
+    sinks.write_per_product(sinks.summary_presentation(adh.attach_products(summary, products)), out2, slugs=["ajovy", "emgality120"])
+    back = spark.read.option("header", "true").csv(out2)
+    assert {r["AIC"] for r in back.collect()} == {"046925018", "047791013"}
+    folder = os.path.join(out2, "slug=emgality120")  # a product without a row: headers alone
+    names = [f for f in os.listdir(folder) if f.endswith(".csv")]
+    with open(os.path.join(folder, names[0])) as fh:
+        assert fh.read().strip().split(",") == [c for c in back.columns if c != "slug"]
 
     out3 = os.path.join(tmp_path, "consolidated")
     sinks.write_consolidated(export, out3)
@@ -132,7 +136,8 @@ def test_full_job_on_extracts(spark, tmp_path):
     _write_csv(disp_path, list(DISPENSING_HEADERS), DISP_ROWS)
     _write_csv(ther_path, list(THERAPY_HEADERS), [["P1", "1480022", "01/02/2022", "28"], ["P2", "1487505", "05/05/2022", "0"]])
     out = os.path.join(tmp_path, "out")
-    run(spark, disp_path, ther_path, out)
+    report = run(spark, disp_path, ther_path, out)
+    assert report["rejected"] == {"dispensing": 4, "therapy": 0}
     summary = spark.read.option("header", "true").csv(os.path.join(out, "summary"))
     assert sorted(r["NUMERO CONSEGNE TOTALI"] for r in summary.collect()) == ["1", "3"]
     adherence = spark.read.option("header", "true").csv(os.path.join(out, "adherence_all"))
@@ -142,3 +147,79 @@ def test_full_job_on_extracts(spark, tmp_path):
     staged = spark.read.parquet(os.path.join(out, "staged", "dispensing"))
     assert staged.where("status = 'rejected'").count() == 4
     assert staged.where("status = 'valid'").count() == 4
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    path = os.path.join(tmp_path, "t.csv")
+    names = ["note", "giorni di terapia reali (PDD)", "DT_EROG", "CODICE PAZIENTE UNIVOCO", "PROD"]
+    _write_csv(path, names, [["x", "28", "01/02/2022", "P1", "1480022"]])
+    row = read_therapy(spark, path).valid.collect()[0]
+    assert (row["patient_id"], row["prod"], row["therapy_days"], row["dispensed_at"]) == ("P1", 1480022, 28.0, datetime(2022, 2, 1))
+    short = os.path.join(tmp_path, "short.csv")
+    _write_csv(short, names[:4], [["x", "28", "01/02/2022", "P1"]])
+    with pytest.raises(ValueError, match="PROD"):
+        read_therapy(spark, short)
+
+
+def test_numbers_are_never_lost_silently(spark, tmp_path):
+    rows = [["P1", "1", "01/02/2022", x] for x in ("1,5", "abc", "", "nan", "2.5", "1.234,5")]
+    path = os.path.join(tmp_path, "t.csv")
+    _write_csv(path, list(THERAPY_HEADERS), rows)
+    point, comma = read_therapy(spark, path), read_therapy(spark, path, decimal_comma=True)
+    assert sorted(r["raw_therapy_days"] for r in point.rejects.collect()) == ["1,5", "1.234,5", "abc"]
+    assert {r["_reject_reason"] for r in point.rejects.collect()} == {"unusable therapy_days"}
+    assert sorted(r["raw_therapy_days"] for r in comma.rejects.collect()) == ["2.5", "abc"]
+    assert sorted(r["therapy_days"] for r in comma.valid.collect() if r["therapy_days"] is not None) == [1.5, 1234.5]
+
+
+def test_day_first_variants(spark):
+    texts = {
+        "01-02-2022": datetime(2022, 2, 1), "1.2.2022": datetime(2022, 2, 1), "01/02/22": datetime(2022, 2, 1), "01/02/70": datetime(1970, 2, 1),
+        "2022-02-01": datetime(2022, 2, 1), "2022-02-01T10:05:06.5": datetime(2022, 2, 1, 10, 5, 6, 500000),
+        "44593": None, "2022": None, "01/02-2022": None, "29/02/2023": None, "": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r["t"]: r["d"] for r in df.select("t", parse_day_first("t").alias("d")).collect()} == texts
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Rome", "America/Sao_Paulo"])
+def test_days_and_dates_do_not_depend_on_the_time_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        pairs = [
+            (datetime(2022, 3, 26, 2, 30), datetime(2022, 3, 27, 2, 30), 1),  # a missing hour in Rome
+            (datetime(2022, 3, 27, 2, 30), datetime(2022, 3, 28, 2, 0), 0),
+            (datetime(2018, 11, 3), datetime(2018, 11, 4), 1),  # a missing midnight in Sao Paulo
+            (datetime(2018, 11, 4), datetime(2018, 11, 5), 1),
+            (datetime(2022, 10, 29, 2, 30), datetime(2022, 10, 30, 2, 29), 0),
+        ]
+        df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz, want long")
+        out = df.select(whole_days("a", "b").alias("days"), "want", format_day_first("b").alias("shown"), "b").collect()
+        assert [r["days"] for r in out] == [r["want"] for r in out]
+        assert [r["shown"] for r in out] == [r["b"].strftime("%d/%m/%Y") for r in out]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(2.0, 4.0), (float("nan"), 4.0), (2.0, float("nan")), (2.0, 0.0), (None, 1.0)], "a double, b double")
+    assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [0.5, None, None, None, None]
+
+
+def test_full_job_without_any_configured_product(spark, tmp_path):
+    from refillscope.plans.jobs import run
+
+    disp_path, ther_path = os.path.join(tmp_path, "d.csv"), os.path.join(tmp_path, "t.csv")
+    with open(disp_path, "w") as fh:
+        fh.write(";".join(DISPENSING_HEADERS) + "\nP1;5;01/02/2022;1,5;F;;;;\n")
+    with open(ther_path, "w") as fh:
+        fh.write(";".join(THERAPY_HEADERS) + "\nP1;5;01/02/2022;x\n")
+    out = os.path.join(tmp_path, "out")
+    report = run(spark, disp_path, ther_path, out, options={"sep": ";"}, decimal_comma=True)
+    assert report["rejected"] == {"dispensing": 0, "therapy": 1}
+    assert sorted(f for f in os.listdir(os.path.join(out, "adherence")) if f.startswith("slug=")) == [
+        "slug=aimovig140", "slug=aimovig70", "slug=ajovy", "slug=emgality120",
+    ]
+    everything = spark.read.option("header", "true").csv(os.path.join(out, "adherence_all"))
+    assert everything.count() == 0 and "AIC" in everything.columns

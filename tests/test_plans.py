@@ -3,7 +3,9 @@
 import re
 
 from conftest import SF_SMALL
+from refillscope.operators import intervals as iv
 from refillscope.plans import catalog
+from scan_helpers import hot_options
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 
@@ -37,11 +39,12 @@ def _row_window_partitions(plan: str) -> list[list[str]]:
 
 def test_hot_path_never_windows_a_whole_key(spark):
     """With hot keys, the consecutive-row window is partitioned by (key, run), not the key alone."""
-    plan = _plan(catalog.delivery_intervals_hot_path(spark, SF_SMALL))
+    deliveries = catalog.product_filter(spark, SF_SMALL)
+    plan = _plan(iv.delivery_intervals(deliveries, catalog.KEYS, **hot_options(deliveries, 4, 2, catalog.KEYS)))
     partitions = _row_window_partitions(plan)
     assert partitions and all(p == ["prod", "patient_id", "_run"] for p in partitions), partitions
-    # Run ids come from one persisted execution of the range partitioning.
-    assert "InMemoryTableScan" in plan
+    # No answer depends on cached blocks or on where a row happens to lie.
+    assert "InMemoryTableScan" not in plan and "SPARK_PARTITION_ID" not in plan.upper()
 
 
 def test_plain_path_shuffles_delivery_rows_once(spark):
@@ -68,3 +71,16 @@ def test_adherence_uses_two_hash_exchanges(spark):
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert len(exchanges) <= 2, exchanges
     assert not any(node in plan for node in PYTHON_NODES)
+
+
+def test_ordinary_path_has_no_generate(spark):
+    assert "Generate" not in _plan(catalog.delivery_intervals(spark, SF_SMALL))
+
+
+def test_building_a_scan_runs_no_job(spark):
+    """Only finding hot keys counts rows; a scan without them is a plan and nothing else."""
+    deliveries = catalog.product_filter(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("scan", "scan")
+    iv.delivery_intervals(deliveries, catalog.KEYS, hot=None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("scan")
+    spark.sparkContext.setJobGroup("", "")

@@ -8,6 +8,7 @@ from refillscope.operators import adherence as adh
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
 from refillscope.plans import catalog
+from scan_helpers import hot_options
 from refillscope.sources.testtables import tables_product_dimension
 
 
@@ -28,11 +29,11 @@ def test_independent_of_partitioning_and_order(deliveries):
     for parts, seed in ((4, 1), (16, 2)):
         shuffled = deliveries.orderBy(F.rand(seed)).repartition(parts)
         assert _summary_rows(shuffled) == reference
-    assert _summary_rows(deliveries.repartition(7), rows_per_run=3, chunk_rows=2, min_range_rows=50) == reference
+    assert _summary_rows(deliveries.repartition(7), **hot_options(deliveries, 3, 2, catalog.KEYS)) == reference
 
 
 def test_summary_invariants(spark, deliveries):
-    scan = iv.scan_deliveries(deliveries, catalog.KEYS, rows_per_run=4, chunk_rows=2, min_range_rows=50)
+    scan = iv.scan_deliveries(deliveries, catalog.KEYS, **hot_options(deliveries, 4, 2, catalog.KEYS))
     summary = sm.delivery_summary(deliveries, scan, catalog.KEYS)
     rows = summary.collect()
     assert all(r["late"] <= r["deliveries"] for r in rows)
@@ -42,7 +43,7 @@ def test_summary_invariants(spark, deliveries):
 
 
 def test_interval_numbers_are_a_permutation(deliveries):
-    intervals = iv.delivery_intervals(deliveries, catalog.KEYS, rows_per_run=3, chunk_rows=2, min_range_rows=50)
+    intervals = iv.delivery_intervals(deliveries, catalog.KEYS, **hot_options(deliveries, 3, 2, catalog.KEYS))
     per_key = intervals.groupBy(*catalog.KEYS).agg(
         F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.countDistinct("n").alias("d")
     )

@@ -15,10 +15,10 @@ from hypothesis import strategies as st
 
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
+from scan_helpers import hot_options
 from refillscope.schema import DEMOGRAPHIC_COLUMNS, DISPENSING_SCHEMA
 
 START = datetime(2022, 1, 1)
-HOT = {"rows_per_run": 1, "chunk_rows": 1, "min_range_rows": 1}
 
 delivery = st.tuples(
     st.sampled_from([1480022, 1470395]),
@@ -76,12 +76,12 @@ def _frame(spark, rows):
     return spark.createDataFrame(full, DISPENSING_SCHEMA)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=deliveries)
 def test_random_deliveries_match_brute_force(spark, rows):
     want_intervals, want_measures = _brute(rows)
     df = _frame(spark, rows)
-    for options in ({}, HOT):
+    for options in ({}, hot_options(df, 1, 1)):
         got = iv.delivery_intervals(df, **options).collect()
         assert sorted((tuple(r) for r in got), key=repr) == want_intervals, options
         scan = iv.scan_deliveries(df, **options)

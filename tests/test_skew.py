@@ -18,6 +18,7 @@ from oracle_compare import normalise
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
 from refillscope.plans import catalog
+from scan_helpers import hot_options
 from refillscope.plans.oracle import _MEASURES, _ND, _intervals
 
 ROWS_PER_RUN = 1_500
@@ -79,7 +80,7 @@ def test_hot_key_results_match_whole_key_computation(spark, fixture, request):
     hot_rows = data.where("patient_id = -1").count()
     assert hot_rows > data.count() / 4  # the hot key really holds a large share
 
-    scan = iv.scan_deliveries(data, catalog.KEYS, rows_per_run=ROWS_PER_RUN, chunk_rows=CHUNK_ROWS)
+    scan = iv.scan_deliveries(data, catalog.KEYS, **hot_options(data, ROWS_PER_RUN, CHUNK_ROWS, catalog.KEYS))
     measures = sm.delivery_measures(scan, catalog.KEYS).select(*catalog.KEYS, "mean_days", "deliveries", "late")
     got = normalise(measures.columns, [tuple(r) for r in measures.collect()])
     want = normalise(
@@ -91,7 +92,7 @@ def test_hot_key_results_match_whole_key_computation(spark, fixture, request):
     )
     assert got == want
 
-    intervals = iv.delivery_intervals(data, catalog.KEYS, rows_per_run=ROWS_PER_RUN, chunk_rows=CHUNK_ROWS)
+    intervals = iv.delivery_intervals(data, catalog.KEYS, **hot_options(data, ROWS_PER_RUN, CHUNK_ROWS, catalog.KEYS))
     got_iv = normalise(intervals.columns, [tuple(r) for r in intervals.collect()])
     assert got_iv == normalise(*_duck(path, "SELECT * FROM intervals"))
 
@@ -100,7 +101,7 @@ def test_hot_key_results_match_whole_key_computation(spark, fixture, request):
 def test_no_run_exceeds_its_budget(spark, fixture, request):
     """Runs are ranges of the sorted rows, so a burst is split like any other stretch."""
     data, _ = request.getfixturevalue(fixture)
-    scan = iv.scan_deliveries(data, catalog.KEYS, rows_per_run=ROWS_PER_RUN, chunk_rows=CHUNK_ROWS)
+    scan = iv.scan_deliveries(data, catalog.KEYS, **hot_options(data, ROWS_PER_RUN, CHUNK_ROWS, catalog.KEYS))
     per_run = scan.chunks.groupBy(*catalog.KEYS, "_run").agg(
         F.count(F.lit(1)).alias("chunk_rows"), F.sum("_len").alias("rows")
     )
@@ -112,3 +113,22 @@ def test_no_run_exceeds_its_budget(spark, fixture, request):
     copies = per_run.where("patient_id = -2").collect()
     assert sum(r["rows"] for r in copies) == COPIES
     assert sum(r["chunk_rows"] for r in copies) == -(-COPIES // CHUNK_ROWS)
+
+
+def test_a_null_key_and_a_burst_within_one_second_are_split(spark):
+    """Rows of a NULL key, all in one second and half of them in one microsecond, stay within budget."""
+    data = spark.range(4_000).select(
+        F.lit("PROMO").alias("prod"),
+        F.lit(None).cast("bigint").alias("patient_id"),
+        F.timestamp_add("MICROSECOND", F.greatest(F.col("id") - 2_000, F.lit(0)).cast("int"), F.lit("2022-01-01 10:00:00").cast("timestamp_ntz")).alias("dispensed_at"),
+        (F.col("id") % 1_500 + 1).cast("double").alias("qty"),
+    )
+    options = hot_options(data, 100, 10, catalog.KEYS)
+    scan = iv.scan_deliveries(data, catalog.KEYS, **options)
+    runs = scan.chunks.groupBy("_run").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(runs) > 20 and max(r["n"] for r in runs) <= 200
+    plain = iv.delivery_intervals(data, catalog.KEYS)
+    split = iv.delivery_intervals(data, catalog.KEYS, **options)
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+    spark.catalog.clearCache()
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
