@@ -1,53 +1,22 @@
-"""Helpers of the corpus operators: shared tables, bounded bitmaps, connected components.
-
-Intermediates are written as Parquet in the folder named by ``spark.checkpoint.dir``,
-which the driver and all executors share, so a lost executor never loses results that a
-later job needs.
-"""
+"""Helpers of the corpus operators: bounded bitmaps, connected components."""
 
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_DIRS: dict[str, str] = {}
+from refillscope.shared import materialise, shared_path
+
+__all__ = ["connected_components", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path"]
 
 # Largest membership bitmap: 2**27 bits are 16 MB, whatever the number of keys.
 MAX_BITMAP_BITS = 27
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only for a local master without it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.master != "local" and not context.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-    if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="corpus-shared-")
-    return _LOCAL_DIRS[context.applicationId]
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back (lineage ends there)."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
