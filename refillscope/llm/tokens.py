@@ -7,12 +7,18 @@ integers, ready to be joined, cut and hashed.
 
 from __future__ import annotations
 
+import re
+
 _ENCODERS: dict[str, _Chunks] = {}
 
-# A worker forgets its chunks beyond this many, and never remembers longer ones.
-_REMEMBERED = 600_000
+# A worker remembers this many recent chunks and as many before them, and no longer ones.
+_REMEMBERED = 700_000
 _LONGEST = 48
 
+# A chunk that ends in ASCII punctuation after a Latin letter, which stays one in lower case:
+# the tokenizer splits between them.
+_TAIL = re.compile(r"(.*[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+
 
 class _Chunks(dict):
     def __init__(self, path: str):
@@ -20,12 +26,23 @@ class _Chunks(dict):
 
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
+        self._before: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
-        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        raw = self._before.get(chunk)
+        if raw is None and "<|" not in chunk:  # special tokens are taken as they are
+            lower = chunk.lower() if chunk.isascii() else chunk  # the tokenizer lower-cases
+            parts = _TAIL.fullmatch(lower)
+            if parts:
+                raw = self[parts[1]] + self[parts[2]]
+            elif lower != chunk:
+                raw = self[lower]
+        if raw is None:
+            ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
+            raw = b"".join(i.to_bytes(4, "little") for i in ids)
         if len(chunk) <= _LONGEST:
             if len(self) >= _REMEMBERED:
+                self._before = dict(self)
                 self.clear()
             self[chunk] = raw
         return raw
