@@ -38,7 +38,7 @@ from refillscope.llm.shared import (
     membership_bitmap,
     partitions,
 )
-from refillscope.llm.shingles import digest, distinct_sets, mix, rank_in_group, shingles, word_hashes
+from refillscope.llm.shingles import digest, distinct_sets, line_hashes, rank_in_group, shingles
 
 DEFAULT_WIDTH = 5
 DEFAULT_THRESHOLD = Fraction(4, 5)
@@ -58,20 +58,12 @@ class _Lines:
     """The lines of a batch with at least ``min_words`` words, and their token sets."""
 
     def __init__(self, batch: pa.RecordBatch, width: int, min_words: int):
-        texts, self.document, self.number = [], [], []
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            if text:
-                for k, line in enumerate(text.split("\n")):
-                    if len(line) >= 2 * min_words - 1:
-                        texts.append(line)
-                        self.document.append(i)
-                        self.number.append(k)
-        hashes, counts = word_hashes(texts)
+        hashes, counts, document, number = line_hashes(batch.column("text").to_pylist())
         enough = counts >= min_words
         hashes = hashes[np.repeat(enough, counts)]
         counts = counts[enough]
-        self.document = np.array(self.document, dtype=np.int64)[enough]
-        self.number = np.array(self.number, dtype=np.int32)[enough]
+        self.document = document[enough]
+        self.number = number[enough].astype(np.int32)
         self.count = len(counts)
         self.tokens, self.owner = shingles(hashes, counts, width)
 
@@ -229,13 +221,13 @@ def _reduce(threshold: Fraction):
     return run
 
 
-def _member_sets(bitmap: Broadcast, width: int, min_words: int):
+def _member_sets(documents: Broadcast, wanted_lines: Broadcast, width: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _STEP):
                 batch = whole.slice(at, _STEP)
                 ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                wanted = np.asarray(batch.column("doc_id").is_valid()) & in_bitmap(bitmap.value, ids)
+                wanted = np.asarray(batch.column("doc_id").is_valid()) & in_bitmap(documents.value, ids)
                 batch = batch.filter(pa.array(wanted))
                 lines = _Lines(batch, width, min_words)
                 if not lines.count:
@@ -243,9 +235,10 @@ def _member_sets(bitmap: Broadcast, width: int, min_words: int):
                 values, _, bounds = lines.sets()
                 sets = [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 pairs = np.array([digest(s) for s in sets], dtype=np.int64)
-                columns = [pa.array(ids[wanted][lines.document]), pa.array(lines.number)]
-                columns += [pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)]
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
+                likely = np.flatnonzero(in_bitmap(wanted_lines.value, np.ascontiguousarray(pairs[:, 1])))
+                columns = [pa.array(ids[wanted][lines.document[likely]]), pa.array(lines.number[likely])]
+                columns += [pa.array(pairs[likely, k]) for k in (0, 1)]
+                columns.append(pa.array([sets[k].tobytes() for k in likely.tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "hi", "lo", "elements"])
 
     return run
@@ -302,10 +295,9 @@ def duplicate_lines(
     reps = member.groupBy("family", "hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
     reps = reps.select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
     blocks = sj.blocks(materialise(reps, "line-reps"))
-    bitmap = membership_bitmap(blocks, "doc_id")
-    sets = texts.mapInArrow(
-        _member_sets(bitmap, width, min_words), "doc_id long, line int, hi long, lo long, elements binary"
-    ).dropDuplicates(["doc_id", "line", "hi", "lo"])
+    read_again = _member_sets(membership_bitmap(blocks, "doc_id"), membership_bitmap(blocks, "lo"), width, min_words)
+    sets = texts.mapInArrow(read_again, "doc_id long, line int, hi long, lo long, elements binary")
+    sets = sets.dropDuplicates(["doc_id", "line", "hi", "lo"])
     sets = blocks.drop("n", "node").join(sets, ["doc_id", "line", "hi", "lo"])
     pairs = sj.block_pairs(sets)
     gone = pairs.mapInArrow(_verify(threshold), "hi long, lo long, before_doc long, before_line int")

@@ -10,19 +10,34 @@ _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-# A worker forgets its word hashes beyond this many; they are then computed again.
-_CACHED_WORDS = 1_000_000
+_LENGTH = np.uint64(0x8CB92BA72F3D8DD7)
+_BASE = 0x5851F42D4C957F2D
+# Bytes that are hashed together, and the longest word that the rolling hash is used for.
+_CHUNK = 1 << 19
+_LONG_WORD = 256
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
+class _Powers:
+    """Powers of the base and of its inverse modulo 2**64, as many as were needed so far."""
 
-_HASHES = _WordHashes()
+    def __init__(self):
+        self.up = self.down = np.zeros(0, dtype=np.uint64)
+
+    def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if size > len(self.up):
+            most, both = max(size, _CHUNK + 1), []
+            for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+                powers = np.full(most, np.uint64(base))
+                powers[0] = 1
+                both.append(np.cumprod(powers))
+            self.up, self.down = both
+        return self.up[:size], self.down[:size]
+
+
+_POWERS = _Powers()
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -32,20 +47,102 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space (space, tab, LF, VT, FF, CR), A-Z lower-cased, in UTF-8."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+# A random value for each byte.
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
+
+
+def _chunks(texts) -> list[tuple[bytes, list[int]]]:
+    """Texts in UTF-8 with A-Z lower-cased, joined by line ends up to ``_CHUNK`` bytes; where each begins.
+
+    The one that is open at the end of a chunk goes on in the next: a very long text is cut
+    between words, and its later parts have no beginning of their own.
+    """
+    out, parts, begins, size = [], [], [], 0
+    for text in texts:
+        raw = text.encode("utf-8", "surrogatepass").lower() if text else b""
+        if size and size + len(raw) > _CHUNK:
+            out.append((b"\n".join(parts), begins))
+            parts, begins, size = [], [], 0
+        begins.append(size)
+        at = 0
+        while len(raw) - at > _CHUNK:
+            cut = max(raw.rfind(x, at, at + _CHUNK) for x in (b" ", b"\n"))
+            if cut <= at:
+                break  # no blank in sight: this chunk is longer
+            parts.append(raw[at:cut])
+            out.append((b"\n".join(parts), begins))
+            # The blank or line end itself begins the next part.
+            parts, begins, size, at = [], [], 0, cut
+        parts.append(raw[at:])
+        size += len(raw) - at + 1
+    if parts:
+        out.append((b"\n".join(parts), begins))
+    return out
+
+
+def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and start of each word of a chunk, and the chunk's bytes."""
+    buffer = np.frombuffer(raw, dtype=np.uint8)
+    inside = np.zeros(len(buffer) + 2, dtype=np.int8)
+    inside[1:-1] = ~_SPACE[buffer]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _POWERS.of(len(buffer) + 1)
+    sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[buffer] * up[:-1], out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
+    for k in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
+        hashes[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]])
+    return hashes, starts, buffer
 
 
 def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, one after the other, and the number of words of each."""
-    words: list[bytes] = []
-    counts = np.empty(len(texts), dtype=np.int64)
-    for i, text in enumerate(texts):
-        own = words_of(text)
-        counts[i] = len(own)
-        words += own
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words)), counts
+    """Hashes of all words of the texts, one after the other, and the number of words of each.
+
+    Words are what ASCII white space (space, tab, LF, VT, FF, CR) separates, with A-Z in lower
+    case, in UTF-8.
+    """
+    hashes, counts, seen = [], np.zeros(len(texts), dtype=np.int64), 0
+    for raw, begins in _chunks(texts):
+        own, starts, _ = _hash_words(raw)
+        hashes.append(own)
+        # Words before the first beginning go on with the text before.
+        at = np.searchsorted(starts, [*begins, len(raw) + 1])
+        if at[0]:
+            counts[seen - 1] += at[0]
+        counts[seen : seen + len(begins)] += np.diff(at)
+        seen += len(begins)
+    return (np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)), counts
+
+
+def line_hashes(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words; then of each line with words: number of words, text, and line number in it."""
+    hashes, counts, owner, number = [], [], [], []
+    seen = open_lines = 0
+    for raw, begins in _chunks(texts):
+        own, starts, buffer = _hash_words(raw)
+        ends = np.flatnonzero(buffer == 10)
+        line = np.searchsorted(ends, starts)
+        first = np.searchsorted(ends, begins)
+        text = np.searchsorted(begins, starts, side="right") - 1
+        # Lines before the first beginning go on with the text before, which is at this line.
+        within = np.where(text >= 0, line - first[np.maximum(text, 0)] if len(first) else line, line + open_lines)
+        place = (text + seen) * (1 << 40) + within
+        runs = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, dtype=np.int64)
+        hashes.append(own)
+        counts.append(np.diff(np.append(runs, len(place))))
+        owner.append(text[runs] + seen)
+        number.append(within[runs])
+        open_lines = len(ends) - first[-1] if begins else open_lines + len(ends)
+        seen += len(begins)
+    if not hashes:
+        return (np.zeros(0, dtype=np.uint64), *[np.zeros(0, dtype=np.int64)] * 3)
+    counts, owner, number = (np.concatenate(x) for x in (counts, owner, number))
+    # A line that a cut divides is one line.
+    new = np.ones(len(counts), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])
+    heads = np.flatnonzero(new)
+    return np.concatenate(hashes), np.add.reduceat(counts, heads) if len(heads) else counts, owner[heads], number[heads]
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from refillscope.llm import shingles as sh
 from refillscope.llm.partenum import jaccard_components, signatures
 from refillscope.llm.shingles import distinct_sets, shingles, word_hashes
 
@@ -107,3 +108,38 @@ def test_similar_sets_share_a_signature(size, rate, seed):
     key, owner = signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), Fraction(4, 5))
     if 5 * inter >= 4 * (len(a) + len(b) - inter):
         assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
+
+
+def plain_lines(texts):
+    out = []
+    for i, text in enumerate(texts):
+        for k, line in enumerate((text or "").split("\n")):
+            words = (line.encode("utf-8", "surrogatepass").lower()).split()
+            if words:
+                out.append((i, k, words))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aBé \n\t\r\x0b\xa0"), max_size=40)), max_size=8), st.sampled_from([4, 9, 1 << 19]))
+def test_words_and_lines_are_found_whatever_the_chunks(texts, chunk):
+    before, sh._CHUNK = sh._CHUNK, chunk
+    try:
+        want = plain_lines(texts)
+        hashes, counts, owner, number = sh.line_hashes(texts)
+        assert list(zip(owner.tolist(), number.tolist(), counts.tolist())) == [(i, k, len(w)) for i, k, w in want]
+        words = [w for _, _, own in want for w in own]
+        values = hashes.tolist()
+        assert len(values) == len(words) and len(set(zip(words, values))) == len(set(words)) == len(set(values))
+        again, per_text = word_hashes(texts)
+        assert again.tolist() == values
+        assert per_text.tolist() == [len((t or "").encode("utf-8", "surrogatepass").split()) for t in texts]
+    finally:
+        sh._CHUNK = before
+
+
+def test_long_words_and_texts():
+    text = "a" * 300 + " " + "b" * 700_000 + " " + "c d\n" * 400_000
+    hashes, counts, owner, number = sh.line_hashes([text, "c d"])
+    assert counts.tolist()[:2] == [4, 2] and len(counts) == 400_001 and owner.tolist()[-1] == 1 and number.tolist()[-1] == 0
+    assert len(set(hashes.tolist())) == 4 and number.tolist()[-2] == 399_999
