@@ -38,7 +38,7 @@ from refillscope.llm.shared import (
     membership_bitmap,
     partitions,
 )
-from refillscope.llm.shingles import digest, distinct_sets, line_hashes, rank_in_group, shingles
+from refillscope.llm.shingles import digests, distinct_sets, line_hashes, rank_in_group, shingles
 
 DEFAULT_WIDTH = 5
 DEFAULT_THRESHOLD = Fraction(4, 5)
@@ -76,7 +76,7 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
 
 
 def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
-    """How often the tokens of each hash slot occur in the corpus: ``2**RARITY_BITS`` counts."""
+    """Place of each of the ``2**RARITY_BITS`` hash slots when they are ordered by how often their tokens occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, dtype=np.int64)
@@ -90,14 +90,19 @@ def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
     counts = texts.mapInArrow(run, "slot int, count long").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
     rarity = np.zeros(1 << RARITY_BITS, dtype=np.int64)
     rarity[counts.column("slot").to_numpy()] = counts.column("count").to_numpy()
-    return texts.sparkSession.sparkContext.broadcast(rarity)
+    place = np.empty(len(rarity), dtype=np.int64)
+    place[np.argsort(rarity, kind="stable")] = np.arange(len(rarity))
+    return texts.sparkSession.sparkContext.broadcast(place)
 
 
 def prefixes(
     values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rarity: np.ndarray, threshold: Fraction
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix tokens of sets, rarest first: token, owner and position."""
-    order = np.lexsort((values, rarity[_slots(values)], owner))
+    """Prefix tokens of sets, rarest first: token, owner and position.
+
+    The values of each owner ascend, as do the owners; ``rarity`` has the place of each hash slot.
+    """
+    order = np.argsort((owner << RARITY_BITS) + rarity[_slots(values)], kind="stable")
     place = rank_in_group(owner)
     p, q = threshold.numerator, threshold.denominator
     keep = place < (sizes - (sizes * p + q - 1) // q + 1)[owner]
@@ -161,17 +166,17 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                     continue
                 values, owner, bounds = lines.sets()
                 sizes = np.diff(bounds)
-                pairs = [digest(values[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                raw, pairs = digests(values, bounds)
                 doc_id = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[lines.document]
-                fresh, first, within = np.zeros(lines.count, bool), np.zeros(lines.count, bool), set()
-                for i, (pair, document) in enumerate(zip(pairs, lines.document.tolist(), strict=True)):
-                    if (document, pair) not in within:
-                        within.add((document, pair))
-                        first[i] = True
-                    if pair not in seen:  # of equal lines in this task, one stands for all
-                        seen.add(pair)
+                fresh, first = np.zeros(lines.count, bool), np.ones(lines.count, bool)
+                # A line is the first of its kind in its document unless it follows an equal one there.
+                order = np.lexsort((pairs[:, 0], pairs[:, 1], lines.document))
+                kind = np.column_stack([pairs, lines.document])[order]
+                first[order[1:]] = (kind[1:] != kind[:-1]).any(axis=1)
+                for i in np.flatnonzero(first).tolist():
+                    if raw[i] not in seen:  # of equal lines in this task, one stands for all
+                        seen.add(raw[i])
                         fresh[i] = True
-                pairs = np.array(pairs, dtype=np.int64)
                 turn += 1
                 home = hash((int(doc_id[0]), turn)) % (1 << bits)
                 head = np.column_stack([pairs, doc_id])
@@ -233,12 +238,11 @@ def _member_sets(documents: Broadcast, wanted_lines: Broadcast, width: int, min_
                 if not lines.count:
                     continue
                 values, _, bounds = lines.sets()
-                sets = [values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                pairs = np.array([digest(s) for s in sets], dtype=np.int64)
+                _, pairs = digests(values, bounds)
                 likely = np.flatnonzero(in_bitmap(wanted_lines.value, np.ascontiguousarray(pairs[:, 1])))
                 columns = [pa.array(ids[wanted][lines.document[likely]]), pa.array(lines.number[likely])]
                 columns += [pa.array(pairs[likely, k]) for k in (0, 1)]
-                columns.append(pa.array([sets[k].tobytes() for k in likely.tolist()], pa.binary()))
+                columns.append(pa.array([values[bounds[k] : bounds[k + 1]].tobytes() for k in likely.tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "hi", "lo", "elements"])
 
     return run

@@ -186,6 +186,13 @@ def digest(values: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "big", signed=True), int.from_bytes(raw[8:], "big", signed=True)
 
 
+def digests(values: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """``digest`` of the sets ``values[bounds[i]:bounds[i + 1]]``: as bytes, and as rows of two integers."""
+    raw, ends = memoryview(values.tobytes()), (8 * bounds).tolist()
+    found = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return found, np.frombuffer(b"".join(found), dtype=">i8").astype(np.int64).reshape(-1, 2)
+
+
 def rank_in_group(group: np.ndarray) -> np.ndarray:
     """0, 1, 2, ... within each run of equal values."""
     if not len(group):
