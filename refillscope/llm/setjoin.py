@@ -25,7 +25,7 @@ SHARDS_PER_PARTITION = 4
 # Postings a map task gathers before it sends them on.
 FLUSH_POSTINGS = 1_500_000
 # Sets and set elements of one block of a family.
-BLOCK_SETS = 512
+BLOCK_SETS = 1024
 BLOCK_ELEMENTS = 2_000_000
 
 
