@@ -294,10 +294,9 @@ def duplicate_lines(
 
     links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
     near = materialise(sj.families(links, connected_components), "line-families")
-    # The first occurrence of each line that has a candidate partner.
-    member = lines.join(near.withColumnRenamed("node", "lo"), "lo")
-    reps = member.groupBy("family", "hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
-    reps = reps.select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
+    # The first occurrence of each line that has a candidate partner; copies meet in the map tasks, so a common line is no hot key of the join.
+    firsts = lines.groupBy("hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
+    reps = firsts.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
     blocks = sj.blocks(materialise(reps, "line-reps"))
     read_again = _member_sets(membership_bitmap(blocks, "doc_id"), membership_bitmap(blocks, "lo"), width, min_words)
     sets = texts.mapInArrow(read_again, "doc_id long, line int, hi long, lo long, elements binary")
