@@ -13,7 +13,11 @@ Rarity is a count for each of a fixed number of hash slots: a table of bounded s
 all tasks get. A slot of several tokens changes their order alone, never a result: any
 order that all lines follow is exact.
 
-Lines with a common prefix token are linked along their sizes as far as the filters allow,
+A single word is a weak key, so at ``width=1`` sets of up to ``PAIR_SETS`` words are keyed by
+pairs of tokens: two similar sets share two of the first ``n - ceil(t * n) + 2`` tokens of
+each, and the second of these, at position j, leaves ``n - j + 1`` tokens.
+
+Lines with a common key are linked along their sizes as far as the filters allow,
 linked lines are candidate families, and families are verified block by block (``setjoin``).
 A line is removed if a line before it, by ``(doc_id, line number)``, is similar enough,
 whether that one stays or not.
@@ -38,7 +42,7 @@ from refillscope.llm.shared import (
     membership_bitmap,
     partitions,
 )
-from refillscope.llm.shingles import digests, distinct_sets, line_hashes, rank_in_group, shingles
+from refillscope.llm.shingles import digests, distinct_sets, line_hashes, mix, rank_in_group, shingles
 
 DEFAULT_WIDTH = 5
 DEFAULT_THRESHOLD = Fraction(4, 5)
@@ -46,12 +50,18 @@ DEFAULT_THRESHOLD = Fraction(4, 5)
 DEFAULT_MIN_WORDS = 5
 # log2 of the number of slots of the rarity table, which holds 8 bytes each.
 RARITY_BITS = 17
+# Up to this size of the smaller set two sets of words are found by pairs of tokens; the number of pairs grows with its square.
+PAIR_SETS = 48
+# From this threshold on, sets that are similar but not equal share two tokens.
+PAIR_THRESHOLD = Fraction(3, 4)
 
 _BLOCKS = "kind int, shard int, nodes binary, keys binary, sizes binary, places binary"
 _ROWS = "kind int, hi long, lo long, doc_id long, line int, n int, first boolean, other long"
 _LINES, _LINKS, _POSTINGS = 0, 1, 2
 # Documents that are hashed together.
 _STEP = 500
+# Fixed value: tells the first token of a pair from the second.
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Lines:
@@ -96,17 +106,31 @@ def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
 
 
 def prefixes(
-    values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rarity: np.ndarray, threshold: Fraction
+    values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rarity: np.ndarray, threshold: Fraction, pairs: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Prefix tokens of sets, rarest first: token, owner and position.
+    """Keys of the prefixes of sets, rarest first: key, owner and position.
 
-    The values of each owner ascend, as do the owners; ``rarity`` has the place of each hash slot.
+    The values of each owner ascend, as do the owners; ``rarity`` has the place of each hash
+    slot. With ``pairs`` the keys are pairs of tokens where the smaller of two sets may have
+    up to ``PAIR_SETS`` tokens. Sets that are similar only to equal ones have no keys.
     """
     order = np.argsort((owner << RARITY_BITS) + rarity[_slots(values)], kind="stable")
-    place = rank_in_group(owner)
+    values, place = values[order], rank_in_group(owner)
     p, q = threshold.numerator, threshold.denominator
-    keep = place < (sizes - (sizes * p + q - 1) // q + 1)[owner]
-    return values[order][keep], owner[keep], place[keep]
+    least = (sizes * p + q - 1) // q
+    same = (2 * sizes * p + p + q - 1) // (p + q)
+    alone = (sizes * q // p == sizes) & (least == sizes) & (same == sizes)
+    pairs = pairs and threshold >= PAIR_THRESHOLD
+    single = ~alone & ((sizes > PAIR_SETS) if pairs else True)
+    keep = (place < (sizes - least + 1)[owner]) & single[owner]
+    found = [(values[keep], owner[keep], place[keep])]
+    if pairs:
+        second = np.flatnonzero((place > 0) & (place < (sizes - least + 2)[owner]) & (~alone & (least <= PAIR_SETS))[owner])
+        count = place[second]
+        first = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(second - count, count)
+        second = np.repeat(second, count)
+        found.append((mix(values[first] * _PAIR + values[second]), owner[second], place[second] - 1))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def chain_links(
@@ -182,8 +206,9 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                 head = np.column_stack([pairs, doc_id])
                 yield _record([(_LINES, home, head.tobytes(), lines.number.tobytes(), sizes.astype(np.int32).tobytes(), first.tobytes())])
                 chosen = fresh[owner]
-                token, who, place = prefixes(values[chosen], owner[chosen], sizes, rarity.value, threshold)
-                postings.append((token, pairs[who, 1], sizes[who].astype(np.int32), place.astype(np.int32)))
+                token, who, place = prefixes(values[chosen], owner[chosen], sizes, rarity.value, threshold, width == 1)
+                if len(token):
+                    postings.append((token, pairs[who, 1], sizes[who].astype(np.int32), place.astype(np.int32)))
                 gathered += len(token)
                 if gathered >= sj.FLUSH_POSTINGS:
                     yield from flush()

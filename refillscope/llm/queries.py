@@ -40,7 +40,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every document that an earlier line nearly equals as a set of words."""
-    return line_report(_table(spark, sf_dir, "documents"), width=1)
+    return line_report(_table(spark, sf_dir, "documents"), width=1, min_words=1)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,3 +17,9 @@ def test_op4_finds_a_line_with_one_inner_word_changed(spark, tmp_path):
     sf_dir = stored(tmp_path, documents=documents(spark, [(1, " ".join(line)), (2, " ".join(other)), (3, "v1 v2 v3 v4 v5 v6")]))
     found = as_rows(queries.op4_line_dedup(spark, sf_dir), "doc_id", "n_removed")
     assert found == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_op4_finds_copies_of_short_lines(spark, tmp_path):
+    sf_dir = stored(tmp_path, documents=documents(spark, [(1, "Read more\nx"), (2, "y\nread more"), (3, "a b c d e"), (4, "a b c d\nread")]))
+    found = as_rows(queries.op4_line_dedup(spark, sf_dir), "doc_id", "removed_lines")
+    assert found == [(1, []), (2, [1]), (3, []), (4, [0])]
