@@ -7,6 +7,7 @@ items are hash-joined with those of the documents. The matches of one document a
 are then aligned, and the slots must be consistent: along an alignment a value of the item
 always stands for the same value of the document and the other way round. So copies are
 caught word by word, and so are questions that were only given other numbers or names.
+Every text is read in several ways (``readings``), and a match in one of them is enough.
 
 The map tasks pass on only windows whose hash is in a bounded bitmap of the benchmark's;
 the join that follows is exact.
@@ -40,21 +41,26 @@ UNIT_WORDS = frozenset(
     "gallons ms s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years % percent "
     "$ € £ dollar dollars euro euros cent cents usd eur gbp °c °f celsius fahrenheit kmh mph w kw kwh v hz khz mhz ghz kb mb gb tb".split()
 )
+# Readings of a text.
+TEMPLATE, CASELESS, LITERAL, RENAMED = range(4)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 _TOKEN = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*|[%$€£]|°[cfCF]\b|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?]+|\n")
 _DIGIT = re.compile(r"[+-]?\d")
 
 
-def template(text: str | None) -> tuple[list[str], list[str]]:
-    """Template words of a text and, at the same places, the slot values (empty for a plain word)."""
-    words, values, begins = [], [], True
-    for token in _TOKEN.findall(text or ""):
+def _scan(text: str | None) -> tuple[list[str], list[str], list[bool]]:
+    """Template words, slot values, and whether a word begins a sentence with a capital letter."""
+    words, values, capital, begins = [], [], [], True
+    for found in _TOKEN.finditer(text or ""):
+        token = found.group()
         lower = token.lower()
         if token[0] in ".!?\n":
             begins = True
             continue
-        if _DIGIT.match(token):
+        capital.append(begins and token[0].isupper())
+        is_number = bool(_DIGIT.match(token))
+        if is_number:
             words.append(NUMBER)
             values.append(lower)
         elif lower in UNIT_WORDS:
@@ -67,7 +73,25 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
             words.append(lower)
             values.append("")
         begins = False
-    return words, values
+    return words, values, capital
+
+
+def template(text: str | None) -> tuple[list[str], list[str]]:
+    """Template words of a text and, at the same places, the slot values (empty for a plain word)."""
+    return _scan(text)[:2]
+
+
+def readings(text: str | None) -> dict[int, tuple[list[str], list[str], list[int]]]:
+    """Words, slot values and places in the template of each reading of a text.
+
+    ``TEMPLATE`` is ``template``. ``CASELESS`` has names as plain words, so that letter case does not matter.
+    """
+    words, values, _ = _scan(text)
+    places = list(range(len(words)))
+    plain = [v if w == NAME else w for w, v in zip(words, values, strict=True)]
+    slots = ["" if w == NAME else v for w, v in zip(words, values, strict=True)]
+    found = {TEMPLATE: (words, values, places), CASELESS: (plain, slots, places)}
+    return found
 
 
 _WORD_HASH: dict[str, int] = {}
@@ -81,7 +105,7 @@ def _hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(_WORD_HASH.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def window_hashes(words: list[str], width: int) -> np.ndarray:
+def window_hashes(words: list[str], width: int, reading: int = TEMPLATE) -> np.ndarray:
     """Hash of each window of ``width`` template words; of all words if there are fewer."""
     if not words:
         return np.zeros(0, dtype=np.int64)
@@ -90,7 +114,7 @@ def window_hashes(words: list[str], width: int) -> np.ndarray:
     rolled = np.zeros(len(words) - width + 1, dtype=np.uint64)
     for k in range(width):
         rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(words) - width + 1 + k]
-    return mix(rolled + np.uint64(width)).view(np.int64)
+    return mix(rolled + np.uint64(width + (reading << 32))).view(np.int64)
 
 
 def _plain_enough(values: list[str], width: int) -> np.ndarray:
@@ -114,25 +138,30 @@ def _item_windows(width: int):
         for batch in batches:
             rows = []
             for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words, values = template(text)
-                hashes, size = window_hashes(words, width), min(width, len(words))
-                enough = _plain_enough(values, width) if words else []
-                if item is not None:
+                if item is None:
+                    continue
+                any_window = False
+                for reading, (words, values, _) in readings(text).items():
+                    if not words:
+                        continue
+                    hashes, size = window_hashes(words, width, reading), min(width, len(words))
+                    enough = _plain_enough(values, width)
+                    any_window |= bool(enough.any())
                     rows += [
-                        (int(h), item, k, int(sum(enough)), values[k : k + size])
+                        (int(h), item, k, int(sum(enough)), values[k : k + size], reading)
                         for k, (h, good) in enumerate(zip(hashes, enough, strict=True))
                         if good
                     ]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()))
-            names = ["hash", "item_id", "place", "windows", "item_values"]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32())
+            names = ["hash", "item_id", "place", "windows", "item_values", "reading"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return run
 
 
-def _doc_windows(width: int, shortest: list[int], bitmap: Broadcast):
-    """Windows of documents that are in the bitmap, of the full width and of each size of short items."""
+def _doc_windows(sizes: list[tuple[int, int]], bitmap: Broadcast):
+    """Windows of documents that are in the bitmap, of each ``(reading, size)`` that the items have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,47 +169,52 @@ def _doc_windows(width: int, shortest: list[int], bitmap: Broadcast):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if not text or doc is None:
                     continue
-                words, values = template(text)
-                for size in (width, *shortest):
+                views = readings(text)
+                for reading, size in sizes:
+                    words, values, places = views[reading]
                     if size <= len(words):
-                        hashes = window_hashes(words, size)
+                        hashes = window_hashes(words, size, reading)
                         for at in np.flatnonzero(in_bitmap(bitmap.value, hashes)).tolist():
-                            rows.append((int(hashes[at]), doc, at, values[at : at + size]))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
+                            rows.append((int(hashes[at]), doc, at, values[at : at + size], reading, places[at : at + size]))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "doc_id", "at", "doc_values"]
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "doc_id", "at", "doc_values", "reading", "spots"]
             )
 
     return run
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each document and item the alignment with the most windows whose slots agree."""
+    """For each document and item the reading and alignment with the largest share of windows whose slots agree."""
     for (doc, item), pieces in runs_of(batches, ("doc_id", "item_id")):
-        alignments: dict[int, dict[int, tuple]] = {}
-        windows = 1
+        alignments: dict[tuple[int, int], dict[int, tuple]] = {}
+        windows, spots = {}, {}
         for piece in pieces:
             for row in piece.to_pylist():
-                windows = row["windows"]
-                alignments.setdefault(row["at"] - row["place"], {})[row["place"]] = (row["item_values"], row["doc_values"])
+                reading = row["reading"]
+                windows[reading] = row["windows"]
+                spots.setdefault(reading, {}).update(enumerate(row["spots"], row["at"]))
+                alignments.setdefault((reading, row["at"] - row["place"]), {})[row["place"]] = (row["item_values"], row["doc_values"])
         best = None
-        for shift, found in sorted(alignments.items()):
-            # Slot values by place in the item: overlapping windows repeat them.
-            ours, theirs = {}, {}
+        for (reading, shift), found in sorted(alignments.items()):
+            # Place in the document and slot values by place in the item: overlapping windows repeat them.
+            at = {}
             for place, (a, b) in found.items():
-                ours |= dict(enumerate(a, place))
-                theirs |= dict(enumerate(b, place))
-            spots = sorted(ours)
-            agrees = consistent([ours[k] for k in spots], [theirs[k] for k in spots])
-            same = all(ours[k] == theirs[k] for k in spots)
-            entry = (agrees, len(found), same, -shift, spots[0] + shift, spots[-1] + shift + 1)
+                at |= {place + k: (place + k + shift, x, y) for k, (x, y) in enumerate(zip(a, b, strict=True))}
+            entry = _judged(reading, shift, len(found), windows[reading], at, spots[reading])
             best = entry if best is None or entry > best else best
-        agrees, n, same, _, start, stop = best
-        row = {"doc_id": doc, "item_id": item, "windows": n, "coverage": n / windows, "slots_agree": agrees, "verbatim": same, "start_word": start, "stop_word": stop}
+        agrees, share, _, same, _, n, start, stop = best
+        row = {"doc_id": doc, "item_id": item, "windows": n, "coverage": share, "slots_agree": agrees, "verbatim": same, "start_word": start, "stop_word": stop}
         yield pa.RecordBatch.from_pylist([row], schema=pa.schema(_FOUND))
 
 
+def _judged(reading: int, shift: int, found: int, windows: int, at: dict[int, tuple], spots: dict[int, int]) -> tuple:
+    ours, theirs = [x[1] for x in at.values()], [x[2] for x in at.values()]
+    places = [spots[x[0]] for x in at.values()]
+    return consistent(ours, theirs), found / windows, -reading, ours == theirs, -shift, found, min(places), max(places) + 1
+
+
 _FOUND = [
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("windows", pa.int32()), ("coverage", pa.float64()),
     ("slots_agree", pa.bool_()), ("verbatim", pa.bool_()), ("start_word", pa.int32()), ("stop_word", pa.int32()),
@@ -204,14 +238,14 @@ def contaminated(
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = items.mapInArrow(_item_windows(width), "hash long, item_id long, place int, windows int, item_values array<string>")
+    items = items.mapInArrow(_item_windows(width), "hash long, item_id long, place int, windows int, item_values array<string>, reading int")
     items = materialise(items, "item-windows")
-    # Widths of short items: fewer than the window is wide.
-    widths = [r[0] for r in items.select(F.size("item_values").alias("n")).distinct().collect() if r[0] != width]
+    # The full width and those of short items: no more than the window is wide, in each reading.
+    sizes = sorted(tuple(r) for r in items.select("reading", F.size("item_values").alias("n")).distinct().collect())
     bitmap = membership_bitmap(items, "hash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = texts.mapInArrow(_doc_windows(width, sorted(widths), bitmap), "hash long, doc_id long, at int, doc_values array<string>")
-    matches = found.join(items, "hash").where(F.size("doc_values") == F.size("item_values"))
+    found = texts.mapInArrow(_doc_windows(sizes, bitmap), "hash long, doc_id long, at int, doc_values array<string>, reading int, spots array<int>")
+    matches = found.join(items, ["hash", "reading"]).where(F.size("doc_values") == F.size("item_values"))
     matches = matches.repartition(partitions(spark), "doc_id", "item_id").sortWithinPartitions("doc_id", "item_id")
     pairs = matches.mapInArrow(_align, _FOUND_SCHEMA)
     return pairs.where(F.col("slots_agree") & (F.col("coverage") >= coverage))

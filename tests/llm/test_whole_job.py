@@ -2,6 +2,7 @@
 
 from llm_helpers import as_rows, documents
 from refillscope.llm import queries
+from refillscope.llm.templates import contaminated
 
 
 def stored(tmp_path, **tables):
@@ -23,3 +24,14 @@ def test_op4_finds_copies_of_short_lines(spark, tmp_path):
     sf_dir = stored(tmp_path, documents=documents(spark, [(1, "Read more\nx"), (2, "y\nread more"), (3, "a b c d e"), (4, "a b c d\nread")]))
     found = as_rows(queries.op4_line_dedup(spark, sf_dir), "doc_id", "removed_lines")
     assert found == [(1, []), (2, [1]), (3, []), (4, [0])]
+
+
+def leaks(spark, text, *docs):
+    """Ids (from 1 on) of the documents that hold the item."""
+    found = contaminated(documents(spark, list(enumerate(docs, 1))), spark.createDataFrame([(1, text)], "item_id long, text string"))
+    return [r[0] for r in as_rows(found, "doc_id")]
+
+
+def test_op10_finds_an_item_in_another_letter_case(spark):
+    item = "If Mary has 12 apples and gives 5 apples to John while Peter takes what Anna left how many does she have"
+    assert leaks(spark, item, f"Some words. {item.upper()}? more", f"x {item.lower()}", "if mary has nothing") == [1, 2]
