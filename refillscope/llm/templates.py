@@ -46,17 +46,20 @@ TEMPLATE, CASELESS, LITERAL, RENAMED = range(4)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 _TOKEN = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*|[%$€£]|°[cfCF]\b|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?]+|\n")
+_SIGNS = frozenset("+-*/=<>^×÷−")
 _DIGIT = re.compile(r"[+-]?\d")
 
 
-def _scan(text: str | None) -> tuple[list[str], list[str], list[bool]]:
-    """Template words, slot values, and whether a word begins a sentence with a capital letter."""
-    words, values, capital, begins = [], [], [], True
+def _scan(text: str | None) -> tuple[list[str], list[str], list[bool], list[str]]:
+    """Template words, slot values, whether a word begins a sentence with a capital letter, and the words as they are."""
+    words, values, capital, literal, begins = [], [], [], [], True
+    end, number = 0, False
     for found in _TOKEN.finditer(text or ""):
         token = found.group()
         lower = token.lower()
         if token[0] in ".!?\n":
             begins = True
+            end = found.end()
             continue
         capital.append(begins and token[0].isupper())
         is_number = bool(_DIGIT.match(token))
@@ -72,8 +75,11 @@ def _scan(text: str | None) -> tuple[list[str], list[str], list[bool]]:
         else:
             words.append(lower)
             values.append("")
+        sign = "".join(c for c in text[end : found.start()] if c in _SIGNS) if number or is_number and literal else ""
+        literal.append(sign + lower)
+        end, number = found.end(), is_number
         begins = False
-    return words, values, capital
+    return words, values, capital, literal
 
 
 def template(text: str | None) -> tuple[list[str], list[str]]:
@@ -85,12 +91,14 @@ def readings(text: str | None) -> dict[int, tuple[list[str], list[str], list[int
     """Words, slot values and places in the template of each reading of a text.
 
     ``TEMPLATE`` is ``template``. ``CASELESS`` has names as plain words, so that letter case does not matter.
+    ``LITERAL`` has all words as they are, signs between numbers included, and no slots.
     """
-    words, values, _ = _scan(text)
+    words, values, _, literal = _scan(text)
     places = list(range(len(words)))
     plain = [v if w == NAME else w for w, v in zip(words, values, strict=True)]
     slots = ["" if w == NAME else v for w, v in zip(words, values, strict=True)]
     found = {TEMPLATE: (words, values, places), CASELESS: (plain, slots, places)}
+    found[LITERAL] = (literal, [""] * len(words), places)
     return found
 
 
@@ -144,6 +152,8 @@ def _item_windows(width: int):
                 for reading, (words, values, _) in readings(text).items():
                     if not words:
                         continue
+                    if reading == LITERAL and any_window:
+                        continue  # for items without other windows
                     hashes, size = window_hashes(words, width, reading), min(width, len(words))
                     enough = _plain_enough(values, width)
                     any_window |= bool(enough.any())

@@ -35,3 +35,9 @@ def leaks(spark, text, *docs):
 def test_op10_finds_an_item_in_another_letter_case(spark):
     item = "If Mary has 12 apples and gives 5 apples to John while Peter takes what Anna left how many does she have"
     assert leaks(spark, item, f"Some words. {item.upper()}? more", f"x {item.lower()}", "if mary has nothing") == [1, 2]
+
+
+def test_op10_finds_arithmetic_items_word_for_word(spark):
+    item = "Calculate 144 / 12 + 7 * 3 - 50 % 8"
+    assert leaks(spark, item, f"Now: {item}. Next", "Calculate 144 / 12 + 7 * 4 - 50 % 8", "Calculate 144 / 12 - 7 * 3 - 50 % 8") == [1]
+    assert leaks(spark, "What is 12 + 35 * 4 - 7?", "so what is 12 + 35 * 4 - 7 then", "what is 12 + 35") == [1]
