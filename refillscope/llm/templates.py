@@ -92,13 +92,24 @@ def readings(text: str | None) -> dict[int, tuple[list[str], list[str], list[int
 
     ``TEMPLATE`` is ``template``. ``CASELESS`` has names as plain words, so that letter case does not matter.
     ``LITERAL`` has all words as they are, signs between numbers included, and no slots.
+    ``RENAMED`` takes every capitalised word for a name, at the beginning of a sentence too, and a run of them for one.
     """
-    words, values, _, literal = _scan(text)
+    words, values, capital, literal = _scan(text)
     places = list(range(len(words)))
     plain = [v if w == NAME else w for w, v in zip(words, values, strict=True)]
     slots = ["" if w == NAME else v for w, v in zip(words, values, strict=True)]
     found = {TEMPLATE: (words, values, places), CASELESS: (plain, slots, places)}
     found[LITERAL] = (literal, [""] * len(words), places)
+    renamed, own, at = [], [], []
+    for k, (word, value, first) in enumerate(zip(words, values, capital, strict=True)):
+        name = word == NAME or first and value == ""
+        if name and not first and renamed and renamed[-1] == NAME:
+            own[-1] += " " + value
+            continue
+        renamed.append(NAME if name else word)
+        own.append((value or word) if name else value)
+        at.append(k)
+    found[RENAMED] = (renamed, own, at)
     return found
 
 
@@ -156,6 +167,8 @@ def _item_windows(width: int):
                         continue  # for items without other windows
                     hashes, size = window_hashes(words, width, reading), min(width, len(words))
                     enough = _plain_enough(values, width)
+                    if reading == RENAMED and (len(words) < width or 2 * sum(enough) < len(enough)):
+                        continue  # too little is left to tell it from other texts
                     any_window |= bool(enough.any())
                     rows += [
                         (int(h), item, k, int(sum(enough)), values[k : k + size], reading)
@@ -207,6 +220,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spots.setdefault(reading, {}).update(enumerate(row["spots"], row["at"]))
                 alignments.setdefault((reading, row["at"] - row["place"]), {})[row["place"]] = (row["item_values"], row["doc_values"])
         best = None
+        judged = []
         for (reading, shift), found in sorted(alignments.items()):
             # Place in the document and slot values by place in the item: overlapping windows repeat them.
             at = {}
@@ -214,6 +228,20 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at |= {place + k: (place + k + shift, x, y) for k, (x, y) in enumerate(zip(a, b, strict=True))}
             entry = _judged(reading, shift, len(found), windows[reading], at, spots[reading])
             best = entry if best is None or entry > best else best
+            judged.append((entry, reading, shift, len(found), at))
+        judged.sort(key=lambda x: x[0], reverse=True)
+        for reading in windows:
+            # Words put in or left out shift what follows: alignments that go on from each other add up.
+            total, parts, at, base = 0, 0, {}, None
+            for entry, own, shift, n, more in judged:
+                if own != reading or not entry[0] or base is not None and abs(shift - base) > DEFAULT_WINDOW or at.keys() & more.keys():
+                    continue
+                joint = dict(sorted((at | more).items()))
+                order = [x[0] for x in joint.values()]
+                if all(x < y for x, y in zip(order, order[1:])) and consistent([x[1] for x in joint.values()], [x[2] for x in joint.values()]):
+                    total, parts, at, base = total + n, parts + 1, joint, shift if base is None else base
+            if parts > 1:
+                best = max(best, _judged(reading, base, total, windows[reading], at, spots[reading]))
         agrees, share, _, same, _, n, start, stop = best
         row = {"doc_id": doc, "item_id": item, "windows": n, "coverage": share, "slots_agree": agrees, "verbatim": same, "start_word": start, "stop_word": stop}
         yield pa.RecordBatch.from_pylist([row], schema=pa.schema(_FOUND))

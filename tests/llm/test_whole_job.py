@@ -41,3 +41,10 @@ def test_op10_finds_arithmetic_items_word_for_word(spark):
     item = "Calculate 144 / 12 + 7 * 3 - 50 % 8"
     assert leaks(spark, item, f"Now: {item}. Next", "Calculate 144 / 12 + 7 * 4 - 50 % 8", "Calculate 144 / 12 - 7 * 3 - 50 % 8") == [1]
     assert leaks(spark, "What is 12 + 35 * 4 - 7?", "so what is 12 + 35 * 4 - 7 then", "what is 12 + 35") == [1]
+
+
+def test_op10_finds_renamed_items(spark):
+    item = "Natalia sold 48 clips to her friends in April. Natalia then sold half as many clips in May. How many clips did Natalia sell in all?"
+    longer = item.replace("Natalia", "Mary Ann")
+    other = "Alice sold 48 clips to no one and then went home in May."
+    assert leaks(spark, item, item.replace("Natalia", "Alice"), f"x. {longer}", other) == [1, 2]
