@@ -6,7 +6,7 @@ that every key takes the hot-key path (runs, stitching, chunked copies).
 
 import pytest
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from oracle_compare import compare
 from refillscope.plans import catalog
 

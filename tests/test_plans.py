@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from refillscope.operators import intervals as iv
 from refillscope.plans import catalog
 from scan_helpers import hot_options

@@ -13,7 +13,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from tables import SF_ORACLE
 from oracle_compare import normalise
 from refillscope.operators import intervals as iv
 from refillscope.operators import summary as sm
