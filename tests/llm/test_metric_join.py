@@ -1,0 +1,98 @@
+"""Operator 12 against all pairs."""
+
+import math
+
+import numpy as np
+import pytest
+
+from llm_helpers import as_rows
+from refillscope.llm import metric_join as mj
+
+SCHEMA = "vec_id long, embedding array<float>"
+COLUMNS = ("vec_id", "n_links", "component_id", "kept")
+
+
+def brute_force(rows, threshold=0.9):
+    good = [k for k, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    links, parent = [0] * len(rows), {i: i for i, _ in rows}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    if good:
+        width = max(len(rows[k][1]) for k in good)
+        points = np.array([[*np.float32(rows[k][1]), *[0] * (width - len(rows[k][1]))] for k in good], dtype=np.float64)
+        points /= np.linalg.norm(points, axis=1)[:, None]
+        near = points @ points.T >= threshold
+        for a, b in zip(*np.nonzero(np.triu(near, 1))):
+            links[good[a]] += 1
+            links[good[b]] += 1
+            x, y = top(rows[good[a]][0]), top(rows[good[b]][0])
+            parent[max(x, y)] = min(x, y)
+    found = [(i, n, top(i) if i is not None else None) for (i, _), n in zip(rows, links)]
+    return sorted([(i, n, c, i is None or i == c) for i, n, c in found], key=repr)
+
+
+def joined(spark, rows, **options):
+    return as_rows(mj.cosine_components(spark.createDataFrame(rows, SCHEMA), **options), *COLUMNS)
+
+
+def clusters(seed, groups, dims, noise):
+    rng = np.random.default_rng(seed)
+    out = []
+    for size in groups:
+        centre = rng.normal(size=dims)
+        out += (centre / np.linalg.norm(centre) + rng.normal(size=(size, dims)) * noise).tolist()
+    order = rng.permutation(len(out))
+    return [(int(i), [float(np.float32(x)) for x in out[k]]) for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize(("dims", "noise"), [(3, 0.15), (8, 0.08), (16, 0.09)])
+def test_against_brute_force(spark, monkeypatch, dims, noise):
+    monkeypatch.setattr(mj, "CELL_VECTORS", 40)
+    monkeypatch.setattr(mj, "BLOCK_VECTORS", 64)
+    rows = clusters(dims, [150, 40, 20, 8, 3, *[1] * 120], dims, noise)
+    want = brute_force(rows)
+    assert len({r[2] for r in want}) > 10 and joined(spark, rows) == want
+
+
+def test_a_dense_group_is_counted_without_comparing(spark, monkeypatch):
+    compared = []
+    kept = mj.Layout.__init__
+
+    def watched(self, *args):
+        kept(self, *args)
+        compared.append(int(self.spans[:, 1::2].sum() - self.spans[:, ::2].sum()))
+
+    monkeypatch.setattr(mj.Layout, "__init__", watched)
+    monkeypatch.setattr(mj, "BLOCK_VECTORS", 64)
+    rows = clusters(1, [600], 32, 0.005)
+    assert joined(spark, rows) == brute_force(rows) and compared == [0]
+
+
+def test_hot_copies_and_chains(spark, monkeypatch):
+    monkeypatch.setattr(mj, "CELL_VECTORS", 50)
+    chain = [(1000 + k, [math.cos(k * 0.4), math.sin(k * 0.4)]) for k in range(14)]
+    rows = clusters(2, [60, *[1] * 60], 2, 0.2) + [(200 + k, [0.3, -0.7]) for k in range(150)] + chain
+    assert joined(spark, rows) == brute_force(rows)
+
+
+def test_edge_cases(spark):
+    nan = float("nan")
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [nan, 1.0]), (6, [1.0, 0.0]), (7, [2.0]), (7, [2.0]), (8, [1e-30, 1e-31]),
+        (9, [1e30, 1e29]), (None, [1.0, 0.0]), (10, [0.0, -1.0]), (6, [0.0, -3.0]), (-5, [-1.0, 0.0]), (11, [float("inf"), 0.0]),
+    ]
+    assert joined(spark, rows) == brute_force(rows)
+    assert joined(spark, []) == [] and joined(spark, [(1, None)]) == [(1, 0, 1, True)]
+    doubles = spark.createDataFrame([(1, [1.0, 1e-9]), (2, [1.0, 0.0])], "vec_id long, embedding array<double>").selectExpr("*", "1 as node", "2 as lo", "3 as n_links")
+    assert as_rows(mj.cosine_components(doubles), *COLUMNS) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
+def test_linked_unites_what_first_partners_do_not():
+    """Each row's and each column's first partner alone would leave two sets."""
+    left, right = np.array([[1, 0, 0.7], [0, 1, 0.7]]), np.array([[1, 0, 0], [0, 1, 0], [0.5, 0.5, 0.5]])
+    counts, root = mj.linked(left, right, np.array([1, 2]), np.array([1, 1, 5]), 0.8)
+    assert counts.tolist() == [6, 6, 1, 2, 3] and len(set(root.tolist())) == 1

@@ -62,7 +62,7 @@ def test_registered():
 
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE_SQL) <= set(oracle_sql()) and [n for n, _ in cp.STAGES][-1] == "packing"
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in queries() if q.startswith(f"op{n}_")]) == 1
 
 
