@@ -171,6 +171,35 @@ def ordered_scan(
     - ``_before``: number of input rows of the key before the chunk.
     """
     keys, carry = list(keys), tuple(carry)
+    rows, hot_chunks = cut_runs(df, keys, ts, qty, hot=hot, rows_per_run=rows_per_run, chunk_rows=chunk_rows, carry=carry)
+    if hot_chunks is None:
+        return Scan(_pair_with_predecessor(rows, None, keys, ts, qty, carry), None, None, carry)
+    stitch = _stitch_table(hot_chunks, keys, ts, qty)
+    return Scan(
+        _pair_with_predecessor(rows, stitch, keys, ts, qty, carry),
+        hot.table,
+        _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty, carry),
+        carry,
+    )
+
+
+def cut_runs(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    qty: str,
+    *,
+    hot: HotKeys | None = None,
+    rows_per_run: int = DEFAULT_ROWS_PER_RUN,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    carry: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame | None]:
+    """Chunk rows ``keys, ts, qty, carry, _run, _chunk, _len`` of all keys, and those of the hot keys alone.
+
+    A row of an ordinary key is a chunk of its own, in the key's only run. Without hot keys
+    the second frame is None. ``qty`` may be of any type that can be ordered, also a struct.
+    """
+    keys, carry = list(keys), tuple(carry)
     rows = df.select(*keys, ts, qty, *carry)
 
     def plain(own: DataFrame) -> DataFrame:
@@ -178,19 +207,32 @@ def ordered_scan(
         return own.select(*[own[c] for c in (*keys, ts, qty, *carry)], F.expr(_NO_RUN).alias("_run"), *one)
 
     if hot is None:
-        return Scan(_pair_with_predecessor(plain(rows), None, keys, ts, qty, carry), None, None, carry)
-
+        return plain(rows), None
     table = small(hot.table.select(*keys), hot.count)
     ordinary = plain(rows.join(table, same(rows, hot.table, keys), "left_anti"))
     hot_rows = rows.join(table, same(rows, hot.table, keys), "left_semi")
     hot_chunks = _hot_runs(hot_rows, keys, ts, qty, int(rows_per_run), chunk_rows, carry)
-    stitch = _stitch_table(hot_chunks, keys, ts, qty)
-    return Scan(
-        _pair_with_predecessor(ordinary.unionByName(hot_chunks), stitch, keys, ts, qty, carry),
-        hot.table,
-        _pair_with_predecessor(hot_chunks, stitch, keys, ts, qty, carry),
-        carry,
-    )
+    return ordinary.unionByName(hot_chunks), hot_chunks
+
+
+def from_earlier_runs(
+    rows: DataFrame, hot_rows: DataFrame | None, keys: Sequence[str], totals: dict[str, Column]
+) -> DataFrame:
+    """``rows`` with what the earlier runs of each row's key leave behind, by name; null in a key's first run.
+
+    ``totals`` has, by name, an aggregate of the rows of a run; over the earlier runs the
+    greatest of them is taken, so it has to be one that a later run does not lower.
+    """
+    keys = list(keys)
+    if hot_rows is None:
+        empty = rows.groupBy().agg(*[t.alias(n) for n, t in totals.items()]).schema
+        return rows.select("*", *[F.lit(None).cast(empty[n].dataType).alias(n) for n in totals])
+    # One row per hot run; whether that is small enough to be broadcast is left to Spark.
+    each = hot_rows.groupBy(*keys, "_run").agg(*[t.alias(n) for n, t in totals.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    stitch = materialise(each.select(*keys, "_run", *[F.max(n).over(earlier).alias(n) for n in totals]), "hot-stitch")
+    joined = rows.join(stitch, same(rows, stitch, [*keys, "_run"]), "left")
+    return joined.select(*[rows[c] for c in rows.columns], *[stitch[n] for n in totals])
 
 
 def _hot_runs(

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refillscope.operators import adherence as adh
+from refillscope.operators import asof
+from refillscope.operators import coverage as cov
+from refillscope.operators import cube
 from refillscope.operators import intervals as iv
+from refillscope.operators import ranking, reconcile
 from refillscope.operators import summary as sm
 from refillscope.schema import DEMOGRAPHIC_COLUMNS
 from refillscope.operators.ordered_scan import DEFAULT_ROWS_PER_RUN, find_hot_keys
@@ -23,6 +27,7 @@ from refillscope.sources.testtables import (
     TEST_PRODUCT_TYPES,
     dispensing_as_text,
     dispensing_from_tables,
+    dispensing_redelivered,
     events_as_deliveries,
     table,
     tables_product_dimension,
@@ -37,13 +42,13 @@ KEYS = ["prod", "patient_id"]
 SCAN_OPTIONS: dict = {}
 
 
-def scan_options(spark: SparkSession, sf_dir: str, deliveries: DataFrame, rows_of: str = "lineitem") -> dict:
+def scan_options(spark: SparkSession, sf_dir: str, deliveries: DataFrame, rows_of: str = "lineitem", times: int = 1) -> dict:
     """Options of a scan of ``deliveries``, with the hot keys of its input.
 
-    No key has more rows than the table that the deliveries are lines of. Its row count comes
+    No key has more rows than the table (or ``times`` it) that the deliveries are lines of. Its row count comes
     from the Parquet footers; only beyond ``rows_per_run`` are the keys themselves counted.
     """
-    most = table(spark, sf_dir, rows_of).count()
+    most = times * table(spark, sf_dir, rows_of).count()
     rows_per_run = SCAN_OPTIONS.get("rows_per_run", DEFAULT_ROWS_PER_RUN)
     return {**SCAN_OPTIONS, "hot": find_hot_keys(deliveries, KEYS, rows_per_run, most)}
 
@@ -187,6 +192,83 @@ def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iv.delivery_intervals(events, KEYS, **scan_options(spark, sf_dir, events, "events"))
 
 
+def _supply_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    therapy = therapy_typed(spark, sf_dir)
+    options = scan_options(spark, sf_dir, therapy)
+    options.pop("chunk_rows", None)
+    return cov.supply_timeline(therapy, KEYS, **options)
+
+
+def days_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval union: days covered by overlapping supplies per key, and the gaps between them."""
+    return cov.days_covered(_supply_timeline(spark, sf_dir), KEYS)
+
+
+def supply_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval union: the stretches of covered days of each key."""
+    return cov.supply_stretches(_supply_timeline(spark, sf_dir), KEYS)
+
+
+def _in_force(spark: SparkSession, sf_dir: str, inclusive: bool) -> DataFrame:
+    tagged = asof.tagged_rows(product_filter(spark, sf_dir), therapy_typed(spark, sf_dir), KEYS, inclusive=inclusive)
+    return asof.therapy_in_force(tagged, KEYS, **scan_options(spark, sf_dir, tagged, times=2))
+
+
+def therapy_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As-of join: every delivery with the latest therapy row up to its time."""
+    return _in_force(spark, sf_dir, inclusive=True)
+
+
+def therapy_before_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As-of join: every delivery with the latest therapy row of an earlier time, and the days its supply fell short."""
+    return _in_force(spark, sf_dir, inclusive=False)
+
+
+def trailing_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range frame: therapy days of the 90 days up to each delivery day, per key."""
+    return ranking.trailing_supply(therapy_typed(spark, sf_dir), KEYS)
+
+
+def coverage_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-tiles: each product's patients in quartiles by their share of days covered."""
+    covered = days_covered(spark, sf_dir).select(*KEYS, "covered_pct")
+    return ranking.n_tiles(covered, ["prod"], ["covered_pct", "patient_id"], 4, "quartile")
+
+
+def top_late_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k: the ten patients of each product with the most late pickups."""
+    order = [F.desc("late"), F.desc("mean_days"), F.asc("patient_id")]
+    return ranking.top_rows(delivery_measures(spark, sf_dir), ["prod"], order, 10)
+
+
+def adherence_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cube: late pickups and adherence by product, health unit and sex, with all totals."""
+    return cube.adherence_cube(adherence(spark, sf_dir))
+
+
+LINE_COLUMNS = ["patient_id", "prod", "dispensed_at", "qty", "health_unit"]
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The text extract as ingested, and its second version."""
+    return dispensing_text_typed(spark, sf_dir).select(*LINE_COLUMNS), dispensing_redelivered(spark, sf_dir)
+
+
+def extract_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bag difference: lines that two versions of the extract hold in different numbers."""
+    return reconcile.line_changes(*_versions(spark, sf_dir), LINE_COLUMNS)
+
+
+def extract_change_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Added, removed and changed lines of two versions by patient, product and day."""
+    return reconcile.line_report(extract_changes(spark, sf_dir), LINE_COLUMNS[:3])
+
+
+def extract_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients and products that both versions hold, or only one."""
+    return reconcile.key_presence(*_versions(spark, sf_dir), ["prod", "patient_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dispensing_typed": dispensing_typed,
     "product_filter": product_filter,
@@ -211,4 +293,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dispensing_text_typed": dispensing_text_typed,
     "therapy_text_typed": therapy_text_typed,
     "ingest_rejects": ingest_rejects,
+    "days_covered": days_covered,
+    "supply_stretches": supply_stretches,
+    "therapy_in_force": therapy_in_force,
+    "therapy_before_delivery": therapy_before_delivery,
+    "trailing_supply": trailing_supply,
+    "coverage_quartiles": coverage_quartiles,
+    "top_late_patients": top_late_patients,
+    "adherence_cube": adherence_cube,
+    "extract_changes": extract_changes,
+    "extract_change_report": extract_change_report,
+    "extract_patients": extract_patients,
 }

@@ -182,7 +182,115 @@ raw AS (
     FROM lines
 )"""
 
+# Every supplied day as a row of its own, then islands of consecutive days.
+_COVERED = """
+supply AS (SELECT prod, patient_id, CAST(dispensed_at AS DATE) AS from_day, CAST(therapy_days AS BIGINT) AS days FROM therapy WHERE therapy_days > 0),
+covered AS (SELECT DISTINCT prod, patient_id, from_day + CAST(unnest(range(days)) AS INTEGER) AS day FROM supply),
+numbered AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY prod, patient_id ORDER BY day) AS INTEGER) AS island FROM covered),
+islands AS (
+    SELECT prod, patient_id, min(day) AS from_day, max(day) AS to_day, count(*) AS days
+    FROM numbered GROUP BY prod, patient_id, island
+),
+stretches AS (
+    SELECT *, coalesce(from_day - lag(to_day) OVER (PARTITION BY prod, patient_id ORDER BY from_day) - 1, 0) AS gap_before
+    FROM islands
+)"""
+
+
+_DAYS_COVERED = (
+    _with(_THERAPY, _COVERED)
+    + """, supplied AS (SELECT prod, patient_id, sum(days) AS days FROM supply GROUP BY prod, patient_id),
+per_key AS (
+    SELECT prod, patient_id, min(from_day) AS first_day, max(to_day) + 1 - min(from_day) AS span, sum(days) AS covered,
+           sum(gap_before) AS gap_days, count(*) FILTER (gap_before > 0) AS gaps, max(gap_before) AS longest
+    FROM stretches GROUP BY prod, patient_id
+),
+totals AS (
+    SELECT p.prod, p.patient_id, p.first_day, CAST(span AS DOUBLE) AS span_days, CAST(covered AS DOUBLE) AS covered_days,
+           CAST(s.days AS DOUBLE) AS supplied_days, CAST(s.days - covered AS DOUBLE) AS overlap_days,
+           CAST(gap_days AS DOUBLE) AS gap_days, gaps, CAST(longest AS DOUBLE) AS longest_gap,
+           round(CAST(covered AS DOUBLE) / CAST(span AS DOUBLE) * 100, 2) AS covered_pct
+    FROM per_key p JOIN supplied s ON p.prod = s.prod AND p.patient_id = s.patient_id
+)
+"""
+)
+
+# Both versions of the text extract.
+_VERSIONS = """
+old AS (
+    SELECT CAST(o_custkey AS VARCHAR) AS patient_id, l_partkey AS prod, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dispensed_at,
+           CAST(l_quantity AS DOUBLE) AS qty, p_brand AS health_unit FROM raw WHERE reason IS NULL
+),
+new AS (
+    SELECT CAST(o_custkey AS VARCHAR) AS patient_id, l_partkey AS prod, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dispensed_at,
+           least(CAST(l_quantity AS DOUBLE), 45.0) AS qty, p_brand AS health_unit FROM raw WHERE k % 71 <> 0
+),
+changes AS (
+    SELECT *, 'added' AS change, count(*) AS copies FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old) GROUP BY ALL
+    UNION ALL
+    SELECT *, 'removed' AS change, count(*) AS copies FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new) GROUP BY ALL
+)"""
+
+
+def _in_force(compare: str) -> str:
+    return (
+        _with(_BASE, _DISP, _THERAPY)
+        + f""", latest AS (
+    SELECT prod, patient_id, dispensed_at AS therapy_at, max(therapy_days) AS therapy_days FROM therapy GROUP BY prod, patient_id, dispensed_at
+)
+SELECT d.prod, d.patient_id, d.dispensed_at, d.qty, t.therapy_at, t.therapy_days,
+       date_sub('day', t.therapy_at, d.dispensed_at) AS days_since,
+       CASE WHEN t.therapy_days IS NOT NULL
+            THEN greatest(0.0, date_sub('day', t.therapy_at, d.dispensed_at) - t.therapy_days) END AS uncovered_days
+FROM disp d ASOF LEFT JOIN latest t
+  ON d.prod = t.prod AND d.patient_id = t.patient_id AND d.dispensed_at {compare} t.therapy_at"""
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
+    "days_covered": _DAYS_COVERED + "SELECT * FROM totals",
+    "supply_stretches": _with(_THERAPY, _COVERED)
+    + """SELECT t.prod, t.patient_id, t.from_day, CAST(any_value(t.days) AS DOUBLE) AS covered_days,
+       CAST(sum(s.days) AS DOUBLE) AS supplied_days, count(*) AS supplies, CAST(any_value(t.gap_before) AS DOUBLE) AS gap_before
+FROM stretches t JOIN supply s ON t.prod = s.prod AND t.patient_id = s.patient_id AND s.from_day BETWEEN t.from_day AND t.to_day
+GROUP BY t.prod, t.patient_id, t.from_day""",
+    "trailing_supply": _with(_THERAPY)
+    + """, per_day AS (
+    SELECT prod, patient_id, CAST(dispensed_at AS DATE) AS day, count(*) AS rows, sum(therapy_days) AS day_supply FROM therapy GROUP BY ALL
+)
+SELECT a.prod, a.patient_id, a.day, a.rows, a.day_supply, CAST(sum(b.rows) AS BIGINT) AS trailing_rows, sum(b.day_supply) AS trailing_supply
+FROM per_day a JOIN per_day b ON a.prod = b.prod AND a.patient_id = b.patient_id AND b.day BETWEEN a.day - 89 AND a.day
+GROUP BY a.prod, a.patient_id, a.day, a.rows, a.day_supply""",
+    "coverage_quartiles": _DAYS_COVERED
+    + """SELECT prod, patient_id, covered_pct, row_number() OVER w AS rank, count(*) OVER (PARTITION BY prod) AS group_rows,
+       CAST(ntile(4) OVER w AS INTEGER) AS quartile
+FROM totals WINDOW w AS (PARTITION BY prod ORDER BY covered_pct, patient_id)""",
+    "top_late_patients": _with(_BASE, _DISP, _intervals("disp"), _ND, _MEASURES)
+    + """SELECT m.prod, m.patient_id, m.mean_days, m.deliveries, l.late, CAST(row_number() OVER w AS INTEGER) AS place
+FROM means m JOIN late l ON m.prod = l.prod AND m.patient_id = l.patient_id
+WINDOW w AS (PARTITION BY m.prod ORDER BY l.late DESC, m.mean_days DESC, m.patient_id) QUALIFY place <= 10""",
+    "adherence_cube": _with(*_SUMMARY_CHAIN, _THERAPY, _ADHERENCE)
+    + """SELECT prod, health_unit, sex, grouping(prod, health_unit, sex) AS level, count(*) AS patients,
+       CAST(sum(deliveries) AS BIGINT) AS deliveries, CAST(sum(late) AS BIGINT) AS late,
+       round(CAST(sum(late) AS DOUBLE) / sum(deliveries) * 100, 2) AS late_pct,
+       CASE WHEN sum(denominator_days) <> 0 THEN round(sum(therapy_days_total) / sum(denominator_days) * 100, 2) END AS adherence_pct
+FROM adherence GROUP BY CUBE (prod, health_unit, sex)""",
+    "extract_changes": _with(_TEXT, _VERSIONS) + "SELECT * FROM changes",
+    "extract_change_report": _with(_TEXT, _VERSIONS)
+    + """, sides AS (
+    SELECT patient_id, prod, dispensed_at, coalesce(sum(copies) FILTER (change = 'added'), 0) AS came,
+           coalesce(sum(copies) FILTER (change = 'removed'), 0) AS went
+    FROM changes GROUP BY ALL
+)
+SELECT patient_id, prod, dispensed_at, CAST(greatest(came - went, 0) AS BIGINT) AS added,
+       CAST(greatest(went - came, 0) AS BIGINT) AS removed, CAST(least(came, went) AS BIGINT) AS changed FROM sides""",
+    "extract_patients": _with(_TEXT, _VERSIONS)
+    + """SELECT coalesce(o.prod, n.prod) AS prod, coalesce(o.patient_id, n.patient_id) AS patient_id, coalesce(o.lines, 0) AS old_lines,
+       coalesce(n.lines, 0) AS new_lines, CASE WHEN o.lines IS NULL THEN 'only_new' WHEN n.lines IS NULL THEN 'only_old' ELSE 'both' END AS presence
+FROM (SELECT prod, patient_id, count(*) AS lines FROM old GROUP BY ALL) o
+FULL JOIN (SELECT prod, patient_id, count(*) AS lines FROM new GROUP BY ALL) n ON o.prod = n.prod AND o.patient_id = n.patient_id""",
+    "therapy_in_force": _in_force(">="),
+    "therapy_before_delivery": _in_force(">"),
     "dispensing_text_typed": _with(_TEXT)
     + "SELECT CAST(o_custkey AS VARCHAR) AS patient_id, l_partkey AS prod, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS dispensed_at, "
     "CAST(l_quantity AS DOUBLE) AS qty, CAST(NULL AS VARCHAR) AS sex, CAST(NULL AS VARCHAR) AS birth_date, "

@@ -118,6 +118,21 @@ def therapy_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(*_text_keys(), number.alias("therapy_days"))
 
 
+# What the second version of the text extract withdraws and corrects.
+WITHDRAWN, MOST_QUANTITY = 71, 45
+
+
+def dispensing_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second version of the text extract, typed: no row is unusable, some orders are withdrawn, large quantities corrected."""
+    return _lines(spark, sf_dir).where(~_bad(WITHDRAWN)).select(
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        F.col("l_partkey").alias("prod"),
+        F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("dispensed_at"),
+        F.least(F.col("l_quantity"), F.lit(float(MOST_QUANTITY))).alias("qty"),
+        F.col("p_brand").alias("health_unit"),
+    )
+
+
 def events_as_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the canonical delivery columns: sub-day timestamps for E1."""
     events = table(spark, sf_dir, "events")
