@@ -70,7 +70,7 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
             change[1:] |= c[1:] != c[:-1]
         starts = np.flatnonzero(change).tolist()
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-            key = tuple(c[a].item() for c in columns)
+            key = tuple(c[a] if c.dtype == object else c[a].item() for c in columns)
             if key != at:
                 if held:
                     yield at, held

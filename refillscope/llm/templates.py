@@ -8,6 +8,8 @@ are then aligned, and the slots must be consistent: along an alignment a value o
 always stands for the same value of the document and the other way round. So copies are
 caught word by word, and so are questions that were only given other numbers or names.
 Every text is read in several ways (``readings``), and a match in one of them is enough.
+Documents are read in batches (``_Batch``): a table knows each token once, and the readings
+and their window hashes are array operations on token numbers.
 
 The map tasks pass on only windows whose hash is in a bounded bitmap of the benchmark's;
 the join that follows is exact.
@@ -15,8 +17,11 @@ the join that follows is exact.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +50,10 @@ UNIT_WORDS = frozenset(
 TEMPLATE, CASELESS, LITERAL, RENAMED = range(4)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
-_TOKEN = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*|[%$€£]|°[cfCF]\b|[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?]+|\n")
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?]+|\n|[+-]?\d+(?:[.,:/]\d+)*|[%$€£]|°[cfCF]\b")
+# Stretches that a task remembers, and documents that are read together.
+_REMEMBERED = 150_000
+_STEP = 200
 _SIGNS = frozenset("+-*/=<>^×÷−")
 _DIGIT = re.compile(r"[+-]?\d")
 
@@ -113,27 +121,23 @@ def readings(text: str | None) -> dict[int, tuple[list[str], list[str], list[int
     return found
 
 
-_WORD_HASH: dict[str, int] = {}
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    if len(_WORD_HASH) > 1_000_000:
-        _WORD_HASH.clear()
-    for w in set(words).difference(_WORD_HASH):
-        _WORD_HASH[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-    return np.fromiter(map(_WORD_HASH.__getitem__, words), dtype=np.uint64, count=len(words))
+def _rolled(hashes: np.ndarray, width: int, reading: int) -> np.ndarray:
+    """Hash of each window of ``width`` word hashes."""
+    rolled = np.zeros(len(hashes) - width + 1, dtype=np.uint64)
+    for k in range(width):
+        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - width + 1 + k]
+    return mix(rolled + np.uint64(width + (reading << 32))).view(np.int64)
 
 
 def window_hashes(words: list[str], width: int, reading: int = TEMPLATE) -> np.ndarray:
     """Hash of each window of ``width`` template words; of all words if there are fewer."""
     if not words:
         return np.zeros(0, dtype=np.int64)
-    hashes = _hashes(words)
-    width = min(width, len(words))
-    rolled = np.zeros(len(words) - width + 1, dtype=np.uint64)
-    for k in range(width):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(words) - width + 1 + k]
-    return mix(rolled + np.uint64(width + (reading << 32))).view(np.int64)
+    return _rolled(np.array([_hash(w) for w in words], dtype=np.uint64), min(width, len(words)), reading)
 
 
 def _plain_enough(values: list[str], width: int) -> np.ndarray:
@@ -183,39 +187,146 @@ def _item_windows(width: int):
     return run
 
 
+class _Tokens(dict):
+    """Numbers of the tokens of each stretch between blanks; by number, the token, its kind, capital letter and word hash."""
+
+    WORD, NUMBER, UNIT, BREAK = range(4)
+
+    def __init__(self):
+        super().__init__()
+        self._number: dict[str, int] = {}
+        self.names: list[str] = []
+        self.kind, self.upper, self.hash = array("b"), array("b"), array("Q")
+
+    def __missing__(self, stretch: str) -> tuple[int, ...]:
+        if stretch.isalpha():
+            numbers = (self._of(stretch),)
+        else:
+            numbers = tuple([self._of(token) for token in _TOKEN.findall(stretch)])
+        self[stretch] = numbers
+        return numbers
+
+    def _of(self, token: str) -> int:
+        at = self._number.get(token)
+        if at is not None:
+            return at
+        at = self._number[token] = len(self.names)
+        self.names.append(token)
+        lower = token.lower()
+        if token[0] in ".!?\n":
+            kind, value = self.BREAK, 0
+        elif _DIGIT.match(token):
+            kind, value = self.NUMBER, _hash(NUMBER)
+        elif lower in UNIT_WORDS:
+            kind, value = self.UNIT, _hash(UNIT)
+        else:
+            kind, value = self.WORD, _hash(lower)
+        self.kind.append(kind)
+        self.upper.append(token[0].isupper())
+        self.hash.append(value)
+        return at
+
+
+class _Batch:
+    """The readings of several texts, one text after the other: word hashes, and the text of each word."""
+
+    def __init__(self, texts: list[str | None], tokens: _Tokens):
+        # No token holds a blank, and a line end is one of its own.
+        found = [list(chain.from_iterable(map(tokens.__getitem__, t.replace("\n", " \n ").split(" ")))) if t else [] for t in texts]
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        self.ids, self.names = ids, tokens.names
+        kinds, uppers, values = np.array(tokens.kind), np.array(tokens.upper).astype(bool), np.array(tokens.hash, dtype=np.uint64)
+        text = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        kind = kinds[ids]
+        begins = np.ones(len(ids), bool)
+        begins[1:] = (text[1:] != text[:-1]) | (kind[:-1] == tokens.BREAK)
+        #: The token of each template word.
+        self.token = np.flatnonzero(kind != tokens.BREAK)
+        kind, upper, begins, text = kind[self.token], uppers[ids[self.token]], begins[self.token], text[self.token]
+        hashes = values[ids[self.token]]
+        name = (kind == tokens.WORD) & upper & ~begins
+        self.slot = {CASELESS: kind != tokens.WORD}
+        self.slot[TEMPLATE] = self.slot[CASELESS] | name
+        named = np.uint64(_hash(NAME))
+        renamed = name | (kind == tokens.WORD) & upper
+        goes_on = np.zeros(len(kind), bool)
+        goes_on[1:] = renamed[1:] & ~(begins & upper)[1:] & renamed[:-1] & (text[1:] == text[:-1])
+        kept = np.flatnonzero(~goes_on)
+        whole = np.arange(len(kind))
+        self.slot[RENAMED] = self.slot[CASELESS] | renamed
+        #: Of each reading: the hash, the text and the template word of each word.
+        self.words = {
+            TEMPLATE: (np.where(name, named, hashes), text, whole),
+            CASELESS: (hashes, text, whole),
+            RENAMED: (np.where(renamed, named, hashes)[kept], text[kept], kept),
+        }
+        self.first = np.searchsorted(text, np.arange(len(texts)))
+
+    def hits(self, reading: int, size: int, bitmap: np.ndarray) -> Iterator[tuple[int, int, int, list[str], list[int]]]:
+        """Windows in the bitmap: hash, text, first word, slot values, and places in the template."""
+        hashes, text, place = self.words[reading]
+        if len(hashes) < size:
+            return
+        windows = _rolled(hashes, size, reading)
+        inside = text[: len(windows)] == text[size - 1 :]
+        ends = np.append(place[1:], len(self.token))
+        for at in np.flatnonzero(inside & in_bitmap(bitmap, windows)).tolist():
+            own = int(text[at])
+            values = [
+                " ".join(self.names[self.ids[self.token[k]]].lower() for k in range(place[w], ends[w] if reading == RENAMED else place[w] + 1))
+                if self.slot[reading][place[w]]
+                else ""
+                for w in range(at, at + size)
+            ]
+            start = int(np.searchsorted(text, own))
+            yield int(windows[at]), own, at - start, values, (place[at : at + size] - self.first[own]).tolist()
+
+
+def _literal_hits(texts: list[str | None], size: int, bitmap: np.ndarray) -> Iterator[tuple[int, int, int, list[str], list[int]]]:
+    for own, text in enumerate(texts):
+        words, values, places = readings(text)[LITERAL]
+        if size <= len(words):
+            hashes = window_hashes(words, size, LITERAL)
+            for at in np.flatnonzero(in_bitmap(bitmap, hashes)).tolist():
+                yield int(hashes[at]), own, at, values[at : at + size], places[at : at + size]
+
+
 def _doc_windows(sizes: list[tuple[int, int]], bitmap: Broadcast):
     """Windows of documents that are in the bitmap, of each ``(reading, size)`` that the items have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if not text or doc is None:
-                    continue
-                views = readings(text)
+        tokens = _Tokens()  # lives as long as the task
+        for whole in batches:
+            for at in range(0, whole.num_rows, _STEP):
+                batch = whole.slice(at, _STEP)
+                texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
+                if len(tokens) > _REMEMBERED:
+                    tokens = _Tokens()
+                read, rows, digests = _Batch(texts, tokens), [], {}
                 for reading, size in sizes:
-                    words, values, places = views[reading]
-                    if size <= len(words):
-                        hashes = window_hashes(words, size, reading)
-                        for at in np.flatnonzero(in_bitmap(bitmap.value, hashes)).tolist():
-                            rows.append((int(hashes[at]), doc, at, values[at : at + size], reading, places[at : at + size]))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["hash", "doc_id", "at", "doc_values", "reading", "spots"]
-            )
+                    found = _literal_hits(texts, size, bitmap.value) if reading == LITERAL else read.hits(reading, size, bitmap.value)
+                    for key, own, first, values, spots in found:
+                        if own not in digests:
+                            digests[own] = hashlib.md5(texts[own].encode("utf-8", "surrogatepass")).hexdigest()
+                        rows.append((key, ids[own].as_py(), digests[own], first, values, reading, spots))
+                columns = list(zip(*rows, strict=True)) if rows else [()] * 7
+                types = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.list_(pa.int32()))
+                names = ["hash", "doc_id", "digest", "at", "doc_values", "reading", "spots"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return run
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each document and item the reading and alignment with the largest share of windows whose slots agree."""
-    for (doc, item), pieces in runs_of(batches, ("doc_id", "item_id")):
+def _align(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """For each text and item the reading and alignment with the largest share of windows whose slots agree."""
+    for (digest, item), pieces in runs_of(batches, ("digest", "item_id")):
         alignments: dict[tuple[int, int], dict[int, tuple]] = {}
         windows, spots = {}, {}
+        ids = set()
         for piece in pieces:
             for row in piece.to_pylist():
                 reading = row["reading"]
+                ids.add(row["doc_id"])
                 windows[reading] = row["windows"]
                 spots.setdefault(reading, {}).update(enumerate(row["spots"], row["at"]))
                 alignments.setdefault((reading, row["at"] - row["place"]), {})[row["place"]] = (row["item_values"], row["doc_values"])
@@ -234,7 +345,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # Words put in or left out shift what follows: alignments that go on from each other add up.
             total, parts, at, base = 0, 0, {}, None
             for entry, own, shift, n, more in judged:
-                if own != reading or not entry[0] or base is not None and abs(shift - base) > DEFAULT_WINDOW or at.keys() & more.keys():
+                if own != reading or not entry[0] or base is not None and abs(shift - base) > width or at.keys() & more.keys():
                     continue
                 joint = dict(sorted((at | more).items()))
                 order = [x[0] for x in joint.values()]
@@ -243,8 +354,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if parts > 1:
                 best = max(best, _judged(reading, base, total, windows[reading], at, spots[reading]))
         agrees, share, _, same, _, n, start, stop = best
-        row = {"doc_id": doc, "item_id": item, "windows": n, "coverage": share, "slots_agree": agrees, "verbatim": same, "start_word": start, "stop_word": stop}
-        yield pa.RecordBatch.from_pylist([row], schema=pa.schema(_FOUND))
+        row = {"item_id": item, "windows": n, "coverage": share, "slots_agree": agrees, "verbatim": same, "start_word": start, "stop_word": stop}
+        yield pa.RecordBatch.from_pylist([{"doc_id": i, "digest": digest, **row} for i in ids], schema=pa.schema(_FOUND))
 
 
 def _judged(reading: int, shift: int, found: int, windows: int, at: dict[int, tuple], spots: dict[int, int]) -> tuple:
@@ -254,10 +365,28 @@ def _judged(reading: int, shift: int, found: int, windows: int, at: dict[int, tu
 
 
 _FOUND = [
-    ("doc_id", pa.int64()), ("item_id", pa.int64()), ("windows", pa.int32()), ("coverage", pa.float64()),
+    ("doc_id", pa.int64()), ("digest", pa.string()), ("item_id", pa.int64()), ("windows", pa.int32()), ("coverage", pa.float64()),
     ("slots_agree", pa.bool_()), ("verbatim", pa.bool_()), ("start_word", pa.int32()), ("stop_word", pa.int32()),
 ]
-_FOUND_SCHEMA = "doc_id long, item_id long, windows int, coverage double, slots_agree boolean, verbatim boolean, start_word int, stop_word int"
+_FOUND_SCHEMA = "doc_id long, digest string, item_id long, windows int, coverage double, slots_agree boolean, verbatim boolean, start_word int, stop_word int"
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, width: int, coverage: float) -> DataFrame:
+    """Texts that hold an item, by their MD5 digest, with the ids of their documents (null ids too)."""
+    spark = docs.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = items.mapInArrow(_item_windows(width), "hash long, item_id long, place int, windows int, item_values array<string>, reading int")
+    items = materialise(items, "item-windows")
+    # The full width and those of short items: no more than the window is wide, in each reading.
+    sizes = sorted(tuple(r) for r in items.select("reading", F.size("item_values").alias("n")).distinct().collect())
+    bitmap = membership_bitmap(items, "hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "hash long, doc_id long, digest string, at int, doc_values array<string>, reading int, spots array<int>"
+    found = texts.mapInArrow(_doc_windows(sizes, bitmap), schema)
+    matches = found.join(items, ["hash", "reading"]).where(F.size("doc_values") == F.size("item_values"))
+    matches = matches.repartition(partitions(spark), "digest", "item_id").sortWithinPartitions("digest", "item_id")
+    pairs = matches.mapInArrow(lambda batches: _align(batches, width), _FOUND_SCHEMA)
+    return pairs.where(F.col("slots_agree") & (F.col("coverage") >= coverage))
 
 
 def contaminated(
@@ -272,25 +401,23 @@ def contaminated(
     window is one window of its own length, and one of fewer than ``PLAIN_WORDS`` words has
     to match as a whole. Windows with fewer plain words than ``PLAIN_WORDS`` do not count.
     Reads ``doc_id, text`` and ``item_id, text`` alone; null or empty texts and null ids
-    match nothing; repeated rows count once. Empty inputs give an empty result.
+    match nothing. Each text is judged on its own: repeated rows count once, and of several
+    texts under one ``doc_id`` the best match is told. Empty inputs give an empty result.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = items.mapInArrow(_item_windows(width), "hash long, item_id long, place int, windows int, item_values array<string>, reading int")
-    items = materialise(items, "item-windows")
-    # The full width and those of short items: no more than the window is wide, in each reading.
-    sizes = sorted(tuple(r) for r in items.select("reading", F.size("item_values").alias("n")).distinct().collect())
-    bitmap = membership_bitmap(items, "hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = texts.mapInArrow(_doc_windows(sizes, bitmap), "hash long, doc_id long, at int, doc_values array<string>, reading int, spots array<int>")
-    matches = found.join(items, ["hash", "reading"]).where(F.size("doc_values") == F.size("item_values"))
-    matches = matches.repartition(partitions(spark), "doc_id", "item_id").sortWithinPartitions("doc_id", "item_id")
-    pairs = matches.mapInArrow(_align, _FOUND_SCHEMA)
-    return pairs.where(F.col("slots_agree") & (F.col("coverage") >= coverage))
+    found = _matches(docs, benchmark, width, coverage).where("doc_id is not null")
+    rest = ("windows", "slots_agree", "verbatim", "start_word", "stop_word")
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "digest", *rest)).alias("best"))
+    return best.select("doc_id", "item_id", "best.windows", "best.coverage", *[f"best.{c}" for c in rest[1:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns stay as they are."""
-    gone = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, width: int = DEFAULT_WINDOW, coverage: float = DEFAULT_COVERAGE
+) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item; all columns stay as they are.
+
+    Rows go by their text, so those without an id go too, and a row stays if only another
+    text under its ``doc_id`` holds an item.
+    """
+    gone = _matches(docs, benchmark, width, coverage).select(F.col("digest").alias("_leak")).distinct()
     gone = materialise(gone, "contaminated")
-    return docs.join(gone, docs["doc_id"] == gone["_leak"], "left_anti")
+    return docs.join(gone, F.md5(docs["text"].cast("binary")) == gone["_leak"], "left_anti")

@@ -1,7 +1,28 @@
 """Operator 10 against a brute-force comparison, and re-parameterised questions."""
 
+import random
+
+import numpy as np
+
 from llm_helpers import SF_SMALL, as_rows, documents
-from refillscope.llm.templates import NAME, NUMBER, PLAIN_WORDS, UNIT, consistent, contaminated, decontaminate, template
+from refillscope.llm.templates import (
+    CASELESS,
+    LITERAL,
+    NAME,
+    NUMBER,
+    PLAIN_WORDS,
+    RENAMED,
+    TEMPLATE,
+    UNIT,
+    _Batch,
+    _Tokens,
+    consistent,
+    contaminated,
+    decontaminate,
+    readings,
+    template,
+    window_hashes,
+)
 
 
 def brute_force(docs, items, width=8, coverage=0.8):
@@ -65,3 +86,103 @@ def test_edge_cases(spark):
     assert as_rows(contaminated(documents(spark, []), items)) == []
     assert as_rows(contaminated(docs, benchmark(spark, []))) == []
     assert decontaminate(docs, benchmark(spark, [])).count() == len(rows)
+
+
+def every_reading(docs, items, width=8, coverage=0.8):
+    """Pairs that a single alignment of some reading finds, by all shifts."""
+    pairs = set()
+    for item, text in items:
+        views, any_window = readings(text), False
+        for reading in (TEMPLATE, CASELESS, LITERAL, RENAMED):
+            own, own_values, _ = views[reading]
+            size = min(width, len(own))
+            spots = [k for k in range(len(own) - size + 1) if size and sum(v == "" for v in own_values[k : k + size]) >= min(PLAIN_WORDS, size)]
+            if reading == LITERAL and any_window:
+                continue
+            if reading == RENAMED and (len(own) < width or 2 * len(spots) < len(own) - size + 1):
+                continue
+            any_window |= bool(spots)
+            for doc, whole in docs:
+                words, values, _ = readings(whole)[reading]
+                for shift in range(-len(own), len(words)):
+                    hit = [k for k in spots if 0 <= k + shift and words[k + shift : k + shift + size] == own[k : k + size]]
+                    used = sorted({p for k in hit for p in range(k, k + size)})
+                    if spots and len(hit) / len(spots) >= coverage and consistent([own_values[p] for p in used], [values[p + shift] for p in used]):
+                        pairs.add((doc, item))
+    return sorted(pairs)
+
+
+def rewritten(text, rng):
+    """The item as it is, in another case, with other names or numbers, or with a word changed."""
+    kind = rng.randrange(7)
+    if kind == 0:
+        return text.upper()
+    if kind == 1:
+        return text.lower()
+    if kind == 2:
+        return text.replace("Mary", "Alice").replace("Peter", "Mary")
+    if kind == 3:
+        return text.replace("Mary", "Anna Lee")
+    if kind == 4:
+        return text.replace("12", "40").replace("5", "9")
+    if kind == 5:
+        words = text.split()
+        words[rng.randrange(len(words))] = "other"
+        return " ".join(words)
+    return text
+
+
+ITEMS = [
+    (1, "Mary has 12 apples and gives 5 apples to Peter while 12 stay in the box. Mary then eats one of them. How many does Peter have?"),
+    (2, "Calculate 144 / 12 + 7 * 3 - 50 % 8"),
+    (3, "A train goes 12 km in 5 minutes and then stops for a while before Mary gets on it with Peter and the dog"),
+    (4, "short item"),
+]
+
+
+def test_all_readings_against_brute_force(spark):
+    rng = random.Random(7)
+    docs = []
+    for k in range(120):
+        item = rng.choice(ITEMS)[1]
+        docs.append((k, f"{rng.choice(['', 'Some words before. ', 'x '])}{rewritten(item, rng)}{rng.choice(['', ' and more after it.'])}"))
+    got = set(as_rows(contaminated(documents(spark, docs), benchmark(spark, ITEMS)), "doc_id", "item_id"))
+    want = set(every_reading(docs, ITEMS))
+    assert len(want) > 60 and want <= got
+    # What joined alignments add: an item with one word or one run of names changed.
+    texts = dict(docs)
+    assert all("other" in texts[d] or "Anna Lee" in texts[d] or "ANNA" in texts[d] for d, _ in got - want)
+
+
+def test_batches_read_as_single_texts():
+    rng = random.Random(3)
+    parts = ["Mary", "mary", "12", "3.5", "km", "KM", "Kg", "the", "The", ".", "!", "\n", "+4", "-7", "Ann", "O'Neil", "$", "°C", "Été", "ß", "İx", "and", ",", "a-b", "%", "x.Y", "\t"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(300)] + ["", None, " ", "...", "A", "A B. C D"]
+    everything = np.full(1 << 10, ~np.uint64(0), dtype=np.uint64)
+    read = _Batch(texts, _Tokens())
+    for reading in (TEMPLATE, CASELESS, RENAMED):
+        for size in (8, 3, 1):
+            want = []
+            for own, text in enumerate(texts):
+                words, values, places = readings(text)[reading]
+                for k, h in enumerate(window_hashes(words, size, reading).tolist() if size <= len(words) else []):
+                    want.append((h, own, k, values[k : k + size], places[k : k + size]))
+            assert sorted(read.hits(reading, size, everything)) == sorted(want)
+
+
+def test_texts_of_one_id_are_judged_apart(spark):
+    first, second = QUESTION[: len(QUESTION) // 2], QUESTION[len(QUESTION) // 2 :]
+    rows = [(1, first), (1, second), (2, first), (3, QUESTION), (3, "nothing here"), (None, QUESTION), (None, "nothing here")]
+    docs, items = documents(spark, rows), benchmark(spark, [(9, QUESTION)])
+    assert as_rows(contaminated(docs, items), "doc_id", "item_id", "coverage") == [(3, 9, 1.0)]
+    kept = as_rows(decontaminate(docs, items), "doc_id", "text")
+    assert kept == sorted([r for r in rows if r[1] != QUESTION], key=repr)
+
+
+def test_other_widths_join_alignments(spark):
+    words = ["w" + chr(97 + k // 8) + chr(97 + k % 8) for k in range(52)]
+    words, put_in = words[:40], words[40:]
+    other = [*words[:20], *put_in, *words[20:]]
+    docs, items = documents(spark, [(1, " ".join(other))]), benchmark(spark, [(9, " ".join(words))])
+    assert as_rows(contaminated(docs, items, width=8, coverage=0.75), "doc_id") == []  # the parts lie 12 words apart
+    assert as_rows(contaminated(docs, items, width=12, coverage=0.55), "doc_id") == [(1,)]
