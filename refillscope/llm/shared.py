@@ -22,15 +22,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def membership_bitmap(keys: DataFrame, column: str) -> Broadcast:
+def membership_bitmap(keys: DataFrame, column: str, bits_per_key: int = 16) -> Broadcast:
     """Bitmap of the low bits of a well-mixed BIGINT column, broadcast to the tasks.
 
-    About 16 bits a key, between 2**16 and 2**27 bits in all, so its size has a fixed
+    About ``bits_per_key`` bits a key, between 2**16 and 2**27 bits in all, so its size has a fixed
     bound. A key of ``keys`` is always found; others are let through now and then, so an
     exact join must follow. Only the words of the bitmap reach the driver.
     """
     spark = keys.sparkSession
-    bits = min(MAX_BITMAP_BITS, max(16, math.ceil(math.log2(16 * (keys.count() + 1)))))
+    bits = min(MAX_BITMAP_BITS, max(16, math.ceil(math.log2(bits_per_key * (keys.count() + 1)))))
     slot = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
     words = (
         keys.where(F.col(column).isNotNull())

@@ -80,11 +80,11 @@ def _chunks(texts) -> list[tuple[bytes, list[int]]]:
     return out
 
 
-def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_words(raw: bytes, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and start of each word of a chunk, and the chunk's bytes."""
     buffer = np.frombuffer(raw, dtype=np.uint8)
     inside = np.zeros(len(buffer) + 2, dtype=np.int8)
-    inside[1:-1] = ~_SPACE[buffer]
+    inside[1:-1] = ~outside[buffer]
     edges = np.flatnonzero(np.diff(inside))
     starts, ends = edges[::2], edges[1::2]
     up, down = _POWERS.of(len(buffer) + 1)
@@ -96,15 +96,15 @@ def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, starts, buffer
 
 
-def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, one after the other, and the number of words of each.
 
-    Words are what ASCII white space (space, tab, LF, VT, FF, CR) separates, with A-Z in lower
-    case, in UTF-8.
+    Words are what ASCII white space (space, tab, LF, VT, FF, CR), or the bytes marked in
+    ``outside`` (blank and LF among them), separate, with A-Z in lower case, in UTF-8.
     """
     hashes, counts, seen = [], np.zeros(len(texts), dtype=np.int64), 0
     for raw, begins in _chunks(texts):
-        own, starts, _ = _hash_words(raw)
+        own, starts, _ = _hash_words(raw, outside)
         hashes.append(own)
         # Words before the first beginning go on with the text before.
         at = np.searchsorted(starts, [*begins, len(raw) + 1])

@@ -9,7 +9,9 @@ always stands for the same value of the document and the other way round. So cop
 caught word by word, and so are questions that were only given other numbers or names.
 Every text is read in several ways (``readings``), and a match in one of them is enough.
 Documents are read in batches (``_Batch``): a table knows each token once, and the readings
-and their window hashes are array operations on token numbers.
+and their window hashes are array operations on token numbers. Before that, a scan of the
+bytes alone leaves out texts that cannot match: a text that holds an item has, from some of
+its windows, a stretch of plain words and so their ASCII letters in the same order (``Keys``).
 
 The map tasks pass on only windows whose hash is in a bounded bitmap of the benchmark's;
 the join that follows is exact.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from refillscope.llm.setjoin import runs_of
 from refillscope.llm.shared import in_bitmap, materialise, membership_bitmap, partitions
-from refillscope.llm.shingles import mix
+from refillscope.llm.shingles import mix, word_hashes
 
 DEFAULT_WINDOW = 8
 # Share of an item's windows that a document must hold.
@@ -156,7 +158,87 @@ def consistent(item_values: list[str], doc_values: list[str]) -> bool:
     )
 
 
-def _item_windows(width: int):
+#: What separates runs of ASCII letters (words are in lower case).
+_NO_LETTER = np.ones(256, dtype=bool)
+_NO_LETTER[ord("a") : ord("z") + 1] = False
+# Letter runs of a key at most. Kinds of windows without a key: any text, or any but an ASCII one, may hold them.
+_KEY_RUNS = 6
+# The upper bits of a key begin there, and their bitmap has so many bits a key.
+_UPPER, _SPARSE = 32, 4096
+_ANY_TEXT, _NOT_ASCII = -1, 0
+# The characters beyond ASCII that have an ASCII letter in lower case.
+_LOWER_TO_ASCII = re.compile("[\u0130\u212a]")
+
+
+def _grams(hashes: np.ndarray, count: int) -> np.ndarray:
+    return _rolled(hashes, count, -1 - count & 0xFF)
+
+
+def key_of(words: list[str], values: list[str], reading: int) -> tuple[int, int]:
+    """Number of letter runs of the window's key, and its hash.
+
+    The key is the stretch of adjacent plain words with the most runs of ASCII letters, cut
+    at ``_KEY_RUNS``. A text that holds the window has these runs in a row: words that are
+    equal in lower case have the same, and nothing but words has any letters.
+    """
+    if reading == LITERAL:
+        return _ANY_TEXT, 0
+    stretches, open_ = [], False
+    for word, value in zip(words, values, strict=True):
+        if value == "":
+            if not open_:
+                stretches.append([])
+            stretches[-1].append(word)
+        open_ = value == ""
+    hashes, _ = word_hashes(["\n".join(s) for s in stretches], _NO_LETTER)
+    counts = [len(word_hashes(["\n".join(s)], _NO_LETTER)[0]) for s in stretches]
+    if not sum(counts):
+        return _NOT_ASCII, 0
+    best = int(np.argmax(counts))
+    start, size = sum(counts[:best]), min(_KEY_RUNS, counts[best])
+    return size, int(_grams(hashes[start : start + size], size)[0])
+
+
+class Keys:
+    """The keys of all windows: which texts can hold any of them.
+
+    ``bitmap`` has the low bits of the keys, ``sparse`` the upper ones with so many bits a key
+    that of a text's hundreds of stretches hardly any is let through by chance.
+    """
+
+    def __init__(self, sizes: list[int], bitmap: Broadcast, sparse: Broadcast):
+        self.sizes, self.bitmap, self.sparse = sorted(s for s in sizes if s > 0), bitmap, sparse
+        self.any_text, self.not_ascii = _ANY_TEXT in sizes, _NOT_ASCII in sizes
+
+    def candidates(self, texts: list[str | None]) -> list[int]:
+        if self.any_text:
+            return [k for k, t in enumerate(texts) if t]
+        hashes, counts = word_hashes(texts, _NO_LETTER)
+        owner, found = np.repeat(np.arange(len(texts)), counts), np.zeros(len(texts), bool)
+        for size in self.sizes:
+            if len(hashes) >= size:
+                first, grams = owner[: len(hashes) - size + 1], _grams(hashes, size)
+                likely = np.flatnonzero((first == owner[size - 1 :]) & in_bitmap(self.bitmap.value, grams))
+                likely = likely[in_bitmap(self.sparse.value, grams[likely] >> _UPPER)]
+                found[first[likely]] = True
+        for k in np.flatnonzero(~found).tolist():
+            if texts[k] and not texts[k].isascii():
+                found[k] = self.not_ascii or bool(_LOWER_TO_ASCII.search(texts[k]))
+        return np.flatnonzero(found).tolist()
+
+
+def chosen_keys(keys: list[tuple[int, int]], coverage: float) -> list[tuple[int | None, int | None]]:
+    """The keys that are enough to find an item's texts; the others become null.
+
+    A text may lack a share of ``1 - coverage`` of the windows. So it holds one of any more of
+    them: those with the longest keys are taken.
+    """
+    enough = min(len(keys), int((1 - coverage) * len(keys) + 1e-9) + 1)
+    best = set(sorted(range(len(keys)), key=lambda k: -keys[k][0])[:enough])
+    return [key if k in best else (None, None) for k, key in enumerate(keys)]
+
+
+def _item_windows(width: int, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -174,14 +256,12 @@ def _item_windows(width: int):
                     if reading == RENAMED and (len(words) < width or 2 * sum(enough) < len(enough)):
                         continue  # too little is left to tell it from other texts
                     any_window |= bool(enough.any())
-                    rows += [
-                        (int(h), item, k, int(sum(enough)), values[k : k + size], reading)
-                        for k, (h, good) in enumerate(zip(hashes, enough, strict=True))
-                        if good
-                    ]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32())
-            names = ["hash", "item_id", "place", "windows", "item_values", "reading"]
+                    good = np.flatnonzero(enough).tolist()
+                    keys = chosen_keys([key_of(words[k : k + size], values[k : k + size], reading) for k in good], coverage)
+                    rows += [(int(hashes[k]), item, k, len(good), values[k : k + size], reading, *key) for k, key in zip(good, keys, strict=True)]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int64())
+            names = ["hash", "item_id", "place", "windows", "item_values", "reading", "key_runs", "key"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     return run
@@ -291,7 +371,7 @@ def _literal_hits(texts: list[str | None], size: int, bitmap: np.ndarray) -> Ite
                 yield int(hashes[at]), own, at, values[at : at + size], places[at : at + size]
 
 
-def _doc_windows(sizes: list[tuple[int, int]], bitmap: Broadcast):
+def _doc_windows(sizes: list[tuple[int, int]], bitmap: Broadcast, keys: Keys):
     """Windows of documents that are in the bitmap, of each ``(reading, size)`` that the items have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,6 +379,7 @@ def _doc_windows(sizes: list[tuple[int, int]], bitmap: Broadcast):
         for whole in batches:
             for at in range(0, whole.num_rows, _STEP):
                 batch = whole.slice(at, _STEP)
+                batch = batch.take(pa.array(keys.candidates(batch.column("text").to_pylist()), pa.int64()))
                 texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
                 if len(tokens) > _REMEMBERED:
                     tokens = _Tokens()
@@ -375,14 +456,18 @@ def _matches(docs: DataFrame, benchmark: DataFrame, width: int, coverage: float)
     """Texts that hold an item, by their MD5 digest, with the ids of their documents (null ids too)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    items = items.mapInArrow(_item_windows(width), "hash long, item_id long, place int, windows int, item_values array<string>, reading int")
+    items = items.mapInArrow(_item_windows(width, coverage), "hash long, item_id long, place int, windows int, item_values array<string>, reading int, key_runs int, key long")
     items = materialise(items, "item-windows")
+    upper = items.select(F.shiftright("key", _UPPER).alias("key"))
+    runs = [r[0] for r in items.where("key_runs is not null").select("key_runs").distinct().collect()]
+    keys = Keys(runs, membership_bitmap(items, "key"), membership_bitmap(upper, "key", _SPARSE))
+    items = items.drop("key_runs", "key")
     # The full width and those of short items: no more than the window is wide, in each reading.
     sizes = sorted(tuple(r) for r in items.select("reading", F.size("item_values").alias("n")).distinct().collect())
     bitmap = membership_bitmap(items, "hash")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "hash long, doc_id long, digest string, at int, doc_values array<string>, reading int, spots array<int>"
-    found = texts.mapInArrow(_doc_windows(sizes, bitmap), schema)
+    found = texts.mapInArrow(_doc_windows(sizes, bitmap, keys), schema)
     matches = found.join(items, ["hash", "reading"]).where(F.size("doc_values") == F.size("item_values"))
     matches = matches.repartition(partitions(spark), "digest", "item_id").sortWithinPartitions("digest", "item_id")
     pairs = matches.mapInArrow(lambda batches: _align(batches, width), _FOUND_SCHEMA)

@@ -14,11 +14,13 @@ from refillscope.llm.templates import (
     RENAMED,
     TEMPLATE,
     UNIT,
+    Keys,
     _Batch,
     _Tokens,
     consistent,
     contaminated,
     decontaminate,
+    key_of,
     readings,
     template,
     window_hashes,
@@ -186,3 +188,31 @@ def test_other_widths_join_alignments(spark):
     docs, items = documents(spark, [(1, " ".join(other))]), benchmark(spark, [(9, " ".join(words))])
     assert as_rows(contaminated(docs, items, width=8, coverage=0.75), "doc_id") == []  # the parts lie 12 words apart
     assert as_rows(contaminated(docs, items, width=12, coverage=0.55), "doc_id") == [(1,)]
+
+
+def test_texts_that_hold_a_window_are_candidates():
+    """For any window and any text that has it, in any reading, the text's letters have the window's key."""
+    rng = random.Random(11)
+    parts = ["Mary", "mary", "12", "km", "KM", "the", "The", ".", "\n", "Ann", "O'Neil", "don't", "Été", "été", "İx", "K", "a-b", "x_y", "foo123bar", "привет", "—", "ß"]
+    texts = [rng.choice([" ", "  ", "—", "_"]).join(rng.choice(parts) for _ in range(rng.randrange(6, 25))) for _ in range(200)]
+    texts += [t.upper() for t in texts] + [t.lower() for t in texts] + ["x ".join(t.split("12")) + " Mary" for t in texts]
+    by_window = {}
+    for k, text in enumerate(texts):
+        for reading in (TEMPLATE, CASELESS, RENAMED):
+            words, values, _ = readings(text)[reading]
+            for at, h in enumerate(window_hashes(words, 6, reading).tolist() if len(words) >= 6 else []):
+                if sum(v == "" for v in values[at : at + 6]) >= PLAIN_WORDS:
+                    by_window.setdefault(h, []).append((k, words[at : at + 6], values[at : at + 6], reading))
+
+    class Bitmap:
+        def __init__(self, key):
+            self.value = np.zeros(1 << 10, np.uint64)
+            slot = key & 0xFFFF  # 2**16 bits
+            self.value[slot >> 6] |= np.uint64(1 << (slot & 63))
+
+    shared = [v for v in by_window.values() if len({k for k, *_ in v}) > 1]
+    assert len(shared) > 100
+    for holders in shared[:400]:
+        size, key = key_of(*holders[0][1:])
+        own = sorted({k for k, *_ in holders})
+        assert Keys([size], Bitmap(key), Bitmap(key >> 32)).candidates([texts[k] for k in own]) == list(range(len(own))), (holders[0], [texts[k] for k in own])
