@@ -7,10 +7,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+# Spark's setting by which a statement's shuffle files go when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,9 +38,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the statements run here are removed when these end, not at some garbage collection."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back (lineage ends there)."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_end(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def drop_table(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no frame still in use reads."""
+    for table in tables:
+        if path := _PATHS.pop(table, None):
+            jvm = table.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
