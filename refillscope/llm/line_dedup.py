@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from refillscope.llm import setjoin as sj
 from refillscope.llm.shared import (
     connected_components,
+    drop_table,
     in_bitmap,
     materialise,
     membership_bitmap,
@@ -157,6 +158,15 @@ def chain_links(
     return sj.distinct_pairs(node[1:][linked], node[:-1][linked])
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in two bytes each if they fit, else in four."""
+    return values.astype("<u2" if values.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * count else "<u4").astype(np.int64)
+
+
 def _record(rows: list[tuple]) -> pa.RecordBatch:
     names = ("kind", "shard", "nodes", "keys", "sizes", "places")
     types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
@@ -175,7 +185,7 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                 key, node, size, place = key[order], node[order], size[order], place[order]
                 yield _record(
                     [
-                        (_POSTINGS, shard, node[r].tobytes(), key[r].tobytes(), size[r].tobytes(), place[r].tobytes())
+                        (_POSTINGS, shard, node[r].tobytes(), key[r].tobytes(), _narrow(size[r]), _narrow(place[r]))
                         for shard, r in sj.shard_slices(key, bits)
                     ]
                 )
@@ -231,8 +241,8 @@ def _reduce(threshold: Fraction):
                             (
                                 np.frombuffer(keys, dtype=np.uint64),
                                 np.frombuffer(nodes, dtype=np.int64),
-                                np.frombuffer(sizes, dtype=np.int32).astype(np.int64),
-                                np.frombuffer(places, dtype=np.int32).astype(np.int64),
+                                _wide(sizes, len(nodes) // 8),
+                                _wide(places, len(nodes) // 8),
                             )
                         )
                         continue
@@ -277,6 +287,13 @@ def _verify(threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, low, high), pieces in sj.runs_of(batches, ("family", "low", "high")):
             table = pa.Table.from_batches(pieces)
+            # Rows that repeat a document and line bring the same set again.
+            again, keep = set(), []
+            for k, place in enumerate(zip(table.column("hi").to_pylist(), table.column("lo").to_pylist(), strict=True)):
+                if place not in again:
+                    again.add(place)
+                    keep.append(k)
+            table = table.take(keep) if len(keep) < table.num_rows else table
             sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
             i, j = sj.similar_pairs(sets, table.column("block").to_numpy(), low, high, threshold.numerator, threshold.denominator)
             if not len(i):
@@ -319,21 +336,25 @@ def duplicate_lines(
 
     links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
     near = materialise(sj.families(links, connected_components), "line-families")
-    # The first occurrence of each line that has a candidate partner; copies meet in the map tasks, so a common line is no hot key of the join.
-    firsts = lines.groupBy("hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
-    reps = firsts.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
-    blocks = sj.blocks(materialise(reps, "line-reps"))
+    # Copies of a line meet in the map tasks already, so a common line is no hot key of the join that follows.
+    kinds = lines.groupBy("hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("copies"))
+    kinds = materialise(kinds, "line-kinds")
+    # The first occurrence of each line that has a candidate partner.
+    reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
+    reps = materialise(reps, "line-reps")
+    drop_table(near)
+    blocks = sj.blocks(reps)
+    drop_table(reps)
     read_again = _member_sets(membership_bitmap(blocks, "doc_id"), membership_bitmap(blocks, "lo"), width, min_words)
     sets = texts.mapInArrow(read_again, "doc_id long, line int, hi long, lo long, elements binary")
-    sets = sets.dropDuplicates(["doc_id", "line", "hi", "lo"])
     sets = blocks.drop("n", "node").join(sets, ["doc_id", "line", "hi", "lo"])
     pairs = sj.block_pairs(sets)
     gone = pairs.mapInArrow(_verify(threshold), "hi long, lo long, before_doc long, before_line int")
     gone = gone.groupBy("hi", "lo").agg(F.min("before_doc").alias("near_doc"))
 
-    copies = lines.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"))
-    judged = copies.join(gone, ["hi", "lo"], "left").where("copies > 1 or near_doc is not null")
-    judged = materialise(judged, "line-verdicts")
+    judged = kinds.join(gone, ["hi", "lo"], "left").where("copies > 1 or near_doc is not null")
+    judged = materialise(judged.select("hi", "lo", F.col("at.doc_id").alias("first_doc"), "near_doc"), "line-verdicts")
+    drop_table(kinds)
     found = lines.join(judged, ["hi", "lo"]).where("near_doc is not null or doc_id <> first_doc or not first")
     return found.select("doc_id", "line", F.least("near_doc", "first_doc").alias("before_doc"))
 

@@ -9,9 +9,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refillscope.shared import materialise, shared_path
+from refillscope.shared import drop_table, materialise, shared_path
 
-__all__ = ["connected_components", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path"]
+__all__ = ["connected_components", "drop_table", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path"]
 
 # Largest membership bitmap: 2**27 bits are 16 MB, whatever the number of keys.
 MAX_BITMAP_BITS = 27
@@ -65,7 +65,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     The component is its smallest id. Alternates large-star and small-star steps (Kiveris
     et al., "Connected Components in MapReduce and Beyond") until the edges are a forest
-    of stars; each round's edges are written to the shared folder. Loops and repeated
+    of stars; each round's edges are written to the shared folder, and those before dropped. Loops and repeated
     edges are allowed; ids without an edge to another id are not returned.
     """
 
@@ -77,13 +77,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     stars = materialise(stars, "components")
     while not _is_star_forest(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = smallest(both).select("u", F.least("u", "low").alias("low"))
+        lowest = smallest(both)
+        low = lowest.select("u", F.least("u", "low").alias("low"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         large = materialise(large, "components-large")
+        drop_table(stars, lowest)
         small = large.join(large.groupBy("u").agg(F.min("v").alias("low")), "u")
         stars = small.select("u", F.col("low").alias("v")).unionByName(
             small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         )
         stars = materialise(stars.distinct(), "components")
+        drop_table(large)
     ids = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ids.unionByName(ids.select(F.col("component").alias("id"), "component").distinct())

@@ -12,7 +12,7 @@ import re
 _ENCODERS: dict[str, _Chunks] = {}
 
 # A worker remembers this many recent chunks and as many before them, and no longer ones.
-_REMEMBERED = 700_000
+_REMEMBERED = 500_000
 _LONGEST = 48
 
 # A chunk that ends in ASCII punctuation after a Latin letter, which stays one in lower case:
