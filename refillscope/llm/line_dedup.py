@@ -13,9 +13,12 @@ Rarity is a count for each of a fixed number of hash slots: a table of bounded s
 all tasks get. A slot of several tokens changes their order alone, never a result: any
 order that all lines follow is exact.
 
-A single word is a weak key, so at ``width=1`` sets of up to ``PAIR_SETS`` words are keyed by
-pairs of tokens: two similar sets share two of the first ``n - ceil(t * n) + 2`` tokens of
-each, and the second of these, at position j, leaves ``n - j + 1`` tokens.
+A single word is a weak key, so at ``width=1`` keys are pairs of words. Two similar sets share
+at least b + 1 of the first ``n - ceil(t * n) + b + 1`` tokens of each; with the tokens dealt
+into b buckets by a hash, two of these fall into one bucket. So the pairs within buckets are
+enough, about twice as many as the plain prefix has tokens. The second token of the pair, at
+position j, has at most b - 1 other shared tokens before it, which leaves ``n - j + b`` tokens.
+The number b goes with the size of the smaller set, by bands that end at twice their start.
 
 Lines with a common key are linked along their sizes as far as the filters allow,
 linked lines are candidate families, and families are verified block by block (``setjoin``).
@@ -51,8 +54,8 @@ DEFAULT_THRESHOLD = Fraction(4, 5)
 DEFAULT_MIN_WORDS = 5
 # log2 of the number of slots of the rarity table, which holds 8 bytes each.
 RARITY_BITS = 17
-# Up to this size of the smaller set two sets of words are found by pairs of tokens; the number of pairs grows with its square.
-PAIR_SETS = 48
+# Buckets of a size band, as a multiple of the tokens in which sets at the band's start may differ.
+_BUCKETS = 1.4
 # From this threshold on, sets that are similar but not equal share two tokens.
 PAIR_THRESHOLD = Fraction(3, 4)
 
@@ -63,6 +66,7 @@ _LINES, _LINKS, _POSTINGS = 0, 1, 2
 _STEP = 500
 # Fixed value: tells the first token of a pair from the second.
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+_BUCKET = np.uint64(0xD6E8FEB86659FD93)
 
 
 class _Lines:
@@ -106,14 +110,34 @@ def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
     return texts.sparkSession.sparkContext.broadcast(place)
 
 
+def _bands(sizes: np.ndarray, threshold: Fraction) -> Iterator[tuple[int, np.ndarray]]:
+    """Size bands, each ending at twice its start, and the owners that look for partners there.
+
+    A pair meets in the band of its smaller set, so a set takes part in its own band and in
+    that of the smallest partner it may have.
+    """
+    least = (sizes * threshold.numerator + threshold.denominator - 1) // threshold.denominator
+    band, lower = (np.frexp(np.maximum(x, 1).astype(np.float64))[1] - 1 for x in (sizes, least))
+    for k in range(1, int(band.max(initial=0)) + 1):
+        yield k, (band == k) | (lower == k)
+
+
+def bucket_count(band: int, threshold: Fraction) -> int:
+    """Buckets of a band: about as many as its prefixes are long, but fewer than the tokens that similar sets share."""
+    start = 1 << band
+    shared = -(-start * threshold.numerator // threshold.denominator)
+    return max(1, min(shared - 1, round(_BUCKETS * start * (1 - threshold))))
+
+
 def prefixes(
     values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rarity: np.ndarray, threshold: Fraction, pairs: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of the prefixes of sets, rarest first: key, owner and position.
 
     The values of each owner ascend, as do the owners; ``rarity`` has the place of each hash
-    slot. With ``pairs`` the keys are pairs of tokens where the smaller of two sets may have
-    up to ``PAIR_SETS`` tokens. Sets that are similar only to equal ones have no keys.
+    slot. With ``pairs`` the keys are pairs of tokens of one bucket. The position of a key is
+    that of its (second) token, less the tokens that may be shared before it.
+    Sets that are similar only to equal ones have no keys.
     """
     order = np.argsort((owner << RARITY_BITS) + rarity[_slots(values)], kind="stable")
     values, place = values[order], rank_in_group(owner)
@@ -121,16 +145,22 @@ def prefixes(
     least = (sizes * p + q - 1) // q
     same = (2 * sizes * p + p + q - 1) // (p + q)
     alone = (sizes * q // p == sizes) & (least == sizes) & (same == sizes)
-    pairs = pairs and threshold >= PAIR_THRESHOLD
-    single = ~alone & ((sizes > PAIR_SETS) if pairs else True)
-    keep = (place < (sizes - least + 1)[owner]) & single[owner]
-    found = [(values[keep], owner[keep], place[keep])]
-    if pairs:
-        second = np.flatnonzero((place > 0) & (place < (sizes - least + 2)[owner]) & (~alone & (least <= PAIR_SETS))[owner])
-        count = place[second]
-        first = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(second - count, count)
-        second = np.repeat(second, count)
-        found.append((mix(values[first] * _PAIR + values[second]), owner[second], place[second] - 1))
+    if not pairs or threshold < PAIR_THRESHOLD:
+        keep = (place < (sizes - least + 1)[owner]) & ~alone[owner]
+        return values[keep], owner[keep], place[keep]
+    found = [(values[:0], owner[:0], place[:0])]
+    for band, inside in _bands(sizes, threshold):
+        buckets = bucket_count(band, threshold)
+        rows = np.flatnonzero((inside & ~alone)[owner] & (place < (sizes - least + buckets + 1)[owner]))
+        # Tokens of one owner and bucket side by side, still rarest first.
+        group = owner[rows] * buckets + (mix(values[rows] + _BUCKET) % np.uint64(buckets)).astype(np.int64)
+        by_group = np.argsort(group, kind="stable")
+        rows, group = rows[by_group], group[by_group]
+        count = rank_in_group(group)
+        second = np.repeat(np.arange(len(rows)), count)
+        first = np.arange(len(second)) - np.repeat(np.cumsum(count) - count, count) + second - count[second]
+        key = mix(values[rows[first]] * _PAIR + values[rows[second]] + np.uint64(band))
+        found.append((key, owner[rows[second]], np.maximum(place[rows[second]] - buckets, 0)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 

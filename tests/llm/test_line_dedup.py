@@ -8,24 +8,32 @@ import numpy as np
 import pytest
 
 from llm_helpers import SF_SMALL, as_rows, documents
-from refillscope.llm.line_dedup import duplicate_lines, line_report, remove_lines
+from refillscope.llm.line_dedup import (
+    RARITY_BITS,
+    chain_links,
+    duplicate_lines,
+    line_report,
+    prefixes,
+    remove_lines,
+)
+from refillscope.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def tokens(line, width):
+def tokens(line, width, least=5):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), line))
-    if len(words) < 5:
+    if len(words) < max(1, least):
         return None
     return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def brute_force(rows, width=5):
+def brute_force(rows, width=5, least=5):
     """Removed (doc_id, line) pairs."""
     lines = []
     for doc, text in rows:
         for k, line in enumerate((text or "").split("\n")):
-            own = tokens(line, width)
+            own = tokens(line, width, least)
             if own and doc is not None:
                 lines.append((doc, k, own))
     lines.sort(key=lambda r: r[:2])
@@ -49,6 +57,39 @@ def test_whole_table_against_brute_force(spark):
     assert removed(docs) == brute_force(rows)
 
 
+def test_registered_parameters_on_the_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = brute_force(rows, width=1, least=1)
+    found = QUERIES["op4_line_dedup"](spark, SF_SMALL).select("doc_id", "removed_lines").collect()
+    assert want and sorted((r[0], k) for r in found for k in r[1]) == want
+
+
+def test_similar_sets_share_a_key():
+    """Sets of all sizes with as many differences as the threshold allows, under an order of tokens that all follow."""
+    rng = np.random.default_rng(5)
+    rarity = rng.permutation(1 << RARITY_BITS)
+    for size in [*range(4, 40), 47, 48, 63, 64, 65, 100, 127, 128, 129, 160, 300, 511, 512, 640]:
+        for _ in range(6):
+            left = rng.choice(2**63, size, replace=False).astype(np.uint64) * np.uint64(2)
+            common = rng.integers(-(-4 * size // 5), size + 1)
+            most = (5 * common - 4 * size) // 4  # tokens that only the right set may have
+            right = np.concatenate([rng.choice(left, common, replace=False), rng.choice(2**63, rng.integers(0, most + 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)])
+            if 5 * common < 4 * (size + len(right) - common) or common == size == len(right):
+                continue
+            sets = [np.sort(left), np.sort(right)]
+            sizes = np.array([len(x) for x in sets])
+            key, owner, place = prefixes(np.concatenate(sets), np.repeat([0, 1], sizes), sizes, rarity, Fraction(4, 5), True)
+            a, b = chain_links(key, owner, sizes[owner], place, Fraction(4, 5))
+            assert len(a), (size, common, len(right))
+
+
+def test_a_third_of_lines_under_one_pair_of_words(spark):
+    rows = [(k, f"page {k} of 300") for k in range(300)] + [(1000 + k, f"w{k} v{k} page of {k} u{k % 7} t{k % 5}") for k in range(600)]
+    docs = documents(spark, rows)
+    assert removed(docs, width=1, min_words=1) == brute_force(rows, 1, 1)
+
+
 def edited_lines(seed):
     rng = random.Random(seed)
     words = ["w%d" % i for i in range(60)]
