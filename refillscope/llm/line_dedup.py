@@ -20,7 +20,9 @@ enough, about twice as many as the plain prefix has tokens. The second token of
 position j, has at most b - 1 other shared tokens before it, which leaves ``n - j + b`` tokens.
 The number b goes with the size of the smaller set, by bands that end at twice their start.
 
-Lines with a common key are linked along their sizes as far as the filters allow,
+Where few lines share a key, each pair of them is a candidate, and those whose parity
+signatures differ in more bits than similar sets may differ in tokens are dropped. Otherwise,
+lines with a common key are linked along their sizes as far as the filters allow,
 linked lines are candidate families, and families are verified block by block (``setjoin``).
 A line is removed if a line before it, by ``(doc_id, line number)``, is similar enough,
 whether that one stays or not.
@@ -59,14 +61,18 @@ _BUCKETS = 1.4
 # From this threshold on, sets that are similar but not equal share two tokens.
 PAIR_THRESHOLD = Fraction(3, 4)
 
+# Up to so many lines of a key, all pairs are candidates.
+FEW = 16
+
 _BLOCKS = "kind int, shard int, nodes binary, keys binary, sizes binary, places binary"
-_ROWS = "kind int, hi long, lo long, doc_id long, line int, n int, first boolean, other long"
-_LINES, _LINKS, _POSTINGS = 0, 1, 2
+_ROWS = "kind int, hi long, lo long, doc_id long, sig_a long, sig_b long, line int, n int, first boolean, other long"
+_LINES, _LINKS, _POSTINGS, _PAIRS = 0, 1, 2, 3
 # Documents that are hashed together.
 _STEP = 500
 # Fixed value: tells the first token of a pair from the second.
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET = np.uint64(0xD6E8FEB86659FD93)
+_PARITY = np.uint64(0xA0761D6478BD642F)
 
 
 class _Lines:
@@ -164,6 +170,48 @@ def prefixes(
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def parity_signatures(values: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """128 bits for each set, in two columns: the parity of its tokens in each of 128 hash slots.
+
+    Two sets differ in at least as many tokens as their signatures do in bits.
+    """
+    out = np.zeros((owners, 2), dtype=np.uint64)
+    if len(values):
+        slot = mix(values + _PARITY) >> np.uint64(57)
+        bit = np.uint64(1) << (slot & np.uint64(63))
+        starts, _ = sj.sorted_runs(owner)
+        for half in range(2):
+            own = np.where(slot >> np.uint64(6) == half, bit, np.uint64(0))
+            out[owner[starts], half] = np.bitwise_xor.reduceat(own, starts)
+    return out.view(np.int64)
+
+
+def few_pairs(
+    key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, threshold: Fraction
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs that the filters let through of keys with up to ``FEW`` rows, and which rows are left to ``chain_links``."""
+    p, q = threshold.numerator, threshold.denominator
+    reach = np.minimum((size - place) * (p + q) // p - size, size * q // p)
+    order = np.lexsort((node, size, key))
+    fresh = np.ones(len(order), bool)  # several tasks may have sent a line that is copied
+    fresh[1:] = (key[order[1:]] != key[order[:-1]]) | (node[order[1:]] != node[order[:-1]])
+    order = order[fresh]
+    starts, own = sj.sorted_runs(key[order])
+    count = np.diff(np.append(starts, len(order)))[np.searchsorted(starts, own)] if len(order) else own
+    left = np.zeros(len(key), bool)
+    left[order[count > FEW]] = True
+    order = order[(count > 1) & (count <= FEW)]
+    key, node, size, reach = key[order], node[order], size[order], reach[order]
+    found = [(node[:0], node[:0])]
+    for step in range(1, FEW):
+        if len(key) <= step:
+            break
+        a, b = slice(None, -step), slice(step, None)
+        pair = (key[a] == key[b]) & (node[a] != node[b]) & (size[b] <= reach[a]) & (size[a] <= reach[b])
+        found.append((np.minimum(node[a], node[b])[pair], np.maximum(node[a], node[b])[pair]))
+    return *sj.distinct_pairs(*(np.concatenate(x) for x in zip(*found, strict=True))), left
+
+
 def chain_links(
     key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, threshold: Fraction
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +291,7 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                         fresh[i] = True
                 turn += 1
                 home = hash((int(doc_id[0]), turn)) % (1 << bits)
-                head = np.column_stack([pairs, doc_id])
+                head = np.column_stack([pairs, doc_id, parity_signatures(values, owner, lines.count)])
                 yield _record([(_LINES, home, head.tobytes(), lines.number.tobytes(), sizes.astype(np.int32).tobytes(), first.tobytes())])
                 chosen = fresh[owner]
                 token, who, place = prefixes(values[chosen], owner[chosen], sizes, rarity.value, threshold, width == 1)
@@ -260,7 +308,13 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
 
 def _reduce(threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "hi", "lo", "doc_id", "line", "n", "first", "other"]
+        names = ["kind", "hi", "lo", "doc_id", "sig_a", "sig_b", "line", "n", "first", "other"]
+
+        def linked(a: np.ndarray, b: np.ndarray, pair: bool) -> pa.RecordBatch:
+            long, number, yes = (pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.bool_()))
+            columns = [pa.array(np.full(len(a), _PAIRS if pair else _LINKS, dtype=np.int32)), long, pa.array(a), long, long, long, number, number, yes, pa.array(b)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
         for _, pieces in sj.runs_of(batches, ("shard",)):
             postings = []
             for piece in pieces:
@@ -276,17 +330,17 @@ def _reduce(threshold: Fraction):
                             )
                         )
                         continue
-                    head = np.frombuffer(nodes, dtype=np.int64).reshape(-1, 3)
+                    head = np.frombuffer(nodes, dtype=np.int64).reshape(-1, 5)
                     columns = [pa.array(np.full(len(head), _LINES, dtype=np.int32))]
-                    columns += [pa.array(np.ascontiguousarray(head[:, k])) for k in range(3)]
+                    columns += [pa.array(np.ascontiguousarray(head[:, k])) for k in range(5)]
                     columns += [pa.array(np.frombuffer(x, dtype=np.int32)) for x in (keys, sizes)]
                     columns += [pa.array(np.frombuffer(places, dtype=bool)), pa.nulls(len(head), pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
             if postings:
-                a, b = chain_links(*(np.concatenate(x) for x in zip(*postings, strict=True)), threshold)
-                blank = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())]
-                kind = pa.array(np.full(len(a), _LINKS, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([kind, blank[0], pa.array(a), *blank[1:], pa.array(b)], names=names)
+                own = [np.concatenate(x) for x in zip(*postings, strict=True)]
+                a, b, left = few_pairs(*own, threshold)
+                yield linked(a, b, pair=True)
+                yield linked(*chain_links(*(x[left] for x in own), threshold), pair=False)
 
     return run
 
@@ -342,6 +396,19 @@ def _verify(threshold: Fraction):
     return run
 
 
+def _likely(pairs: DataFrame, kinds: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs whose signatures do not tell them apart."""
+    p, q = threshold.numerator, threshold.denominator
+    own = kinds.select("lo", "n", "sig_a", "sig_b")
+
+    def side(name: str) -> DataFrame:
+        return own.select(F.col("lo").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sig_a", "sig_b")])
+
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+    bits = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("sig_a", "sig_b"))
+    return both.where(bits * (p + q) <= (F.col("n_a") + F.col("n_b")) * (q - p)).select("a", "b")
+
+
 def duplicate_lines(
     docs: DataFrame,
     width: int = DEFAULT_WIDTH,
@@ -362,13 +429,15 @@ def duplicate_lines(
     posted = texts.mapInArrow(_map(width, min_words, threshold, sj.shard_bits(docs), rarity), _BLOCKS)
     dealt = posted.repartition(partitions(spark), "shard").sortWithinPartitions("shard")
     rows = materialise(dealt.mapInArrow(_reduce(threshold), _ROWS), "lines")
-    lines = rows.where(F.col("kind") == _LINES).select("hi", "lo", "doc_id", "line", "n", "first")
-
-    links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
-    near = materialise(sj.families(links, connected_components), "line-families")
-    # Copies of a line meet in the map tasks already, so a common line is no hot key of the join that follows.
-    kinds = lines.groupBy("hi", "lo", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("copies"))
+    lines = rows.where(F.col("kind") == _LINES).select("hi", "lo", "doc_id", "line", "n", "first", "sig_a", "sig_b")
+    # Copies of a line meet in the map tasks already, so a common line is no hot key of the joins that follow.
+    kinds = lines.groupBy("hi", "lo", "n", "sig_a", "sig_b").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("copies"))
     kinds = materialise(kinds, "line-kinds")
+    links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
+    pairs = rows.where(F.col("kind") == _PAIRS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
+    likely = materialise(links.unionByName(_likely(pairs, kinds, threshold)), "line-links")
+    near = materialise(sj.families(likely, connected_components), "line-families")
+    drop_table(likely)
     # The first occurrence of each line that has a candidate partner.
     reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
     reps = materialise(reps, "line-reps")

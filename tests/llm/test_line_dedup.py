@@ -12,7 +12,9 @@ from refillscope.llm.line_dedup import (
     RARITY_BITS,
     chain_links,
     duplicate_lines,
+    few_pairs,
     line_report,
+    parity_signatures,
     prefixes,
     remove_lines,
 )
@@ -71,17 +73,19 @@ def test_similar_sets_share_a_key():
     rarity = rng.permutation(1 << RARITY_BITS)
     for size in [*range(4, 40), 47, 48, 63, 64, 65, 100, 127, 128, 129, 160, 300, 511, 512, 640]:
         for _ in range(6):
-            left = rng.choice(2**63, size, replace=False).astype(np.uint64) * np.uint64(2)
+            left = rng.integers(0, 2**62, size).astype(np.uint64) * np.uint64(2)
             common = rng.integers(-(-4 * size // 5), size + 1)
             most = (5 * common - 4 * size) // 4  # tokens that only the right set may have
-            right = np.concatenate([rng.choice(left, common, replace=False), rng.choice(2**63, rng.integers(0, most + 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)])
+            right = np.concatenate([rng.choice(left, common, replace=False), rng.integers(0, 2**62, rng.integers(0, most + 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)])
             if 5 * common < 4 * (size + len(right) - common) or common == size == len(right):
                 continue
             sets = [np.sort(left), np.sort(right)]
             sizes = np.array([len(x) for x in sets])
             key, owner, place = prefixes(np.concatenate(sets), np.repeat([0, 1], sizes), sizes, rarity, Fraction(4, 5), True)
-            a, b = chain_links(key, owner, sizes[owner], place, Fraction(4, 5))
-            assert len(a), (size, common, len(right))
+            own = key, owner, sizes[owner], place
+            assert len(chain_links(*own, Fraction(4, 5))[0]) and len(few_pairs(*own, Fraction(4, 5))[0]), (size, common, len(right))
+            one, other = parity_signatures(np.concatenate(sets), np.repeat([0, 1], sizes), 2)
+            assert sum(int(x ^ y).bit_count() for x, y in zip(one.view(np.uint64), other.view(np.uint64))) <= size + len(right) - 2 * common
 
 
 def test_a_third_of_lines_under_one_pair_of_words(spark):
