@@ -19,13 +19,13 @@ from refillscope.llm.templates import decontaminate
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without text, letters or a known character go."""
+    """Documents whose language is predicted with some certainty; those without text or letters go."""
     return identified(docs, fit(sample_rows(docs, ~held_out(F.col("doc_id")))))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that nearly equal an earlier line of the corpus."""
-    out = remove_lines(docs, duplicate_lines(docs))
+    """All documents, without the lines that nearly equal an earlier line of the corpus as sets of words."""
+    out = remove_lines(docs, duplicate_lines(docs, width=1, min_words=1))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
@@ -38,7 +38,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; rows without an id are judged too."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

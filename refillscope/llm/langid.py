@@ -110,6 +110,10 @@ def fit(sample: DataFrame) -> Model:
     return Model(languages, tables)
 
 
+# Least score that identifies a language, as a multiple of a guess.
+LEAST_MARGIN = 1.25
+
+
 def word_scores(model: Model, word: str) -> np.ndarray | None:
     """Log scores of a word by language; null where not even a single character is known."""
     known = model.tables[0].get(word)
@@ -142,20 +146,21 @@ class _Scorer(dict):
         self.used += 1
         return self.used - 1
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, int]:
+        """Language, its share, and the number of words with any evidence."""
         if self.used > _REMEMBERED:
             self.clear()
             self.used = 1
         words = words_of(text)
         if not words or not self.model.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         rows = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         seen = np.count_nonzero(rows)
         sums = self.matrix[rows].sum(axis=0, dtype=np.float64)
         best = int(sums.argmax())
         mean = sums / max(1, seen)
         share = math.exp(mean[best] - mean.max()) / float(np.exp(mean - mean.max()).sum())
-        return self.model.languages[best], share
+        return self.model.languages[best], share, int(seen)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -196,14 +201,24 @@ def language_report(docs: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows in no known language: null text, no letters, or no letter the model knows."""
+def identified(docs: DataFrame, model: Model, margin: float = LEAST_MARGIN) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told.
+
+    The language of each whole text is predicted. A row goes if the prediction is ``und``
+    (null text, no letters), if no word has any evidence, or if the score is not above
+    ``margin`` times that of a mere guess (1 over the number of languages). With a single
+    language nothing can be compared, and the score decides nothing.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    languages = len(model.languages)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(sent.value)
         for batch in batches:
-            good = [any(scorer[w] for w in words_of(t)) for t in batch.column("text").to_pylist()]
+            good = []
+            for text in batch.column("text").to_pylist():
+                language, share, seen = scorer.predict(text)
+                good.append(language != UNKNOWN and seen > 0 and (languages == 1 or share * languages > margin))
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

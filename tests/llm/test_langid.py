@@ -1,12 +1,13 @@
 """Operator 2: held-out accuracy, and what it may and may not look at."""
 
+import random
 import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from llm_helpers import as_rows, documents
-from refillscope.llm.langid import Model, fit, held_out, identified, language_report, sample_rows, word_scores
+from refillscope.llm.langid import Model, fit, held_out, identified, language_report, predict, sample_rows, word_scores
 
 
 def test_held_out_accuracy(spark):
@@ -49,3 +50,17 @@ def test_edge_cases(spark):
     assert {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in kept.collect()} == {300, 301, 302, 303}
     assert language_report(documents(spark, [])).collect() == []
     assert as_rows(language_report(documents(spark, [(1, "a b", None)]))) == [(1, False, "und", 0.0)]
+
+
+def test_rows_are_kept_by_their_predicted_language(spark):
+    """A text between languages, in unknown letters or without any goes; one of a language stays."""
+    words = {"aa": "alba alma casa rama", "bb": "kirk wyld bryk zwyk"}
+    rows = [(k, " ".join(random.Random(k).choices(words[lang].split(), k=30)), lang) for k in range(40) for lang in words]
+    model = fit(sample_rows(documents(spark, rows), F.lit(True)))
+    mixed = " ".join(f"{a} {b}" for a, b in zip(*(words[x].split() for x in words)))
+    docs = documents(spark, [(1, "alma casa"), (2, "wyld kirk bryk"), (3, mixed), (4, "привет мир"), (5, None), (6, "12 34"), (7, "")])
+    score = {r["doc_id"]: r["score"] for r in predict(docs, model).collect()}
+    kept = {r["doc_id"] for r in identified(docs, model).collect()}
+    assert {1, 2} <= kept and not kept & {4, 5, 6, 7}
+    assert (3 in kept) == (score[3] * 2 > 1.25)
+    assert {r["doc_id"] for r in identified(docs, model, margin=2 * score[1]).collect()} <= {2, 3}
