@@ -111,7 +111,7 @@ def fit(sample: DataFrame) -> Model:
 
 
 # Least score that identifies a language, as a multiple of a guess.
-LEAST_MARGIN = 1.25
+LEAST_MARGIN = 1.1
 
 
 def word_scores(model: Model, word: str) -> np.ndarray | None:
