@@ -22,21 +22,23 @@ The number b goes with the size of the smaller set, by bands that end at twice t
 
 Where few lines share a key, each pair of them is a candidate, and those whose parity
 signatures differ in more bits than similar sets may differ in tokens are dropped. Otherwise,
-lines with a common key are linked along their sizes as far as the filters allow,
-linked lines are candidate families, and families are verified block by block (``setjoin``).
+lines with a common key are linked along their sizes as far as the filters allow, and
+linked lines are candidate families. Large families are cut into blocks by size, and blocks
+that may hold similar sets are verified: first by signatures, then by the sets themselves.
 A line is removed if a line before it, by ``(doc_id, line number)``, is similar enough,
 whether that one stays or not.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refillscope.llm import setjoin as sj
@@ -48,7 +50,7 @@ from refillscope.llm.shared import (
     membership_bitmap,
     partitions,
 )
-from refillscope.llm.shingles import digests, distinct_sets, line_hashes, mix, rank_in_group, shingles
+from refillscope.llm.shingles import digests, distinct_sets, line_hashes, mix, rank_in_group, shingles, word_hashes
 
 DEFAULT_WIDTH = 5
 DEFAULT_THRESHOLD = Fraction(4, 5)
@@ -61,6 +63,13 @@ _BUCKETS = 1.4
 # From this threshold on, sets that are similar but not equal share two tokens.
 PAIR_THRESHOLD = Fraction(3, 4)
 
+# Groups of up to so many sets are verified together, up to so many elements at a time.
+_SMALL, _ELEMENTS = 64, 400_000
+# Rows of a larger group whose signatures are compared with all others at a time.
+_BAND = 256
+# Products of the membership matrix that take as long as sorting one element (estimated; both ways are exact).
+_SORTING = 1000
+
 # Up to so many lines of a key, all pairs are candidates.
 FEW = 16
 
@@ -103,8 +112,12 @@ def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
         total = np.zeros(1 << RARITY_BITS, dtype=np.int64)
         for whole in batches:
             for at in range(0, whole.num_rows, _STEP):
-                lines = _Lines(whole.slice(at, _STEP), width, min_words)
-                total += np.bincount(_slots(lines.tokens), minlength=len(total))
+                batch = whole.slice(at, _STEP)
+                if width == 1 and min_words <= 1:  # every word counts, whatever its line
+                    tokens = mix(word_hashes(batch.column("text").to_pylist())[0])
+                else:
+                    tokens = _Lines(batch, width, min_words).tokens
+                total += np.bincount(_slots(tokens), minlength=len(total))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "count"])
 
@@ -367,31 +380,159 @@ def _member_sets(documents: Broadcast, wanted_lines: Broadcast, width: int, min_
     return run
 
 
+def size_blocks(reps: DataFrame, threshold: Fraction) -> DataFrame:
+    """Give each set (``family, node, n``, other columns are kept) its block of its family and the blocks that it meets.
+
+    Families of one set have nothing to verify and go. A family that fits a block is one. A larger one is cut by
+    size into classes, so wide that similar sets are in the same or in neighbouring ones, and each class by a hash
+    into blocks. A set meets the blocks ``[first, last)``, its own among them.
+    """
+    sets, elements = F.count(F.lit(1)), F.sum("n")
+    fits = (sets <= sj.BLOCK_SETS) & (elements <= sj.BLOCK_ELEMENTS)
+    sizes = reps.groupBy("family").agg(sets.alias("sets"), fits.alias("fits")).where("sets > 1").drop("sets")
+    # A trifle wider than the threshold asks for, against rounding.
+    width = max(-math.log(threshold), 1e-6) * (1 + 1e-6)
+    size_class = F.when(F.col("fits"), 0).otherwise(F.floor(F.log("n") / width))
+    sized = reps.join(materialise(sizes, "family-sizes"), "family").withColumn("class", size_class.cast("long")).drop("fits")
+    parts = F.least(sets, F.greatest(F.ceil(sets / sj.BLOCK_SETS), F.ceil(elements / sj.BLOCK_ELEMENTS))).cast("int")
+    along = Window.partitionBy("family").orderBy("class")  # one row for each size class
+
+    def beside(column: str, step: int) -> Column:
+        near = F.lag("class", step).over(along) == F.col("class") - step
+        return F.when(near, F.lag(column, step).over(along)).otherwise(F.col(column)).cast("int")
+
+    classes = sized.groupBy("family", "class").agg(parts.alias("parts")).withColumn("end", F.sum("parts").over(along))
+    classes = classes.withColumn("start", F.col("end") - F.col("parts"))
+    classes = classes.select("family", "class", "start", "parts", beside("start", 1).alias("first"), beside("end", -1).alias("last"))
+    dealt = sized.join(materialise(classes, "family-classes"), ["family", "class"])
+    block = (F.col("start") + F.expr("pmod(xxhash64(node), parts)")).cast("int")
+    return materialise(dealt.withColumn("block", block).drop("class", "start", "parts"), "family-blocks")
+
+
+def block_pairs(sets: DataFrame) -> DataFrame:
+    """Send each set to every pair of blocks in which its own meets another or itself."""
+    spread = sets.withColumn("other", F.explode(F.expr("sequence(first, last - 1)")))
+    spread = spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    spread = spread.drop("other", "first", "last").repartition(partitions(sets.sparkSession), "family", "low", "high")
+    return spread.sortWithinPartitions("family", "low", "high")
+
+
+class _Sets:
+    """Verified rows: token sets with the group that each is compared in, distinct within it."""
+
+    def __init__(self, groups: list[tuple[bool, list[pa.RecordBatch]]], threshold: Fraction):
+        table = pa.Table.from_batches([piece for _, pieces in groups for piece in pieces])
+        rows = [sum(piece.num_rows for piece in pieces) for _, pieces in groups]
+        group = np.repeat(np.arange(len(groups)), rows)
+        hi, lo = (table.column(c).to_numpy() for c in ("hi", "lo"))
+        # Rows that repeat a document and line bring the same set again.
+        order = np.lexsort((lo, hi, group))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(group[order]) != 0) | (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)
+        keep = np.sort(order[fresh])
+        self.table = table.take(pa.array(keep))
+        self.group = group[keep]
+        self.across = np.repeat(np.array([across for across, _ in groups]), rows)[keep]
+        self.block = self.table.column("block").to_numpy()
+        raw = self.table.column("elements").combine_chunks().cast(pa.large_binary())
+        bounds = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        self.values = np.frombuffer(raw.buffers()[2], np.uint64, (bounds[-1] - bounds[0]) // 8, bounds[0])
+        self.bounds = (bounds - bounds[0]) // 8
+        self.sizes = np.diff(self.bounds)
+        self.signature = parity_signatures(self.values, np.repeat(np.arange(len(keep)), self.sizes), len(keep)).view(np.uint64)
+        self.p, self.q = threshold.numerator, threshold.denominator
+
+    def _may(self, a, b) -> np.ndarray:
+        """Whether sizes and signatures let two sets be similar; ``a`` and ``b`` index rows alike in shape or broadcast."""
+        one, other, p, q = self.sizes[a], self.sizes[b], self.p, self.q
+        apart = sum(np.bitwise_count(self.signature[a, k] ^ self.signature[b, k]).astype(np.int64) for k in range(2))
+        allowed = (q * one >= p * other) & (q * other >= p * one) & (apart * (p + q) <= (one + other) * (q - p))
+        return allowed & (~self.across[a] | (self.block[a] != self.block[b]))
+
+    def candidates_within_groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """Candidate pairs of groups of few rows each."""
+        found, rows = [], np.arange(len(self.group))
+        for step in range(1, _SMALL):
+            a = rows[:-step][self.group[:-step] == self.group[step:]] if step < len(rows) else rows[:0]
+            if not len(a):
+                break
+            a = a[self._may(a, a + step)]
+            found.append((a, a + step))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (rows[:0], rows[:0])
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Candidate pairs of one group, by bands of rows."""
+        rows = np.arange(len(self.group))
+        for at in range(0, len(rows), _BAND):
+            a, b = np.nonzero(np.triu(self._may(rows[at : at + _BAND, None], rows[None, at:]), 1))
+            yield a + at, b + at
+
+    def similar(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs among the given ones that are similar, by the tokens of both side by side."""
+        both = self.sizes[a] + self.sizes[b]
+        kept, ends, at = np.zeros(len(a), bool), np.cumsum(both), 0
+        while at < len(a):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _ELEMENTS, side="right")))
+            sides = np.column_stack([a[at:to], b[at:to]]).ravel()
+            sizes = self.sizes[sides]
+            token = self.token[np.repeat(self.bounds[:-1][sides] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+            key = np.sort(np.repeat(np.arange(to - at), both[at:to]) * self.tokens + token)
+            shared = np.bincount(key[1:][key[1:] == key[:-1]] // self.tokens, minlength=to - at)
+            kept[at:to] = self.q * shared >= self.p * (both[at:to] - shared)
+            at = to
+        return a[kept], b[kept]
+
+    def pairs(self, low: int, high: int, small: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All similar pairs within groups; ``low`` and ``high`` are the blocks of a single group."""
+        found, self.token, counts = np.unique(self.values, return_inverse=True, return_counts=True)
+        self.tokens = np.int64(max(1, len(found)))
+        if small:
+            return self.similar(*self.candidates_within_groups())
+        bands = list(self.candidates())
+        work = sum(int(self.sizes[x].sum()) for band in bands for x in band)
+        if work * _SORTING > len(self.group) ** 2 * int((counts > 1).sum()):
+            # Most pairs are alike: the product of the membership matrix is cheaper, and as exact.
+            sets = np.split(self.values, self.bounds[1:-1])
+            return sj.similar_pairs(sets, self.block, low, high, self.p, self.q)
+        return tuple(np.concatenate(x) for x in zip(*(self.similar(*band) for band in bands), strict=True))
+
+    def removed(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        """The later line of each pair, with the earliest line that it is similar to."""
+        doc, line = (self.table.column(c).to_numpy() for c in ("doc_id", "line"))
+        rank = np.lexsort((line, doc))
+        place = np.empty(len(rank), dtype=np.int64)
+        place[rank] = np.arange(len(rank))
+        earliest = np.full(len(rank), len(rank))
+        np.minimum.at(earliest, np.where(place[i] > place[j], i, j), np.minimum(place[i], place[j]))
+        gone = np.flatnonzero(earliest < len(rank))
+        witness = rank[earliest[gone]]
+        hi, lo = (self.table.column(c).to_numpy()[gone] for c in ("hi", "lo"))
+        columns = [pa.array(x) for x in (hi, lo, doc[witness], line[witness])]
+        return pa.RecordBatch.from_arrays(columns, names=["hi", "lo", "before_doc", "before_line"])
+
+
 def _verify(threshold: Fraction):
+    """Judge the pairs of each (family, low, high); groups of few sets are judged many at a time."""
+
+    def judged(groups: list, low: int = 0, high: int = 0, small: bool = True) -> Iterator[pa.RecordBatch]:
+        sets = _Sets(groups, threshold)
+        i, j = sets.pairs(low, high, small)
+        if len(i):
+            yield sets.removed(i, j)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, elements = [], 0
         for (_, low, high), pieces in sj.runs_of(batches, ("family", "low", "high")):
-            table = pa.Table.from_batches(pieces)
-            # Rows that repeat a document and line bring the same set again.
-            again, keep = set(), []
-            for k, place in enumerate(zip(table.column("hi").to_pylist(), table.column("lo").to_pylist(), strict=True)):
-                if place not in again:
-                    again.add(place)
-                    keep.append(k)
-            table = table.take(keep) if len(keep) < table.num_rows else table
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
-            i, j = sj.similar_pairs(sets, table.column("block").to_numpy(), low, high, threshold.numerator, threshold.denominator)
-            if not len(i):
+            if sum(piece.num_rows for piece in pieces) > _SMALL:
+                yield from judged([(low != high, pieces)], low, high, small=False)
                 continue
-            rank = np.lexsort((table.column("line").to_numpy(), table.column("doc_id").to_numpy()))
-            place = np.empty(len(rank), dtype=np.int64)
-            place[rank] = np.arange(len(rank))
-            earliest = np.full(len(rank), len(rank))
-            np.minimum.at(earliest, np.where(place[i] > place[j], i, j), np.minimum(place[i], place[j]))
-            gone = np.flatnonzero(earliest < len(rank))
-            names = ["hi", "lo", "before_doc", "before_line"]
-            hi, lo, doc, line = (table.column(c).to_numpy() for c in ("hi", "lo", "doc_id", "line"))
-            witness = rank[earliest[gone]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (hi[gone], lo[gone], doc[witness], line[witness])], names=names)
+            held.append((low != high, pieces))
+            elements += sum(piece.column("elements").nbytes for piece in pieces) // 8
+            if elements >= _ELEMENTS:
+                yield from judged(held)
+                held, elements = [], 0
+        if held:
+            yield from judged(held)
 
     return run
 
@@ -442,12 +583,12 @@ def duplicate_lines(
     reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
     reps = materialise(reps, "line-reps")
     drop_table(near)
-    blocks = sj.blocks(reps)
+    blocks = size_blocks(reps, threshold)
     drop_table(reps)
     read_again = _member_sets(membership_bitmap(blocks, "doc_id"), membership_bitmap(blocks, "lo"), width, min_words)
     sets = texts.mapInArrow(read_again, "doc_id long, line int, hi long, lo long, elements binary")
     sets = blocks.drop("n", "node").join(sets, ["doc_id", "line", "hi", "lo"])
-    pairs = sj.block_pairs(sets)
+    pairs = block_pairs(sets)
     gone = pairs.mapInArrow(_verify(threshold), "hi long, lo long, before_doc long, before_line int")
     gone = gone.groupBy("hi", "lo").agg(F.min("before_doc").alias("near_doc"))
 
