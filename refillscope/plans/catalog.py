@@ -33,7 +33,10 @@ from refillscope.sources.testtables import (
     tables_product_dimension,
     therapy_as_text,
     therapy_from_tables,
+    with_arrival,
 )
+from refillscope.shared import shared_path
+from refillscope.streaming import sessions
 
 KEYS = ["prod", "patient_id"]
 
@@ -269,6 +272,25 @@ def extract_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.key_presence(*_versions(spark, sf_dir), ["prod", "patient_id"])
 
 
+def _replayed(spark: SparkSession, sf_dir: str) -> str:
+    """The deliveries of the four products, arrived in three batches; the folder of the streaming run."""
+    work_dir = shared_path(spark, "sessions")
+    sessions.replay(with_arrival(product_filter(spark, sf_dir)), "arrival", 3, work_dir, KEYS)
+    return work_dir
+
+
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming sessions: supply sessions that the watermark has closed, each a refill that was due and not picked up."""
+    schema = sessions.session_schema(KEYS, product_filter(spark, sf_dir))
+    return sessions.closed_sessions(spark, _replayed(spark, sf_dir), schema)
+
+
+def streamed_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming sessions: rows of each arrival by why they were rejected (late ones among them) or admitted."""
+    found = sessions.ledger(spark, _replayed(spark, sf_dir))
+    return found.select(F.col("batch").alias("arrival"), F.coalesce("reason", F.lit("admitted")).alias("outcome"), "rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dispensing_typed": dispensing_typed,
     "product_filter": product_filter,
@@ -304,4 +326,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_changes": extract_changes,
     "extract_change_report": extract_change_report,
     "extract_patients": extract_patients,
+    "streamed_sessions": streamed_sessions,
+    "streamed_admission": streamed_admission,
 }

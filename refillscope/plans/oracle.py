@@ -350,3 +350,48 @@ events_d AS (
     + _intervals("events_d")
     + "\nSELECT * FROM intervals",
 }
+
+_ARRIVALS = f"""
+WITH {_BASE.strip()}, {_DISP.strip()},
+arrived AS (
+    SELECT prod, patient_id, dispensed_at, qty,
+           CASE WHEN patient_id % 97 = 0 OR dispensed_at >= TIMESTAMP '1999-01-01' THEN 2
+                WHEN dispensed_at >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END AS arrival
+    FROM disp
+),
+marks AS (
+    SELECT a.arrival, (SELECT max(b.dispensed_at) FROM arrived b WHERE b.arrival < a.arrival) - INTERVAL 30 DAY AS mark
+    FROM (SELECT DISTINCT arrival FROM arrived) a
+),
+judged AS (
+    SELECT arrived.*,
+           CASE WHEN qty IS NULL OR NOT qty BETWEEN 1 AND 36500 THEN 'no_supply'
+                WHEN dispensed_at <= mark THEN 'late' ELSE 'admitted' END AS outcome
+    FROM arrived JOIN marks USING (arrival)
+)"""
+
+ORACLE_SQL |= {
+    "streamed_admission": f"""{_ARRIVALS}
+SELECT CAST(arrival AS BIGINT) AS arrival, outcome, count(*) AS rows FROM judged GROUP BY ALL
+""",
+    "streamed_sessions": f"""{_ARRIVALS},
+supplies AS (
+    SELECT prod, patient_id, dispensed_at, count(*) AS rows, sum(floor(qty)) AS days,
+           max(dispensed_at + (CAST(floor(qty) AS BIGINT) + 30) * INTERVAL 1 DAY) AS ends
+    FROM judged WHERE outcome = 'admitted' GROUP BY prod, patient_id, dispensed_at
+),
+follows AS (
+    SELECT *, max(ends) OVER (PARTITION BY prod, patient_id ORDER BY dispensed_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM supplies
+),
+numbered AS (
+    SELECT *, sum(CASE WHEN dispensed_at <= before THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY prod, patient_id ORDER BY dispensed_at ROWS UNBOUNDED PRECEDING) AS session
+    FROM follows
+)
+SELECT prod, patient_id, min(dispensed_at) AS session_start, max(ends) AS session_end, CAST(sum(rows) AS BIGINT) AS deliveries,
+       CAST(sum(days) AS BIGINT) AS supplied_days, max(dispensed_at) AS last_delivery
+FROM numbered GROUP BY prod, patient_id, session
+HAVING max(ends) < (SELECT max(dispensed_at) FROM supplies) - INTERVAL 30 DAY
+""",
+}

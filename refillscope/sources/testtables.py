@@ -133,6 +133,17 @@ def dispensing_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The first days of the second and third arrival; patients whose number this divides report with the last.
+ARRIVALS, REPORTS_LATE = ("1997-01-01", "1999-01-01"), 97
+
+
+def with_arrival(deliveries: DataFrame) -> DataFrame:
+    """Deliveries with the number of the arrival (0 to 2) that brings them; some patients' all come with the last."""
+    second, third = (F.lit(d).cast("timestamp_ntz") for d in ARRIVALS)
+    by_day = F.when(F.col("dispensed_at") < second, 0).when(F.col("dispensed_at") < third, 1).otherwise(2)
+    return deliveries.withColumn("arrival", F.when(F.col("patient_id") % REPORTS_LATE == 0, 2).otherwise(by_day))
+
+
 def events_as_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the canonical delivery columns: sub-day timestamps for E1."""
     events = table(spark, sf_dir, "events")

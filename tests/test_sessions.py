@@ -1,0 +1,116 @@
+"""Streaming therapy sessions: replays in batches, late rows, restart after a failure, bounded state."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+
+from refillscope.streaming import sessions as ss
+
+KEYS = ["prod", "patient_id"]
+SCHEMA = "prod string, patient_id long, dispensed_at timestamp_ntz, qty double"
+DAY = datetime(2022, 1, 1)
+
+
+def day(k):
+    return DAY + timedelta(days=k)
+
+
+def arrive(spark, folder, name, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(os.path.join(folder, f"in-{name}"))
+
+
+def run(spark, folder, **options):
+    incoming = spark.readStream.schema(SCHEMA).parquet(os.path.join(folder, "in-*"))
+    return ss.run_arrivals(incoming, os.path.join(folder, "work"), KEYS, **options)
+
+
+def closed(spark, folder):
+    out = spark.read.parquet(os.path.join(folder, "work", "sessions"))
+    return sorted((r.prod, r.patient_id, (r.session_start - DAY).days, (r.session_end - DAY).days, r.deliveries, r.supplied_days) for r in out.collect())
+
+
+def brute_force(rows, grace, until):
+    out, by_key = [], {}
+    for prod, patient, at, qty in rows:
+        by_key.setdefault((prod, patient), []).append((at, int(qty)))
+    for key, own in by_key.items():
+        current = None
+        for at, days in sorted(own):
+            end = at + timedelta(days=days + grace)
+            if current and at <= current[1]:
+                current = [current[0], max(current[1], end), current[2] + 1, current[3] + days]
+            else:
+                out += [(*key, *current)] if current else []
+                current = [at, end, 1, days]
+        out.append((*key, *current))
+    return sorted((p, k, (a - DAY).days, (b - DAY).days, n, s) for p, k, a, b, n, s in out if b < until)
+
+
+def test_replay_in_three_batches(spark, tmp_path):
+    rows = [("A", k % 7, day((k * 37) % 400), float(1 + k % 20)) for k in range(300)]
+    rows += [("A", 1, day(5), 3.0)] * 5  # copies, and a third of all rows in one key
+    rows += [("B", 1, day(k), 1.0) for k in range(0, 400, 3)]
+    parts = [[r for r in rows if a <= (r[2] - DAY).days < b] for a, b in ((0, 150), (150, 290), (290, 500))]
+    for k, part in enumerate(parts):
+        arrive(spark, tmp_path, k, part)
+        progress = run(spark, tmp_path, grace_days=2, delay_days=5)
+        latest = max(r[2] for part in parts[: k + 1] for r in part)
+        known = [r for part in parts[: k + 1] for r in part]
+        assert closed(spark, tmp_path) == brute_force(known, 2, latest - timedelta(days=5))
+        # Only sessions that may still go on are in the state.
+        assert progress["stateOperators"][0]["numRowsTotal"] <= 8
+    assert ss.ledger(spark, os.path.join(tmp_path, "work")).where("reason is not null").count() == 0
+
+
+def test_touching_supplies_are_one_session(spark):
+    rows = [("A", 1, day(0), 3.0), ("A", 1, day(3), 2.0), ("A", 2, day(0), 3.0), ("A", 2, day(4), 2.9)]
+    found = ss.session_totals(spark.createDataFrame(rows, SCHEMA), KEYS, 0).collect()
+    assert sorted((r.patient_id, (r.session_start - DAY).days, (r.session_end - DAY).days, r.deliveries) for r in found) == [
+        (1, 0, 5, 2), (2, 0, 3, 1), (2, 4, 6, 1)
+    ]
+
+
+def test_rejects_by_reason(spark, tmp_path):
+    nan = float("nan")
+    arrive(spark, tmp_path, 0, [("A", 1, day(0), 5.0), ("A", 2, day(100), 5.0), (None, 1, day(1), 5.0), ("A", None, None, 5.0),
+                                ("A", 1, None, 5.0), ("A", 1, day(1), None), ("A", 1, day(1), 0.5), ("A", 1, day(1), nan), ("A", 1, day(1), 1e9)])
+    run(spark, tmp_path, grace_days=0, delay_days=10)
+    # Patient 1's session ended on day 5: a delivery of day 4 comes too late, one after the watermark does not.
+    arrive(spark, tmp_path, 1, [("A", 1, day(4), 5.0), ("A", 3, day(90), 1.0), ("A", 4, day(91), 1.0), ("A", 2, day(300), 1.0)])
+    run(spark, tmp_path, grace_days=0, delay_days=10)
+    reasons = {}
+    for r in ss.ledger(spark, os.path.join(tmp_path, "work")).collect():
+        reasons[r.reason] = reasons.get(r.reason, 0) + r.rows
+    assert reasons == {None: 4, "no_key": 2, "no_time": 1, "no_supply": 4, "late": 2}
+    assert closed(spark, tmp_path) == [("A", 1, 0, 5, 1, 5), ("A", 2, 100, 105, 1, 5), ("A", 4, 91, 92, 1, 1)]
+
+
+@pytest.mark.parametrize("fails_in", ["ledger", "sessions"])
+def test_resumed_after_a_failure(spark, tmp_path, monkeypatch, fails_in):
+    first = [("A", k, day(k), 5.0) for k in range(20)]
+    second = [("A", k, day(60 + k), 5.0) for k in range(20)] + [("A", 3, day(1), 1.0)]
+    plain, broken = os.path.join(tmp_path, "plain"), os.path.join(tmp_path, "broken")
+    for folder in (plain, broken):
+        arrive(spark, folder, 0, first)
+        run(spark, folder, grace_days=1, delay_days=3)
+        arrive(spark, folder, 1, second)
+    run(spark, plain, grace_days=1, delay_days=3)
+    with monkeypatch.context() as patch:
+        if fails_in == "ledger":  # the rows of the batch are written, the batch is not committed
+            whole = ss.admit_batch
+
+            def dies(*args):
+                whole(*args)
+                raise RuntimeError("executor lost")
+
+            patch.setattr(ss, "admit_batch", dies)
+        else:
+            patch.setattr(ss, "close_sessions", lambda *args: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(Exception, match="lost"):
+            run(spark, broken, grace_days=1, delay_days=3)
+    run(spark, broken, grace_days=1, delay_days=3)
+    run(spark, broken, grace_days=1, delay_days=3)  # nothing new: nothing changes
+    assert closed(spark, broken) == closed(spark, plain) != []
+    counts = [sorted(map(str, ss.ledger(spark, os.path.join(f, "work")).collect())) for f in (plain, broken)]
+    assert counts[0] == counts[1]
