@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from llm_helpers import SF_SMALL, as_rows, documents
+from refillscope.llm import setjoin
 from refillscope.llm.line_dedup import (
     RARITY_BITS,
     chain_links,
@@ -119,6 +120,16 @@ def test_edited_lines(spark, width):
     assert removed(documents(spark, rows), width=width) == brute_force(rows, width)
 
 
+@pytest.mark.parametrize("most", [3, 90])
+def test_families_cut_into_blocks_by_size(spark, monkeypatch, most):
+    """Blocks of few sets, so that similar lines of other sizes lie in other blocks."""
+    monkeypatch.setattr(setjoin, "BLOCK_SETS", most)
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"w{i}" for i in range(rng.randrange(1, 3), rng.randrange(4, 60)))) for k in range(250)]
+    found = removed(documents(spark, rows), width=1, min_words=1)
+    assert found and found == brute_force(rows, 1, 1)
+
+
 def test_edge_cases(spark):
     long = " ".join("x%d" % i for i in range(20_000))
     same = "one two three four five six"
