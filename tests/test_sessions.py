@@ -71,6 +71,20 @@ def test_touching_supplies_are_one_session(spark):
     ]
 
 
+def test_days_have_24_hours_in_every_zone(spark):
+    """Supplies over the change to and from summer time, and at an hour that the zone does not have."""
+    at = [datetime(2022, 3, 13, 2, 30), datetime(2022, 3, 15, 2, 30), datetime(2022, 11, 6, 1, 30), datetime(1969, 10, 25, 12, 0, 0, 5)]
+    rows = [("A", k // 2, t, 2.0) for k, t in enumerate(at)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        found = ss.session_totals(spark.createDataFrame(rows, SCHEMA), KEYS, 0).select("session_start", "session_end", "deliveries").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    two = timedelta(days=2)
+    assert sorted(map(tuple, found)) == [(at[3], at[3] + two, 1), (at[0], at[1] + two, 2), (at[2], at[2] + two, 1)]
+
+
 def test_rejects_by_reason(spark, tmp_path):
     nan = float("nan")
     arrive(spark, tmp_path, 0, [("A", 1, day(0), 5.0), ("A", 2, day(100), 5.0), (None, 1, day(1), 5.0), ("A", None, None, 5.0),
