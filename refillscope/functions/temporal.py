@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often ``use`` refers to it.
+
+    An expression holds a copy of each expression that it refers to. Many copies also make generated code too long
+    for the JVM to compile, and it runs interpreted; a lambda's variable is a value.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def whole_days(start, end) -> Column:
     """Whole 24-hour spans from ``start`` to ``end`` (a timedelta's ``.days`` for end >= start).
 
@@ -25,6 +36,10 @@ _TIME = r"(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,6})?))?)?"
 _DAY_FIRST = rf"^(\d{{1,2}})([/.-])(\d{{1,2}})\2(\d{{4}}|\d{{2}}){_TIME}$"
 _ISO = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_TIME}$"
 
+# Year, month, day, hour, minute and second of either shape, each between separators. A line end, which a shape
+# lets follow, stays behind the last one.
+_DAY_FIRST_PARTS, _ISO_PARTS = ";$4;$3;$1;$5;$6;$7;", ";$1;$2;$3;$4;$5;$6;"
+
 # Two-digit years from here on are in the 1900s, those before in the 2000s.
 CENTURY_PIVOT = 69
 
@@ -36,24 +51,27 @@ def parse_day_first(c) -> Column:
     an impossible date gives NULL, so the ingest layer can route the row to the rejects. No
     time zone is involved: the wall-clock value is kept as written.
     """
-    text = F.trim(_col(c).cast("string"))
 
-    def moment(pattern: str, year: int, month: int, day: int, clock: int) -> Column:
+    def parts(text: Column) -> Column:
+        shapes = ((_DAY_FIRST, _DAY_FIRST_PARTS), (_ISO, _ISO_PARTS))
+        return F.coalesce(*[F.when(text.rlike(shape), F.split(F.regexp_replace(text, shape, order), ";")) for shape, order in shapes])
+
+    def moment(found: Column) -> Column:
         def part(i: int) -> Column:
-            return F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
+            return F.when(F.get(found, F.lit(i)) != "", F.get(found, F.lit(i)))
 
-        years = part(year).cast("int")
+        years = part(1).cast("int")
         century = F.when(years < CENTURY_PIVOT, 2000).otherwise(1900)
         return F.try_make_timestamp_ntz(
-            years=F.when(F.length(part(year)) == 2, years + century).otherwise(years),
-            months=part(month).cast("int"),
-            days=part(day).cast("int"),
-            hours=F.coalesce(part(clock).cast("int"), F.lit(0)),
-            mins=F.coalesce(part(clock + 1).cast("int"), F.lit(0)),
-            secs=F.coalesce(part(clock + 2).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
+            years=F.when(F.length(part(1)) == 2, years + century).otherwise(years),
+            months=part(2).cast("int"),
+            days=part(3).cast("int"),
+            hours=F.coalesce(part(4).cast("int"), F.lit(0)),
+            mins=F.coalesce(part(5).cast("int"), F.lit(0)),
+            secs=F.coalesce(part(6).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
         )
 
-    return F.coalesce(moment(_DAY_FIRST, 4, 3, 1, 5), moment(_ISO, 1, 2, 3, 4))
+    return computed_once(computed_once(F.trim(_col(c).cast("string")), parts), moment)
 
 
 def format_day_first(c) -> Column:

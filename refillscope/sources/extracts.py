@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refillscope.functions.temporal import parse_day_first
+from refillscope.functions.temporal import computed_once, parse_day_first
 from refillscope.schema import (
     DEMOGRAPHIC_COLUMNS,
     DISPENSING_HEADERS,
@@ -94,14 +94,15 @@ def _number(df: DataFrame, name: str, decimal_comma: bool) -> tuple[Column, Colu
         value = F.col(name).cast("double")
         return F.when(~F.isnan(value), value), F.lit(False)
     text = F.nullif(F.trim(F.col(name)), F.lit(""))
-    plain = text
-    if decimal_comma:
-        shape = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+)(,\d+)?$"
-        plain = F.when(text.rlike(shape), F.translate(F.translate(text, ".", ""), ",", ".")).otherwise(
-            F.when(F.lower(text) == "nan", text)
-        )
-    value = plain.try_cast("double")
-    return F.when(~F.isnan(value), value), text.isNotNull() & value.isNull()
+    if not decimal_comma:
+        value = text.try_cast("double")
+        return F.when(~F.isnan(value), value), text.isNotNull() & value.isNull()
+    # No text of this shape is NaN.
+    shape = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+)(,\d+)?$"
+    value = computed_once(
+        text, lambda t: F.when(t.rlike(shape), F.translate(F.translate(t, ".", ""), ",", ".").try_cast("double"))
+    )
+    return value, value.isNull() & text.isNotNull() & (F.lower(text) != "nan")
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -110,16 +111,24 @@ def _text(df: DataFrame, name: str) -> Column:
     return F.nullif(F.trim(F.col(name).cast("string")), F.lit(""))
 
 
+# Digits, with what the cast to BIGINT lets stand around them: a sign, white space and control characters.
+_WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+
+
+def _whole(text: Column) -> Column:
+    # A cast that fails costs an exception, so only text that can be a whole number is cast to one.
+    as_long = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    as_double = text.try_cast("double")
+    from_double = F.when(as_double == F.floor(as_double), as_double.cast("bigint"))
+    return F.coalesce(as_long, from_double)
+
+
 def _prod(df: DataFrame, name: str = "prod") -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
         return F.col(name).cast("bigint")
     # "1480022" and "1480022.0" (a numeric cell exported as text) both map to 1480022.
-    text = F.trim(F.col(name).cast("string"))
-    as_long = text.try_cast("bigint")
-    as_double = text.try_cast("double")
-    from_double = F.when(as_double == F.floor(as_double), as_double.cast("bigint"))
-    return F.coalesce(as_long, from_double)
+    return computed_once(F.trim(F.col(name).cast("string")), _whole)
 
 
 def _split(typed: DataFrame, schema: T.StructType, reason: Column) -> Typed:

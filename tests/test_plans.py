@@ -84,3 +84,11 @@ def test_building_a_scan_runs_no_job(spark):
     iv.delivery_intervals(deliveries, catalog.KEYS, hot=None)
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("scan")
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_typing_computes_each_text_once(spark):
+    """References to a parsed text do not copy its parsing: the code stays small enough for the JVM to compile."""
+    for query in (catalog.dispensing_text_typed, catalog.therapy_text_typed, catalog.ingest_rejects, catalog.extract_patients):
+        plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        regexes = re.findall(r"RLIKE|regexp_\w+\(", plan)
+        assert 0 < len(regexes) <= 40, len(regexes)
