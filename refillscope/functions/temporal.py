@@ -52,26 +52,45 @@ def parse_day_first(c) -> Column:
     time zone is involved: the wall-clock value is kept as written.
     """
 
-    def parts(text: Column) -> Column:
-        shapes = ((_DAY_FIRST, _DAY_FIRST_PARTS), (_ISO, _ISO_PARTS))
-        return F.coalesce(*[F.when(text.rlike(shape), F.split(F.regexp_replace(text, shape, order), ";")) for shape, order in shapes])
-
-    def moment(found: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.when(F.get(found, F.lit(i)) != "", F.get(found, F.lit(i)))
-
-        years = part(1).cast("int")
-        century = F.when(years < CENTURY_PIVOT, 2000).otherwise(1900)
-        return F.try_make_timestamp_ntz(
-            years=F.when(F.length(part(1)) == 2, years + century).otherwise(years),
-            months=part(2).cast("int"),
-            days=part(3).cast("int"),
-            hours=F.coalesce(part(4).cast("int"), F.lit(0)),
-            mins=F.coalesce(part(5).cast("int"), F.lit(0)),
-            secs=F.coalesce(part(6).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
-        )
-
-    return computed_once(computed_once(F.trim(_col(c).cast("string")), parts), moment)
+    return computed_once(computed_once(F.trim(_col(c).cast("string")), lambda text: _parts(text, _day_first(text))), _moment)
+
+
+def day_first_steps(c, name: str) -> list[dict[str, Column]]:
+    """``parse_day_first`` into the column ``name`` by columns to be added one step after the other."""
+    text, ordered, parts = (f"_{name}_{step}" for step in ("text", "ordered", "parts"))
+    return [
+        {text: F.trim(_col(c).cast("string"))},
+        {ordered: _day_first(F.col(text))},
+        {parts: _parts(F.col(text), F.col(ordered))},
+        {name: _moment(F.col(parts))},
+    ]
+
+
+def _day_first(text: Column) -> Column:
+    """The parts of day-first text between separators; other text is returned as it is."""
+    return F.regexp_replace(text, _DAY_FIRST, _DAY_FIRST_PARTS)
+
+
+def _parts(text: Column, ordered: Column) -> Column:
+    """The parts as an array; no text that ``_day_first`` changes equals its parts, which begin with a separator."""
+    iso = F.when(text.rlike(_ISO), F.split(F.regexp_replace(text, _ISO, _ISO_PARTS), ";"))
+    return F.when(ordered != text, F.split(ordered, ";")).otherwise(iso)
+
+
+def _moment(found: Column) -> Column:
+    def part(i: int) -> Column:
+        return F.when(F.get(found, F.lit(i)) != "", F.get(found, F.lit(i)))
+
+    years = part(1).cast("int")
+    century = F.when(years < CENTURY_PIVOT, 2000).otherwise(1900)
+    return F.try_make_timestamp_ntz(
+        years=F.when(F.length(part(1)) == 2, years + century).otherwise(years),
+        months=part(2).cast("int"),
+        days=part(3).cast("int"),
+        hours=F.coalesce(part(4).cast("int"), F.lit(0)),
+        mins=F.coalesce(part(5).cast("int"), F.lit(0)),
+        secs=F.coalesce(part(6).cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
+    )
 
 
 def format_day_first(c) -> Column:

@@ -9,13 +9,14 @@ measures (the reference would abort or mis-sort on such rows).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import zip_longest
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from refillscope.functions.temporal import computed_once, parse_day_first
+from refillscope.functions.temporal import day_first_steps
 from refillscope.schema import (
     DEMOGRAPHIC_COLUMNS,
     DISPENSING_HEADERS,
@@ -75,34 +76,48 @@ def read_raw(
     return by_name(spark.read.format(fmt).options(**(options or {})).load(path), headers)
 
 
-def _timestamp(df: DataFrame, name: str) -> Column:
+# Columns that a value is made by, one step after the other; the last step holds the value under its own name.
+Steps = list[dict[str, Column]]
+
+
+def _computed_once(df: DataFrame, *values: Steps) -> DataFrame:
+    """``df`` with the columns of all steps, each of them computed once for each row.
+
+    A filter or join takes the expressions of a projection that it refers to into itself, copies and all, and they
+    are computed again for the output. The output of a generator is a value, here of the only element of an array.
+    """
+    for step in zip_longest(*values, fillvalue={}):
+        columns = [column.alias(name) for found in step for name, column in found.items()]
+        df = df.select("*", F.inline(F.array(F.struct(*columns))))
+    return df
+
+
+def _timestamp(df: DataFrame, name: str, out: str) -> Steps:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.col(name)
+        return [{out: F.col(name)}]
     if isinstance(dtype, (T.TimestampType, T.DateType)):
-        return F.col(name).cast("timestamp_ntz")
-    return parse_day_first(F.col(name))
+        return [{out: F.col(name).cast("timestamp_ntz")}]
+    return day_first_steps(name, out)
 
 
-def _number(df: DataFrame, name: str, decimal_comma: bool) -> tuple[Column, Column]:
+def _number(df: DataFrame, name: str, decimal_comma: bool, out: str, bad: str) -> Steps:
     """A number as DOUBLE, and whether there is text that is none.
 
     Blank, NaN (a blank cell read by other tools) and NULL are NULL. With ``decimal_comma``
     text has a comma before its decimals and may have points between thousands.
     """
+    text, value = F.col("_number_text"), F.col("_number")
     if not isinstance(df.schema[name].dataType, T.StringType):
-        value = F.col(name).cast("double")
-        return F.when(~F.isnan(value), value), F.lit(False)
-    text = F.nullif(F.trim(F.col(name)), F.lit(""))
+        return [{"_number": F.col(name).cast("double")}, {out: F.when(~F.isnan(value), value), bad: F.lit(False)}]
+    trimmed = {"_number_text": F.nullif(F.trim(F.col(name)), F.lit(""))}
     if not decimal_comma:
-        value = text.try_cast("double")
-        return F.when(~F.isnan(value), value), text.isNotNull() & value.isNull()
+        judged = {out: F.when(~F.isnan(value), value), bad: text.isNotNull() & value.isNull()}
+        return [trimmed, {"_number": text.try_cast("double")}, judged]
     # No text of this shape is NaN.
     shape = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+)(,\d+)?$"
-    value = computed_once(
-        text, lambda t: F.when(t.rlike(shape), F.translate(F.translate(t, ".", ""), ",", ".").try_cast("double"))
-    )
-    return value, value.isNull() & text.isNotNull() & (F.lower(text) != "nan")
+    number = F.when(text.rlike(shape), F.translate(text, ",.", ".").try_cast("double"))
+    return [trimmed, {"_number": number}, {out: value, bad: value.isNull() & text.isNotNull() & (F.lower(text) != "nan")}]
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -115,20 +130,19 @@ def _text(df: DataFrame, name: str) -> Column:
 _WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 
 
-def _whole(text: Column) -> Column:
-    # A cast that fails costs an exception, so only text that can be a whole number is cast to one.
-    as_long = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
-    as_double = text.try_cast("double")
-    from_double = F.when(as_double == F.floor(as_double), as_double.cast("bigint"))
-    return F.coalesce(as_long, from_double)
-
-
-def _prod(df: DataFrame, name: str = "prod") -> Column:
+def _prod(df: DataFrame, name: str, out: str) -> Steps:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType)):
-        return F.col(name).cast("bigint")
+        return [{out: F.col(name).cast("bigint")}]
     # "1480022" and "1480022.0" (a numeric cell exported as text) both map to 1480022.
-    return computed_once(F.trim(F.col(name).cast("string")), _whole)
+    text, as_long, as_double = (F.col(c) for c in ("_prod_text", "_prod_long", "_prod_double"))
+    return [
+        {"_prod_text": F.trim(F.col(name).cast("string"))},
+        # A cast that fails costs an exception, so only text that can be a whole number is cast to one.
+        {"_prod_long": F.when(text.rlike(_WHOLE), text.try_cast("bigint"))},
+        {"_prod_double": F.when(as_long.isNull(), text.try_cast("double"))},
+        {out: F.coalesce(as_long, F.when(as_double == F.floor(as_double), as_double.cast("bigint")))},
+    ]
 
 
 def _split(typed: DataFrame, schema: T.StructType, reason: Column) -> Typed:
@@ -146,17 +160,17 @@ def _reason(checks: list[tuple[Column, str]]) -> Column:
 
 
 def _typed(raw: DataFrame, schema: T.StructType, number: str, texts: Sequence[str], decimal_comma: bool) -> Typed:
-    value, bad_number = _number(raw, number, decimal_comma)
     kept = ("patient_id", "prod", "dispensed_at", number)
-    typed = raw.select(
-        _text(raw, "patient_id").alias("patient_id"),
-        _prod(raw).alias("prod"),
-        _timestamp(raw, "dispensed_at").alias("dispensed_at"),
-        value.alias(number),
-        *[_text(raw, c).alias(c) for c in texts],
-        *[F.col(c).cast("string").alias(f"raw_{c}") for c in kept],
-        bad_number.alias("_bad_number"),
+    given = raw.select(*[F.col(c).alias(f"_given_{c}") for c in kept], *[_text(raw, c).alias(c) for c in texts])
+    values = _computed_once(
+        given,
+        [{"patient_id": _text(given, "_given_patient_id")}],
+        _prod(given, "_given_prod", "prod"),
+        _timestamp(given, "_given_dispensed_at", "dispensed_at"),
+        _number(given, f"_given_{number}", decimal_comma, number, "_bad_number"),
     )
+    raws = [F.col(f"_given_{c}").cast("string").alias(f"raw_{c}") for c in kept]
+    typed = values.select(*kept, *texts, *raws, "_bad_number")
     reason = _reason(
         [
             (F.col("patient_id").isNull(), "missing patient_id"),

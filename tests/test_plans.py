@@ -92,3 +92,13 @@ def test_typing_computes_each_text_once(spark):
         plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         regexes = re.findall(r"RLIKE|regexp_\w+\(", plan)
         assert 0 < len(regexes) <= 40, len(regexes)
+
+
+def test_typing_is_not_repeated_by_filters(spark):
+    """Valid rows and rejects are told apart by values: no filter or join computes the typing again."""
+    extracts = {catalog.dispensing_text_typed: 1, catalog.therapy_text_typed: 1, catalog.ingest_rejects: 2, catalog.extract_patients: 1, catalog.extract_change_report: 1}
+    for query, typed in extracts.items():
+        plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("try_make_timestamp_ntz(") == typed, query.__name__
+        # Lambdas are interpreted row by row.
+        assert "lambdafunction" not in plan, query.__name__
