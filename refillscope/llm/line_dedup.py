@@ -34,6 +34,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,8 @@ _STEP = 500
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET = np.uint64(0xD6E8FEB86659FD93)
 _PARITY = np.uint64(0xA0761D6478BD642F)
+# Spreads the lines of a document (the product of a line number fits a BIGINT); more than any line number.
+_LINE_STEP, _PLACES = 2654435761, 1 << 32
 
 
 class _Lines:
@@ -358,21 +361,32 @@ def _reduce(threshold: Fraction):
     return run
 
 
-def _member_sets(documents: Broadcast, wanted_lines: Broadcast, width: int, min_words: int):
+def _line_key(doc_id, line):
+    """A number for a line of a document, alike for columns and arrays (in 64 bits each); others may have it too."""
+    return doc_id ^ (line * _LINE_STEP) if isinstance(line, np.ndarray) else doc_id.bitwiseXOR(line * F.lit(_LINE_STEP))
+
+
+def _member_sets(wanted_places: Broadcast, wanted_lines: Broadcast, width: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, _STEP):
-                batch = whole.slice(at, _STEP)
-                ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                wanted = np.asarray(batch.column("doc_id").is_valid()) & in_bitmap(documents.value, ids)
-                batch = batch.filter(pa.array(wanted))
-                lines = _Lines(batch, width, min_words)
+                batch = whole.slice(at, _STEP).filter(whole.slice(at, _STEP).column("doc_id").is_valid())
+                # Only lines at wanted places are hashed and made sets.
+                split = [text.split("\n") if text else [] for text in batch.column("text").to_pylist()]
+                counts = np.array([len(x) for x in split], dtype=np.int64)
+                ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), counts)
+                number = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
+                places = np.flatnonzero(in_bitmap(wanted_places.value, _line_key(ids, number)))
+                texts = list(chain.from_iterable(split))
+                texts = pa.array([texts[i] for i in places.tolist()], pa.large_string())
+                lines = _Lines(pa.RecordBatch.from_arrays([texts], names=["text"]), width, min_words)
                 if not lines.count:
                     continue
                 values, _, bounds = lines.sets()
                 _, pairs = digests(values, bounds)
                 likely = np.flatnonzero(in_bitmap(wanted_lines.value, np.ascontiguousarray(pairs[:, 1])))
-                columns = [pa.array(ids[wanted][lines.document[likely]]), pa.array(lines.number[likely])]
+                found = places[lines.document[likely]]
+                columns = [pa.array(ids[found]), pa.array(number[found].astype(np.int32))]
                 columns += [pa.array(pairs[likely, k]) for k in (0, 1)]
                 columns.append(pa.array([values[bounds[k] : bounds[k + 1]].tobytes() for k in likely.tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "hi", "lo", "elements"])
@@ -380,6 +394,22 @@ def _member_sets(documents: Broadcast, wanted_lines: Broadcast, width: int, min_
     return run
 
 
+def line_kinds(lines: DataFrame) -> DataFrame:
+    """Each distinct line, its first ``place`` by ``(doc_id, line)``, and its number of copies.
+
+    Copies of a line meet in the map tasks already, so a common line is no hot key of the joins that follow. A place
+    is one decimal number: the least is found in a hash table, that of a struct by sorting all lines.
+    """
+    place = F.col("doc_id").cast("decimal(19,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
+    return lines.groupBy("hi", "lo", "n", "sig_a", "sig_b").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
+
+
+def _of_place() -> tuple[Column, Column]:
+    """Document and line of a ``place``."""
+    line = f"pmod(place, {_PLACES})"
+    return F.expr(f"(place - {line}) div {_PLACES}"), F.expr(line).cast("int")
+
+
 def size_blocks(reps: DataFrame, threshold: Fraction) -> DataFrame:
     """Give each set (``family, node, n``, other columns are kept) its block of its family and the blocks that it meets.
 
@@ -571,21 +601,22 @@ def duplicate_lines(
     dealt = posted.repartition(partitions(spark), "shard").sortWithinPartitions("shard")
     rows = materialise(dealt.mapInArrow(_reduce(threshold), _ROWS), "lines")
     lines = rows.where(F.col("kind") == _LINES).select("hi", "lo", "doc_id", "line", "n", "first", "sig_a", "sig_b")
-    # Copies of a line meet in the map tasks already, so a common line is no hot key of the joins that follow.
-    kinds = lines.groupBy("hi", "lo", "n", "sig_a", "sig_b").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count(F.lit(1)).alias("copies"))
-    kinds = materialise(kinds, "line-kinds")
+    kinds = materialise(line_kinds(lines), "line-kinds")
     links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
     pairs = rows.where(F.col("kind") == _PAIRS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
     likely = materialise(links.unionByName(_likely(pairs, kinds, threshold)), "line-links")
     near = materialise(sj.families(likely, connected_components), "line-families")
     drop_table(likely)
     # The first occurrence of each line that has a candidate partner.
-    reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo").select("family", "hi", "lo", "n", "at.doc_id", "at.line", F.col("lo").alias("node"))
+    doc_id, line = _of_place()
+    reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo")
+    reps = reps.select("family", "hi", "lo", "n", doc_id.alias("doc_id"), line.alias("line"), F.col("lo").alias("node"))
     reps = materialise(reps, "line-reps")
     drop_table(near)
     blocks = size_blocks(reps, threshold)
     drop_table(reps)
-    read_again = _member_sets(membership_bitmap(blocks, "doc_id"), membership_bitmap(blocks, "lo"), width, min_words)
+    places = blocks.select(_line_key(F.col("doc_id"), F.col("line").cast("long")).alias("place"))
+    read_again = _member_sets(membership_bitmap(places, "place"), membership_bitmap(blocks, "lo"), width, min_words)
     sets = texts.mapInArrow(read_again, "doc_id long, line int, hi long, lo long, elements binary")
     sets = blocks.drop("n", "node").join(sets, ["doc_id", "line", "hi", "lo"])
     pairs = block_pairs(sets)
@@ -593,7 +624,7 @@ def duplicate_lines(
     gone = gone.groupBy("hi", "lo").agg(F.min("before_doc").alias("near_doc"))
 
     judged = kinds.join(gone, ["hi", "lo"], "left").where("copies > 1 or near_doc is not null")
-    judged = materialise(judged.select("hi", "lo", F.col("at.doc_id").alias("first_doc"), "near_doc"), "line-verdicts")
+    judged = materialise(judged.select("hi", "lo", doc_id.alias("first_doc"), "near_doc"), "line-verdicts")
     drop_table(kinds)
     found = lines.join(judged, ["hi", "lo"]).where("near_doc is not null or doc_id <> first_doc or not first")
     return found.select("doc_id", "line", F.least("near_doc", "first_doc").alias("before_doc"))

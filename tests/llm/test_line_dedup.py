@@ -6,14 +6,18 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import SF_SMALL, as_rows, documents
 from refillscope.llm import setjoin
 from refillscope.llm.line_dedup import (
     RARITY_BITS,
+    _line_key,
+    _of_place,
     chain_links,
     duplicate_lines,
     few_pairs,
+    line_kinds,
     line_report,
     parity_signatures,
     prefixes,
@@ -151,3 +155,21 @@ def test_removal_keeps_rows_and_clashing_columns(spark):
     out = remove_lines(docs, duplicate_lines(docs))
     assert out.columns == docs.columns
     assert as_rows(out, "doc_id", "text") == [(1, f"a\n{same}"), (2, "b\nc"), (3, None), (4, "")]
+
+
+def test_first_places_of_lines_without_sorting_them(spark):
+    most = 2**63 - 1
+    rows = [(1, 7, 5, 0), (1, 7, 3, 4), (1, 7, 3, 2), (2, 7, -most - 1, 9), (2, 7, -2, 1), (3, 7, most, 2**31 - 1), (4, 7, -1, 3)]
+    frame = spark.createDataFrame(rows, "hi long, lo long, doc_id long, line int").selectExpr("*", "1 n", "2L sig_a", "3L sig_b")
+    kinds = line_kinds(frame)
+    assert "SortAggregate" not in kinds._jdf.queryExecution().executedPlan().toString()
+    found = {r[0]: r[1:] for r in kinds.select("hi", *_of_place(), "copies").collect()}
+    assert found == {1: (3, 2, 3), 2: (-most - 1, 9, 2), 3: (most, 2**31 - 1, 1), 4: (-1, 3, 1)}
+    assert [kind for _, kind in kinds.select(*_of_place()).dtypes] == ["bigint", "int"]
+
+
+def test_line_keys_are_alike_in_columns_and_arrays(spark):
+    rows = [(5, 0), (-7, 12), (2**63 - 1, 2**31 - 1), (-(2**63), 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, line long")
+    keys = [r[0] for r in frame.select(_line_key(F.col("doc_id"), F.col("line"))).collect()]
+    assert keys == _line_key(*np.array(rows, dtype=np.int64).T).tolist()
