@@ -34,6 +34,7 @@ from refillscope.sources.testtables import (
     therapy_as_text,
     therapy_from_tables,
     with_arrival,
+    written_lines,
 )
 from refillscope.shared import shared_path
 from refillscope.streaming import sessions
@@ -170,19 +171,20 @@ def adherence_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dispensing_text_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S3: the valid rows of a dispensing extract of text columns, typed by the ingest layer."""
-    return type_dispensing(dispensing_as_text(spark, sf_dir)).valid
+    return type_dispensing(dispensing_as_text(written_lines(spark, sf_dir))).valid
 
 
 def therapy_text_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + S3: the valid rows of a therapy extract of text columns with decimal commas."""
-    return type_therapy(therapy_as_text(spark, sf_dir), decimal_comma=True).valid
+    return type_therapy(therapy_as_text(written_lines(spark, sf_dir)), decimal_comma=True).valid
 
 
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected rows of both text extracts, with reason and original text."""
     columns = ["raw_patient_id", "raw_prod", "raw_dispensed_at"]
-    disp = type_dispensing(dispensing_as_text(spark, sf_dir)).rejects
-    ther = type_therapy(therapy_as_text(spark, sf_dir), decimal_comma=True).rejects
+    lines = written_lines(spark, sf_dir)
+    disp = type_dispensing(dispensing_as_text(lines)).rejects
+    ther = type_therapy(therapy_as_text(lines), decimal_comma=True).rejects
     reason = F.col("_reject_reason").alias("reason")
     return disp.select(F.lit("dispensing").alias("extract"), reason, *columns, F.col("raw_qty").alias("raw_number")).unionByName(
         ther.select(F.lit("therapy").alias("extract"), reason, *columns, F.col("raw_therapy_days").alias("raw_number"))
@@ -254,7 +256,8 @@ LINE_COLUMNS = ["patient_id", "prod", "dispensed_at", "qty", "health_unit"]
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The text extract as ingested, and its second version."""
-    return dispensing_text_typed(spark, sf_dir).select(*LINE_COLUMNS), dispensing_redelivered(spark, sf_dir)
+    lines = written_lines(spark, sf_dir)
+    return type_dispensing(dispensing_as_text(lines)).valid.select(*LINE_COLUMNS), dispensing_redelivered(lines)
 
 
 def extract_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

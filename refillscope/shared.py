@@ -49,12 +49,12 @@ def _shuffles_end(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back (lineage ends there)."""
+def materialise(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back (lineage ends there); ``options`` are the writer's."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     with _shuffles_end(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refillscope.shared import materialise
+
 # The part types kept as the four "products" on the test tables.
 TEST_PRODUCT_TYPES = ("ECONOMY", "PROMO", "SMALL", "LARGE")
 # Customers are born from this day on, in steps that spread over the days.
@@ -85,6 +87,21 @@ def therapy_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows of a file of the written lines. Spark deals whole files to a task until their bytes, with some for opening each,
+# reach its limit, so short files bound the rows of a task.
+LINES_PER_FILE = 100_000
+
+
+def written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with the columns of the text extracts, written once for all that read them.
+
+    Tables are joined once however many extracts or versions are made of the lines. Rendering and typing cost far more
+    than a joined row's bytes suggest, by which Spark deals the rows of a join to few tasks; files are short.
+    """
+    columns = ("l_orderkey", "l_partkey", "l_quantity", "o_custkey", "o_orderdate", "p_brand")
+    return materialise(_lines(spark, sf_dir).select(*columns), "lines", maxRecordsPerFile=LINES_PER_FILE)
+
+
 # Orders whose key these divide have an unusable patient, product, date or number.
 BAD_PATIENT, BAD_PROD, BAD_DATE, BAD_NUMBER = 89, 79, 97, 83
 
@@ -105,26 +122,26 @@ def _text_keys():
     ]
 
 
-def dispensing_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines as a dispensing extract of text columns, before typing; some rows are unusable."""
+def dispensing_as_text(lines: DataFrame) -> DataFrame:
+    """``written_lines`` as a dispensing extract of text columns, before typing; some rows are unusable."""
     number = F.when(_bad(BAD_NUMBER), F.lit("1x")).otherwise(F.col("l_quantity").cast("string"))
-    return _lines(spark, sf_dir).select(*_text_keys(), number.alias("qty"), F.col("p_brand").alias("health_unit"))
+    return lines.select(*_text_keys(), number.alias("qty"), F.col("p_brand").alias("health_unit"))
 
 
-def therapy_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines as a therapy extract of text columns, numbers with a decimal comma."""
+def therapy_as_text(lines: DataFrame) -> DataFrame:
+    """``written_lines`` as a therapy extract of text columns, numbers with a decimal comma."""
     number = F.regexp_replace((F.col("l_quantity") / 2).cast("string"), "[.]", ",")
     number = F.when(_bad(BAD_NUMBER), F.lit("1,5,5")).otherwise(number)
-    return _lines(spark, sf_dir).select(*_text_keys(), number.alias("therapy_days"))
+    return lines.select(*_text_keys(), number.alias("therapy_days"))
 
 
 # What the second version of the text extract withdraws and corrects.
 WITHDRAWN, MOST_QUANTITY = 71, 45
 
 
-def dispensing_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dispensing_redelivered(lines: DataFrame) -> DataFrame:
     """A second version of the text extract, typed: no row is unusable, some orders are withdrawn, large quantities corrected."""
-    return _lines(spark, sf_dir).where(~_bad(WITHDRAWN)).select(
+    return lines.where(~_bad(WITHDRAWN)).select(
         F.col("o_custkey").cast("string").alias("patient_id"),
         F.col("l_partkey").alias("prod"),
         F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("dispensed_at"),

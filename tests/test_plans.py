@@ -1,10 +1,13 @@
 """Physical-plan checks: the plans we want at scale, not only the right rows."""
 
+import os
 import re
 
+import pyarrow.parquet as pq
 from tables import SF_SMALL
 from refillscope.operators import intervals as iv
 from refillscope.plans import catalog
+from refillscope.sources import testtables
 from scan_helpers import hot_options
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
@@ -102,3 +105,16 @@ def test_typing_is_not_repeated_by_filters(spark):
         assert plan.count("try_make_timestamp_ntz(") == typed, query.__name__
         # Lambdas are interpreted row by row.
         assert "lambdafunction" not in plan, query.__name__
+
+
+def test_typing_runs_on_written_lines(spark, monkeypatch):
+    """Extracts are made of lines that are joined once and lie in short files: no join's few tasks do the typing."""
+    monkeypatch.setattr(testtables, "LINES_PER_FILE", 1_000)
+    for query in (catalog.dispensing_text_typed, catalog.therapy_text_typed, catalog.ingest_rejects, catalog.extract_patients, catalog.extract_change_report):
+        found = query(spark, SF_SMALL)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan, query.__name__
+        files = found.inputFiles()
+        assert len({os.path.dirname(f) for f in files}) == 1, query.__name__
+        rows = [pq.read_metadata(f.removeprefix("file://")).num_rows for f in files]
+        assert max(rows) <= 1_000 < sum(rows), query.__name__
