@@ -104,6 +104,10 @@ class _Lines:
         return distinct_sets(self.tokens, self.owner, self.count)
 
 
+# Neighbouring slots of the rarity table whose counts travel together.
+_SLOT_BLOCK = 1 << 10
+
+
 def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
@@ -121,12 +125,22 @@ def token_rarity(texts: DataFrame, width: int, min_words: int) -> Broadcast:
                 else:
                     tokens = _Lines(batch, width, min_words).tokens
                 total += np.bincount(_slots(tokens), minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["slot", "count"])
-
-    counts = texts.mapInArrow(run, "slot int, count long").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
-    rarity = np.zeros(1 << RARITY_BITS, dtype=np.int64)
-    rarity[counts.column("slot").to_numpy()] = counts.column("count").to_numpy()
+        blocks = total.reshape(-1, _SLOT_BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        counts = pa.array([blocks[k].tobytes() for k in used.tolist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), counts], names=["block", "counts"])
+
+    def summed(own: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in own.column("counts").to_pylist())
+        return pa.table({"block": own.column("block")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "block int, counts binary"
+    # As many rows as blocks reach the driver, and each task sends as many at most.
+    counts = texts.mapInArrow(run, kind).groupBy("block").applyInArrow(summed, kind).toArrow()
+    rarity = np.zeros(1 << RARITY_BITS, dtype=np.int64).reshape(-1, _SLOT_BLOCK)
+    for block, raw in zip(counts.column("block").to_pylist(), counts.column("counts").to_pylist(), strict=True):
+        rarity[block] = np.frombuffer(raw, np.int64)
+    rarity = rarity.ravel()
     place = np.empty(len(rarity), dtype=np.int64)
     place[np.argsort(rarity, kind="stable")] = np.arange(len(rarity))
     return texts.sparkSession.sparkContext.broadcast(place)
@@ -208,7 +222,11 @@ def few_pairs(
     """All pairs that the filters let through of keys with up to ``FEW`` rows, and which rows are left to ``chain_links``."""
     p, q = threshold.numerator, threshold.denominator
     reach = np.minimum((size - place) * (p + q) // p - size, size * q // p)
-    order = np.lexsort((node, size, key))
+    # Most keys are those of a single row, which has no partner: one sort by the key alone leaves them out.
+    order = np.argsort(key)
+    alike = key[order[1:]] == key[order[:-1]]
+    order = order[np.append(alike, False) | np.insert(alike, 0, False)] if len(order) else order
+    order = order[np.lexsort((node[order], size[order], key[order]))]
     fresh = np.ones(len(order), bool)  # several tasks may have sent a line that is copied
     fresh[1:] = (key[order[1:]] != key[order[:-1]]) | (node[order[1:]] != node[order[:-1]])
     order = order[fresh]
@@ -275,7 +293,7 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
         def flush() -> Iterator[pa.RecordBatch]:
             if postings:
                 key, node, size, place = (np.concatenate(x) for x in zip(*postings, strict=True))
-                order = np.argsort(key, kind="stable")
+                order = sj.by_shard(key, bits)
                 key, node, size, place = key[order], node[order], size[order], place[order]
                 yield _record(
                     [

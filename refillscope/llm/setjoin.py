@@ -49,8 +49,13 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return a[keep], b[keep]
 
 
+def by_shard(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The order of keys by shard alone (narrow numbers are sorted by counting); within a shard they stay as given."""
+    return np.argsort((keys >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint64), kind="stable")
+
+
 def shard_slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
-    """Slices of an ascending key array by shard (the top bits of the key)."""
+    """Slices of a key array in the order of its shards (the top bits of the key)."""
     shards = (keys >> np.uint64(64 - bits)).astype(np.int64)
     starts, _ = sorted_runs(shards)
     for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(keys)], strict=True):

@@ -12,8 +12,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _LENGTH = np.uint64(0x8CB92BA72F3D8DD7)
 _BASE = 0x5851F42D4C957F2D
-# Bytes that are hashed together, and the longest word that the rolling hash is used for.
-_CHUNK = 1 << 19
+# Bytes that are hashed together, so many that their arrays fit a core's cache; the longest word that the rolling hash is used for.
+_CHUNK = 1 << 17
 _LONG_WORD = 256
 
 _SPACE = np.zeros(256, dtype=bool)

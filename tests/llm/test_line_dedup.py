@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import SF_SMALL, as_rows, documents
-from refillscope.llm import setjoin
+from refillscope.llm import line_dedup, setjoin, shingles
 from refillscope.llm.line_dedup import (
     RARITY_BITS,
     _line_key,
@@ -24,6 +24,7 @@ from refillscope.llm.line_dedup import (
     remove_lines,
 )
 from refillscope.llm.queries import QUERIES
+from refillscope.llm.shingles import mix, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -173,3 +174,49 @@ def test_line_keys_are_alike_in_columns_and_arrays(spark):
     frame = spark.createDataFrame(rows, "doc_id long, line long")
     keys = [r[0] for r in frame.select(_line_key(F.col("doc_id"), F.col("line"))).collect()]
     assert keys == _line_key(*np.array(rows, dtype=np.int64).T).tolist()
+
+
+def test_rarity_orders_slots_by_their_counts_in_few_rows(spark):
+    """The places of slots follow the counts of all words; tasks send blocks of slots, not a row for each slot."""
+    words = [f"w{k}" for k in range(3_000)]
+    texts = [(i, " ".join(words[: 3_000 - 7 * i])) for i in range(200)] + [(200, None), (201, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    place = line_dedup.token_rarity(df, 1, 1).value
+    hashes = mix(word_hashes([t for _, t in texts if t])[0])
+    counts = np.bincount(line_dedup._slots(hashes), minlength=1 << line_dedup.RARITY_BITS)
+    assert sorted(place) == list(range(len(counts)))
+    assert (np.diff(counts[np.argsort(place)]) >= 0).all()
+
+
+def test_pairs_of_few_are_found_among_many_lone_keys():
+    """Keys of one row are left out before sorting; pairs and what is left to chains stay as by brute force."""
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 2_000, 3_000).astype(np.uint64)
+    key[:60] = 2_001
+    node, size = rng.integers(-900, 900, 3_000), rng.integers(8, 11, 3_000)
+    place = np.zeros(3_000, np.int64)
+    a, b, left = line_dedup.few_pairs(key, node, size, place, Fraction(4, 5))
+    rows, want, many = {}, set(), set()
+    for k, n, s in zip(key.tolist(), node.tolist(), size.tolist(), strict=True):
+        rows.setdefault(k, set()).add((n, s))
+    for k, own in rows.items():
+        nodes = {n for n, _ in own}
+        if len(nodes) == len(own) <= line_dedup.FEW:
+            want |= {(x, y) for x, s in own for y, t in own if x < y and 5 * min(s, t) >= 4 * max(s, t)}
+        elif len(own) > line_dedup.FEW:
+            many.add(k)
+    assert want <= set(zip(a.tolist(), b.tolist(), strict=True))
+    assert set(key[left].tolist()) == many
+    for none in (0, 1):
+        a, b, left = line_dedup.few_pairs(key[:none], node[:none], size[:none], place[:none], Fraction(4, 5))
+        assert not len(a) and not len(b) and not left.any()
+
+
+def test_postings_are_dealt_to_shards_without_sorting_keys():
+    """Slices of shards hold the keys of each in the order given; arrays of a chunk of text fit a core's cache."""
+    keys = np.random.default_rng(4).integers(0, 1 << 63, 5_000).astype(np.uint64) * np.uint64(2)
+    for bits in (1, 8, 18):
+        dealt = keys[setjoin.by_shard(keys, bits)]
+        own = {shard: dealt[rows].tolist() for shard, rows in setjoin.shard_slices(dealt, bits)}
+        assert own == {s: [k for k in keys.tolist() if k >> 64 - bits == s] for s in {k >> 64 - bits for k in keys.tolist()}}
+    assert 8 * shingles._CHUNK <= 1 << 20
