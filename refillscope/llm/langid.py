@@ -16,10 +16,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refillscope.llm.shared import materialise
+from refillscope.llm import tokens
+from refillscope.llm.shared import materialise, slices
 
 UNKNOWN = "und"
 # The sample a model is fitted on: about so many rows of each language, chosen by a hash of their id.
@@ -56,7 +58,7 @@ def _grams(word: str, size: int) -> list[str]:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word counts of the sample rows, a row for each language and word of a task."""
     counts: dict[str, Counter] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             counts.setdefault(lang, Counter()).update(words_of(text))
     rows = [(lang, word, n) for lang, own in counts.items() for word, n in own.items()]
@@ -174,8 +176,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         scorer = _Scorer(sent.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [scorer.predict(t) for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
@@ -201,6 +204,22 @@ def language_report(docs: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def _known(sent: Broadcast, margin: float):
+    """Leave out rows whose language cannot be told. Workers that tokenized before hold much memory, which goes first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
+        languages, scorer = len(sent.value.languages), _Scorer(sent.value)
+        for batch in slices(batches):
+            good = []
+            for text in batch.column("text").to_pylist():
+                language, share, seen = scorer.predict(text)
+                good.append(language != UNKNOWN and seen > 0 and (languages == 1 or share * languages > margin))
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def identified(docs: DataFrame, model: Model, margin: float = LEAST_MARGIN) -> DataFrame:
     """``docs`` without the rows whose language cannot be told.
 
@@ -209,16 +228,4 @@ def identified(docs: DataFrame, model: Model, margin: float = LEAST_MARGIN) -> D
     ``margin`` times that of a mere guess (1 over the number of languages). With a single
     language nothing can be compared, and the score decides nothing.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    languages = len(model.languages)
-
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(sent.value)
-        for batch in batches:
-            good = []
-            for text in batch.column("text").to_pylist():
-                language, share, seen = scorer.predict(text)
-                good.append(language != UNKNOWN and seen > 0 and (languages == 1 or share * languages > margin))
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return docs.mapInArrow(known, docs.schema)
+    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(model), margin), docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refillscope.llm.shared import materialise
+from refillscope.llm.shared import materialise, slices
 from refillscope.llm.tokens import default_tokenizer, encoder, token_bytes
 
 DEFAULT_CAPACITY = 4096
@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = DEFAUL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = encoder(path)
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 raw = memoryview(token_bytes(text, chunks) + end)

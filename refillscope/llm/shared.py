@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refillscope.shared import drop_table, materialise, shared_path
 
-__all__ = ["connected_components", "drop_table", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path"]
+__all__ = ["connected_components", "drop_table", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path", "slices"]
 
 # Largest membership bitmap: 2**27 bits are 16 MB, whatever the number of keys.
 MAX_BITMAP_BITS = 27
 
 
+# Rows of a batch whose texts a task holds as Python strings at once.
+SLICE_ROWS = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -62,6 +62,11 @@ def encoder(path: str) -> _Chunks:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give back the memory of the encoders that earlier tasks of this worker loaded, chunks and all."""
+    _ENCODERS.clear()
+
+
 def chunks_of(text: str | None) -> list[str]:
     """Pieces between blanks, tabs and line ends: places where the tokenizer always splits."""
     if not text:

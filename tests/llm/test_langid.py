@@ -2,11 +2,14 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm_helpers import as_rows, documents
+from refillscope.llm import langid, shared, tokens
 from refillscope.llm.langid import Model, fit, held_out, identified, language_report, predict, sample_rows, word_scores
 
 
@@ -64,3 +67,16 @@ def test_rows_are_kept_by_their_predicted_language(spark):
     assert {1, 2} <= kept and not kept & {4, 5, 6, 7}
     assert (3 in kept) == (score[3] * 2 > 1.1)
     assert {r["doc_id"] for r in identified(docs, model, margin=2 * score[1]).collect()} <= {2, 3}
+
+
+def test_texts_are_held_a_few_at_a_time():
+    """A task gives back the chunks that its worker remembers of tokenizing, and takes and sends rows by few."""
+    tables = [{"der": np.array([-1.0, -5.0], np.float32), "the": np.array([-5.0, -1.0], np.float32)}, {}, {}, {}, {}]
+    sent = SimpleNamespace(value=langid.Model(["de", "en"], tables))
+    tokens._ENCODERS["any"] = object()
+    rows = 3 * shared.SLICE_ROWS + 7
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(rows)), "text": ["der the der", None] * (rows // 2) + ["1"] * (rows % 2)})
+    found = list(langid._known(sent, 1.1)(iter([batch])))
+    assert not tokens._ENCODERS
+    assert max(x.num_rows for x in found) <= shared.SLICE_ROWS
+    assert [i for x in found for i in x.column("doc_id").to_pylist()] == list(range(0, rows - 1, 2))
