@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +39,27 @@ _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 400_000
 
 
+class Table(Mapping):
+    """Maps a feature to its log frequencies by language, which are rows of one array: small in every worker."""
+
+    def __init__(self, place: dict[str, int], scores: np.ndarray):
+        self.place, self.scores = place, scores
+
+    def __getitem__(self, feature: str) -> np.ndarray:
+        return self.scores[self.place[feature]]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.place)
+
+    def __len__(self) -> int:
+        return len(self.place)
+
+
 class Model(NamedTuple):
     """``tables[0]``: words, then n-grams by falling size; each maps a feature to log frequencies by language."""
 
     languages: list[str]
-    tables: list[dict[str, np.ndarray]]
+    tables: list[Mapping[str, np.ndarray]]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -99,16 +115,16 @@ def fit(sample: DataFrame) -> Model:
 
     languages = sorted({r["lang"] for r in rows})
     position = {x: i for i, x in enumerate(languages)}
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(1 + len(GRAM_SIZES))]
+    places: list[dict[str, int]] = [{} for _ in range(1 + len(GRAM_SIZES))]
+    for r in rows:
+        places[r["level"]].setdefault(r["feature"], len(places[r["level"]]))
+    counts = [np.zeros((len(place), len(languages)), dtype=np.float32) for place in places]
     for r in rows:
-        table = tables[r["level"]]
-        if r["feature"] not in table:
-            table[r["feature"]] = np.zeros(len(languages), dtype=np.float32)
-        table[r["feature"]][position[r["lang"]]] = r["n"]
-    for table in tables:
-        totals = sum(table.values(), np.zeros(len(languages), dtype=np.float64)) + SMOOTHING * len(table)
-        for feature, counts in table.items():
-            table[feature] = np.log((counts + SMOOTHING) / totals).astype(np.float32)
+        counts[r["level"]][places[r["level"]][r["feature"]], position[r["lang"]]] = r["n"]
+    tables = []
+    for place, own in zip(places, counts, strict=True):
+        totals = own.sum(axis=0, dtype=np.float64) + SMOOTHING * len(place)
+        tables.append(Table(place, np.log((own + SMOOTHING) / totals).astype(np.float32)))
     return Model(languages, tables)
 
 
@@ -122,9 +138,10 @@ def word_scores(model: Model, word: str) -> np.ndarray | None:
     if known is not None:
         return known
     for table, size in zip(model.tables[1:], GRAM_SIZES, strict=True):
-        found = [table[g] for g in _grams(word, size) if g in table and g not in "<>"]
+        place = table.place if isinstance(table, Table) else table
+        found = [place[g] for g in _grams(word, size) if g in place and g not in "<>"]
         if found:
-            return BACKOFF * np.mean(found, axis=0)
+            return BACKOFF * np.mean(table.scores[found] if isinstance(table, Table) else found, axis=0)
     return None
 
 

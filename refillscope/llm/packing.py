@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refillscope.llm.shared import materialise, slices
+from refillscope.llm.shared import materialise, release_unused, slices
 from refillscope.llm.tokens import default_tokenizer, encoder, token_bytes
 
 DEFAULT_CAPACITY = 4096
@@ -53,6 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = DEFAUL
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_unused()
         chunks = encoder(path)
         for batch in slices(batches):
             columns: list[list] = [[] for _ in names]

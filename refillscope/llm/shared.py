@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from refillscope.shared import drop_table, materialise, shared_path
 
-__all__ = ["connected_components", "drop_table", "in_bitmap", "materialise", "membership_bitmap", "partitions", "shared_path", "slices"]
+__all__ = ["connected_components", "drop_table", "in_bitmap", "materialise", "membership_bitmap", "partitions", "release_unused", "shared_path", "slices"]
 
 # Largest membership bitmap: 2**27 bits are 16 MB, whatever the number of keys.
 MAX_BITMAP_BITS = 27
@@ -30,6 +30,11 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_ROWS)
 
 
+def release_unused() -> None:
+    """Return to the system what earlier tasks of this worker left unused in the pool of Arrow."""
+    pa.default_memory_pool().release_unused()
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -8,11 +8,15 @@ integers, ready to be joined, cut and hashed.
 from __future__ import annotations
 
 import re
+import struct
+
+from refillscope.llm.shared import release_unused
 
 _ENCODERS: dict[str, _Chunks] = {}
 
-# A worker remembers this many recent chunks and as many before them, and no longer ones.
-_REMEMBERED = 500_000
+# A worker remembers so many chunks that came again and as many before them, so many others, and no longer ones.
+_REMEMBERED = 200_000
+_ONCE = 200_000
 _LONGEST = 48
 
 # A chunk that ends in ASCII punctuation after a Latin letter, which stays one in lower case:
@@ -27,9 +31,14 @@ class _Chunks(dict):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._before: dict[str, bytes] = {}
+        # Most chunks are rare: only what comes again goes on to be remembered for long.
+        self._once: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         raw = self._before.get(chunk)
+        if raw is None:
+            raw = self._once.pop(chunk, None)
+        again = raw is not None
         if raw is None and "<|" not in chunk:  # special tokens are taken as they are
             lower = chunk.lower() if chunk.isascii() else chunk  # the tokenizer lower-cases
             parts = _TAIL.fullmatch(lower)
@@ -39,12 +48,18 @@ class _Chunks(dict):
                 raw = self[lower]
         if raw is None:
             ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
-            raw = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(chunk) <= _LONGEST:
+            raw = struct.pack(f"<{len(ids)}I", *ids)
+        if len(chunk) > _LONGEST:
+            return raw
+        if again:
             if len(self) >= _REMEMBERED:
                 self._before = dict(self)
                 self.clear()
             self[chunk] = raw
+        else:
+            if len(self._once) >= _ONCE:
+                self._once.clear()
+            self._once[chunk] = raw
         return raw
 
 
@@ -65,6 +80,7 @@ def encoder(path: str) -> _Chunks:
 def forget() -> None:
     """Give back the memory of the encoders that earlier tasks of this worker loaded, chunks and all."""
     _ENCODERS.clear()
+    release_unused()
 
 
 def chunks_of(text: str | None) -> list[str]:

@@ -80,3 +80,17 @@ def test_texts_are_held_a_few_at_a_time():
     assert not tokens._ENCODERS
     assert max(x.num_rows for x in found) <= shared.SLICE_ROWS
     assert [i for x in found for i in x.column("doc_id").to_pylist()] == list(range(0, rows - 1, 2))
+
+
+def test_a_fitted_model_is_one_array_for_each_size(spark):
+    """The tables are rows of few arrays, not an array for each feature, and score as separate arrays do."""
+    model = fit(documents(spark, [(k, text, lang) for k, (lang, text) in enumerate([("aa", "alma casa casa"), ("bb", "wyld kirk alma")])]).select("lang", "text"))
+    assert all(isinstance(t.scores, np.ndarray) and t.scores.shape == (len(t), 2) for t in model.tables)
+    loose = Model(model.languages, [{f: s.copy() for f, s in t.items()} for t in model.tables])
+    for word in ("alma", "casal", "wyl", "k", "q"):
+        one, other = word_scores(model, word), word_scores(loose, word)
+        assert (one is None and other is None) or (one == other).all()
+    counts = {"alma": (1, 1), "casa": (2, 0), "wyld": (0, 1), "kirk": (0, 1)}
+    totals = np.array([3, 3]) + langid.SMOOTHING * len(counts)
+    for word, own in counts.items():
+        assert np.allclose(model.tables[0][word], np.log((np.array(own) + langid.SMOOTHING) / totals))

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from llm_helpers import SF_SMALL, documents
+from refillscope.llm import tokens
 from refillscope.llm.packing import cut, pack_documents, plan_rest
 from refillscope.llm.tokens import default_tokenizer, encoder, token_bytes
 
@@ -88,3 +89,15 @@ def test_cut_and_plan():
     assert placed == {a: n for a, n in left.items() if n}
     total = sum(a * n for a, n in left.items())
     assert len(bins) <= 1.02 * total / 4096 + 1
+
+
+def test_chunks_that_come_once_do_not_fill_the_memory(monkeypatch):
+    """A worker remembers few chunks that came once; those that come again stay, and all ids are the tokenizer's."""
+    monkeypatch.setattr(tokens, "_REMEMBERED", 10)
+    monkeypatch.setattr(tokens, "_ONCE", 20)
+    chunks = tokens._Chunks(default_tokenizer())
+    rare = [f"w{i}x," for i in range(300)]
+    text = "  ".join(f"the {word} Cat" for word in rare)
+    assert token_bytes(text, chunks) == ids_of(text)[:-1].tobytes()
+    assert len(chunks) <= 10 and len(chunks._before) <= 10 and len(chunks._once) <= 20
+    assert {"the", "Cat", ""} <= set(chunks) | set(chunks._before)
