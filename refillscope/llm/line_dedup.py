@@ -165,6 +165,14 @@ def bucket_count(band: int, threshold: Fraction) -> int:
     return max(1, min(shared - 1, round(_BUCKETS * start * (1 - threshold))))
 
 
+def _stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers from 0 on: places ride in the low bits of what is sorted by value, if both fit."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    return np.sort((keys << bits) | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
 def prefixes(
     values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, rarity: np.ndarray, threshold: Fraction, pairs: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +183,7 @@ def prefixes(
     that of its (second) token, less the tokens that may be shared before it.
     Sets that are similar only to equal ones have no keys.
     """
-    order = np.argsort((owner << RARITY_BITS) + rarity[_slots(values)], kind="stable")
+    order = _stable_order((owner << RARITY_BITS) + rarity[_slots(values)])
     values, place = values[order], rank_in_group(owner)
     p, q = threshold.numerator, threshold.denominator
     least = (sizes * p + q - 1) // q
@@ -185,12 +193,16 @@ def prefixes(
         keep = (place < (sizes - least + 1)[owner]) & ~alone[owner]
         return values[keep], owner[keep], place[keep]
     found = [(values[:0], owner[:0], place[:0])]
+    present = np.bincount(owner, minlength=len(sizes))
+    begins = np.cumsum(present) - present
     for band, inside in _bands(sizes, threshold):
         buckets = bucket_count(band, threshold)
-        rows = np.flatnonzero((inside & ~alone)[owner] & (place < (sizes - least + buckets + 1)[owner]))
+        who = np.flatnonzero(inside & ~alone)
+        long = np.minimum(present, sizes - least + buckets + 1)[who]
+        rows = np.repeat(begins[who] - (np.cumsum(long) - long), long) + np.arange(long.sum())
         # Tokens of one owner and bucket side by side, still rarest first.
         group = owner[rows] * buckets + (mix(values[rows] + _BUCKET) % np.uint64(buckets)).astype(np.int64)
-        by_group = np.argsort(group, kind="stable")
+        by_group = _stable_order(group)
         rows, group = rows[by_group], group[by_group]
         count = rank_in_group(group)
         second = np.repeat(np.arange(len(rows)), count)
@@ -654,9 +666,10 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
     Null text counts as no line at all, empty text as one empty line.
     """
     gone = _by_document(duplicate_lines(docs, **options))
+    ends = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(1 + ends).cast("long").alias("n_lines"),
     )
     joined = base.join(gone, "doc_id", "left")
     empty = F.array().cast("array<int>")

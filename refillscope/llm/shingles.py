@@ -11,8 +11,7 @@ _MIX_B = np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _LENGTH = np.uint64(0x8CB92BA72F3D8DD7)
-_BASE = 0x5851F42D4C957F2D
-# Bytes that are hashed together, so many that their arrays fit a core's cache; the longest word that the rolling hash is used for.
+# Bytes that are hashed together, so many that their arrays fit a core's cache; the longest word that is hashed by blocks.
 _CHUNK = 1 << 17
 _LONG_WORD = 256
 
@@ -20,26 +19,6 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as many as were needed so far."""
-
-    def __init__(self):
-        self.up = self.down = np.zeros(0, dtype=np.uint64)
-
-    def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if size > len(self.up):
-            most, both = max(size, _CHUNK + 1), []
-            for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-                powers = np.full(most, np.uint64(base))
-                powers[0] = 1
-                both.append(np.cumprod(powers))
-            self.up, self.down = both
-        return self.up[:size], self.down[:size]
-
-
-_POWERS = _Powers()
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective mixing of 64-bit values."""
     values = (values ^ (values >> np.uint64(30))) * _MIX_A
@@ -47,8 +26,8 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-# A random value for each byte.
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
+# The first bytes of a block, by their number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def _chunks(texts) -> list[tuple[bytes, list[int]]]:
@@ -81,17 +60,24 @@ def _chunks(texts) -> list[tuple[bytes, list[int]]]:
 
 
 def _hash_words(raw: bytes, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and start of each word of a chunk, and the chunk's bytes."""
-    buffer = np.frombuffer(raw, dtype=np.uint8)
-    inside = np.zeros(len(buffer) + 2, dtype=np.int8)
-    inside[1:-1] = ~outside[buffer]
-    edges = np.flatnonzero(np.diff(inside))
+    """Hash and start of each word of a chunk, and the chunk's bytes. A word is hashed by its blocks of 8 bytes."""
+    padded = np.frombuffer(raw + bytes(8), dtype=np.uint8)
+    buffer = padded[:-8]
+    inside = np.zeros(len(buffer) + 2, dtype=bool)
+    np.logical_not(outside[buffer], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _POWERS.of(len(buffer) + 1)
-    sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[buffer] * up[:-1], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
-    for k in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
+    # The 8 bytes from each place on.
+    blocks = np.ndarray(len(buffer) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    hashes = mix((blocks[starts] & _FIRST[np.minimum(lengths, 8)]) + lengths.astype(np.uint64) * _LENGTH)
+    rows, at = np.flatnonzero((lengths > 8) & (lengths <= _LONG_WORD)), 8
+    while len(rows):
+        block = blocks[starts[rows] + at] & _FIRST[np.minimum(lengths[rows] - at, 8)]
+        hashes[rows] = mix(hashes[rows] * _STEP + block)
+        at += 8
+        rows = rows[lengths[rows] > at]
+    for k in np.flatnonzero(lengths > _LONG_WORD).tolist():
         hashes[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]])
     return hashes, starts, buffer
 
@@ -115,6 +101,12 @@ def word_hashes(texts, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.nda
     return (np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)), counts
 
 
+def _passed(marks, starts: np.ndarray) -> np.ndarray:
+    """How many of the ascending marks lie at or before each of the ascending starts."""
+    at = np.searchsorted(starts, marks)
+    return np.repeat(np.arange(len(at) + 1), np.diff(at, prepend=0, append=len(starts)))
+
+
 def line_hashes(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words; then of each line with words: number of words, text, and line number in it."""
     hashes, counts, owner, number = [], [], [], []
@@ -122,9 +114,9 @@ def line_hashes(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     for raw, begins in _chunks(texts):
         own, starts, buffer = _hash_words(raw)
         ends = np.flatnonzero(buffer == 10)
-        line = np.searchsorted(ends, starts)
+        line = _passed(ends, starts)
         first = np.searchsorted(ends, begins)
-        text = np.searchsorted(begins, starts, side="right") - 1
+        text = _passed(begins, starts) - 1
         # Lines before the first beginning go on with the text before, which is at this line.
         within = np.where(text >= 0, line - first[np.maximum(text, 0)] if len(first) else line, line + open_lines)
         place = (text + seen) * (1 << 40) + within
@@ -151,6 +143,8 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.nda
     An owner of fewer words has its whole sequence as one shingle, one without words none.
     """
     owner = np.repeat(np.arange(len(counts)), counts)
+    if width == 1:
+        return mix(hashes), owner
     left = np.repeat(np.cumsum(counts), counts) - np.arange(len(hashes))
     short = counts[owner] < width
     rolled = hashes.copy()

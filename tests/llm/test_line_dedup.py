@@ -220,3 +220,25 @@ def test_postings_are_dealt_to_shards_without_sorting_keys():
         own = {shard: dealt[rows].tolist() for shard, rows in setjoin.shard_slices(dealt, bits)}
         assert own == {s: [k for k in keys.tolist() if k >> 64 - bits == s] for s in {k >> 64 - bits for k in keys.tolist()}}
     assert 8 * shingles._CHUNK <= 1 << 20
+
+
+def test_words_are_hashed_by_blocks_and_told_apart():
+    """Words of any length: equal ones alike wherever they stand, others not, up to the longest of a chunk."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("ab\x00\u00e9", k=n)) for n in [*range(1, 40), 255, 256, 257, 300] for _ in range(4)]
+    words = sorted({w.encode().decode() for w in words})
+    once, counts = word_hashes(words)
+    assert counts.tolist() == [1] * len(words) and len(set(once.tolist())) == len(words)
+    order = rng.sample(range(len(words)), len(words))
+    joined, counts = word_hashes(["\t\n ".join(words[k].upper() if words[k].isascii() else words[k] for k in order), None, ""])
+    assert counts.tolist() == [len(words), 0, 0] and joined.tolist() == once[order].tolist()
+
+
+def test_orders_by_value_are_stable():
+    """Places ride in the low bits; where they do not fit, the order is the same."""
+    rng = np.random.default_rng(3)
+    for most in (3, 1 << 40, (1 << 63) - 1):
+        keys = rng.integers(0, most, 5000)
+        keys[::3] = most - 1
+        assert (line_dedup._stable_order(keys) == np.argsort(keys, kind="stable")).all()
+    assert not len(line_dedup._stable_order(np.zeros(0, dtype=np.int64)))
