@@ -22,8 +22,9 @@ The number b goes with the size of the smaller set, by bands that end at twice t
 
 Where few lines share a key, each pair of them is a candidate, and those whose parity
 signatures differ in more bits than similar sets may differ in tokens are dropped. Otherwise,
-lines with a common key are linked along their sizes as far as the filters allow, and
-linked lines are candidate families. Large families are cut into blocks by size, and blocks
+lines with a common key are put into groups along their sizes as far as the filters allow, and
+signatures (sketches of more bits for long lines) tell which lines of a group are linked.
+Linked lines are candidate families. Large families are cut into blocks by size, and blocks
 that may hold similar sets are verified: first by signatures, then by the sets themselves.
 A line is removed if a line before it, by ``(doc_id, line number)``, is similar enough,
 whether that one stays or not.
@@ -72,17 +73,18 @@ _BAND = 256
 _SORTING = 1000
 
 # Up to so many lines of a key, all pairs are candidates.
-FEW = 16
+FEW = sj.FEW
+# Lines of so many tokens or more have a sketch besides the parity signature.
+_LONG = 64
 
-_BLOCKS = "kind int, shard int, nodes binary, keys binary, sizes binary, places binary"
-_ROWS = "kind int, hi long, lo long, doc_id long, sig_a long, sig_b long, line int, n int, first boolean, other long"
-_LINES, _LINKS, _POSTINGS, _PAIRS = 0, 1, 2, 3
+_BLOCKS = "kind int, shard int, nodes binary, keys binary, sizes binary, places binary, sketches binary"
+_ROWS = "kind int, hi long, lo long, doc_id long, sig_a long, sig_b long, line int, n int, first boolean, other long, sketch binary"
+_LINES, _GROUPS, _POSTINGS, _PAIRS = 0, 1, 2, 3
 # Documents that are hashed together.
 _STEP = 500
 # Fixed value: tells the first token of a pair from the second.
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET = np.uint64(0xD6E8FEB86659FD93)
-_PARITY = np.uint64(0xA0761D6478BD642F)
 # Spreads the lines of a document (the product of a line number fits a BIGINT); more than any line number.
 _LINE_STEP, _PLACES = 2654435761, 1 << 32
 
@@ -215,11 +217,11 @@ def prefixes(
 def parity_signatures(values: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
     """128 bits for each set, in two columns: the parity of its tokens in each of 128 hash slots.
 
-    Two sets differ in at least as many tokens as their signatures do in bits.
+    Two sets differ in at least as many tokens as their signatures do in bits. Sketches fold to them.
     """
     out = np.zeros((owners, 2), dtype=np.uint64)
     if len(values):
-        slot = mix(values + _PARITY) >> np.uint64(57)
+        slot = mix(values + sj.PARITY) & np.uint64(127)
         bit = np.uint64(1) << (slot & np.uint64(63))
         starts, _ = sj.sorted_runs(owner)
         for half in range(2):
@@ -258,28 +260,53 @@ def few_pairs(
     return *sj.distinct_pairs(*(np.concatenate(x) for x in zip(*found, strict=True))), left
 
 
-def chain_links(
+def _chains(
     key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, threshold: Fraction
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the nodes of each key such that all pairs the filters let through are connected.
+    """The order of rows by key and size, and for each row but the first whether it goes on with the one before it.
 
     With ``place`` tokens of a set of n before the shared one, the overlap is at most
     ``n - place``; it has to be ``t / (1 + t)`` of the sizes' sum, so a partner has at most
     ``(n - place) * (1 + t) / t - n`` tokens, and ``n / t`` at most. Along ascending sizes a
-    node is linked to the one before it unless its size is beyond the reach of all before it.
+    node goes on unless its size is beyond the reach of all before it.
     """
     p, q = threshold.numerator, threshold.denominator
     reach = np.minimum((size - place) * (p + q) // p - size, size * q // p)
     order = np.lexsort((node, size, key))
-    key, node, size, reach = key[order], node[order], size[order], reach[order]
+    key, size, reach = key[order], size[order], reach[order]
     if len(key) < 2:
-        return node[:0], node[:0]
+        return order, np.zeros(0, bool)
     # The largest reach so far within a key: keys are raised above each other, so that one running maximum serves all.
     group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
     base = group * (np.int64(max(size.max(), reach.max())) + 1)
     furthest = np.maximum.accumulate(base + reach.clip(0)) - base
-    linked = (key[1:] == key[:-1]) & (node[1:] != node[:-1]) & (size[1:] <= furthest[:-1])
-    return sj.distinct_pairs(node[1:][linked], node[:-1][linked])
+    return order, (key[1:] == key[:-1]) & (size[1:] <= furthest[:-1])
+
+
+def chain_links(
+    key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, threshold: Fraction
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the nodes of each key such that all pairs the filters let through are connected."""
+    order, goes_on = _chains(key, node, size, place, threshold)
+    one, other = node[order[1:]][goes_on], node[order[:-1]][goes_on]
+    return sj.distinct_pairs(one[one != other], other[one != other])
+
+
+def chain_groups(
+    key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, threshold: Fraction
+) -> tuple[np.ndarray, np.ndarray]:
+    """Group and node of the chains of two nodes or more: all pairs that the filters let through are in one group."""
+    order, goes_on = _chains(key, node, size, place, threshold)
+    key, node = key[order], node[order]
+    begins = np.concatenate([np.ones(min(1, len(key)), bool), ~goes_on])
+    chain = np.cumsum(begins) - 1
+    starts = np.flatnonzero(begins)
+    # Chains of a key are told apart by their number in it.
+    group = mix(key[starts] * _PAIR + rank_in_group(key[starts]).astype(np.uint64))
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (chain[1:] != chain[:-1]) | (node[1:] != node[:-1])
+    kept = fresh & (np.bincount(chain[fresh], minlength=len(starts)) > 1)[chain]
+    return group[chain[kept]].view(np.int64), node[kept]
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -292,8 +319,8 @@ def _wide(raw: bytes, count: int) -> np.ndarray:
 
 
 def _record(rows: list[tuple]) -> pa.RecordBatch:
-    names = ("kind", "shard", "nodes", "keys", "sizes", "places")
-    types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+    names = ("kind", "shard", "nodes", "keys", "sizes", "places", "sketches")
+    types = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
     columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
     return pa.RecordBatch.from_arrays(columns, names=list(names))
 
@@ -309,7 +336,7 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                 key, node, size, place = key[order], node[order], size[order], place[order]
                 yield _record(
                     [
-                        (_POSTINGS, shard, node[r].tobytes(), key[r].tobytes(), _narrow(size[r]), _narrow(place[r]))
+                        (_POSTINGS, shard, sj.packed(node[r]), sj.packed(key[r]), _narrow(size[r]), _narrow(place[r]), None)
                         for shard, r in sj.shard_slices(key, bits)
                     ]
                 )
@@ -338,7 +365,10 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
                 turn += 1
                 home = hash((int(doc_id[0]), turn)) % (1 << bits)
                 head = np.column_stack([pairs, doc_id, parity_signatures(values, owner, lines.count)])
-                yield _record([(_LINES, home, head.tobytes(), lines.number.tobytes(), sizes.astype(np.int32).tobytes(), first.tobytes())])
+                long = sizes >= _LONG
+                cut = np.concatenate([[0], np.cumsum(sizes[long])])
+                marks = b"".join(sj.sketches(values[long[owner]], cut))
+                yield _record([(_LINES, home, head.tobytes(), lines.number.tobytes(), sizes.astype(np.int32).tobytes(), first.tobytes(), marks)])
                 chosen = fresh[owner]
                 token, who, place = prefixes(values[chosen], owner[chosen], sizes, rarity.value, threshold, width == 1)
                 if len(token):
@@ -354,39 +384,39 @@ def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Bro
 
 def _reduce(threshold: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "hi", "lo", "doc_id", "sig_a", "sig_b", "line", "n", "first", "other"]
+        names = ["kind", "hi", "lo", "doc_id", "sig_a", "sig_b", "line", "n", "first", "other", "sketch"]
 
-        def linked(a: np.ndarray, b: np.ndarray, pair: bool) -> pa.RecordBatch:
-            long, number, yes = (pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.bool_()))
-            columns = [pa.array(np.full(len(a), _PAIRS if pair else _LINKS, dtype=np.int32)), long, pa.array(a), long, long, long, number, number, yes, pa.array(b)]
+        def linked(a: np.ndarray, b: np.ndarray, kind: int) -> pa.RecordBatch:
+            long, number, yes, raw = (pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.bool_(), pa.binary()))
+            columns = [pa.array(np.full(len(a), kind, dtype=np.int32)), long, pa.array(a), long, long, long, number, number, yes, pa.array(b), raw]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
-        for _, pieces in sj.runs_of(batches, ("shard",)):
+        for (shard,), pieces in sj.runs_of(batches, ("shard",)):
             postings = []
             for piece in pieces:
                 for kind, *raw in zip(*(c.to_pylist() for c in piece.columns), strict=True):
-                    _, nodes, keys, sizes, places = raw
+                    _, nodes, keys, sizes, places, marks = raw
                     if kind == _POSTINGS:
-                        postings.append(
-                            (
-                                np.frombuffer(keys, dtype=np.uint64),
-                                np.frombuffer(nodes, dtype=np.int64),
-                                _wide(sizes, len(nodes) // 8),
-                                _wide(places, len(nodes) // 8),
-                            )
-                        )
+                        count = len(nodes) // 6
+                        postings.append((sj.unpacked(keys), sj.unpacked(nodes).view(np.int64), _wide(sizes, count), _wide(places, count)))
                         continue
                     head = np.frombuffer(nodes, dtype=np.int64).reshape(-1, 5)
                     columns = [pa.array(np.full(len(head), _LINES, dtype=np.int32))]
                     columns += [pa.array(np.ascontiguousarray(head[:, k])) for k in range(5)]
                     columns += [pa.array(np.frombuffer(x, dtype=np.int32)) for x in (keys, sizes)]
                     columns += [pa.array(np.frombuffer(places, dtype=bool)), pa.nulls(len(head), pa.int64())]
+                    n = np.frombuffer(sizes, dtype=np.int32)
+                    ends = 8 * np.cumsum(np.where(n >= _LONG, sj.sketch_words(n), 0))
+                    sketches = [marks[a:b] or None for a, b in zip([0, *ends.tolist()[:-1]], ends.tolist(), strict=True)]
+                    columns.append(pa.array(sketches, pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
             if postings:
                 own = [np.concatenate(x) for x in zip(*postings, strict=True)]
                 a, b, left = few_pairs(*own, threshold)
-                yield linked(a, b, pair=True)
-                yield linked(*chain_links(*(x[left] for x in own), threshold), pair=False)
+                yield linked(a, b, _PAIRS)
+                own[0] = sj.key_in(shard, own[0])
+                group, node = chain_groups(*(x[left] for x in own), threshold)
+                yield linked(node, group, _GROUPS)
 
     return run
 
@@ -431,7 +461,8 @@ def line_kinds(lines: DataFrame) -> DataFrame:
     is one decimal number: the least is found in a hash table, that of a struct by sorting all lines.
     """
     place = F.col("doc_id").cast("decimal(19,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
-    return lines.groupBy("hi", "lo", "n", "sig_a", "sig_b").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
+    own = [c for c in ("hi", "lo", "n", "sig_a", "sig_b", "sketch") if c in lines.columns]
+    return lines.groupBy(*own).agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
 
 
 def _of_place() -> tuple[Column, Column]:
@@ -598,16 +629,22 @@ def _verify(threshold: Fraction):
 
 
 def _likely(pairs: DataFrame, kinds: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs whose signatures do not tell them apart."""
+    """The pairs whose signatures and sketches do not tell them apart."""
     p, q = threshold.numerator, threshold.denominator
-    own = kinds.select("lo", "n", "sig_a", "sig_b")
+    own = kinds.select(sj.node_of("lo").alias("node"), "n", "sig_a", "sig_b", "sketch")
 
     def side(name: str) -> DataFrame:
-        return own.select(F.col("lo").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sig_a", "sig_b")])
+        return own.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sig_a", "sig_b", "sketch")])
 
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     bits = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("sig_a", "sig_b"))
-    return both.where(bits * (p + q) <= (F.col("n_a") + F.col("n_b")) * (q - p)).select("a", "b")
+    return sj.likely_pairs(both.where(bits * (p + q) <= (F.col("n_a") + F.col("n_b")) * (q - p)), threshold)
+
+
+def _sketches(batch: pa.RecordBatch) -> list[bytes]:
+    """The sketches of lines; that of a short one is its signature."""
+    short = np.column_stack([batch.column(c).to_numpy() for c in ("sig_a", "sig_b")]).tobytes()
+    return [short[16 * k : 16 * k + 16] if x is None else x for k, x in enumerate(batch.column("sketch").to_pylist())]
 
 
 def duplicate_lines(
@@ -630,16 +667,18 @@ def duplicate_lines(
     posted = texts.mapInArrow(_map(width, min_words, threshold, sj.shard_bits(docs), rarity), _BLOCKS)
     dealt = posted.repartition(partitions(spark), "shard").sortWithinPartitions("shard")
     rows = materialise(dealt.mapInArrow(_reduce(threshold), _ROWS), "lines")
-    lines = rows.where(F.col("kind") == _LINES).select("hi", "lo", "doc_id", "line", "n", "first", "sig_a", "sig_b")
+    lines = rows.where(F.col("kind") == _LINES).select("hi", "lo", "doc_id", "line", "n", "first", "sig_a", "sig_b", "sketch")
     kinds = materialise(line_kinds(lines), "line-kinds")
-    links = rows.where(F.col("kind") == _LINKS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
+    groups = rows.where(F.col("kind") == _GROUPS).select(F.col("other").alias("group"), F.col("lo").alias("node"))
+    members = groups.join(kinds.select(sj.node_of("lo").alias("node"), "n", "sig_a", "sig_b", "sketch"), "node")
+    links = sj.group_links(members, threshold, _sketches)
     pairs = rows.where(F.col("kind") == _PAIRS).select(F.col("lo").alias("a"), F.col("other").alias("b"))
     likely = materialise(links.unionByName(_likely(pairs, kinds, threshold)), "line-links")
     near = materialise(sj.families(likely, connected_components), "line-families")
     drop_table(likely)
     # The first occurrence of each line that has a candidate partner.
     doc_id, line = _of_place()
-    reps = kinds.join(near.withColumnRenamed("node", "lo"), "lo")
+    reps = kinds.withColumn("node", sj.node_of("lo")).join(near, "node")
     reps = reps.select("family", "hi", "lo", "n", doc_id.alias("doc_id"), line.alias("line"), F.col("lo").alias("node"))
     reps = materialise(reps, "line-reps")
     drop_table(near)
