@@ -12,7 +12,8 @@ large projections come first, as few unrelated sets share them. A set with no mo
 non-empty projections sends all of them and a signature that stands for its band, so no
 pair is lost.
 
-Sets that share a signature form candidate families, which are verified block by block.
+Sets that share a signature, and whose sketches let them be similar, form candidate families,
+which are verified block by block. Equal sets are one from the start.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from pyspark.sql import functions as F
 from refillscope.llm import setjoin as sj
 from refillscope.llm.shared import (
     connected_components,
+    drop_table,
     in_bitmap,
     materialise,
     membership_bitmap,
     partitions,
 )
-from refillscope.llm.shingles import digest, distinct_sets, mix, rank_in_group, shingles, word_hashes
+from refillscope.llm.shingles import digest, digests, distinct_sets, mix, rank_in_group, shingles, word_hashes
 
 DEFAULT_WIDTH = 5
 DEFAULT_THRESHOLD = Fraction(4, 5)
@@ -47,8 +49,8 @@ _PART = np.uint64(0xA0761D6478BD642F)
 _CONTENT = np.uint64(0xE7037ED1A0B428DB)
 
 _BLOCKS = "kind int, shard int, nodes binary, keys binary, sizes binary"
-_ROWS = "kind int, doc_id long, other long, n int, hi long, lo long"
-_DOCS, _LINKS, _POSTINGS, _NO_ID = 0, 1, 2, 3
+_ROWS = "kind int, doc_id long, other long, n int, hi long, lo long, sketch binary"
+_DOCS, _PAIRS, _POSTINGS, _NO_ID, _GROUPS, _SETS = range(6)
 
 
 def signatures(
@@ -106,7 +108,7 @@ def _document_sets(batch: pa.RecordBatch, width: int):
 
 
 def _block(kind: int, shard: int, nodes=None, keys=None, sizes=None) -> dict:
-    raw = [None if x is None else x.tobytes() for x in (nodes, keys, sizes)]
+    raw = [x if x is None or isinstance(x, bytes) else x.tobytes() for x in (nodes, keys, sizes)]
     return dict(zip(("kind", "shard", "nodes", "keys", "sizes"), (kind, shard, *raw), strict=True))
 
 
@@ -117,24 +119,17 @@ def _as_batch(rows: list[dict]) -> pa.RecordBatch:
 
 def _map(width: int, threshold: Fraction, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, links, first, turn = [], [], [], {}, 0
+        keys, nodes, seen, turn = [], [], set(), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if keys:
                 key, node = np.concatenate(keys), np.concatenate(nodes)
-                order = np.lexsort((node, key))
+                order = sj.by_shard(key, bits)
                 key, node = key[order], node[order]
-                starts, own = sj.sorted_runs(key)
-                links.append(sj.distinct_pairs(node[own != np.arange(len(own))], node[own[own != np.arange(len(own))]]))
-                key, node = key[starts], node[starts]
                 for shard, rows in sj.shard_slices(key, bits):
-                    yield _as_batch([_block(_POSTINGS, shard, node[rows], key[rows])])
-            if links:
-                a, b = sj.distinct_pairs(*(np.concatenate(x) for x in zip(*links, strict=True)))
-                yield _as_batch([_block(_LINKS, turn % (1 << bits), a, b)])
-            for x in (keys, nodes, links):
+                    yield _as_batch([_block(_POSTINGS, shard, sj.packed(node[rows]), sj.packed(key[rows]))])
+            for x in (keys, nodes, seen):
                 x.clear()
-            first.clear()
 
         gathered = 0
         for whole in batches:
@@ -142,34 +137,30 @@ def _map(width: int, threshold: Fraction, bits: int):
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 values, bounds = _document_sets(batch, width)
-                digests = [digest(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                raw, pairs = digests(values, bounds)
                 ids = batch.column("doc_id")
                 known = np.asarray(ids.is_valid())
-                node = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                doc_id = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.diff(bounds).astype(np.int32)
                 for kind, rows in ((_DOCS, known), (_NO_ID, ~known)):
                     if rows.any():
-                        pairs = np.array(digests, dtype=np.int64).reshape(-1, 2)[rows]
                         turn += 1
-                        home = hash((int(node[0]), turn)) % (1 << bits)
-                        yield _as_batch([_block(kind, home, node[rows], pairs, sizes[rows])])
+                        home = hash((int(doc_id[0]), turn)) % (1 << bits)
+                        yield _as_batch([_block(kind, home, doc_id[rows], pairs[rows], sizes[rows])])
                 # Of equal sets in this task, one stands for all.
-                fresh = np.zeros(len(node), dtype=bool)
-                twins = []
+                fresh = np.zeros(len(doc_id), dtype=bool)
                 for i in np.flatnonzero(known & (sizes > 0)).tolist():
-                    seen = first.setdefault(digests[i], int(node[i]))
-                    if seen == node[i]:
+                    if raw[i] not in seen:
+                        seen.add(raw[i])
                         fresh[i] = True
-                    else:
-                        twins.append((int(node[i]), seen))
-                if twins:
-                    links.append(tuple(np.array(x, dtype=np.int64) for x in zip(*twins, strict=True)))
                 if fresh.any():
-                    chosen = np.repeat(fresh, np.diff(bounds))
+                    chosen = np.repeat(fresh, sizes)
                     cut = np.concatenate([[0], np.cumsum(sizes[fresh], dtype=np.int64)])
+                    marks = b"".join(sj.sketches(values[chosen], cut))
+                    yield _as_batch([_block(_SETS, home, pairs[fresh], marks, sizes[fresh])])
                     key, owner = signatures(values[chosen], cut, threshold)
                     keys.append(key)
-                    nodes.append(node[fresh][owner])
+                    nodes.append(pairs[fresh, 1][owner])
                     gathered += len(key)
                 if gathered >= sj.FLUSH_POSTINGS:
                     yield from flush()
@@ -180,41 +171,36 @@ def _map(width: int, threshold: Fraction, bits: int):
 
 
 def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(kind: int, doc_id, other=None, n=None, pairs=None) -> pa.RecordBatch:
-        size = len(doc_id)
-        blank = pa.nulls(size, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(size, kind, dtype=np.int32)),
-                blank if kind == _NO_ID else pa.array(doc_id),
-                blank if other is None else pa.array(other),
-                pa.nulls(size, pa.int32()) if n is None else pa.array(n),
-                blank if pairs is None else pa.array(np.ascontiguousarray(pairs[:, 0])),
-                blank if pairs is None else pa.array(np.ascontiguousarray(pairs[:, 1])),
-            ],
-            names=["kind", "doc_id", "other", "n", "hi", "lo"],
-        )
-
-    for _, pieces in sj.runs_of(batches, ("shard",)):
+    def rows(kind: int, **columns) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        columns["kind"] = np.full(size, kind, dtype=np.int32)
+        types = {"kind": pa.int32(), "n": pa.int32(), "sketch": pa.binary()}
+        names = ("kind", "doc_id", "other", "n", "hi", "lo", "sketch")
+        made = [pa.array(columns[c], types.get(c, pa.int64())) if c in columns else pa.nulls(size, types.get(c, pa.int64())) for c in names]
+        return pa.RecordBatch.from_arrays(made, names=list(names))
+
+    for (shard,), pieces in sj.runs_of(batches, ("shard",)):
         keys, nodes = [], []
         for piece in pieces:
             for kind, raw, key, size in zip(*(piece.column(c).to_pylist() for c in ("kind", "nodes", "keys", "sizes")), strict=True):
-                node = np.frombuffer(raw, dtype=np.int64)
                 if kind == _POSTINGS:
-                    nodes.append(node)
-                    keys.append(np.frombuffer(key, dtype=np.uint64))
-                elif kind == _LINKS:
-                    yield rows(_LINKS, node, other=np.frombuffer(key, dtype=np.int64))
-                else:
-                    pairs = np.frombuffer(key, dtype=np.int64).reshape(-1, 2)
-                    yield rows(kind, node, n=np.frombuffer(size, dtype=np.int32), pairs=pairs)
+                    nodes.append(sj.unpacked(raw).view(np.int64))
+                    keys.append(sj.unpacked(key))
+                    continue
+                node = np.frombuffer(raw, dtype=np.int64)
+                n = np.frombuffer(size, dtype=np.int32)
+                if kind == _SETS:
+                    hi, lo = np.ascontiguousarray(node.reshape(-1, 2).T)
+                    ends = 8 * np.cumsum(sj.sketch_words(n))
+                    marks = [key[a:b] for a, b in zip([0, *ends.tolist()[:-1]], ends.tolist(), strict=True)]
+                    yield rows(kind, hi=hi, lo=lo, n=n, sketch=marks)
+                    continue
+                hi, lo = np.ascontiguousarray(np.frombuffer(key, dtype=np.int64).reshape(-1, 2).T)
+                yield rows(kind, n=n, hi=hi, lo=lo, **({"doc_id": node} if kind == _DOCS else {}))
         if keys:
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            _, own = sj.sorted_runs(key[order])
-            node = node[order]
-            a, b = sj.distinct_pairs(node, node[own])
-            yield rows(_LINKS, a[a != b], other=b[a != b])
+            a, b, group, member = sj.key_groups(np.concatenate(keys), np.concatenate(nodes))
+            yield rows(_PAIRS, lo=a, other=b)
+            yield rows(_GROUPS, lo=member, other=sj.key_in(shard, group).view(np.int64))
 
 
 def _members(bitmap):
@@ -267,6 +253,21 @@ def _verify(width: int, threshold: Fraction):
     return run
 
 
+def _likely(rows: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """Links ``a, b`` between sets that share a signature, by their sketches."""
+    p, q = threshold.numerator, threshold.denominator
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+
+    pairs = rows.where(F.col("kind") == _PAIRS).select(F.col("lo").alias("a"), F.col("other").alias("b")).distinct()
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(F.expr(f"n_a * {q} >= n_b * {p} and n_b * {q} >= n_a * {p}"))
+    groups = rows.where(F.col("kind") == _GROUPS).select(F.col("other").alias("group"), F.col("lo").alias("node"))
+    members = groups.join(sets, "node")
+    links = sj.group_links(members, threshold, lambda batch: batch.column("sketch").to_pylist())
+    return sj.likely_pairs(pairs, threshold).unionByName(links)
+
+
 def jaccard_components(
     docs: DataFrame, width: int = DEFAULT_WIDTH, threshold: Fraction = DEFAULT_THRESHOLD
 ) -> DataFrame:
@@ -286,19 +287,27 @@ def jaccard_components(
     dealt = posted.repartition(partitions(docs.sparkSession), "shard").sortWithinPartitions("shard")
     rows = materialise(dealt.mapInArrow(_reduce, _ROWS), "partenum")
 
-    near = sj.families(rows.where(F.col("kind") == _LINKS).select(F.col("doc_id").alias("a"), F.col("other").alias("b")), connected_components)
-    near = materialise(near, "partenum-families")
-    own = rows.where((F.col("kind") == _DOCS) & (F.col("n") > 0)).select(F.col("doc_id").alias("node"), "n", "hi", "lo")
-    members = materialise(own.join(near, "node"), "partenum-members")
-    reps = members.groupBy("family", "n", "hi", "lo").agg(F.min("node").alias("node"))
+    sets = rows.where(F.col("kind") == _SETS).select("hi", "lo", "n", "sketch").distinct()
+    sets = materialise(sets.select(sj.node_of("lo").alias("node"), "n", "sketch"), "partenum-sets")
+    likely = materialise(_likely(rows, sets, threshold), "partenum-links")
+    drop_table(sets)
+    near = materialise(sj.families(likely, connected_components), "partenum-families")
+    drop_table(likely)
+    own = rows.where((F.col("kind") == _DOCS) & (F.col("n") > 0)).select("doc_id", "n", "hi", "lo")
+    kinds = own.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    kinds = materialise(kinds, "partenum-kinds")
+    copied = kinds.where("rep <> last").select("n", "hi", "lo", "rep")
+    twins = own.join(copied, ["n", "hi", "lo"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    reps = kinds.withColumn("node", sj.node_of("lo")).join(near, "node").select("family", "n", "hi", "lo", F.col("rep").alias("node"))
     reps = materialise(reps, "partenum-reps")
-    twins = members.join(reps.withColumnRenamed("node", "rep"), ["family", "n", "hi", "lo"]).where("node <> rep")
+    drop_table(near)
     dealt = sj.blocks(reps)
+    drop_table(reps)
     bitmap = membership_bitmap(dealt, "node")
-    likely = texts.mapInArrow(_members(bitmap), "doc_id long, text string").withColumnRenamed("doc_id", "node")
-    pairs = sj.block_pairs(dealt.join(likely, "node").select("family", "node", "block", "blocks", "hi", "lo", "text"))
+    texts = texts.mapInArrow(_members(bitmap), "doc_id long, text string").withColumnRenamed("doc_id", "node")
+    pairs = sj.block_pairs(dealt.join(texts, "node").select("family", "node", "block", "blocks", "hi", "lo", "text"))
     links = pairs.mapInArrow(_verify(width, threshold), "a long, b long")
-    links = links.unionByName(twins.select(F.col("node").alias("a"), F.col("rep").alias("b")))
+    links = links.unionByName(twins)
     component = materialise(connected_components(links), "partenum-components")
 
     found = rows.where(F.col("kind").isin(_DOCS, _NO_ID)).select("doc_id", F.col("n").cast("long").alias("n_shingles"))
