@@ -51,6 +51,7 @@ from refillscope.llm.shared import (
     materialise,
     membership_bitmap,
     partitions,
+    release_unused,
 )
 from refillscope.llm.shingles import digests, distinct_sets, line_hashes, mix, rank_in_group, shingles, word_hashes
 
@@ -327,6 +328,7 @@ def _record(rows: list[tuple]) -> pa.RecordBatch:
 
 def _map(width: int, min_words: int, threshold: Fraction, bits: int, rarity: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_unused()
         postings, seen, turn, gathered = [], set(), 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:

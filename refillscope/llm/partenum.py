@@ -34,6 +34,7 @@ from refillscope.llm.shared import (
     materialise,
     membership_bitmap,
     partitions,
+    release_unused,
 )
 from refillscope.llm.shingles import digest, digests, distinct_sets, mix, rank_in_group, shingles, word_hashes
 
@@ -44,6 +45,9 @@ DEFAULT_THRESHOLD = Fraction(4, 5)
 _PARTITIONS_PER_ELEMENT = 0.28
 _LEAST_PARTITIONS = 4
 
+# Documents whose sets a task holds together.
+_STEP = 250
+
 _BAND = np.uint64(0xD6E8FEB86659FD93)
 _PART = np.uint64(0xA0761D6478BD642F)
 _CONTENT = np.uint64(0xE7037ED1A0B428DB)
@@ -119,6 +123,7 @@ def _as_batch(rows: list[dict]) -> pa.RecordBatch:
 
 def _map(width: int, threshold: Fraction, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_unused()
         keys, nodes, seen, turn = [], [], set(), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -134,8 +139,8 @@ def _map(width: int, threshold: Fraction, bits: int):
         gathered = 0
         for whole in batches:
             # Batches are cut so that one of many long texts stays small in memory.
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, _STEP):
+                batch = whole.slice(at, _STEP)
                 values, bounds = _document_sets(batch, width)
                 raw, pairs = digests(values, bounds)
                 ids = batch.column("doc_id")

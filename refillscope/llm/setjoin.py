@@ -31,14 +31,14 @@ from refillscope.llm.shingles import mix
 MIN_SHARDS = 256
 SHARDS_PER_PARTITION = 4
 # Postings a map task gathers before it sends them on.
-FLUSH_POSTINGS = 1_500_000
+FLUSH_POSTINGS = 750_000
 # Sets and set elements of one block of a family.
 BLOCK_SETS = 1024
 BLOCK_ELEMENTS = 2_000_000
 # Up to so many nodes of a key, all pairs are candidates.
 FEW = 16
-# Groups of up to so many rows are compared many at a time, up to so many rows (of 128 bits) together.
-_SMALL_GROUP, _GROUP_ROWS = 512, 50_000
+# Groups of up to so many rows are compared many at a time, up to so many words of sketches or pairs of rows together.
+_SMALL_GROUP, _GROUP_WORDS, _GROUP_PAIRS = 512, 100_000, 1_000_000
 
 # A set's node: the low bits of its digest. Sets of equal nodes are candidates of the same others, no more.
 NODE_BITS = 48
@@ -303,7 +303,8 @@ def group_links(members: DataFrame, threshold: Fraction, sketch_of: Callable[[pa
                 yield links(node, _links_of_large(n, own, threshold))
                 continue
             held.setdefault(words, []).append((node, n, own))
-            if sum(len(x[0]) for x in held[words]) * words >= 2 * _GROUP_ROWS:
+            sizes = np.array([len(x[0]) for x in held[words]])
+            if sizes.sum() * words >= _GROUP_WORDS or (sizes * sizes).sum() >= 2 * _GROUP_PAIRS:
                 yield judged(words)
         for words in list(held):
             yield judged(words)
